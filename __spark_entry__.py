@@ -1,7 +1,7 @@
 """Registry of the queries and their SQL twins, all over the whole test tables.
 
 Bars come from ``testbed.bars``: one bar per symbol and calendar day by construction. A symbol
-can therefore hold no more rows than the date range has days at any scale (2,526 here), which
+can therefore hold no more rows than the date range has days at any scale (2,499 here), which
 is why most queries skip the sizing job with ``rows_per_chunk=None``; the ``_chunked`` queries cut
 every history.
 """
@@ -27,8 +27,8 @@ from testbed.compare import rounded
 SMALL = "/root/testdata/sf0.001"
 
 # Arguments of the registered queries.
-RANGE_START, RANGE_END = date(1994, 3, 1), date(1996, 8, 31)
-SINCE = date(1997, 6, 1)
+RANGE_START, RANGE_END = date(1995, 3, 1), date(1996, 8, 31)
+SINCE = date(1999, 6, 1)
 BATCH_END = date(1995, 6, 14)
 ONE_DAY = date(1995, 6, 17)
 HEAD_SYMBOL = "S1"

@@ -1,4 +1,4 @@
-"""Trading-row windows and rolling statistics over them.
+"""Trading-row windows, rolling statistics, and the passes that compute them.
 
 All frames count rows of one symbol in date order, the current row included, and are valid
 while still filling. Every window of an indicator uses the same partition and order, so a
@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
+from itertools import zip_longest
 from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
@@ -24,10 +26,51 @@ SHORT_FRAME = 32
 # Cost of fetching one lagged block, in updates of a sliding frame.
 LAG_COST = 4
 
+Columns = Mapping[str, Column]
+
+
+@dataclass(frozen=True)
+class Pass:
+    """Columns one pass over a symbol's sorted rows adds: windows, then plain columns from them.
+
+    ``derived`` is a sequence of steps; a step may use the columns of the steps before it.
+    """
+
+    windows: Columns
+    derived: tuple[Columns, ...] = ()
+
+
+# The passes of an indicator, in order of dependence.
+Passes = list[Pass]
+
+
+def _merged(parts: Sequence[Columns]) -> dict[str, Column]:
+    return {name: column for part in parts for name, column in part.items()}
+
+
+def together(*indicators: Passes) -> Passes:
+    """Run indicators side by side: their first passes become one, then their second, and so on."""
+    none = Pass({})
+    return [
+        Pass(
+            _merged([p.windows for p in level]),
+            tuple(_merged(step) for step in zip_longest(*(p.derived for p in level), fillvalue={})),
+        )
+        for level in zip_longest(*indicators, fillvalue=none)
+    ]
+
+
+def run(df: DataFrame, passes: Passes) -> DataFrame:
+    """Add the columns of all passes."""
+    for one in passes:
+        for columns in (one.windows, *one.derived):
+            df = df.withColumns(dict(columns)) if columns else df
+    return df
+
 
 def history(*keys: str) -> WindowSpec:
     """Rows of one series in date order."""
-    return Window.partitionBy(*(keys or ("symbol",))).orderBy("trade_date")
+    return Window.partitionBy(*keys).orderBy("trade_date")
 
 
 def last_rows(spec: WindowSpec, n: int) -> WindowSpec:
@@ -51,71 +94,65 @@ def _blocks(column: str, block: int, count: int, empty: float | int, spec: Windo
     return [F.col(column)] + [F.lag(column, block * i, empty).over(spec) for i in range(1, count)]
 
 
-def with_rolling_means(
-    df: DataFrame, spec: WindowSpec, source: str, widths: Mapping[str, int]
-) -> DataFrame:
-    """Add one rolling mean of ``source`` per entry of ``widths`` (name -> rows). NULLs are skipped."""
-    short = {name: n for name, n in widths.items() if n <= SHORT_FRAME}
+def rolling_means(spec: WindowSpec, source: str, widths: Mapping[str, int]) -> Passes:
+    """One rolling mean of ``source`` per entry of ``widths`` (name -> rows). NULLs are skipped."""
+    short = {name: F.avg(source).over(last_rows(spec, n)) for name, n in widths.items() if n <= SHORT_FRAME}
     long = {name: n for name, n in widths.items() if n > SHORT_FRAME}
-    means = {name: F.avg(source).over(last_rows(spec, n)) for name, n in short.items()}
     if not long:
-        return df.withColumns(means)
+        return [Pass(short)]
 
     block = block_width(list(long.values()))
-    total, count = f"__{source}_total", f"__{source}_count"
     frame = last_rows(spec, block)
-    df = df.withColumns(
-        {
-            **means,
-            total: F.coalesce(F.sum(source).over(frame), F.lit(0.0)),
-            count: F.count(source).over(frame),
-        }
-    )
-    return df.withColumns(
-        {
-            name: F.try_divide(
-                reduce(add, _blocks(total, block, n // block, 0.0, spec)),
-                reduce(add, _blocks(count, block, n // block, 0, spec)),
-            )
-            for name, n in long.items()
-        }
-    ).drop(total, count)
+    total, count = f"__{source}_total", f"__{source}_count"
+    blocks = {total: F.coalesce(F.sum(source).over(frame), F.lit(0.0)), count: F.count(source).over(frame)}
+    means = {
+        name: F.try_divide(
+            reduce(add, _blocks(total, block, n // block, 0.0, spec)),
+            reduce(add, _blocks(count, block, n // block, 0, spec)),
+        )
+        for name, n in long.items()
+    }
+    return [Pass({**short, **blocks}), Pass(means)]
 
 
-def with_rolling_deviation(
-    df: DataFrame, spec: WindowSpec, source: str, name: str, width: int
-) -> DataFrame:
-    """Add the rolling population standard deviation of ``source``. NULLs are skipped."""
+def rolling_deviation(spec: WindowSpec, source: str, name: str, width: int, scale: float = 1.0) -> Passes:
+    """Rolling population standard deviation of ``source`` times ``scale``. NULLs are skipped."""
     if width <= SHORT_FRAME:
-        return df.withColumn(name, F.stddev_pop(source).over(last_rows(spec, width)))
+        return [Pass({name: F.stddev_pop(source).over(last_rows(spec, width)) * scale})]
 
     block = block_width([width])
     frame = last_rows(spec, block)
-    parts = {"count": 0, "total": 0.0, "variance": 0.0}
-    column = {part: f"__{name}_{part}" for part in parts}
-    df = df.withColumns(
-        {
-            column["count"]: F.count(source).over(frame),
-            column["total"]: F.coalesce(F.sum(source).over(frame), F.lit(0.0)),
-            column["variance"]: F.coalesce(F.var_pop(source).over(frame), F.lit(0.0)),
-        }
-    )
-    lagged = {
-        part: {f"{column[part]}_{i}": c for i, c in enumerate(_blocks(column[part], block, width // block, empty, spec))}
-        for part, empty in parts.items()
+    count, total, variance = (f"__{name}_{part}" for part in ("count", "total", "variance"))
+    statistics = {
+        count: F.count(source).over(frame),
+        total: F.coalesce(F.sum(source).over(frame), F.lit(0.0)),
+        variance: F.coalesce(F.var_pop(source).over(frame), F.lit(0.0)),
     }
-    df = df.withColumns({k: c for by_block in lagged.values() for k, c in by_block.items()})
 
-    counts, totals, variances = ([F.col(k) for k in lagged[part]] for part in parts)
-    n, mean = f"__{name}_n", f"__{name}_mean"
-    df = df.withColumns({n: reduce(add, counts)}).withColumn(mean, F.try_divide(reduce(add, totals), F.col(n)))
+    def blocks_of(column: str, empty: float | int) -> dict[str, Column]:
+        columns = _blocks(column, block, width // block, empty, spec)
+        return {f"{column}_{i}": c for i, c in enumerate(columns)}
+
+    counts, totals, variances = blocks_of(count, 0), blocks_of(total, 0.0), blocks_of(variance, 0.0)
+    rows, mean = f"__{name}_rows", f"__{name}_mean"
     # Squares about the frame mean: those within each block plus those of the block means.
     squares = reduce(
         add,
         (
-            F.when(c > 0, c * (v + F.pow(t / c - F.col(mean), 2))).otherwise(F.lit(0.0))
+            F.when(F.col(c) > 0, F.col(c) * (F.col(v) + F.pow(F.col(t) / F.col(c) - F.col(mean), 2))).otherwise(
+                F.lit(0.0)
+            )
             for c, t, v in zip(counts, totals, variances)
         ),
     )
-    temporary = [*column.values(), *(k for by_block in lagged.values() for k in by_block), n, mean]
-    return df.withColumn(name, F.sqrt(F.try_divide(squares, F.col(n)))).drop(*temporary)
+    return [
+        Pass(statistics),
+        Pass(
+            {**counts, **totals, **variances},
+            (
+                {rows: reduce(add, map(F.col, counts))},
+                {mean: F.try_divide(reduce(add, map(F.col, totals)), F.col(rows))},
+                {name: F.sqrt(F.try_divide(squares, F.col(rows))) * scale},
+            ),
+        ),
+    ]

@@ -1,4 +1,4 @@
-"""Per-symbol indicators. Each ``with_*`` step adds columns and keeps the rows.
+"""Per-symbol indicators, each as the passes that compute it over a window of one history.
 
 Returns, moving averages, bands and volatility use the adjusted close; gain, loss, RSI and
 MACD use the raw close, as does everything daily. Averages are simple, also in RSI and MACD.
@@ -6,15 +6,18 @@ MACD use the raw close, as does everything daily. Averages are simple, also in R
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, WindowSpec, functions as F
+from pyspark.sql import Column, WindowSpec, functions as F
 
 from barline.functions.frames import (
+    Pass,
+    Passes,
     last_rows,
     previous,
-    with_rolling_deviation,
-    with_rolling_means,
+    rolling_deviation,
+    rolling_means,
 )
 from barline.functions.scalars import positive_part, safe_divide, safe_ln
 
@@ -27,84 +30,89 @@ RSI_PERIOD = 14
 MACD_FAST, MACD_SLOW, MACD_SIGNAL = 12, 26, 9
 
 
-def with_price_stats(df: DataFrame) -> DataFrame:
-    """Intraday change, range and traded value; no window involved."""
+def price_stats() -> dict[str, Column]:
+    """Intraday change, range and traded value; plain columns, no window involved."""
     change, spread = F.col("close") - F.col("open"), F.col("high") - F.col("low")
-    return df.withColumns(
-        {
-            "daily_change": change,
-            "daily_change_pct": safe_divide(change, F.col("open")) * 100,
-            "daily_range": spread,
-            "daily_volatility_pct": safe_divide(spread, F.col("low")) * 100,
-            "daily_value_traded": F.col("volume") * F.col("close"),
-        }
-    )
+    return {
+        "daily_change": change,
+        "daily_change_pct": safe_divide(change, F.col("open")) * 100,
+        "daily_range": spread,
+        "daily_volatility_pct": safe_divide(spread, F.col("low")) * 100,
+        "daily_value_traded": F.col("volume") * F.col("close"),
+    }
 
 
-def with_returns(df: DataFrame, spec: WindowSpec, price: str = "adj_close") -> DataFrame:
+def returns(spec: WindowSpec, price: str = "adj_close") -> Passes:
     """Simple and log return against the previous trading row."""
-    df = df.withColumn("__ratio", safe_divide(F.col(price), previous(price, spec)))
-    return df.withColumns(
-        {"daily_pct_change": F.col("__ratio") - 1, "daily_log_return": safe_ln(F.col("__ratio"))}
-    ).drop("__ratio")
-
-
-def with_moving_averages(
-    df: DataFrame, spec: WindowSpec, periods: Sequence[int] = AVERAGE_PERIODS, price: str = "adj_close"
-) -> DataFrame:
+    ratio = F.col("__ratio")
+    return [
+        Pass(
+            {"__ratio": safe_divide(F.col(price), previous(price, spec))},
+            ({"daily_pct_change": ratio - 1, "daily_log_return": safe_ln(ratio)},),
+        )
+    ]
+
+
+def moving_averages(
+    spec: WindowSpec, periods: Sequence[int] = AVERAGE_PERIODS, price: str = "adj_close"
+) -> Passes:
     """``ma_<n>`` for each period."""
-    return with_rolling_means(df, spec, price, {f"ma_{n}": n for n in periods})
+    return rolling_means(spec, price, {f"ma_{n}": n for n in periods})
 
 
-def with_bollinger_bands(
-    df: DataFrame,
-    spec: WindowSpec,
-    period: int = BAND_PERIOD,
-    width: float = BAND_WIDTH,
-    price: str = "adj_close",
-) -> DataFrame:
+def bollinger_bands(
+    spec: WindowSpec, period: int = BAND_PERIOD, width: float = BAND_WIDTH, price: str = "adj_close"
+) -> Passes:
     """Moving average plus and minus ``width`` population deviations."""
     frame = last_rows(spec, period)
-    df = df.withColumns(
-        {"__middle": F.avg(price).over(frame), f"stddev_{period}": F.stddev_pop(price).over(frame)}
+    middle, deviation = f"ma_{period}", f"stddev_{period}"
+    reach = F.col(deviation) * width
+    return [
+        Pass(
+            {middle: F.avg(price).over(frame), deviation: F.stddev_pop(price).over(frame)},
+            ({"bollinger_upper": F.col(middle) + reach, "bollinger_lower": F.col(middle) - reach},),
+        )
+    ]
+
+
+def volatility(spec: WindowSpec, period: int = VOLATILITY_PERIOD, price: str = "adj_close") -> Passes:
+    """Annualised deviation of the log returns."""
+    return returns(spec, price) + rolling_deviation(
+        spec, "daily_log_return", "volatility_annualized", period, math.sqrt(period)
     )
-    reach = F.col(f"stddev_{period}") * width
-    return df.withColumns(
-        {"bollinger_upper": F.col("__middle") + reach, "bollinger_lower": F.col("__middle") - reach}
-    ).drop("__middle")
-
-
-def with_volatility(df: DataFrame, spec: WindowSpec, period: int = VOLATILITY_PERIOD) -> DataFrame:
-    """Annualised deviation of ``daily_log_return`` (see ``with_returns``)."""
-    df = with_rolling_deviation(df, spec, "daily_log_return", "volatility_annualized", period)
-    return df.withColumn("volatility_annualized", F.col("volatility_annualized") * F.sqrt(F.lit(period)))
 
 
-def with_gain_loss(df: DataFrame, spec: WindowSpec, price: str = "close") -> DataFrame:
+def gain_loss(spec: WindowSpec, price: str = "close") -> Passes:
     """Upward and downward part of the change since the previous row; NULL if either price is."""
-    df = df.withColumn("__step", F.col(price) - previous(price, spec))
-    return df.withColumns(
-        {"gain": positive_part(F.col("__step")), "loss": positive_part(-F.col("__step"))}
-    ).drop("__step")
+    step = F.col("__step")
+    return [
+        Pass(
+            {"__step": F.col(price) - previous(price, spec)},
+            ({"gain": positive_part(step), "loss": positive_part(-step)},),
+        )
+    ]
 
 
-def with_rsi(df: DataFrame, spec: WindowSpec, period: int = RSI_PERIOD) -> DataFrame:
-    """Relative strength from ``gain`` and ``loss``; NULL, not 100, when there was no loss."""
+def rsi(spec: WindowSpec, period: int = RSI_PERIOD, price: str = "close") -> Passes:
+    """Relative strength index; NULL, not 100, when there was no loss."""
     frame = last_rows(spec, period)
-    df = df.withColumns({"__gain": F.avg("gain").over(frame), "__loss": F.avg("loss").over(frame)})
     strength = safe_divide(F.col("__gain"), F.col("__loss"))
-    return df.withColumn(f"rsi_{period}", 100 - 100 / (1 + strength)).drop("__gain", "__loss")
+    return gain_loss(spec, price) + [
+        Pass(
+            {"__gain": F.avg("gain").over(frame), "__loss": F.avg("loss").over(frame)},
+            ({f"rsi_{period}": 100 - 100 / (1 + strength)},),
+        )
+    ]
 
 
-def with_macd(
-    df: DataFrame,
+def macd(
     spec: WindowSpec,
     fast: int = MACD_FAST,
     slow: int = MACD_SLOW,
     signal: int = MACD_SIGNAL,
     price: str = "close",
-) -> DataFrame:
+) -> Passes:
     """Fast minus slow moving average, and the moving average of that line."""
-    df = with_rolling_means(df, spec, price, {"__fast": fast, "__slow": slow})
-    df = df.withColumn("macd_approx", F.col("__fast") - F.col("__slow"))
-    return with_rolling_means(df, spec, "macd_approx", {"macd_signal_approx": signal}).drop("__fast", "__slow")
+    line = {"macd_approx": F.col("__fast") - F.col("__slow")}
+    *before, last = rolling_means(spec, price, {"__fast": fast, "__slow": slow})
+    return [*before, Pass(last.windows, (line,)), *rolling_means(spec, "macd_approx", {"macd_signal_approx": signal})]

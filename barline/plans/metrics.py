@@ -1,12 +1,16 @@
-"""The daily metrics model and its single-indicator slices."""
+"""The daily metrics model and its single-indicator slices.
+
+Staged bars must be unique on (symbol, trade_date); see ``quality.STAGED_CONSTRAINTS``.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, WindowSpec, functions as F
 
+from barline.functions.frames import Passes, run, together
 from barline.operators import indicators as ind
 from barline.operators.history import ROWS_PER_CHUNK, latest_rows, over_history
 
@@ -18,39 +22,51 @@ METRIC_COLUMNS = (
     "volatility_annualized rsi_14 macd_approx macd_signal_approx"
 ).split()
 
-# Earlier rows each result depends on: a frame of n rows reaches back n - 1, a lag one more.
-RETURN_LOOKBACK = 1
-AVERAGE_LOOKBACK = max(ind.AVERAGE_PERIODS) - 1
-BAND_LOOKBACK = ind.BAND_PERIOD - 1
-VOLATILITY_LOOKBACK = ind.VOLATILITY_PERIOD
-RSI_LOOKBACK = ind.RSI_PERIOD
-MACD_LOOKBACK = ind.MACD_SLOW - 1 + ind.MACD_SIGNAL - 1
+_KEY = ("symbol", "trade_date")
+_INPUTS = (*_KEY, "open", "high", "low", "close", "volume", "adj_close")
+
+# Earlier rows the metrics depend on: a frame of n rows reaches back n - 1, a lag one more.
 LOOKBACK = max(
-    RETURN_LOOKBACK, AVERAGE_LOOKBACK, BAND_LOOKBACK, VOLATILITY_LOOKBACK, RSI_LOOKBACK, MACD_LOOKBACK
+    max(ind.AVERAGE_PERIODS) - 1,
+    ind.VOLATILITY_PERIOD,
+    ind.RSI_PERIOD,
+    ind.MACD_SLOW + ind.MACD_SIGNAL - 2,
 )
 
-_INPUTS = ("symbol", "trade_date", "open", "high", "low", "close", "volume", "adj_close")
-
 
-def _all_indicators(df: DataFrame, spec: WindowSpec) -> DataFrame:
-    df = ind.with_price_stats(df)
-    df = ind.with_returns(df, spec)
-    df = ind.with_gain_loss(df, spec)
-    df = ind.with_moving_averages(df, spec)
-    df = ind.with_bollinger_bands(df, spec)
-    df = ind.with_macd(df, spec)
-    df = ind.with_rsi(df, spec)
-    return ind.with_volatility(df, spec)
+def _indicator(
+    staged: DataFrame,
+    passes: Callable[[WindowSpec], Passes],
+    inputs: Sequence[str],
+    outputs: Sequence[str],
+    lookback: int,
+    rows_per_chunk: int | None,
+) -> DataFrame:
+    computed = over_history(
+        staged.select(*_KEY, *inputs), lambda rows, spec: run(rows, passes(spec)), lookback, rows_per_chunk
+    )
+    return computed.select(*_KEY, *outputs)
 
 
 def daily_metrics(staged: DataFrame, rows_per_chunk: int | None = ROWS_PER_CHUNK) -> DataFrame:
-    """All per-day metrics of staged bars: one shuffle by symbol for the whole chain.
+    """All per-day metrics: one shuffle by symbol, one sort and three window passes.
 
-    Staged bars must be unique on (symbol, trade_date); see ``quality.STAGED_CONSTRAINTS``.
+    The plain price statistics come last, so they do not travel through the shuffle.
     """
-    return over_history(staged.select(*_INPUTS), _all_indicators, LOOKBACK, rows_per_chunk).select(
-        *METRIC_COLUMNS
+
+    def passes(spec: WindowSpec) -> Passes:
+        return together(
+            ind.volatility(spec),
+            ind.moving_averages(spec),
+            ind.bollinger_bands(spec),
+            ind.rsi(spec),
+            ind.macd(spec),
+        )
+
+    computed = over_history(
+        staged.select(*_INPUTS), lambda rows, spec: run(rows, passes(spec)), LOOKBACK, rows_per_chunk
     )
+    return computed.withColumns(ind.price_stats()).select(*METRIC_COLUMNS)
 
 
 def daily_metrics_since(
@@ -58,8 +74,8 @@ def daily_metrics_since(
 ) -> DataFrame:
     """Metrics from ``since`` on, equal to the same rows of the full run.
 
-    Reads only the last ``LOOKBACK`` rows of each symbol before ``since``; a plain date
-    filter would leave the frames half empty.
+    Only the last ``LOOKBACK`` rows of each symbol before ``since`` are shuffled and computed; a
+    plain date filter would leave the frames half empty.
     """
     day = F.lit(since)
     bars = staged.select(*_INPUTS)
@@ -70,22 +86,14 @@ def daily_metrics_since(
 
 def daily_price_stats(staged: DataFrame) -> DataFrame:
     """Intraday statistics; a projection without any shuffle."""
-    return ind.with_price_stats(staged).select(
-        "symbol",
-        "trade_date",
-        "daily_change",
-        "daily_change_pct",
-        "daily_range",
-        "daily_volatility_pct",
-        "daily_value_traded",
-    )
+    stats = ind.price_stats()
+    return staged.select(*_KEY, *(column.alias(name) for name, column in stats.items()))
 
 
 def daily_returns(staged: DataFrame, rows_per_chunk: int | None = ROWS_PER_CHUNK) -> DataFrame:
-    bars = staged.select("symbol", "trade_date", "adj_close")
-    return over_history(bars, ind.with_returns, RETURN_LOOKBACK, rows_per_chunk).select(
-        "symbol", "trade_date", "daily_pct_change", "daily_log_return"
-    )
+    """Simple and log return of the adjusted close."""
+    outputs = ["daily_pct_change", "daily_log_return"]
+    return _indicator(staged, ind.returns, ["adj_close"], outputs, 1, rows_per_chunk)
 
 
 def moving_averages(
@@ -93,11 +101,15 @@ def moving_averages(
     periods: Sequence[int] = ind.AVERAGE_PERIODS,
     rows_per_chunk: int | None = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    bars = staged.select("symbol", "trade_date", "adj_close")
-    averaged = over_history(
-        bars, lambda df, spec: ind.with_moving_averages(df, spec, periods), max(periods) - 1, rows_per_chunk
+    """``ma_<n>`` of the adjusted close for each period."""
+    return _indicator(
+        staged,
+        lambda spec: ind.moving_averages(spec, periods),
+        ["adj_close"],
+        [f"ma_{n}" for n in periods],
+        max(periods) - 1,
+        rows_per_chunk,
     )
-    return averaged.select("symbol", "trade_date", *(f"ma_{n}" for n in periods))
 
 
 def bollinger_bands(
@@ -106,42 +118,43 @@ def bollinger_bands(
     width: float = ind.BAND_WIDTH,
     rows_per_chunk: int | None = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    bars = staged.select("symbol", "trade_date", "adj_close")
-    banded = over_history(
-        bars, lambda df, spec: ind.with_bollinger_bands(df, spec, period, width), period - 1, rows_per_chunk
+    """Rolling deviation and bands of the adjusted close."""
+    return _indicator(
+        staged,
+        lambda spec: ind.bollinger_bands(spec, period, width),
+        ["adj_close"],
+        [f"stddev_{period}", "bollinger_upper", "bollinger_lower"],
+        period - 1,
+        rows_per_chunk,
     )
-    return banded.select("symbol", "trade_date", f"stddev_{period}", "bollinger_upper", "bollinger_lower")
 
 
 def volatility_annualized(
     staged: DataFrame, period: int = ind.VOLATILITY_PERIOD, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
-    bars = staged.select("symbol", "trade_date", "adj_close")
-    return over_history(
-        bars,
-        lambda df, spec: ind.with_volatility(ind.with_returns(df, spec), spec, period),
+    """Annualised deviation of the log returns."""
+    return _indicator(
+        staged,
+        lambda spec: ind.volatility(spec, period),
+        ["adj_close"],
+        ["volatility_annualized"],
         period,
         rows_per_chunk,
-    ).select("symbol", "trade_date", "volatility_annualized")
+    )
 
 
 def gain_loss(staged: DataFrame, rows_per_chunk: int | None = ROWS_PER_CHUNK) -> DataFrame:
-    bars = staged.select("symbol", "trade_date", "close")
-    return over_history(bars, ind.with_gain_loss, RETURN_LOOKBACK, rows_per_chunk).select(
-        "symbol", "trade_date", "gain", "loss"
-    )
+    """Upward and downward part of the daily change of the close."""
+    return _indicator(staged, ind.gain_loss, ["close"], ["gain", "loss"], 1, rows_per_chunk)
 
 
 def rsi(
     staged: DataFrame, period: int = ind.RSI_PERIOD, rows_per_chunk: int | None = ROWS_PER_CHUNK
 ) -> DataFrame:
-    bars = staged.select("symbol", "trade_date", "close")
-    return over_history(
-        bars,
-        lambda df, spec: ind.with_rsi(ind.with_gain_loss(df, spec), spec, period),
-        period,
-        rows_per_chunk,
-    ).select("symbol", "trade_date", f"rsi_{period}")
+    """Relative strength index of the close."""
+    return _indicator(
+        staged, lambda spec: ind.rsi(spec, period), ["close"], [f"rsi_{period}"], period, rows_per_chunk
+    )
 
 
 def macd(
@@ -151,10 +164,12 @@ def macd(
     signal: int = ind.MACD_SIGNAL,
     rows_per_chunk: int | None = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    bars = staged.select("symbol", "trade_date", "close")
-    return over_history(
-        bars,
-        lambda df, spec: ind.with_macd(df, spec, fast, slow, signal),
+    """Difference of two moving averages of the close, and its signal line."""
+    return _indicator(
+        staged,
+        lambda spec: ind.macd(spec, fast, slow, signal),
+        ["close"],
+        ["macd_approx", "macd_signal_approx"],
         max(fast, slow) + signal - 2,
         rows_per_chunk,
-    ).select("symbol", "trade_date", "macd_approx", "macd_signal_approx")
+    )
