@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -59,18 +60,31 @@ class Chunks:
         )
 
 
-def plan_chunks(bars: DataFrame, lookback: int, rows_per_chunk: int = ROWS_PER_CHUNK) -> Chunks | None:
-    """Cut the histories longer than ``rows_per_chunk``; None when there are none.
+class HistorySizes(NamedTuple):
+    total: int
+    longest: int
 
-    Runs one job that reads only the symbol column and returns a single row.
-    """
+
+def history_sizes(bars: DataFrame) -> HistorySizes:
+    """Rows in all, and rows of the longest history. Reads only the symbol column."""
     per_symbol = bars.groupBy("symbol").agg(F.count("*").alias("rows"))
     total, longest = per_symbol.agg(F.sum("rows"), F.max("rows")).first()
-    if longest is None or longest <= rows_per_chunk:
+    return HistorySizes(total or 0, longest or 0)
+
+
+def plan_chunks(bars: DataFrame, lookback: int, rows_per_chunk: int = ROWS_PER_CHUNK) -> Chunks | None:
+    """Cut the histories longer than ``rows_per_chunk``; None when there are none."""
+    sizes = history_sizes(bars)
+    if sizes.longest <= rows_per_chunk:
         return None
 
-    limit = max(rows_per_chunk, math.ceil(total / MAX_HOT_SYMBOLS))
-    hot = per_symbol.filter(F.col("rows") > limit).select(F.col("symbol").alias("__symbol"))
+    limit = max(rows_per_chunk, math.ceil(sizes.total / MAX_HOT_SYMBOLS))
+    hot = (
+        bars.groupBy(F.col("symbol").alias("__symbol"))
+        .agg(F.count("*").alias("rows"))
+        .filter(F.col("rows") > limit)
+        .select("__symbol")
+    )
     months = (
         bars.join(F.broadcast(hot), F.col("symbol").eqNullSafe(F.col("__symbol")), "left_semi")
         .groupBy("symbol", F.trunc(_day(), "month").alias("month"))

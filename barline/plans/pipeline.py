@@ -5,11 +5,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from barline.operators import quality
 from barline.operators.cleaning import clean_bars, staging_sql
-from barline.operators.history import ROWS_PER_CHUNK
+from barline.operators.history import ROWS_PER_CHUNK, history_sizes
 from barline.operators.signals import trade_signals
 from barline.operators.summary import symbol_summary
 from barline.plans.metrics import daily_metrics
@@ -42,9 +42,10 @@ def run_pipeline(
     """Rebuild every layer of ``namespace`` from raw bars; a failing check stops the run.
 
     Staging is a view, the other layers are tables in one database each, and each run replaces
-    them. Tables are bucketed by symbol unless a symbol has more than ``rows_per_chunk`` rows:
-    landing is then the only shuffle by symbol of the run. With such a symbol present the tables
-    stay unbucketed and its history is computed in chunks.
+    them. Raw bars are read once and landed as they come, without a shuffle. The metrics are
+    shuffled by symbol once and stored in those partitions, so the summary needs no shuffle. If a
+    symbol has more than ``rows_per_chunk`` rows, its history is computed in chunks instead and
+    the metrics table is left unbucketed.
     """
     spark = raw.sparkSession
 
@@ -55,26 +56,23 @@ def run_pipeline(
 
     landing, staging, intermediate, marts = map(database, ("landing", "staging", "intermediate", "marts"))
 
-    per_symbol = raw.groupBy("symbol").agg(F.count("*").alias("rows"))
-    total, longest = per_symbol.agg(F.sum("rows"), F.max("rows")).first()
-    if not total:
-        raise NoDataError("no raw bars")
-    evenly_spread = longest <= rows_per_chunk
-    buckets = math.ceil(total / rows_per_bucket) if evenly_spread else None
-    if buckets:
-        buckets = max(buckets, spark.sparkContext.defaultParallelism)
-
     landed = f"{landing}.bars"
-    loaded = write_table(clean_bars(raw), landed, partitions=buckets, order="date")
+    loaded = write_table(clean_bars(raw), landed)
+    if not loaded:
+        raise NoDataError("no raw bars")
     quality.require(spark.table(landed), quality.LANDED_CONSTRAINTS, landed)
 
     staged = f"{staging}.bars"
     spark.sql(f"CREATE OR REPLACE VIEW {staged} AS {staging_sql(landed)}")
-    quality.require(spark.table(staged), quality.STAGED_CONSTRAINTS, staged)
+    bars = spark.table(staged)
+    quality.require(bars, quality.STAGED_CONSTRAINTS, staged)
 
     metrics, signals, summary = f"{intermediate}.daily_metrics", f"{marts}.trade_signals", f"{marts}.symbol_summary"
-    computed = daily_metrics(spark.table(staged), None if evenly_spread else rows_per_chunk)
-    write_table(computed, metrics, partitions=buckets)
+    if history_sizes(bars).longest <= rows_per_chunk:
+        buckets = max(math.ceil(loaded / rows_per_bucket), spark.sparkContext.defaultParallelism)
+        write_table(daily_metrics(bars.repartition(buckets, "symbol"), None), metrics, partitions=buckets)
+    else:
+        write_table(daily_metrics(bars, rows_per_chunk), metrics)
 
     write_table(trade_signals(spark.table(metrics)), signals)
     write_table(symbol_summary(spark.table(metrics)), summary)
