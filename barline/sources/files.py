@@ -21,23 +21,31 @@ def read_bars_csv(
 
     Types come from ``schema``, never from inference, and the header is checked against it.
     ``FAILFAST`` stops at the first malformed row; ``PERMISSIVE`` keeps it with its text in an
-    extra ``_corrupt_record`` column.
+    extra ``_corrupt_record`` column (see ``split_corrupt``). Spark parses only the columns a query
+    uses, so a row counts as malformed only for those; a load uses them all.
     """
     if mode.upper() == "PERMISSIVE":
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return (
         spark.read.schema(schema)
-        .options(header=True, enforceSchema=False, mode=mode, columnNameOfCorruptRecord=CORRUPT, **_TIMESTAMP)
+        .options(
+            header=True,
+            enforceSchema=False,
+            mode=mode,
+            columnNameOfCorruptRecord=CORRUPT,
+            **_TIMESTAMP,
+        )
         .csv(path)
     )
 
 
 def split_corrupt(read: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good bars, text of the malformed rows) of a ``PERMISSIVE`` read."""
-    good = read.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    # Spark refuses a CSV scan of the corrupt column alone; keep a data column beside it.
-    bad = read.filter(F.col(CORRUPT).isNotNull()).select(read.columns[0], CORRUPT)
-    return good, bad
+    """(good bars, malformed rows with their text) of a ``PERMISSIVE`` read."""
+    data = [name for name in read.columns if name != CORRUPT]
+    # Always true, but needs every column: each row is parsed whole whatever is selected later.
+    parsed = F.hash(*data) >= -(2**31)
+    good = read.filter(parsed & F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return good, read.filter(parsed & F.col(CORRUPT).isNotNull())
 
 
 def write_bars_csv(bars: DataFrame, path: str, single_file: bool = False) -> bool:

@@ -28,7 +28,7 @@ def _parsed(payloads: DataFrame) -> DataFrame:
     read = payloads.select(
         "symbol",
         F.try_parse_json("payload").isNull().alias("__unreadable"),
-        F.ltrim("payload").startswith("[").alias("__bracketed"),
+        F.ltrim("payload", F.lit(" \t\r\n")).startswith("[").alias("__bracketed"),
         F.from_json("payload", _RECORDS).alias("records"),
     )
 

@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import sys
+from datetime import date, timedelta
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from barline.session import build_session
+from pyspark.sql import types as T
+
+BARS = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("trade_date", T.DateType()),
+        *(T.StructField(c, T.DoubleType()) for c in ("open", "high", "low", "close")),
+        T.StructField("volume", T.LongType()),
+        T.StructField("adj_close", T.DoubleType()),
+    ]
+)
+START = date(2024, 1, 1)
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = build_session(
+        "tests",
+        "local[4]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": str(shared),
+            "spark.sql.warehouse.dir": str(shared / "warehouse"),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def make_bars(spark):
+    """Staged bars on successive days; open, high and low equal the close unless given."""
+
+    def make(closes, symbol="A", adj=None, start=START, **other):
+        adj = closes if adj is None else adj
+        rows = [
+            (
+                symbol,
+                start + timedelta(days=i),
+                *(other.get(name, closes)[i] for name in ("open", "high", "low")),
+                close,
+                10,
+                adj[i],
+            )
+            for i, close in enumerate(closes)
+        ]
+        return spark.createDataFrame(rows, BARS)
+
+    return make
+
+
+def by_day(df, *columns):
+    """Values of ``columns`` in date order, floats to six places."""
+    rows = df.orderBy("symbol", "trade_date").select(*columns).collect()
+    out = [tuple(round(v, 6) if isinstance(v, float) else v for v in row) for row in rows]
+    return [r[0] for r in out] if len(columns) == 1 else out

@@ -1,0 +1,35 @@
+"""Every registered query against its SQL twin."""
+
+from __future__ import annotations
+
+import os
+import sys
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as registry
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
+from check_oracle import connect, difference
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def sql():
+    return connect(SF_DIR)
+
+
+def test_every_query_has_a_twin():
+    assert set(registry.queries()) == set(registry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(registry.queries()))
+def test_query_matches_sql(spark, sql, name):
+    result = registry.queries()[name](spark, SF_DIR).toPandas()
+    assert difference(result, sql.execute(registry.oracle_sql()[name]).df()) is None
+
+
+def test_entry(spark):
+    assert registry.entry(spark).count() == 5698
