@@ -6,7 +6,10 @@ payload costs only its symbol; one bad date costs only its row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from barline.schema import LANDED
 
@@ -18,63 +21,59 @@ class NoDataError(RuntimeError):
     """No payload gave any bar."""
 
 
-def _parsed(payloads: DataFrame) -> DataFrame:
-    """symbol, records, reason (NULL if the payload is usable).
+def _records(payloads: DataFrame) -> DataFrame:
+    """symbol, record, reason: one row per record of a usable payload, else one with the reason.
 
     Records are parsed as string maps, since a struct schema would turn an object payload or a
     missing field into NULL columns and hide the failure. A field counts as present when any
     record has it.
+
+    The outer explode keeps Spark from testing ``reason`` below it, where the parse would be
+    repeated for each of its conditions.
     """
-    read = payloads.select(
-        "symbol",
-        F.try_parse_json("payload").isNull().alias("__unreadable"),
-        F.ltrim("payload", F.lit(" \t\r\n")).startswith("[").alias("__bracketed"),
-        F.from_json("payload", _RECORDS).alias("records"),
-    )
+    read = payloads.select("symbol", "payload", F.from_json("payload", _RECORDS).alias("records"))
 
-    def absent(name: str):
+    def absent(name: str) -> Column:
         return ~F.exists("records", lambda record: F.map_contains_key(record, name))
 
-    missing = absent(_FIELDS[0].name)
-    for field in _FIELDS[1:]:
-        missing = missing | absent(field.name)
+    bracketed = F.ltrim("payload", F.lit(" \t\r\n")).startswith("[")
     reason = (
-        F.when(F.col("__unreadable"), "not_json")
-        .when(~F.col("__bracketed") | F.col("records").isNull(), "not_array")
+        F.when(F.try_parse_json("payload").isNull(), "not_json")
+        .when(~bracketed | F.col("records").isNull(), "not_array")
         .when(F.exists("records", lambda record: record.isNull()), "not_array")
         .when(F.size("records") == 0, "empty")
-        .when(missing, "missing_field")
+        .when(reduce(or_, (absent(field.name) for field in _FIELDS)), "missing_field")
     )
-    return read.select("symbol", "records", reason.alias("reason"))
-
-
-def _rows(parsed: DataFrame) -> DataFrame:
-    """Typed rows of the usable payloads; a value of the wrong type becomes NULL."""
-    records = parsed.filter(F.col("reason").isNull()).select("symbol", F.explode("records").alias("record"))
+    judged = read.select("symbol", "records", reason.alias("reason"))
+    usable = F.when(F.col("reason").isNull(), F.col("records"))
+    return judged.select("symbol", "reason", F.explode_outer(usable).alias("record"))
 
-    def typed(field: T.StructField):
-        value = F.col("record")[field.name]
-        if field.name == "date":
-            # The calendar date as written, without the time of day.
-            return value.try_cast("timestamp_ntz").cast("date").cast("timestamp_ntz").alias("date")
-        return value.try_cast(field.dataType).alias(field.name)
 
-    return records.select("symbol", *(typed(field) for field in _FIELDS))
+def _typed(field: T.StructField) -> Column:
+    """A field of the record; a value of the wrong type becomes NULL."""
+    value = F.col("record")[field.name]
+    if field.name == "date":
+        # The calendar date as written, without the time of day.
+        value = value.try_cast("timestamp_ntz").cast("date")
+    return value.try_cast(field.dataType).alias(field.name)
 
 
 def bars_from_payloads(payloads: DataFrame) -> DataFrame:
     """Landed bars of all usable payloads, in one pass over the table."""
-    return _rows(_parsed(payloads)).filter(F.col("date").isNotNull())
+    rows = _records(payloads).select("symbol", *map(_typed, _FIELDS))
+    return rows.filter(F.col("date").isNotNull())
 
 
 def quarantine(payloads: DataFrame) -> DataFrame:
     """(symbol, reason): payloads not used, and symbols with rows dropped for ``bad_date``."""
-    parsed = _parsed(payloads)
-    whole = parsed.filter(F.col("reason").isNotNull()).select("symbol", "reason")
-    bad_dates = (
-        _rows(parsed).filter(F.col("date").isNull()).select("symbol", F.lit("bad_date").alias("reason"))
+    date = next(_typed(field) for field in _FIELDS if field.name == "date")
+    rows = _records(payloads).select("symbol", "reason", date)
+    bad_date = F.when(F.col("date").isNull(), "bad_date")
+    return (
+        rows.select("symbol", F.coalesce("reason", bad_date).alias("reason"))
+        .filter(F.col("reason").isNotNull())
+        .distinct()
     )
-    return whole.unionByName(bad_dates).distinct()
 
 
 def require_data(bars: DataFrame) -> DataFrame:
