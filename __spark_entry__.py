@@ -9,7 +9,7 @@ every history.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -100,14 +100,40 @@ def _load_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(F.lit(rows).cast("long").alias("loaded_rows"))
 
 
+def _append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "batches")
+    database = folder.rsplit("/", 1)[-1].replace("-", "_")
+    tables.ensure_database(spark, database, folder)
+    early, late = _batches(spark, sf_dir)
+    tables.write_table(early, f"{database}.bars", "empty")
+    tables.write_table(late, f"{database}.bars", "append")
+    return spark.table(f"{database}.bars")
+
+
+def _dq_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = tb.landed_bars(spark, sf_dir)
+    layers = {
+        "landing": (landed, quality.LANDED_CONSTRAINTS),
+        "staging": (stage_bars(landed), quality.STAGED_CONSTRAINTS),
+        "marts": (symbol_summary(_metrics(spark, sf_dir)), quality.SUMMARY_CONSTRAINTS),
+    }
+    return tables.union_batches(
+        *(quality.check(df, rules).withColumn("layer", F.lit(name)) for name, (df, rules) in layers.items())
+    )
+
+
 def _pipeline(spark: SparkSession, sf_dir: str):
     folder = scratch_path(spark, "pipeline")
     return run_pipeline(tb.raw_bars(spark, sf_dir), folder.rsplit("/", 1)[-1].replace("-", "_"), folder)
 
 
-def _union_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     early = tb.landed_bars(spark, sf_dir, last=BATCH_END)
-    late = tb.landed_bars(spark, sf_dir, first=date.fromordinal(BATCH_END.toordinal() + 1))
+    return early, tb.landed_bars(spark, sf_dir, first=BATCH_END + timedelta(days=1))
+
+
+def _union_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    early, late = _batches(spark, sf_dir)
     return tables.union_batches(early, late.select(*reversed(late.columns)))
 
 
@@ -137,6 +163,7 @@ def queries() -> dict[str, Query]:
         "date_range": lambda s, d: date_range(tb.landed_bars(s, d), RANGE_START, RANGE_END),
         "load_bars": lambda s, d: s.table(_load(s, d)[0]),
         "load_row_count": _load_row_count,
+        "append_batches": _append_batches,
         "adhoc_sql": _adhoc,
         # Cleaning
         "clean_bars": lambda s, d: in_order(clean_bars(tb.raw_bars(s, d))),
@@ -170,6 +197,7 @@ def queries() -> dict[str, Query]:
         "dq_not_null": lambda s, d: quality.null_violations(tb.dirty_bars(s, d), ["symbol", "trade_date"]),
         "dq_unique_symbol": lambda s, d: quality.duplicate_keys(tb.dirty_bars(s, d), ["symbol"]),
         "dq_unique_bar": lambda s, d: quality.duplicate_keys(tb.dirty_bars(s, d), ["symbol", "trade_date"]),
+        "dq_layers": _dq_layers,
         "dq_report": lambda s, d: quality.check(tb.dirty_bars(s, d), quality.STAGED_CONSTRAINTS),
         # Projections
         "symbol_head": lambda s, d: rounded(
@@ -227,6 +255,7 @@ def oracle_sql() -> dict[str, str]:
             "landed", f"select * from landed where cast(date as date) between date '{RANGE_START}' and date '{RANGE_END}'"
         ),
         "load_bars": landed,
+        "append_batches": landed,
         "load_row_count": o.over("landed", "select count(*) as loaded_rows from landed"),
         "adhoc_sql": o.over(
             "staged",
@@ -269,6 +298,19 @@ def oracle_sql() -> dict[str, str]:
         "dq_unique_symbol": dirty
         + "select symbol, count(*) as row_count from dirty where symbol is not null group by symbol having count(*) > 1",
         "dq_unique_bar": dirty + repeated,
+        "dq_layers": o.over(
+            "metrics",
+            f"""select 'landing' as layer, 'not_null' as check_name, 'symbol' as column_name,
+                  count(*) - count(symbol) as failures from landed
+                union all select 'landing', 'not_null', 'date', count(*) - count(date) from landed
+                union all select 'staging', 'not_null', 'symbol', count(*) - count(symbol) from staged
+                union all select 'staging', 'not_null', 'trade_date', count(*) - count(trade_date) from staged
+                union all select 'staging', 'unique', 'symbol, trade_date', count(*)
+                  from (select {key} from staged group by {key} having count(*) > 1)
+                union all select 'marts', 'not_null', 'symbol', count(*) - count(symbol) from ({o.SUMMARY})
+                union all select 'marts', 'unique', 'symbol', count(*)
+                  from (select symbol from ({o.SUMMARY}) group by symbol having count(*) > 1)""",
+        ),
         "dq_report": dirty
         + f"""select 'not_null' as check_name, column_name, failures from ({nulls})
               union all select 'unique', 'symbol, trade_date', count(*) from ({repeated})""",

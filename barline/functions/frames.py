@@ -135,16 +135,12 @@ def rolling_deviation(spec: WindowSpec, source: str, name: str, width: int, scal
 
     counts, totals, variances = blocks_of(count, 0), blocks_of(total, 0.0), blocks_of(variance, 0.0)
     rows, mean = f"__{name}_rows", f"__{name}_mean"
-    # Squares about the frame mean: those within each block plus those of the block means.
-    squares = reduce(
-        add,
-        (
-            F.when(F.col(c) > 0, F.col(c) * (F.col(v) + F.pow(F.col(t) / F.col(c) - F.col(mean), 2))).otherwise(
-                F.lit(0.0)
-            )
-            for c, t, v in zip(counts, totals, variances)
-        ),
-    )
+    def squares(c: str, t: str, v: str) -> Column:
+        """Squares about the frame mean: those within the block plus those of the block mean."""
+        off = F.col(t) / F.col(c) - F.col(mean)
+        return F.when(F.col(c) > 0, F.col(c) * (F.col(v) + off * off)).otherwise(F.lit(0.0))
+
+    all_squares = reduce(add, map(squares, counts, totals, variances))
     return [
         Pass(statistics),
         Pass(
@@ -152,7 +148,7 @@ def rolling_deviation(spec: WindowSpec, source: str, name: str, width: int, scal
             (
                 {rows: reduce(add, map(F.col, counts))},
                 {mean: F.try_divide(reduce(add, map(F.col, totals)), F.col(rows))},
-                {name: F.sqrt(F.try_divide(squares, F.col(rows))) * scale},
+                {name: F.sqrt(F.try_divide(all_squares, F.col(rows))) * scale},
             ),
         ),
     ]
