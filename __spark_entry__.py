@@ -4,6 +4,8 @@ Bars come from ``testbed.bars``: one bar per symbol and calendar day by construc
 can therefore hold no more rows than the date range has days at any scale (2,499 here), which
 is why most queries skip the sizing job with ``rows_per_chunk=None``; the ``_chunked`` queries cut
 every history.
+
+Most columns are compared bit for bit; ``testbed.compare`` lists those rounded first, and why.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from barline.plans.pipeline import run_pipeline
 from barline.session import scratch_path
 from barline.sources import files, payloads, tables
 from testbed import bars as tb, oracle as o
-from testbed.compare import rounded
+from testbed.compare import DIGITS, comparable
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -35,13 +37,6 @@ HEAD_SYMBOL = "S1"
 # Far below any real setting, so that every history is cut several times.
 SMALL_CHUNK = 150
 
-INEXACT = (
-    "daily_change_pct daily_volatility_pct daily_pct_change daily_log_return ma_20 ma_50 ma_200 "
-    "bollinger_upper bollinger_lower volatility_annualized rsi_14 macd_approx macd_signal_approx"
-).split()
-INEXACT_SIGNALS = [c for c in INEXACT if c in SIGNAL_COLUMNS]
-INEXACT_SUMMARY = ["avg_price", "avg_volume", "avg_volatility", "up_day_percentage"]
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -60,24 +55,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _signals_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = stage_bars(tb.landed_bars_by_brand(spark, sf_dir))
-    return rounded(trade_signals(m.daily_metrics(staged, None)), *INEXACT_SIGNALS)
-
-
-def _summary(metrics: DataFrame) -> DataFrame:
-    return rounded(rounded(symbol_summary(metrics), *INEXACT_SUMMARY), "avg_daily_value", digits=4)
+    return comparable(trade_signals(m.daily_metrics(staged, None)))
 
 
-def _slice(operator: Callable[..., DataFrame], *columns: str) -> Query:
+def _slice(operator: Callable[..., DataFrame]) -> Query:
     """A single-indicator query over the staged bars."""
-
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(operator(_staged(spark, sf_dir), rows_per_chunk=None), *columns)
-
-    return query
-
-
-def _price_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(m.daily_price_stats(_staged(spark, sf_dir)), "daily_change_pct", "daily_volatility_pct")
+    return lambda spark, sf_dir: comparable(operator(_staged(spark, sf_dir), rows_per_chunk=None))
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,30 +152,26 @@ def queries() -> dict[str, Query]:
         "clean_bars": lambda s, d: in_order(clean_bars(tb.raw_bars(s, d))),
         "stage_bars": _staged,
         # Indicators
-        "daily_price_stats": _price_stats,
-        "daily_returns": _slice(m.daily_returns, "daily_pct_change", "daily_log_return"),
-        "moving_averages": _slice(m.moving_averages, "ma_20", "ma_50", "ma_200"),
-        "bollinger_bands": _slice(m.bollinger_bands, "stddev_20", "bollinger_upper", "bollinger_lower"),
-        "volatility_annualized": _slice(m.volatility_annualized, "volatility_annualized"),
+        "daily_price_stats": lambda s, d: m.daily_price_stats(_staged(s, d)),
+        "daily_returns": _slice(m.daily_returns),
+        "moving_averages": _slice(m.moving_averages),
+        "bollinger_bands": _slice(m.bollinger_bands),
+        "volatility_annualized": _slice(m.volatility_annualized),
         "gain_loss": _slice(m.gain_loss),
-        "rsi_14": _slice(m.rsi, "rsi_14"),
-        "macd_sma": _slice(m.macd, "macd_approx", "macd_signal_approx"),
+        "rsi_14": _slice(m.rsi),
+        "macd_sma": _slice(m.macd),
         # Models
-        "daily_metrics": lambda s, d: rounded(_metrics(s, d), *INEXACT),
-        "daily_metrics_chunked": lambda s, d: rounded(_metrics(s, d, SMALL_CHUNK), *INEXACT),
-        "daily_metrics_since": lambda s, d: rounded(
-            m.daily_metrics_since(_staged(s, d), SINCE, rows_per_chunk=None), *INEXACT
+        "daily_metrics": lambda s, d: comparable(_metrics(s, d)),
+        "daily_metrics_chunked": lambda s, d: comparable(_metrics(s, d, SMALL_CHUNK)),
+        "daily_metrics_since": lambda s, d: comparable(
+            m.daily_metrics_since(_staged(s, d), SINCE, rows_per_chunk=None)
         ),
-        "trade_signals": lambda s, d: rounded(trade_signals(_metrics(s, d)), *INEXACT_SIGNALS),
+        "trade_signals": lambda s, d: comparable(trade_signals(_metrics(s, d))),
         "trade_signals_by_brand": _signals_by_brand,
-        "trade_signals_chunked": lambda s, d: rounded(
-            trade_signals(_metrics(s, d, SMALL_CHUNK)), *INEXACT_SIGNALS
-        ),
-        "symbol_summary": lambda s, d: _summary(_metrics(s, d)),
-        "pipeline_signals": lambda s, d: rounded(s.table(_pipeline(s, d).signals), *INEXACT_SIGNALS),
-        "pipeline_summary": lambda s, d: rounded(
-            rounded(s.table(_pipeline(s, d).summary), *INEXACT_SUMMARY), "avg_daily_value", digits=4
-        ),
+        "trade_signals_chunked": lambda s, d: comparable(trade_signals(_metrics(s, d, SMALL_CHUNK))),
+        "symbol_summary": lambda s, d: comparable(symbol_summary(_metrics(s, d))),
+        "pipeline_signals": lambda s, d: comparable(s.table(_pipeline(s, d).signals)),
+        "pipeline_summary": lambda s, d: comparable(s.table(_pipeline(s, d).summary)),
         # Quality checks, on rows that break them
         "dq_not_null": lambda s, d: quality.null_violations(tb.dirty_bars(s, d), ["symbol", "trade_date"]),
         "dq_unique_symbol": lambda s, d: quality.duplicate_keys(tb.dirty_bars(s, d), ["symbol"]),
@@ -200,15 +179,9 @@ def queries() -> dict[str, Query]:
         "dq_layers": _dq_layers,
         "dq_report": lambda s, d: quality.check(tb.dirty_bars(s, d), quality.STAGED_CONSTRAINTS),
         # Projections
-        "symbol_head": lambda s, d: rounded(
-            projections.symbol_head(_metrics(s, d), HEAD_SYMBOL), "twenty_ma", "two_hundred_ma"
-        ),
-        "ma_projection": lambda s, d: rounded(
-            projections.ma_projection(_metrics(s, d)), "twenty_ma", "two_hundred_ma"
-        ),
-        "band_projection": lambda s, d: rounded(
-            projections.band_projection(_metrics(s, d)), "bolinger_up", "bolinger_down"
-        ),
+        "symbol_head": lambda s, d: projections.symbol_head(_metrics(s, d), HEAD_SYMBOL),
+        "ma_projection": lambda s, d: projections.ma_projection(_metrics(s, d)),
+        "band_projection": lambda s, d: comparable(projections.band_projection(_metrics(s, d))),
     }
 
 
@@ -216,9 +189,8 @@ def oracle_sql() -> dict[str, str]:
     """The same queries as SQL over the same tables."""
     key = "symbol, trade_date"
     landed = o.over("landed", "select * from landed")
-    metric_list = ", ".join(f"round({c}, 6) as {c}" if c in INEXACT else c for c in m.METRIC_COLUMNS)
-    signal_list = ", ".join(f"round({c}, 6) as {c}" if c in INEXACT else c for c in SIGNAL_COLUMNS)
-    metrics = o.over("metrics", f"select {metric_list} from metrics")
+    signal_list = o.columns(*SIGNAL_COLUMNS)
+    metrics = o.over("metrics", f"select {o.columns(*m.METRIC_COLUMNS)} from metrics")
     signals = o.over("signals", f"select {signal_list} from signals")
     summary = o.over("metrics", o.SUMMARY)
     nation = "(select 'S' || cast(s_suppkey as varchar) as symbol, s_nationkey as nation from supplier)"
@@ -231,7 +203,7 @@ def oracle_sql() -> dict[str, str]:
         "union all select 'trade_date', count(*) - count(trade_date) from dirty"
     )
     repeated = f"select {key}, count(*) as row_count from dirty group by {key} having count(*) > 1"
-    averages = "round(ma_20, 6) as twenty_ma, round(ma_200, 6) as two_hundred_ma"
+    averages = "ma_20 as twenty_ma, ma_200 as two_hundred_ma"
     return {
         "daily_bars": landed,
         "daily_bars_by_brand": o.over("landed", "select * from landed", o.LANDED_BY_BRAND),
@@ -272,19 +244,19 @@ def oracle_sql() -> dict[str, str]:
         "daily_price_stats": o.over(
             "metrics",
             f"""select {key}, daily_change, daily_range, daily_value_traded,
-                {o.rounded('daily_change_pct', 'daily_volatility_pct')} from metrics""",
+                {o.columns('daily_change_pct', 'daily_volatility_pct')} from metrics""",
         ),
         "daily_returns": o.over(
-            "derived", f"select {key}, {o.rounded('daily_pct_change', 'daily_log_return')} from derived"
+            "derived", f"select {key}, {o.columns('daily_pct_change', 'daily_log_return')} from derived"
         ),
-        "moving_averages": o.over("steps", f"select {key}, {o.rounded('ma_20', 'ma_50', 'ma_200')} from steps"),
+        "moving_averages": o.over("steps", f"select {key}, {o.columns('ma_20', 'ma_50', 'ma_200')} from steps"),
         "bollinger_bands": o.over(
-            "derived", f"select {key}, {o.rounded('stddev_20', 'bollinger_upper', 'bollinger_lower')} from derived"
+            "derived", f"select {key}, {o.columns('stddev_20', 'bollinger_upper', 'bollinger_lower')} from derived"
         ),
-        "volatility_annualized": o.over("metrics", f"select {key}, {o.rounded('volatility_annualized')} from metrics"),
+        "volatility_annualized": o.over("metrics", f"select {key}, {o.columns('volatility_annualized')} from metrics"),
         "gain_loss": o.over("derived", f"select {key}, gain, loss from derived"),
-        "rsi_14": o.over("metrics", f"select {key}, {o.rounded('rsi_14')} from metrics"),
-        "macd_sma": o.over("metrics", f"select {key}, {o.rounded('macd_approx', 'macd_signal_approx')} from metrics"),
+        "rsi_14": o.over("metrics", f"select {key}, {o.columns('rsi_14')} from metrics"),
+        "macd_sma": o.over("metrics", f"select {key}, {o.columns('macd_approx', 'macd_signal_approx')} from metrics"),
         "daily_metrics": metrics,
         "daily_metrics_chunked": metrics,
         "daily_metrics_since": f"{metrics} where trade_date >= date '{SINCE}'",
@@ -322,7 +294,7 @@ def oracle_sql() -> dict[str, str]:
         "ma_projection": o.over("metrics", f"select trade_date as date, symbol as ticker, {averages} from metrics"),
         "band_projection": o.over(
             "metrics",
-            """select symbol as ticker, round(bollinger_upper, 6) as bolinger_up,
-                 round(bollinger_lower, 6) as bolinger_down from metrics""",
+            f"""select symbol as ticker, round(bollinger_upper, {DIGITS['bolinger_up']}) as bolinger_up,
+                  round(bollinger_lower, {DIGITS['bolinger_down']}) as bolinger_down from metrics""",
         ),
     }

@@ -1,10 +1,27 @@
-"""Rounding of floating-point results before they are compared between engines."""
+"""Rounding of the columns that may differ in their last binary digits between engines.
+
+Fixture prices are whole numbers or halves of them, so their sums are exact and means, ratios
+and differences come out the same everywhere: those columns are compared as they are. Square
+roots, logarithms and sums of fractions depend on the library or on the order of adding.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+# Column -> decimals kept; fewer where values are of the size of prices.
+DIGITS = {
+    "daily_log_return": 6,
+    "volatility_annualized": 6,
+    "avg_volatility": 6,
+    "stddev_20": 4,
+    "bollinger_upper": 4,
+    "bollinger_lower": 4,
+    "bolinger_up": 4,
+    "bolinger_down": 4,
+    "macd_signal_approx": 4,
+}
+
 
-def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    """``columns`` rounded to ``digits``; sums may differ in the last binary digits."""
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+def comparable(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, DIGITS[c]) for c in df.columns if c in DIGITS})

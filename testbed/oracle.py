@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from testbed.compare import DIGITS
+
 # Bars by supplier and by brand, in landed layout.
 _LANDED = """
 select symbol, cast(day as timestamp) as date, close, high, low, open, volume,
@@ -81,13 +83,13 @@ select *,
 from metrics
 """
 
-SUMMARY = """
+SUMMARY = f"""
 select symbol, min(trade_date) as first_trading_date, max(trade_date) as last_trading_date,
-  count(distinct trade_date) as trading_days, round(avg(close), 6) as avg_price,
-  min(close) as min_price, max(close) as max_price, round(avg(volume), 6) as avg_volume,
-  round(avg(daily_value_traded), 4) as avg_daily_value,
-  round(avg(daily_volatility_pct), 6) as avg_volatility,
-  round(sum(case when daily_change >= 0 then 1 else 0 end) * 100.0::double / count(*), 6) as up_day_percentage
+  count(distinct trade_date) as trading_days, avg(close) as avg_price,
+  min(close) as min_price, max(close) as max_price, avg(volume) as avg_volume,
+  avg(daily_value_traded) as avg_daily_value,
+  round(avg(daily_volatility_pct), {DIGITS['avg_volatility']}) as avg_volatility,
+  cast(sum(case when daily_change >= 0 then 1 else 0 end) as double) / count(*) * 100 as up_day_percentage
 from metrics group by symbol
 """
 
@@ -110,6 +112,6 @@ def over(layer: str, body: str, landed: str = LANDED) -> str:
     return f"with {', '.join(parts)} {body}"
 
 
-def rounded(*columns: str) -> str:
-    """Columns rounded as ``testbed.compare.rounded`` rounds them."""
-    return ", ".join(f"round({c}, 6) as {c}" for c in columns)
+def columns(*names: str) -> str:
+    """A select list, rounded as ``testbed.compare.comparable`` rounds."""
+    return ", ".join(f"round({c}, {DIGITS[c]}) as {c}" if c in DIGITS else c for c in names)
