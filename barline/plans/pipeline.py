@@ -5,18 +5,20 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from barline.operators import quality
-from barline.operators.cleaning import clean_bars, staging_sql
+from barline.operators.cleaning import clean_bars, in_order, staging_sql
 from barline.operators.history import ROWS_PER_CHUNK, history_sizes
 from barline.operators.signals import trade_signals
 from barline.operators.summary import symbol_summary
 from barline.plans.metrics import daily_metrics
+from barline.schema import RAW
+from barline.sources.files import read_bars_csv, write_bars_csv
 from barline.sources.payloads import NoDataError
 from barline.sources.tables import ensure_database, write_table
 
-# Rows of one bucket file, about half a gigabyte of Parquet.
+# Rows of one bucket, well under a gigabyte of shuffled bars.
 ROWS_PER_BUCKET = 5_000_000
 
 
@@ -32,6 +34,11 @@ class Layers:
     loaded_rows: int
 
 
+def clean_files(spark: SparkSession, source: str, target: str, single_file: bool = False) -> bool:
+    """Clean raw CSV files into CSV sorted by symbol and date; False if there was nothing to clean."""
+    return write_bars_csv(in_order(clean_bars(read_bars_csv(spark, source, RAW))), target, single_file)
+
+
 def run_pipeline(
     raw: DataFrame,
     namespace: str,
@@ -69,7 +76,8 @@ def run_pipeline(
 
     metrics, signals, summary = f"{intermediate}.daily_metrics", f"{marts}.trade_signals", f"{marts}.symbol_summary"
     if history_sizes(bars).longest <= rows_per_chunk:
-        buckets = max(math.ceil(loaded / rows_per_bucket), spark.sparkContext.defaultParallelism)
+        most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+        buckets = min(max(math.ceil(loaded / rows_per_bucket), spark.sparkContext.defaultParallelism), most)
         write_table(daily_metrics(bars.repartition(buckets, "symbol"), None), metrics, partitions=buckets)
     else:
         write_table(daily_metrics(bars, rows_per_chunk), metrics)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
+import statistics
 from datetime import date
+from random import Random
 
 import pytest
 from conftest import BARS, by_day
@@ -157,3 +160,47 @@ def test_block_width():
     assert block_width([50, 200]) == 25
     assert block_width([37]) in (1, 37)
     assert 252 % block_width([252]) == 0
+
+
+def test_random_series_match_brute_force(make_bars):
+    """Every metric against its definition, row by row, with gaps and repeated prices."""
+    random = Random(7)
+    closes = [None if random.random() < 0.04 else round(random.uniform(20, 25), 1) for _ in range(420)]
+    adj = [None if c is None or random.random() < 0.02 else c / 2 for c in closes]
+    rows = m.daily_metrics(make_bars(closes, adj=adj)).orderBy("trade_date").collect()
+
+    def last(values, i, n):
+        return [v for v in values[max(0, i - n + 1) : i + 1] if v is not None]
+
+    def mean(values):
+        return statistics.fmean(values) if values else None
+
+    def both(a, b, f):
+        return None if a is None or b is None else f(a, b)
+
+    previous = [None, *closes[:-1]]
+    ratios = [both(a, b, lambda x, y: x / y) for a, b in zip(adj, [None, *adj[:-1]])]
+    logs = [None if r is None else math.log(r) for r in ratios]
+    gains = [both(a, b, lambda x, y: max(x - y, 0.0)) for a, b in zip(closes, previous)]
+    losses = [both(a, b, lambda x, y: max(y - x, 0.0)) for a, b in zip(closes, previous)]
+    macds = [both(mean(last(closes, i, 12)), mean(last(closes, i, 26)), lambda x, y: x - y) for i in range(len(closes))]
+    for i, row in enumerate(rows):
+        twenty = last(adj, i, 20)
+        band = 2 * statistics.pstdev(twenty) if twenty else None
+        gain, loss = mean(last(gains, i, 14)), mean(last(losses, i, 14))
+        returns = last(logs, i, 252)
+        expected = {
+            "daily_pct_change": None if ratios[i] is None else ratios[i] - 1,
+            "daily_log_return": logs[i],
+            "ma_20": mean(twenty),
+            "ma_50": mean(last(adj, i, 50)),
+            "ma_200": mean(last(adj, i, 200)),
+            "bollinger_upper": both(mean(twenty), band, lambda x, y: x + y),
+            "bollinger_lower": both(mean(twenty), band, lambda x, y: x - y),
+            "volatility_annualized": statistics.pstdev(returns) * math.sqrt(252) if returns else None,
+            "rsi_14": None if not loss else 100 - 100 / (1 + gain / loss),
+            "macd_approx": macds[i],
+            "macd_signal_approx": mean(last(macds, i, 9)),
+        }
+        for name, value in expected.items():
+            assert row[name] == (None if value is None else pytest.approx(value, abs=1e-9)), (i, name)

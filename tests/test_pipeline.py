@@ -93,3 +93,18 @@ def test_unique_ignores_null_in_a_single_key_only(spark):
     two = spark.createDataFrame([(None, 1), (None, 1)], "symbol string, day int")
     assert quality.duplicate_keys(two, ["symbol"]).isEmpty()
     assert quality.duplicate_keys(two, ["symbol", "day"]).first().row_count == 2
+
+
+def test_command_line(spark, raw, tmp_path, capsys):
+    from barline.__main__ import main
+
+    source, target = tmp_path / "raw", tmp_path / "clean"
+    raw.filter("symbol IN ('S1', 'S2')").write.options(header=True, nanValue="NaN").csv(str(source))
+    assert main(["clean", f"{source}/*.csv", str(target), "--single-file"]) == 0
+    (lines,) = (path.read_text().splitlines() for path in target.glob("part-*.csv"))
+    keys = [tuple(line.split(",")[:2]) for line in lines[1:]]
+    assert lines[0] == ",".join(raw.columns) and keys == sorted(keys) and keys[0][1].endswith("16:00:00")
+
+    assert main(["build", f"{source}/*.csv", "command", "--location", str(tmp_path / "layers")]) == 0
+    assert f"loaded {len(keys)} rows" in capsys.readouterr().out
+    assert spark.table("command_marts.trade_signals").count() == len(keys)
