@@ -16,7 +16,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barline.operators import quality
-from barline.operators.cleaning import clean_bars, date_range, in_order, stage_bars
+from barline.operators.cleaning import clean_bars, date_range, sort_bars, stage_bars
 from barline.operators.signals import SIGNAL_COLUMNS, trade_signals
 from barline.operators.summary import symbol_summary
 from barline.plans import metrics as m, projections
@@ -40,12 +40,8 @@ SMALL_CHUNK = 150
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_bars(tb.landed_bars(spark, sf_dir))
-
-
 def _metrics(spark: SparkSession, sf_dir: str, rows_per_chunk: int | None = None) -> DataFrame:
-    return m.daily_metrics(_staged(spark, sf_dir), rows_per_chunk)
+    return m.daily_metrics(tb.staged_bars(spark, sf_dir), rows_per_chunk)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -54,13 +50,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _signals_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = stage_bars(tb.landed_bars_by_brand(spark, sf_dir))
-    return comparable(trade_signals(m.daily_metrics(staged, None)))
+    return comparable(trade_signals(m.daily_metrics(tb.staged_bars_by_brand(spark, sf_dir), None)))
 
 
 def _slice(operator: Callable[..., DataFrame]) -> Query:
     """A single-indicator query over the staged bars."""
-    return lambda spark, sf_dir: comparable(operator(_staged(spark, sf_dir), rows_per_chunk=None))
+    return lambda spark, sf_dir: comparable(operator(tb.staged_bars(spark, sf_dir), rows_per_chunk=None))
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,8 +100,8 @@ def _dq_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _pipeline(spark: SparkSession, sf_dir: str):
-    folder = scratch_path(spark, "pipeline")
+def _chain(spark: SparkSession, sf_dir: str):
+    folder = scratch_path(spark, "chain")
     return run_pipeline(tb.raw_bars(spark, sf_dir), folder.rsplit("/", 1)[-1].replace("-", "_"), folder)
 
 
@@ -126,7 +121,7 @@ def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
         """SELECT year(trade_date) AS year, count(*) AS bars, count(DISTINCT symbol) AS symbols,
                   sum(volume) AS volume, max(high) AS high
            FROM {bars} GROUP BY year(trade_date)""",
-        bars=_staged(spark, sf_dir),
+        bars=tb.staged_bars(spark, sf_dir),
     )
 
 
@@ -149,10 +144,10 @@ def queries() -> dict[str, Query]:
         "append_batches": _append_batches,
         "adhoc_sql": _adhoc,
         # Cleaning
-        "clean_bars": lambda s, d: in_order(clean_bars(tb.raw_bars(s, d))),
-        "stage_bars": _staged,
+        "clean_bars": lambda s, d: sort_bars(clean_bars(tb.raw_bars(s, d))),
+        "stage_bars": lambda s, d: stage_bars(tb.landed_bars(s, d)),
         # Indicators
-        "daily_price_stats": lambda s, d: m.daily_price_stats(_staged(s, d)),
+        "daily_price_stats": lambda s, d: m.daily_price_stats(tb.staged_bars(s, d)),
         "daily_returns": _slice(m.daily_returns),
         "moving_averages": _slice(m.moving_averages),
         "bollinger_bands": _slice(m.bollinger_bands),
@@ -164,14 +159,14 @@ def queries() -> dict[str, Query]:
         "daily_metrics": lambda s, d: comparable(_metrics(s, d)),
         "daily_metrics_chunked": lambda s, d: comparable(_metrics(s, d, SMALL_CHUNK)),
         "daily_metrics_since": lambda s, d: comparable(
-            m.daily_metrics_since(_staged(s, d), SINCE, rows_per_chunk=None)
+            m.daily_metrics_since(tb.staged_bars(s, d), SINCE, rows_per_chunk=None)
         ),
         "trade_signals": lambda s, d: comparable(trade_signals(_metrics(s, d))),
         "trade_signals_by_brand": _signals_by_brand,
         "trade_signals_chunked": lambda s, d: comparable(trade_signals(_metrics(s, d, SMALL_CHUNK))),
         "symbol_summary": lambda s, d: comparable(symbol_summary(_metrics(s, d))),
-        "pipeline_signals": lambda s, d: comparable(s.table(_pipeline(s, d).signals)),
-        "pipeline_summary": lambda s, d: comparable(s.table(_pipeline(s, d).summary)),
+        "chain_signals": lambda s, d: comparable(s.table(_chain(s, d).signals)),
+        "chain_summary": lambda s, d: comparable(s.table(_chain(s, d).summary)),
         # Quality checks, on rows that break them
         "dq_not_null": lambda s, d: quality.null_violations(tb.dirty_bars(s, d), ["symbol", "trade_date"]),
         "dq_unique_symbol": lambda s, d: quality.duplicate_keys(tb.dirty_bars(s, d), ["symbol"]),
@@ -264,8 +259,8 @@ def oracle_sql() -> dict[str, str]:
         "trade_signals_by_brand": o.over("signals", f"select {signal_list} from signals", o.LANDED_BY_BRAND),
         "trade_signals_chunked": signals,
         "symbol_summary": summary,
-        "pipeline_signals": signals,
-        "pipeline_summary": summary,
+        "chain_signals": signals,
+        "chain_summary": summary,
         "dq_not_null": dirty + nulls,
         "dq_unique_symbol": dirty
         + "select symbol, count(*) as row_count from dirty where symbol is not null group by symbol having count(*) > 1",

@@ -13,7 +13,7 @@ from barline.schema import LANDED, STAGED_FROM_LANDED
 def clean_bars(raw: DataFrame) -> DataFrame:
     """Landed types from raw bars: second-precision date (NULL if unreadable), no NaN.
 
-    Add ``in_order`` for the global sort, or leave rows unsorted and let the sink lay them out.
+    Add ``sort_bars`` for the global sort, or leave rows unsorted and let the sink lay them out.
     """
 
     def landed(field: T.StructField) -> Column:
@@ -27,7 +27,7 @@ def clean_bars(raw: DataFrame) -> DataFrame:
     return raw.select(*(landed(field) for field in LANDED))
 
 
-def in_order(bars: DataFrame) -> DataFrame:
+def sort_bars(bars: DataFrame) -> DataFrame:
     """Global order by symbol and date: a range shuffle, so a long symbol spans several tasks."""
     return bars.orderBy("symbol", "date")
 

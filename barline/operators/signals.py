@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Thresholds on the 0..100 strength scale.
 OVERBOUGHT, OVERSOLD = 70, 30
 
+# Labels of each signal; the last is the default, also for NULL inputs.
+TREND_LABELS = ("ABOVE_200MA", "BELOW_200MA")
+RSI_LABELS = ("OVERBOUGHT", "OVERSOLD", "NEUTRAL")
+MACD_LABELS = ("BULLISH", "BEARISH")
+BAND_LABELS = ("ABOVE_UPPER_BAND", "BELOW_LOWER_BAND", "WITHIN_BANDS")
+
 # Columns of the signals fact, in order.
 SIGNAL_COLUMNS = (
     "symbol trade_date close ma_20 ma_50 ma_200 rsi_14 macd_approx macd_signal_approx "
@@ -15,21 +21,26 @@ SIGNAL_COLUMNS = (
 ).split()
 
 
+def _label(labels: tuple[str, ...], *conditions: Column) -> Column:
+    """The label of the first condition that holds, else the last label."""
+    first, *others = zip(conditions, labels)
+    chosen = F.when(*first)
+    for condition, label in others:
+        chosen = chosen.when(condition, label)
+    return chosen.otherwise(labels[-1])
+
+
 def with_signals(df: DataFrame, overbought: float = OVERBOUGHT, oversold: float = OVERSOLD) -> DataFrame:
-    """Classify each row; a comparison with a NULL input takes the default label."""
-    close, rsi = F.col("close"), F.col("rsi_14")
+    """Classify each row by its own metrics."""
+    close, rsi, line = F.col("close"), F.col("rsi_14"), F.col("macd_approx")
     return df.withColumns(
         {
-            "trend_signal": F.when(close > F.col("ma_200"), "ABOVE_200MA").otherwise("BELOW_200MA"),
-            "rsi_signal": F.when(rsi >= overbought, "OVERBOUGHT")
-            .when(rsi <= oversold, "OVERSOLD")
-            .otherwise("NEUTRAL"),
-            "macd_trend_signal": F.when(
-                F.col("macd_approx") > F.col("macd_signal_approx"), "BULLISH"
-            ).otherwise("BEARISH"),
-            "bollinger_signal": F.when(close > F.col("bollinger_upper"), "ABOVE_UPPER_BAND")
-            .when(close < F.col("bollinger_lower"), "BELOW_LOWER_BAND")
-            .otherwise("WITHIN_BANDS"),
+            "trend_signal": _label(TREND_LABELS, close > F.col("ma_200")),
+            "rsi_signal": _label(RSI_LABELS, rsi >= overbought, rsi <= oversold),
+            "macd_trend_signal": _label(MACD_LABELS, line > F.col("macd_signal_approx")),
+            "bollinger_signal": _label(
+                BAND_LABELS, close > F.col("bollinger_upper"), close < F.col("bollinger_lower")
+            ),
         }
     )
 

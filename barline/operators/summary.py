@@ -9,7 +9,7 @@ from barline.functions.scalars import safe_divide
 
 def symbol_summary(metrics: DataFrame) -> DataFrame:
     """One row per symbol. A flat day counts as up; a NULL change counts as a day, not as up."""
-    up_days = F.sum(F.when(F.col("daily_change") >= 0, 1).otherwise(0))
+    up_days = F.count_if(F.col("daily_change") >= 0)
     return metrics.groupBy("symbol").agg(
         F.min("trade_date").alias("first_trading_date"),
         F.max("trade_date").alias("last_trading_date"),

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from barline.operators import quality
-from barline.operators.cleaning import clean_bars, in_order, staging_sql
+from barline.operators.cleaning import clean_bars, staging_sql
 from barline.operators.history import ROWS_PER_CHUNK, history_sizes
 from barline.operators.signals import trade_signals
 from barline.operators.summary import symbol_summary
@@ -36,7 +36,8 @@ class Layers:
 
 def clean_files(spark: SparkSession, source: str, target: str, single_file: bool = False) -> bool:
     """Clean raw CSV files into CSV sorted by symbol and date; False if there was nothing to clean."""
-    return write_bars_csv(in_order(clean_bars(read_bars_csv(spark, source, RAW))), target, single_file)
+    cleaned = clean_bars(read_bars_csv(spark, source, RAW))
+    return write_bars_csv(cleaned, target, in_order=True, single_file=single_file)
 
 
 def run_pipeline(

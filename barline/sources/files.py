@@ -6,6 +6,7 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from barline.operators.cleaning import sort_bars
 from barline.schema import LANDED
 
 log = logging.getLogger(__name__)
@@ -48,14 +49,16 @@ def split_corrupt(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, read.filter(parsed & F.col(CORRUPT).isNotNull())
 
 
-def write_bars_csv(bars: DataFrame, path: str, single_file: bool = False) -> bool:
+def write_bars_csv(bars: DataFrame, path: str, in_order: bool = False, single_file: bool = False) -> bool:
     """Replace ``path`` with the bars as CSV; False, and nothing written, when there are none.
 
-    One file means one writing task, so it is only done on request.
+    ``in_order`` sorts all rows by symbol and date. One file means one writing task, so it is
+    only done on request.
     """
     if bars.isEmpty():
         log.warning("no bars to write to %s", path)
         return False
-    out = bars.coalesce(1) if single_file else bars
+    out = sort_bars(bars) if in_order else bars
+    out = out.coalesce(1) if single_file else out
     out.write.mode("overwrite").options(header=True, **_TIMESTAMP).csv(path)
     return True

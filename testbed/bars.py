@@ -12,7 +12,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from barline.schema import LANDED, RAW
+from barline.schema import LANDED, RAW, STAGED_FROM_LANDED
 
 # The day of the two-for-one split, and the day of month dividends are paid.
 SPLIT_DAY = date(1998, 1, 1)
@@ -63,23 +63,30 @@ def _daily(trades: DataFrame) -> DataFrame:
     )
 
 
-def _landed(daily: DataFrame) -> DataFrame:
+def _adjusted(daily: DataFrame) -> DataFrame:
+    """Staged bars: prices halved and volumes doubled before the split."""
     before_split = F.col("trade_date") < F.lit(SPLIT_DAY)
     factor = F.when(before_split, 0.5).otherwise(1.0)
-    values = {
-        "date": F.col("trade_date").cast("timestamp_ntz"),
-        "adjClose": F.col("close") * factor,
-        "adjHigh": F.col("high") * factor,
-        "adjLow": F.col("low") * factor,
-        "adjOpen": F.col("open") * factor,
-        "adjVolume": F.when(before_split, F.col("volume") * 2).otherwise(F.col("volume")),
-        "divCash": F.when(F.day("trade_date") == DIVIDEND_DAY, 1.0).otherwise(0.0),
-        "splitFactor": F.when(F.col("trade_date") == F.lit(SPLIT_DAY), 2.0).otherwise(1.0),
-    }
-    return daily.withColumns(values).select(*LANDED.names)
+    return daily.withColumns(
+        {
+            **{f"adj_{name}": F.col(name) * factor for name in ("open", "high", "low", "close")},
+            "adj_volume": F.when(before_split, F.col("volume") * 2).otherwise(F.col("volume")),
+            "dividend_cash": F.when(F.day("trade_date") == DIVIDEND_DAY, 1.0).otherwise(0.0),
+            "split_factor": F.when(F.col("trade_date") == F.lit(SPLIT_DAY), 2.0).otherwise(1.0),
+        }
+    ).select(*STAGED_FROM_LANDED)
+
+
+def _landed(staged: DataFrame) -> DataFrame:
+    """The landed bars that staging would turn into these."""
+    names = {landed: staged for staged, landed in STAGED_FROM_LANDED.items()}
+    day = F.col("trade_date").cast("timestamp_ntz")
+    return staged.select(
+        *((day if name == "date" else F.col(names[name])).alias(name) for name in LANDED.names)
+    )
 
 
-def landed_bars(
+def staged_bars(
     spark: SparkSession, sf_dir: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
     """Bars by supplier; their number grows with the table. No join is needed.
@@ -92,14 +99,25 @@ def landed_bars(
     if last:
         end = F.lit(last.isoformat()).cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(1))
         lineitem = lineitem.filter(F.col("l_shipdate") < end)
-    return _landed(_daily(_trades(lineitem, supplier_symbol("l_suppkey"))))
+    return _adjusted(_daily(_trades(lineitem, supplier_symbol("l_suppkey"))))
 
 
-def landed_bars_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_bars_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars of the 25 brands. Spark broadcasts the part table only while it is small."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     joined = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
-    return _landed(_daily(_trades(joined, F.col("p_brand"))))
+    return _adjusted(_daily(_trades(joined, F.col("p_brand"))))
+
+
+def landed_bars(
+    spark: SparkSession, sf_dir: str, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """``staged_bars`` in the layout they would have been loaded with."""
+    return _landed(staged_bars(spark, sf_dir, first, last))
+
+
+def landed_bars_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(staged_bars_by_brand(spark, sf_dir))
 
 
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

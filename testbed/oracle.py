@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from barline.operators import signals
 from testbed.compare import DIGITS
 
 # Bars by supplier and by brand, in landed layout.
@@ -73,13 +74,18 @@ select *, close - open as daily_change,
 from derived
 """
 
-SIGNALS = """
+
+def _label(name: str, labels: tuple[str, ...], *conditions: str) -> str:
+    rules = " ".join(f"when {condition} then '{label}'" for condition, label in zip(conditions, labels))
+    return f"case {rules} else '{labels[-1]}' end as {name}"
+
+
+SIGNALS = f"""
 select *,
-  case when close > ma_200 then 'ABOVE_200MA' else 'BELOW_200MA' end as trend_signal,
-  case when rsi_14 >= 70 then 'OVERBOUGHT' when rsi_14 <= 30 then 'OVERSOLD' else 'NEUTRAL' end as rsi_signal,
-  case when macd_approx > macd_signal_approx then 'BULLISH' else 'BEARISH' end as macd_trend_signal,
-  case when close > bollinger_upper then 'ABOVE_UPPER_BAND'
-       when close < bollinger_lower then 'BELOW_LOWER_BAND' else 'WITHIN_BANDS' end as bollinger_signal
+  {_label("trend_signal", signals.TREND_LABELS, "close > ma_200")},
+  {_label("rsi_signal", signals.RSI_LABELS, f"rsi_14 >= {signals.OVERBOUGHT}", f"rsi_14 <= {signals.OVERSOLD}")},
+  {_label("macd_trend_signal", signals.MACD_LABELS, "macd_approx > macd_signal_approx")},
+  {_label("bollinger_signal", signals.BAND_LABELS, "close > bollinger_upper", "close < bollinger_lower")}
 from metrics
 """
 
@@ -89,7 +95,7 @@ select symbol, min(trade_date) as first_trading_date, max(trade_date) as last_tr
   min(close) as min_price, max(close) as max_price, avg(volume) as avg_volume,
   avg(daily_value_traded) as avg_daily_value,
   round(avg(daily_volatility_pct), {DIGITS['avg_volatility']}) as avg_volatility,
-  cast(sum(case when daily_change >= 0 then 1 else 0 end) as double) / count(*) * 100 as up_day_percentage
+  cast(count(*) filter (where daily_change >= 0) as double) / count(*) * 100 as up_day_percentage
 from metrics group by symbol
 """
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barline.operators import quality
-from barline.operators.cleaning import clean_bars, date_range, in_order, stage_bars, staging_sql
+from barline.operators.cleaning import clean_bars, date_range, sort_bars, stage_bars, staging_sql
 from barline.schema import LANDED, PAYLOAD, RAW
 from barline.session import scratch_path
 from barline.sources import files, payloads, tables
@@ -98,7 +98,7 @@ def raw(spark):
 def test_clean(raw):
     cleaned = clean_bars(raw)
     assert cleaned.schema.simpleString() == LANDED.simpleString()
-    rows = in_order(cleaned).collect()
+    rows = sort_bars(cleaned).collect()
     assert [(r.symbol, r.date) for r in rows] == [
         ("A", None),
         ("A", datetime(2024, 1, 3)),
