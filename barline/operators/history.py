@@ -18,8 +18,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from barline.functions.frames import history
 
-# Rows of one symbol that a task is expected to handle: four centuries of trading days.
+# Rows of one symbol that are left uncut: four centuries of trading days.
 ROWS_PER_CHUNK = 100_000
+# Rows of all symbols that one task should get: a few hundred megabytes of shuffled bars.
+ROWS_PER_PARTITION = 5_000_000
 # At most this many symbols can hold more than total / MAX_HOT_SYMBOLS rows each, and
 # their chunks are at most twice as many, which bounds what is broadcast below.
 MAX_HOT_SYMBOLS = 50_000
@@ -72,12 +74,8 @@ def history_sizes(bars: DataFrame) -> HistorySizes:
     return HistorySizes(total or 0, longest or 0)
 
 
-def plan_chunks(bars: DataFrame, lookback: int, rows_per_chunk: int = ROWS_PER_CHUNK) -> Chunks | None:
-    """Cut the histories longer than ``rows_per_chunk``; None when there are none."""
-    sizes = history_sizes(bars)
-    if sizes.longest <= rows_per_chunk:
-        return None
-
+def plan_chunks(bars: DataFrame, lookback: int, rows_per_chunk: int, sizes: HistorySizes) -> Chunks:
+    """Cut the histories longer than ``rows_per_chunk``."""
     limit = max(rows_per_chunk, math.ceil(sizes.total / MAX_HOT_SYMBOLS))
     hot = (
         bars.groupBy(F.col("symbol").alias("__symbol"))
@@ -114,16 +112,29 @@ def over_history(
     """Apply ``compute(rows, window)`` to each symbol's history.
 
     ``compute`` may add columns but must keep the rows; ``lookback`` is the number of earlier
-    rows its result can depend on. Pass ``rows_per_chunk=None`` where the caller already knows
-    that histories are short, which saves the sizing job.
+    rows its result can depend on. Sizes are measured first; pass ``rows_per_chunk=None`` to save
+    that job where histories are known to be short and shuffle partitions to be enough.
     """
-    chunks = None if rows_per_chunk is None else plan_chunks(bars, lookback, rows_per_chunk)
-    if chunks is None:
+    if rows_per_chunk is None:
         return compute(bars, history("symbol"))
-    computed = compute(chunks.assign(bars), history("symbol", CHUNK))
+    sizes = history_sizes(bars)
+    if sizes.longest <= rows_per_chunk:
+        return compute(_spread(bars, sizes.total, "symbol"), history("symbol"))
+    cut = plan_chunks(bars, lookback, rows_per_chunk, sizes).assign(bars)
+    computed = compute(_spread(cut, sizes.total, "symbol", CHUNK), history("symbol", CHUNK))
     return computed.filter(~F.col(WARM_UP)).drop(CHUNK, WARM_UP)
 
 
+def _spread(bars: DataFrame, total: int, *keys: str) -> DataFrame:
+    """Use more shuffle partitions than configured when there are too many rows for those.
+
+    Adaptive execution merges small partitions but cannot split one that feeds a window.
+    """
+    partitions = math.ceil(total / ROWS_PER_PARTITION)
+    configured = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bars.repartition(partitions, *keys) if partitions > configured else bars
+
+
 def latest_rows(bars: DataFrame, n: int) -> DataFrame:
     """The last ``n`` rows of each symbol; Spark trims each input partition before the shuffle."""
     newest_first = Window.partitionBy("symbol").orderBy(F.desc("trade_date"))

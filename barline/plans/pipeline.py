@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barline.operators import quality
 from barline.operators.cleaning import clean_bars, staging_sql
-from barline.operators.history import ROWS_PER_CHUNK, history_sizes
+from barline.operators.history import ROWS_PER_CHUNK, ROWS_PER_PARTITION, history_sizes
 from barline.operators.signals import trade_signals
 from barline.operators.summary import symbol_summary
 from barline.plans.metrics import daily_metrics
@@ -18,9 +18,6 @@ from barline.sources.files import read_bars_csv, write_bars_csv
 from barline.sources.payloads import NoDataError
 from barline.sources.tables import ensure_database, write_table
 
-# Rows of one bucket, well under a gigabyte of shuffled bars.
-ROWS_PER_BUCKET = 5_000_000
-
 
 @dataclass(frozen=True)
 class Layers:
@@ -45,7 +42,7 @@ def run_pipeline(
     namespace: str,
     location: str | None = None,
     rows_per_chunk: int = ROWS_PER_CHUNK,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int = ROWS_PER_PARTITION,
 ) -> Layers:
     """Rebuild every layer of ``namespace`` from raw bars; a failing check stops the run.
 

@@ -12,9 +12,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A century of trading days is 25,000 rows: keep one symbol's window buffer in memory
-    # instead of moving it to a sorter after the default 4,096 rows.
-    "spark.sql.windowExec.buffer.in.memory.threshold": "32768",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, timedelta
 
 import pytest
@@ -37,7 +38,8 @@ def test_chunks_do_not_change_the_metrics(skewed, rows_per_chunk):
 
 
 def test_chunks_are_small_and_cover_every_row_once(skewed):
-    tagged = history.plan_chunks(skewed, m.LOOKBACK, 100).assign(skewed)
+    sizes = history.history_sizes(skewed)
+    tagged = history.plan_chunks(skewed, m.LOOKBACK, 100, sizes).assign(skewed)
     own = tagged.filter(~F.col(history.WARM_UP))
     assert own.count() == skewed.count()
     sizes = {r.symbol: r.rows for r in own.groupBy("symbol", history.CHUNK).count().groupBy("symbol").agg(F.max("count").alias("rows")).collect()}
@@ -48,8 +50,29 @@ def test_chunks_are_small_and_cover_every_row_once(skewed):
     assert most < 100 + m.LOOKBACK + 3 * 31
 
 
+def test_sizes(spark, skewed):
+    hot = skewed.filter("symbol = 'HOT'").count()
+    assert history.history_sizes(skewed) == (hot + 90, hot)
+    assert history.history_sizes(skewed.filter("false")) == (0, 0)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_short_histories_are_not_cut(skewed):
-    assert history.plan_chunks(skewed, m.LOOKBACK, 10_000) is None
+    assert history.CHUNK not in plan_of(m.daily_metrics(skewed, 10_000))
+    assert history.CHUNK in plan_of(m.daily_metrics(skewed, 100))
+
+
+def test_partitions_follow_the_number_of_rows(skewed, monkeypatch):
+    monkeypatch.setattr(history, "ROWS_PER_PARTITION", 100)
+    partitions = -(-skewed.count() // 100)
+    for rows_per_chunk, keys in ((10_000, "symbol"), (100, f"symbol.*{history.CHUNK}")):
+        out = m.daily_metrics(skewed, rows_per_chunk)
+        exchanges = re.findall(rf"Exchange hashpartitioning\({keys}#\d+, (\d+)\)", plan_of(out))
+        assert exchanges == [str(partitions)]
+        assert out.count() == skewed.count()
 
 
 def test_rows_without_symbol_or_date_survive_chunking(spark, skewed):
