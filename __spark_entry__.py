@@ -20,7 +20,7 @@ from barline.operators.cleaning import clean_bars, date_range, sort_bars, stage_
 from barline.operators.signals import SIGNAL_COLUMNS, trade_signals
 from barline.operators.summary import symbol_summary
 from barline.plans import metrics as m, projections
-from barline.plans.pipeline import run_pipeline
+from barline.plans.pipeline import Layers, run_pipeline
 from barline.session import scratch_path
 from barline.sources import files, payloads, tables
 from testbed import bars as tb, oracle as o
@@ -64,12 +64,21 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_bars_csv(spark, path)
 
 
+def _new_namespace(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A database name not used before, and its folder."""
+    folder = scratch_path(spark, name)
+    return folder.rsplit("/", 1)[-1].replace("-", "_"), folder
+
+
+def _new_table(spark: SparkSession) -> str:
+    database, folder = _new_namespace(spark, "landing")
+    tables.ensure_database(spark, database, folder)
+    return f"{database}.bars"
+
+
 def _load(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    path, folder = scratch_path(spark, "csv"), scratch_path(spark, "landing")
+    path, table = scratch_path(spark, "csv"), _new_table(spark)
     files.write_bars_csv(tb.landed_bars(spark, sf_dir), path)
-    database = folder.rsplit("/", 1)[-1].replace("-", "_")
-    tables.ensure_database(spark, database, folder)
-    table = f"{database}.bars"
     return table, tables.load_bars(spark, f"{path}/*.csv", table)
 
 
@@ -79,13 +88,11 @@ def _load_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_path(spark, "batches")
-    database = folder.rsplit("/", 1)[-1].replace("-", "_")
-    tables.ensure_database(spark, database, folder)
+    table = _new_table(spark)
     early, late = _batches(spark, sf_dir)
-    tables.write_table(early, f"{database}.bars", "empty")
-    tables.write_table(late, f"{database}.bars", "append")
-    return spark.table(f"{database}.bars")
+    tables.write_table(early, table, "empty")
+    tables.write_table(late, table, "append")
+    return spark.table(table)
 
 
 def _dq_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,9 +107,8 @@ def _dq_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _chain(spark: SparkSession, sf_dir: str):
-    folder = scratch_path(spark, "chain")
-    return run_pipeline(tb.raw_bars(spark, sf_dir), folder.rsplit("/", 1)[-1].replace("-", "_"), folder)
+def _chain(spark: SparkSession, sf_dir: str) -> Layers:
+    return run_pipeline(tb.raw_bars(spark, sf_dir), *_new_namespace(spark, "chain"))
 
 
 def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -210,8 +216,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "ingest_quarantine": o.over(
             "landed",
-            f"""select distinct symbol, case nation when 0 then 'not_json' when 1 then 'not_json' when 2 then 'empty'
-                when 3 then 'not_array' when 4 then 'missing_field' when 5 then 'not_array' else 'bad_date' end as reason
+            f"""select distinct symbol, case nation when 0 then 'not_json' when 1 then 'not_json'
+                  when 2 then 'empty' when 3 then 'not_array' when 4 then 'missing_field'
+                  when 5 then 'not_array' else 'bad_date' end as reason
                 from landed join {nation} using (symbol) where nation < 6 or (nation = 6 and "divCash" = 1)""",
         ),
         "symbol_coverage": f"""select 'S' || cast(s_suppkey as varchar) as symbol from supplier
@@ -219,7 +226,9 @@ def oracle_sql() -> dict[str, str]:
                 select l_suppkey from lineitem where cast(l_shipdate as date) = date '{ONE_DAY}')""",
         "union_batches": landed,
         "date_range": o.over(
-            "landed", f"select * from landed where cast(date as date) between date '{RANGE_START}' and date '{RANGE_END}'"
+            "landed",
+            f"""select * from landed
+                where cast(date as date) between date '{RANGE_START}' and date '{RANGE_END}'""",
         ),
         "load_bars": landed,
         "append_batches": landed,
@@ -263,7 +272,8 @@ def oracle_sql() -> dict[str, str]:
         "chain_summary": summary,
         "dq_not_null": dirty + nulls,
         "dq_unique_symbol": dirty
-        + "select symbol, count(*) as row_count from dirty where symbol is not null group by symbol having count(*) > 1",
+        + """select symbol, count(*) as row_count from dirty
+             where symbol is not null group by symbol having count(*) > 1""",
         "dq_unique_bar": dirty + repeated,
         "dq_layers": o.over(
             "metrics",

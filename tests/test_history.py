@@ -21,6 +21,10 @@ def series(symbol, days):
     ]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """One symbol with most rows and gaps of different length, one sparse, one short."""
@@ -42,10 +46,11 @@ def test_chunks_are_small_and_cover_every_row_once(skewed):
     tagged = history.plan_chunks(skewed, m.LOOKBACK, 100, sizes).assign(skewed)
     own = tagged.filter(~F.col(history.WARM_UP))
     assert own.count() == skewed.count()
-    sizes = {r.symbol: r.rows for r in own.groupBy("symbol", history.CHUNK).count().groupBy("symbol").agg(F.max("count").alias("rows")).collect()}
+    per_chunk = own.groupBy("symbol", history.CHUNK).count()
+    largest = {r.symbol: r.rows for r in per_chunk.groupBy("symbol").agg(F.max("count").alias("rows")).collect()}
     # A chunk ends with the month in which it reaches its size.
-    assert sizes["HOT"] < 100 + 31
-    assert sizes["SPARSE"] == 60
+    assert largest["HOT"] < 100 + 31
+    assert largest["SPARSE"] == 60
     most = tagged.groupBy("symbol", history.CHUNK).count().agg(F.max("count")).first()[0]
     assert most < 100 + m.LOOKBACK + 3 * 31
 
@@ -56,10 +61,6 @@ def test_sizes(spark, skewed):
     assert history.history_sizes(skewed.filter("false")) == (0, 0)
 
 
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_short_histories_are_not_cut(skewed):
     assert history.CHUNK not in plan_of(m.daily_metrics(skewed, 10_000))
     assert history.CHUNK in plan_of(m.daily_metrics(skewed, 100))
@@ -94,7 +95,7 @@ def test_slice_equals_full_run(skewed):
 def test_one_shuffle_and_three_window_passes(spark, skewed, tmp_path):
     path = str(tmp_path / "bars")
     skewed.write.parquet(path)
-    plan = m.daily_metrics(spark.read.parquet(path), None)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(m.daily_metrics(spark.read.parquet(path), None))
     assert plan.count("Exchange") == 1
     assert plan.count("Exchange hashpartitioning(symbol") == 1
     assert plan.count("Sort [") == 1
@@ -104,7 +105,7 @@ def test_one_shuffle_and_three_window_passes(spark, skewed, tmp_path):
 def test_single_indicator_reads_only_its_columns(spark, skewed, tmp_path):
     path = str(tmp_path / "bars")
     skewed.write.parquet(path)
-    plan = m.rsi(spark.read.parquet(path), rows_per_chunk=None)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(m.rsi(spark.read.parquet(path), rows_per_chunk=None))
     assert "ReadSchema: struct<symbol:string,trade_date:date,close:double>" in plan
 
 
@@ -112,7 +113,7 @@ def test_symbol_filter_reaches_the_scan_and_date_filter_does_not(spark, skewed,
     path = str(tmp_path / "bars")
     skewed.write.parquet(path)
     metrics = m.daily_metrics(spark.read.parquet(path), None)
-    plan = metrics.filter("symbol = 'HOT' AND trade_date >= DATE'1993-01-01'")._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(metrics.filter("symbol = 'HOT' AND trade_date >= DATE'1993-01-01'"))
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     assert "EqualTo(symbol,HOT)" in scan
     assert "1993-01-01" not in scan

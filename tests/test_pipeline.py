@@ -78,7 +78,8 @@ def test_checks_count_violations(spark):
     bars = spark.createDataFrame(
         [("A", day, *rest), ("A", day, *rest), (None, day, *rest), ("B", None, *rest), ("C", day, *rest)], BARS
     )
-    found = {(r.check_name, r.column_name): r.failures for r in quality.check(bars, quality.STAGED_CONSTRAINTS).collect()}
+    results = quality.check(bars, quality.STAGED_CONSTRAINTS).collect()
+    found = {(r.check_name, r.column_name): r.failures for r in results}
     assert found == {
         ("not_null", "symbol"): 1,
         ("not_null", "trade_date"): 1,

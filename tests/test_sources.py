@@ -4,7 +4,6 @@ import json
 from datetime import date, datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from barline.operators import quality
 from barline.operators.cleaning import clean_bars, date_range, sort_bars, stage_bars, staging_sql
@@ -123,7 +122,8 @@ def test_date_range_is_inclusive_and_reaches_the_scan(spark, raw, tmp_path):
     kept = date_range(landed, date(2024, 1, 2), date(2024, 1, 2))
     assert [r.symbol for r in kept.collect()] == ["B"]
     assert date_range(landed, date(2024, 1, 2), date(2024, 1, 3)).count() == 2
-    assert "PushedFilters: [IsNotNull(date), GreaterThanOrEqual(date" in kept._jdf.queryExecution().executedPlan().toString()
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(date), GreaterThanOrEqual(date" in plan
 
 
 def test_csv_round_trip(spark, raw, tmp_path):
