@@ -1,6 +1,6 @@
 """Run the chain from the command line, for example with ``spark-submit --py-files``.
 
-python -m barline clean RAW_CSV CLEAN_CSV [--single-file]
+python -m barline clean RAW_CSV CLEAN_CSV [--files N]
 python -m barline build RAW_CSV NAMESPACE [--location FOLDER]
 """
 
@@ -20,7 +20,7 @@ def main(arguments: list[str] | None = None) -> int:
     clean = commands.add_parser("clean", help="clean raw CSV bars into CSV")
     clean.add_argument("source", help="path or pattern of raw CSV files")
     clean.add_argument("target", help="folder to replace")
-    clean.add_argument("--single-file", action="store_true")
+    clean.add_argument("--files", type=int, help="number of files to write")
     build = commands.add_parser("build", help="rebuild all layers from raw CSV bars")
     build.add_argument("source", help="path or pattern of raw CSV files")
     build.add_argument("namespace", help="prefix of the layer databases")
@@ -29,7 +29,7 @@ def main(arguments: list[str] | None = None) -> int:
 
     spark = build_session()
     if options.command == "clean":
-        return 0 if clean_files(spark, options.source, options.target, options.single_file) else 1
+        return 0 if clean_files(spark, options.source, options.target, options.files) else 1
     layers = run_pipeline(read_bars_csv(spark, options.source, RAW), options.namespace, options.location)
     print(f"loaded {layers.loaded_rows} rows; signals in {layers.signals}, summary in {layers.summary}")
     return 0

@@ -31,10 +31,10 @@ class Layers:
     loaded_rows: int
 
 
-def clean_files(spark: SparkSession, source: str, target: str, single_file: bool = False) -> bool:
+def clean_files(spark: SparkSession, source: str, target: str, files: int | None = None) -> bool:
     """Clean raw CSV files into CSV sorted by symbol and date; False if there was nothing to clean."""
     cleaned = clean_bars(read_bars_csv(spark, source, RAW))
-    return write_bars_csv(cleaned, target, in_order=True, single_file=single_file)
+    return write_bars_csv(cleaned, target, in_order=True, files=files)
 
 
 def run_pipeline(

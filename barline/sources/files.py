@@ -49,16 +49,18 @@ def split_corrupt(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, read.filter(parsed & F.col(CORRUPT).isNotNull())
 
 
-def write_bars_csv(bars: DataFrame, path: str, in_order: bool = False, single_file: bool = False) -> bool:
+def write_bars_csv(bars: DataFrame, path: str, in_order: bool = False, files: int | None = None) -> bool:
     """Replace ``path`` with the bars as CSV; False, and nothing written, when there are none.
 
-    ``in_order`` sorts all rows by symbol and date. One file means one writing task, so it is
-    only done on request.
+    ``in_order`` sorts all rows by symbol and date. ``files`` sets how many files, and so how many
+    writing tasks, there are; leave it out unless a reader needs it.
     """
     if bars.isEmpty():
         log.warning("no bars to write to %s", path)
         return False
     out = sort_bars(bars) if in_order else bars
-    out = out.coalesce(1) if single_file else out
+    if files:
+        # Merging sorted partitions keeps the order; otherwise a shuffle keeps the input parallel.
+        out = out.coalesce(files) if in_order else out.repartition(files)
     out.write.mode("overwrite").options(header=True, **_TIMESTAMP).csv(path)
     return True

@@ -101,7 +101,7 @@ def test_command_line(spark, raw, tmp_path, capsys):
 
     source, target = tmp_path / "raw", tmp_path / "clean"
     raw.filter("symbol IN ('S1', 'S2')").write.options(header=True, nanValue="NaN").csv(str(source))
-    assert main(["clean", f"{source}/*.csv", str(target), "--single-file"]) == 0
+    assert main(["clean", f"{source}/*.csv", str(target), "--files", "1"]) == 0
     (lines,) = (path.read_text().splitlines() for path in target.glob("part-*.csv"))
     keys = [tuple(line.split(",")[:2]) for line in lines[1:]]
     assert lines[0] == ",".join(raw.columns) and keys == sorted(keys) and keys[0][1].endswith("16:00:00")

@@ -129,8 +129,9 @@ def test_date_range_is_inclusive_and_reaches_the_scan(spark, raw, tmp_path):
 def test_csv_round_trip(spark, raw, tmp_path):
     bars, path = clean_bars(raw), str(tmp_path / "csv")
     assert files.write_bars_csv(bars, path)
-    assert files.write_bars_csv(bars, path, single_file=True)
-    assert len(list((tmp_path / "csv").glob("part-*.csv"))) == 1
+    for in_order in (False, True):
+        assert files.write_bars_csv(bars, path, in_order, files=1)
+        assert len(list((tmp_path / "csv").glob("part-*.csv"))) == 1
     back = files.read_bars_csv(spark, f"{path}/*.csv")
     assert back.schema.simpleString() == LANDED.simpleString()
     assert sorted(map(str, back.collect())) == sorted(map(str, bars.collect()))
