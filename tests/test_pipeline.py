@@ -42,8 +42,12 @@ def test_runs_are_repeatable_and_chunking_changes_nothing(spark, raw):
 def test_each_layer_has_its_namespace(spark, raw):
     layers = run_pipeline(raw, "named", scratch_path(spark, "run"))
     assert layers.staged == "named_staging.bars"
-    assert {t.tableType for t in spark.catalog.listTables("named_staging")} == {"VIEW"}
-    assert {t.name for t in spark.catalog.listTables("named_marts")} == {"trade_signals", "symbol_summary"}
+
+    def stored(database):
+        return {(t.name, t.tableType) for t in spark.catalog.listTables(database) if not t.isTemporary}
+
+    assert stored("named_staging") == {("bars", "VIEW")}
+    assert {name for name, _ in stored("named_marts")} == {"trade_signals", "symbol_summary"}
 
 
 def test_summary_of_stored_metrics_needs_no_shuffle(spark, raw):
