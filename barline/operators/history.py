@@ -113,7 +113,8 @@ def over_history(
 
     ``compute`` may add columns but must keep the rows; ``lookback`` is the number of earlier
     rows its result can depend on. Sizes are measured first; pass ``rows_per_chunk=None`` to save
-    that job where histories are known to be short and shuffle partitions to be enough.
+    that job where histories are known to be short and shuffle partitions to be enough. Measuring
+    and cutting read ``bars`` up to three times more, so they should come from a stored table.
     """
     if rows_per_chunk is None:
         return compute(bars, history("symbol"))
