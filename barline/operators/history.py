@@ -22,6 +22,8 @@ from barline.functions.frames import history
 ROWS_PER_CHUNK = 100_000
 # Rows of all symbols that one task should get: a few hundred megabytes of shuffled bars.
 ROWS_PER_PARTITION = 5_000_000
+# More shuffle partitions than this cost more in bookkeeping than they save in size.
+MAX_PARTITIONS = 50_000
 # At most this many symbols can hold more than total / MAX_HOT_SYMBOLS rows each, and
 # their chunks are at most twice as many, which bounds what is broadcast below.
 MAX_HOT_SYMBOLS = 50_000
@@ -62,6 +64,10 @@ class Chunks:
         )
 
 
+def partitions_for(rows: int) -> int:
+    return min(math.ceil(rows / ROWS_PER_PARTITION), MAX_PARTITIONS)
+
+
 class HistorySizes(NamedTuple):
     total: int
     longest: int
@@ -131,7 +137,7 @@ def _spread(bars: DataFrame, total: int, *keys: str) -> DataFrame:
 
     Adaptive execution merges small partitions but cannot split one that feeds a window.
     """
-    partitions = math.ceil(total / ROWS_PER_PARTITION)
+    partitions = partitions_for(total)
     configured = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return bars.repartition(partitions, *keys) if partitions > configured else bars
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from barline.operators import quality
 from barline.operators.cleaning import clean_bars, staging_sql
-from barline.operators.history import ROWS_PER_CHUNK, ROWS_PER_PARTITION, history_sizes
+from barline.operators.history import ROWS_PER_CHUNK, history_sizes, partitions_for
 from barline.operators.signals import trade_signals
 from barline.operators.summary import symbol_summary
 from barline.plans.metrics import daily_metrics
@@ -42,7 +41,6 @@ def run_pipeline(
     namespace: str,
     location: str | None = None,
     rows_per_chunk: int = ROWS_PER_CHUNK,
-    rows_per_bucket: int = ROWS_PER_PARTITION,
 ) -> Layers:
     """Rebuild every layer of ``namespace`` from raw bars; a failing check stops the run.
 
@@ -74,8 +72,7 @@ def run_pipeline(
 
     metrics, signals, summary = f"{intermediate}.daily_metrics", f"{marts}.trade_signals", f"{marts}.symbol_summary"
     if history_sizes(bars).longest <= rows_per_chunk:
-        most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
-        buckets = min(max(math.ceil(loaded / rows_per_bucket), spark.sparkContext.defaultParallelism), most)
+        buckets = max(partitions_for(loaded), spark.sparkContext.defaultParallelism)
         write_table(daily_metrics(bars.repartition(buckets, "symbol"), None), metrics, partitions=buckets)
     else:
         write_table(daily_metrics(bars, rows_per_chunk), metrics)
