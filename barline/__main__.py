@@ -1,5 +1,6 @@
 """Run the chain from the command line, for example with ``spark-submit --py-files``.
 
+python -m barline ingest PAYLOADS RAW_CSV [--rejected FOLDER]
 python -m barline clean RAW_CSV CLEAN_CSV [--files N]
 python -m barline build RAW_CSV NAMESPACE [--location FOLDER]
 """
@@ -8,7 +9,7 @@ from __future__ import annotations
 
 import argparse
 
-from barline.plans.pipeline import clean_files, run_pipeline
+from barline.plans.pipeline import clean_files, ingest_files, run_pipeline
 from barline.schema import RAW
 from barline.session import build_session
 from barline.sources.files import read_bars_csv
@@ -17,6 +18,10 @@ from barline.sources.files import read_bars_csv
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="barline")
     commands = parser.add_subparsers(dest="command", required=True)
+    ingest = commands.add_parser("ingest", help="turn JSON payloads into CSV bars")
+    ingest.add_argument("source", help="Parquet files with columns symbol and payload")
+    ingest.add_argument("target", help="folder to replace")
+    ingest.add_argument("--rejected", help="folder for the symbols and reasons of what was not used")
     clean = commands.add_parser("clean", help="clean raw CSV bars into CSV")
     clean.add_argument("source", help="path or pattern of raw CSV files")
     clean.add_argument("target", help="folder to replace")
@@ -28,6 +33,8 @@ def main(arguments: list[str] | None = None) -> int:
     options = parser.parse_args(arguments)
 
     spark = build_session()
+    if options.command == "ingest":
+        return 0 if ingest_files(spark, options.source, options.target, options.rejected) else 1
     if options.command == "clean":
         return 0 if clean_files(spark, options.source, options.target, options.files) else 1
     layers = run_pipeline(read_bars_csv(spark, options.source, RAW), options.namespace, options.location)

@@ -12,9 +12,9 @@ from barline.operators.history import ROWS_PER_CHUNK, history_sizes, partitions_
 from barline.operators.signals import trade_signals
 from barline.operators.summary import symbol_summary
 from barline.plans.metrics import daily_metrics
-from barline.schema import RAW
+from barline.schema import PAYLOAD, RAW
 from barline.sources.files import read_bars_csv, write_bars_csv
-from barline.sources.payloads import NoDataError
+from barline.sources.payloads import bars_from_payloads, quarantine, require_data
 from barline.sources.tables import ensure_database, write_table
 
 
@@ -30,6 +30,17 @@ class Layers:
     loaded_rows: int
 
 
+def ingest_files(spark: SparkSession, source: str, target: str, rejected: str | None = None) -> bool:
+    """Write the bars of stored payloads as CSV, and what was not used to ``rejected``.
+
+    False, with ``target`` left alone, if no payload gave a bar.
+    """
+    sent = spark.read.schema(PAYLOAD).parquet(source)
+    if rejected:
+        quarantine(sent).write.mode("overwrite").option("header", True).csv(rejected)
+    return write_bars_csv(bars_from_payloads(sent), target)
+
+
 def clean_files(spark: SparkSession, source: str, target: str, files: int | None = None) -> bool:
     """Clean raw CSV files into CSV sorted by symbol and date; False if there was nothing to clean."""
     cleaned = clean_bars(read_bars_csv(spark, source, RAW))
@@ -45,12 +56,12 @@ def run_pipeline(
     """Rebuild every layer of ``namespace`` from raw bars; a failing check stops the run.
 
     Staging is a view, the other layers are tables in one database each, and each run replaces
-    them. Raw bars are read once and landed as they come, without a shuffle. The metrics are
+    them; without raw bars nothing is touched. Raw bars are landed as they come, without a shuffle. The metrics are
     shuffled by symbol once and stored in those partitions, so the summary needs no shuffle. If a
     symbol has more than ``rows_per_chunk`` rows, its history is computed in chunks instead and
     the metrics table is left unbucketed.
     """
-    spark = raw.sparkSession
+    spark = require_data(raw).sparkSession
 
     def database(layer: str) -> str:
         name = f"{namespace}_{layer}"
@@ -61,8 +72,6 @@ def run_pipeline(
 
     landed = f"{landing}.bars"
     loaded = write_table(clean_bars(raw), landed)
-    if not loaded:
-        raise NoDataError("no raw bars")
     quality.require(spark.table(landed), quality.LANDED_CONSTRAINTS, landed)
 
     staged = f"{staging}.bars"

@@ -18,7 +18,7 @@ _RECORDS = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
 
 
 class NoDataError(RuntimeError):
-    """No payload gave any bar."""
+    """There are no bars."""
 
 
 def _records(payloads: DataFrame) -> DataFrame:
@@ -79,7 +79,7 @@ def quarantine(payloads: DataFrame) -> DataFrame:
 def require_data(bars: DataFrame) -> DataFrame:
     """The bars, or ``NoDataError`` when there are none."""
     if bars.isEmpty():
-        raise NoDataError("no payload gave any bar")
+        raise NoDataError("no bars to work on")
     return bars
 
 

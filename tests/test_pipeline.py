@@ -1,16 +1,21 @@
 from __future__ import annotations
 
 from datetime import date
+from pathlib import Path
 
 import pytest
 from conftest import BARS
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
+from barline.__main__ import main
 from barline.operators import quality
+from barline.operators.summary import symbol_summary
+from barline.plans.metrics import daily_metrics
 from barline.plans.pipeline import run_pipeline
+from barline.schema import LANDED, PAYLOAD
 from barline.session import scratch_path
-from barline.sources.payloads import NoDataError
-from testbed.bars import raw_bars
+from barline.sources.payloads import NoDataError, bars_from_payloads
+from testbed.bars import payloads, raw_bars
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -50,13 +55,17 @@ def test_each_layer_has_its_namespace(spark, raw):
     assert {name for name, _ in stored("named_marts")} == {"trade_signals", "symbol_summary"}
 
 
-def test_summary_of_stored_metrics_needs_no_shuffle(spark, raw):
-    from barline.operators.summary import symbol_summary
-
+def test_metrics_are_shuffled_once_and_the_summary_not_at_all(spark, raw):
     layers = run_pipeline(raw, "planned", scratch_path(spark, "run"))
     plan = symbol_summary(spark.table(layers.metrics))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
 
+    staged = spark.table(layers.staged).repartition(6, "symbol")
+    written = daily_metrics(staged, None).observe(Observation(), F.count("*").alias("rows")).repartition(6, "symbol")
+    plan = written._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert "divCash" not in plan
+
 
 def test_duplicates_stop_the_run_before_the_metrics(spark, raw):
     twice = raw.unionByName(raw.limit(1))
@@ -71,9 +80,11 @@ def test_missing_dates_stop_the_run(spark, raw):
         run_pipeline(broken, "undated", scratch_path(spark, "run"))
 
 
-def test_no_rows(spark, raw):
+def test_no_rows_leave_the_last_run_alone(spark, raw):
+    layers = run_pipeline(raw, "kept", scratch_path(spark, "run"))
     with pytest.raises(NoDataError):
-        run_pipeline(raw.filter("false"), "nothing", scratch_path(spark, "run"))
+        run_pipeline(raw.filter("false"), "kept")
+    assert spark.table(layers.landed).count() == layers.loaded_rows
 
 
 def test_checks_count_violations(spark):
@@ -100,16 +111,27 @@ def test_unique_ignores_null_in_a_single_key_only(spark):
     assert quality.duplicate_keys(two, ["symbol", "day"]).first().row_count == 2
 
 
-def test_command_line(spark, raw, tmp_path, capsys):
-    from barline.__main__ import main
+def test_command_line(spark, tmp_path, capsys):
+    sent, source, target = (str(tmp_path / name) for name in ("sent", "raw", "clean"))
+    payloads(spark, SMALL).write.parquet(sent)
+    usable = bars_from_payloads(spark.read.parquet(sent)).count()
+
+    assert main(["ingest", sent, source, "--rejected", str(tmp_path / "rejected")]) == 0
+    rejected = spark.read.csv(str(tmp_path / "rejected"), header=True)
+    assert rejected.columns == ["symbol", "reason"] and not rejected.isEmpty()
 
-    source, target = tmp_path / "raw", tmp_path / "clean"
-    raw.filter("symbol IN ('S1', 'S2')").write.options(header=True, nanValue="NaN").csv(str(source))
-    assert main(["clean", f"{source}/*.csv", str(target), "--files", "1"]) == 0
-    (lines,) = (path.read_text().splitlines() for path in target.glob("part-*.csv"))
+    assert main(["clean", f"{source}/*.csv", target, "--files", "1"]) == 0
+    (lines,) = (path.read_text().splitlines() for path in Path(target).glob("part-*.csv"))
     keys = [tuple(line.split(",")[:2]) for line in lines[1:]]
-    assert lines[0] == ",".join(raw.columns) and keys == sorted(keys) and keys[0][1].endswith("16:00:00")
+    assert lines[0] == ",".join(LANDED.names) and keys == sorted(keys) and len(keys) == usable
+
+    assert main(["build", f"{target}/*.csv", "command", "--location", str(tmp_path / "layers")]) == 0
+    assert f"loaded {usable} rows" in capsys.readouterr().out
+    assert spark.table("command_marts.trade_signals").count() == usable
+
 
-    assert main(["build", f"{source}/*.csv", "command", "--location", str(tmp_path / "layers")]) == 0
-    assert f"loaded {len(keys)} rows" in capsys.readouterr().out
-    assert spark.table("command_marts.trade_signals").count() == len(keys)
+def test_ingest_without_usable_payload(spark, tmp_path):
+    sent = spark.createDataFrame([("A", "not json")], PAYLOAD)
+    sent.write.parquet(str(tmp_path / "sent"))
+    assert main(["ingest", str(tmp_path / "sent"), str(tmp_path / "raw")]) == 1
+    assert not (tmp_path / "raw").exists()

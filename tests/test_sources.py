@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 
@@ -210,3 +211,11 @@ def test_run_sql(spark, raw):
 def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master="spark://host:7077")
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(cluster, "x")
