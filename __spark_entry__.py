@@ -141,8 +141,29 @@ def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the text-corpus subpackage, if it is there."""
+    try:
+        import corpus_pipeline
+        from barline.llm import oracle, queries as corpus
+    except ImportError:
+        return {}, {}
+    named = {**corpus.queries(), "pipeline": corpus_pipeline.run}
+    sql = {**oracle.oracle_sql(), "pipeline": corpus_pipeline.ORACLE_SQL}
+    return named, {name: text for name, text in sql.items() if text is not None}
+
+
 def queries() -> dict[str, Query]:
     """One entry per operator; each takes (spark, sf_dir)."""
+    return {**bar_queries(), **_corpus()[0]}
+
+
+def oracle_sql() -> dict[str, str]:
+    """The same queries as SQL over the same tables, where SQL can express them."""
+    return {**bar_oracle(), **_corpus()[1]}
+
+
+def bar_queries() -> dict[str, Query]:
     return {
         "daily_bars": tb.landed_bars,
         "daily_bars_by_brand": tb.landed_bars_by_brand,
@@ -196,8 +217,7 @@ def queries() -> dict[str, Query]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
-    """The same queries as SQL over the same tables."""
+def bar_oracle() -> dict[str, str]:
     key = "symbol, trade_date"
     landed = o.over("landed", "select * from landed")
     signal_list = o.columns(*SIGNAL_COLUMNS)

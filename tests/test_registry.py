@@ -22,13 +22,13 @@ def sql():
 
 
 def test_every_query_has_a_twin():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.bar_queries()) == set(registry.bar_oracle())
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry.bar_queries()))
 def test_query_matches_sql(spark, sql, name):
-    result = registry.queries()[name](spark, SF_DIR).toPandas()
-    assert difference(result, sql.execute(registry.oracle_sql()[name]).df()) is None
+    result = registry.bar_queries()[name](spark, SF_DIR).toPandas()
+    assert difference(result, sql.execute(registry.bar_oracle()[name]).df()) is None
 
 
 def test_entry(spark):
@@ -39,8 +39,8 @@ def test_entry(spark):
 WRITING = {"csv_roundtrip", "load_bars", "load_row_count", "append_batches", "chain_signals", "chain_summary"}
 
 
-@pytest.mark.parametrize("name", [n for n in registry.queries() if n not in WRITING])
+@pytest.mark.parametrize("name", [n for n in registry.bar_queries() if n not in WRITING])
 def test_plan_has_no_cross_join_and_no_python(spark, name):
-    plan = registry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = registry.bar_queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "SinglePartition, REPARTITION"):
         assert operator not in plan
