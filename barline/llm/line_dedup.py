@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barline.llm.text import BLANKS, ascii_lower
+from barline.llm.text import BLANKS, ascii_lower, fresh
 
 MIN_DOCUMENTS = 10
 MIN_CODE_POINTS = 1
@@ -110,15 +110,17 @@ def apply_bitmaps(
     One join by id and text; Spark broadcasts the bitmaps if they are small enough. Rows keep
     their other columns and their number.
     """
-    found = bitmaps.select(F.col(key).alias("_doc"), F.col("text_hash").alias("_text_hash"), F.col("keep").alias("_keep"))
-    same = F.col(key).eqNullSafe(F.col("_doc")) & (F.xxhash64(F.col(text)) == F.col("_text_hash"))
-    joined = docs.join(found, same, "left").drop("_doc", "_text_hash")
-    lines = lines_of(F.col(text))
-    kept = F.array_join(kept_lines(lines, F.col("_keep")), "\n")
-    gone = F.aggregate("_keep", F.lit(0), lambda n, w: n + F.bit_count(F.bitwise_not(w["bits"])))
+    doc, text_hash, words = fresh("doc"), fresh("text_hash"), fresh("keep")
+    found = bitmaps.select(F.col(key).alias(doc), F.col("text_hash").alias(text_hash), F.col("keep").alias(words))
+    same = F.col(key).eqNullSafe(F.col(doc)) & (F.xxhash64(F.col(text)) == F.col(text_hash))
+    joined = docs.join(found, same, "left").drop(doc, text_hash)
+    lines, keep = lines_of(F.col(text)), F.col(words)
+    gone = F.aggregate(keep, F.lit(0), lambda n, w: n + F.bit_count(F.bitwise_not(w["bits"])))
     result = F.struct(
-        F.when(F.col("_keep").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(kept).alias("kept"),
+        F.when(keep.isNull(), F.coalesce(F.col(text), F.lit("")))
+        .otherwise(F.array_join(kept_lines(lines, keep), "\n"))
+        .alias("kept"),
         F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(gone, F.lit(0)).cast("long").alias("n_dropped"),
     )
-    return joined.withColumn(into, result).drop("_keep")
+    return joined.withColumn(into, result).drop(words)

@@ -17,6 +17,8 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from barline.llm.text import fresh
+
 _MOST = 64  # strings or clauses that a pattern may expand to before it counts as unrestricted
 
 
@@ -204,18 +206,19 @@ def secret_spans(
     Texts join their candidate rules by id and text. Null and empty texts have no spans. Rows keep
     their other columns and their number; repeated rows give repeated results; a null id is an id of its own.
     """
+    doc, text_hash, kinds = fresh("id"), fresh("text_hash"), fresh("kinds")
     may = candidates(docs, rules, key, text).select(
-        F.col("id").alias("_id"), F.col("text_hash").alias("_text_hash"), F.col("kinds").alias("_kinds")
+        F.col("id").alias(doc), F.col("text_hash").alias(text_hash), F.col("kinds").alias(kinds)
     )
-    same = F.col(key).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("_text_hash"))
+    same = F.col(key).eqNullSafe(F.col(doc)) & (F.xxhash64(F.col(text)) == F.col(text_hash))
     joined = docs.join(may, same, "left")
     value, nothing = F.coalesce(F.col(text), F.lit("")), F.array().cast(_SPANS)
     found = []
     for rank, rule in enumerate(rules):
         indexed = trigram_query(rule.pattern) is not None
-        asked = F.array_contains("_kinds", rule.kind) if indexed else value.rlike(rule.pattern)
+        asked = F.array_contains(kinds, rule.kind) if indexed else value.rlike(rule.pattern)
         found.append(F.when(asked, _spans(value, rule, rank)).otherwise(nothing))
-    return joined.withColumn(into, F.sort_array(F.concat(*found))).drop("_id", "_text_hash", "_kinds")
+    return joined.withColumn(into, F.sort_array(F.concat(*found))).drop(doc, text_hash, kinds)
 
 
 def listed(spans: Column) -> Column:

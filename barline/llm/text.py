@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -18,6 +19,11 @@ _TO_WORDS = bytes(
 )
 
 
+def fresh(name: str) -> str:
+    """A column name that no table has."""
+    return f"_{name}_{uuid.uuid4().hex}"
+
+
 def utf8(text: str | None) -> bytes:
     """UTF-8 of a text, null as empty."""
     return (text or "").encode()

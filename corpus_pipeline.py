@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barline.llm import decontamination, language, line_dedup, near_dedup, packing
 from barline.llm.queries import share_package
+from barline.llm.text import fresh
 from barline.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -28,9 +29,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     network = language.train(language.training_sample(docs))
     if not network.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    judged = language.identify(docs, network, into="_language")
-    known = (F.col("_language.lang") != language.UNKNOWN) & (F.col("_language.score") >= LEAST_LANGUAGE_SCORE)
-    return judged.filter(known).drop("_language")
+    into = fresh("language")
+    known = (F.col(into)["lang"] != language.UNKNOWN) & (F.col(into)["score"] >= LEAST_LANGUAGE_SCORE)
+    return language.identify(docs, network, into=into).filter(known).drop(into)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,14 +40,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Lines of ten documents or more are repeated. Documents whose lines were all repeated ones go.
     """
     bitmaps = line_dedup.keep_bitmaps(docs, keep_first=True)
-    done = line_dedup.apply_bitmaps(docs, bitmaps, into="_lines")
-    kept = F.col("_lines.kept")
-    changed = F.col("_lines.n_dropped") > 0
+    lines = fresh("lines")
+    done = line_dedup.apply_bitmaps(docs, bitmaps, into=lines)
+    kept = F.col(lines)["kept"]
+    changed = F.col(lines)["n_dropped"] > 0
     emptied = changed & (F.char_length(F.btrim(kept, F.lit(line_dedup.BLANKS))) == 0)
     out = done.filter(~emptied).withColumn("text", F.when(changed, kept).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.drop("_lines")
+    return out.drop(lines)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,8 +63,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents without a benchmark passage."""
     share_package(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hits = decontamination.benchmark_hits(docs, benchmark, into="_hits")
-    return hits.filter(decontamination.hit_words(F.col("_hits")) == 0).drop("_hits")
+    into = fresh("hits")
+    hits = decontamination.benchmark_hits(docs, benchmark, into=into)
+    return hits.filter(decontamination.hit_words(F.col(into)) == 0).drop(into)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

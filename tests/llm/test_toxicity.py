@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from barline.llm.toxicity import DRIFT, fit, maximal_segments, toxicity, training_sample
+
+
+def brute(scores):
+    """The best segment, shortest on ties, then the same left and right of it."""
+
+    def within(a, b):
+        best = None
+        for i in range(a, b):
+            for j in range(i + 1, b + 1):
+                value = sum(scores[i:j])
+                better = best is None or value > best[0] + 1e-9
+                if value > 1e-9 and (better or (abs(value - best[0]) <= 1e-9 and j - i < best[2] - best[1])):
+                    best = (value, i, j)
+        return [] if best is None else [*within(a, best[1]), best[1:], *within(best[2], b)]
+
+    return within(0, len(scores))
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_segments_equal_brute_force(seed):
+    rng = random.Random(seed)
+    scores = [rng.choice([DRIFT, DRIFT, DRIFT, 1.3, 2.1, -2.7, 0.9]) for _ in range(rng.randint(0, 22))]
+    own = [(i, s) for i, s in enumerate(scores) if s != DRIFT]
+    found = maximal_segments([s for _, s in own], [i for i, _ in own], DRIFT)
+    assert [(a, b) for a, b, _ in found] == brute(scores)
+    assert all(abs(s - sum(scores[a:b])) < 1e-9 for a, b, s in found)
+
+
+def examples(n, seed=1):
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        words = [f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.randrange(300)}" for _ in range(80)]
+        toxic = rng.random() < 0.3
+        for _ in range(3 * toxic):
+            words[rng.randrange(80)] = rng.choice(["scum", f"slimy{rng.randrange(40)}x"])
+        out.append((" ".join(words), int(toxic)))
+    return out
+
+
+def test_held_out_accuracy_and_unseen_endings(make_docs):
+    model = fit(examples(1500))
+    held = examples(300, seed=2)
+    rows = {r["doc_id"]: r["toxicity"] for r in toxicity(make_docs([t for t, _ in held]), model).collect()}
+    right = [(rows[i]["score"] >= 0.5) == bool(y) for i, (_, y) in enumerate(held)]
+    assert sum(right) / len(right) > 0.97
+    some = next(i for i, (_, y) in enumerate(held) if y)
+    words = held[some][0].split()
+    for p in rows[some]["passages"]:
+        assert {"scum", "slimy"} & {w[:5].rstrip("0123456789x") for w in words[p["start"] : p["end"]]}
+    # A word never seen is judged by how it opens.
+    assert model.score(b"slimynever") > 0 > model.score(b"harmless")
+
+
+def test_sample_is_bounded_and_of_labelled_rows(spark, make_docs):
+    docs = make_docs([f"text {i}" for i in range(400)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    assert len(training_sample(docs, labels)) == 300
+    some = training_sample(docs, labels, bound=30)
+    assert 20 <= len(some) <= 110 and {y for _, y in some} == {0, 1}
