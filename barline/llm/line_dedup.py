@@ -16,11 +16,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from barline.llm.components import stored
 from barline.llm.text import BLANKS, ascii_lower, fresh
 
 MIN_DOCUMENTS = 10
 MIN_CODE_POINTS = 1
 _BITS = 64
+# Bitmaps that may be broadcast, by their size in memory: so much a document and a word.
+BROADCAST_BYTES = 64 << 20
+_ROW_BYTES, _WORD_BYTES = 96, 32
 
 
 def lines_of(text: Column) -> Column:
@@ -28,9 +32,9 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def line_key(line: Column) -> Column:
-    """What makes two lines equal."""
-    return ascii_lower(F.btrim(line, F.lit(BLANKS)))
+def strip(line: Column) -> Column:
+    """A line without ASCII white space at its ends."""
+    return F.btrim(line, F.lit(BLANKS))
 
 
 def keep_bitmaps(
@@ -51,18 +55,18 @@ def keep_bitmaps(
     """
     salts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("text_hash"), lines_of(F.col(text)).alias("lines"))
-    lines = texts.select("doc", "text_hash", F.posexplode("lines").alias("pos", "line"))
-    keyed = lines.select("doc", "text_hash", "pos", line_key(F.col("line")).alias("k"))
+    lines = texts.select("doc", "text_hash", F.posexplode_outer("lines").alias("pos", "line"))
+    # Lower-casing keeps the length, so short keys go before they are lower-cased.
+    stripped = lines.withColumn("line", strip(F.col("line"))).filter(F.char_length("line") >= min_code_points)
     hashed = (
-        keyed.filter(F.char_length("k") >= min_code_points)
-        .select(
-            F.unhex(F.md5("k")).alias("hash"),
-            F.pmod(F.xxhash64("doc"), F.lit(salts)).cast("int").alias("salt"),
+        stripped.select(
+            # Known not to be null, so that no filter tells the two uses of this shuffle apart.
+            F.coalesce(F.unhex(F.md5(ascii_lower(F.col("line")))), F.lit(b"")).alias("hash"),
+            F.coalesce(F.pmod(F.xxhash64("doc"), F.lit(salts)).cast("int"), F.lit(0)).alias("salt"),
             "doc",
             "text_hash",
             "pos",
-        )
-        .repartition("hash", "salt")
+        ).repartition("hash", "salt")
     )
 
     # Neither count shuffles again: one row a document and key, then one a salt.
@@ -107,14 +111,17 @@ def apply_bitmaps(
 ) -> DataFrame:
     """``docs`` with a struct of the ``kept`` text, ``n_lines`` before and ``n_dropped``.
 
-    One join by id and text; Spark broadcasts the bitmaps if they are small enough. Rows keep
-    their other columns and their number.
+    One join by id and text. Bitmaps are stored and measured first: up to ``BROADCAST_BYTES`` they go to
+    the texts, beyond that both are shuffled. Rows keep their other columns and their number.
     """
-    doc, text_hash, words = fresh("doc"), fresh("text_hash"), fresh("keep")
-    found = bitmaps.select(F.col(key).alias(doc), F.col("text_hash").alias(text_hash), F.col("keep").alias(words))
+    doc, text_hash, words, split = fresh("doc"), fresh("text_hash"), fresh("keep"), fresh("lines")
+    found = stored(bitmaps.select(F.col(key).alias(doc), F.col("text_hash").alias(text_hash), F.col("keep").alias(words)), "bitmaps")
+    size = found.agg(F.sum(_ROW_BYTES + F.size(words) * _WORD_BYTES)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        found = F.broadcast(found)
     same = F.col(key).eqNullSafe(F.col(doc)) & (F.xxhash64(F.col(text)) == F.col(text_hash))
-    joined = docs.join(found, same, "left").drop(doc, text_hash)
-    lines, keep = lines_of(F.col(text)), F.col(words)
+    joined = docs.join(found, same, "left").drop(doc, text_hash).withColumn(split, lines_of(F.col(text)))
+    lines, keep = F.col(split), F.col(words)
     gone = F.aggregate(keep, F.lit(0), lambda n, w: n + F.bit_count(F.bitwise_not(w["bits"])))
     result = F.struct(
         F.when(keep.isNull(), F.coalesce(F.col(text), F.lit("")))
@@ -123,4 +130,4 @@ def apply_bitmaps(
         F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(gone, F.lit(0)).cast("long").alias("n_dropped"),
     )
-    return joined.withColumn(into, result).drop(words)
+    return joined.withColumn(into, result).drop(words, split)
