@@ -10,10 +10,14 @@ which discards what a bucket brought together by chance without touching the set
 confirmed on the full sets. Links are found in two rounds, so that a group of n near copies
 needs about n confirmations and not one for each pair:
 
-1. every class against the nearest first member of its buckets;
-2. within buckets that still hold several components, pairs across components.
-
-Large buckets of the second round are compared in blocks, so no task holds more than two of them.
+1. every class against the most similar hub of its buckets; a bucket's hub is the member that meets most others
+   in all its buckets, as the origin of a group of copies does;
+2. within buckets that still hold several components, pairs across components. Sketches tell which members
+   are needed, then their sets are brought together and links are confirmed on the spot, none within a component that
+   earlier ones have joined. So rows grow with the members of a bucket even if its pairs are many.
+
+A pair is looked at in the first bucket it shares. Large buckets of the second round are compared in blocks, so no
+task holds more than two of them.
 With the defaults two sets of similarity 0.8 miss all common buckets with a chance below 3e-6,
 of 0.85 below 3e-9.
 """
@@ -21,7 +25,7 @@ of 0.85 below 3e-9.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +42,10 @@ BANDS = 42
 SAMPLES = ROWS * BANDS
 SKETCH_BITS = 512
 # Standard errors of the estimate by which it may fall short of the similarity asked for.
-MARGIN = 6.0
-# Members of a bucket compared at once in the second round.
+MARGIN = 5.0
+# Members of a bucket compared at once in the second round, and bytes of their sets.
 BLOCK = 1_000
+BLOCK_BYTES = 24 << 20
 # Ids that a broadcast may hold; more of them are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -168,29 +173,36 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, schema=_SET)
 
 
+def _sets_of(wanted: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, shingles) of the classes in ``wanted`` (id); only their texts are shingled again."""
+    wanted = stored(wanted.distinct(), "wanted")
+    chosen = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    found = texts.join(chosen, "id", "left_semi").select("id", "text").mapInArrow(_sets, "set_key binary, shingles binary")
+    # A key that repeats with other texts has other sets too: those of the classes count.
+    own = stored(found, "sets").dropDuplicates(["set_key"])
+    return own.join(classes.select("id", "set_key"), "set_key").select("id", "shingles")
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of which the full sets are similar enough.
 
-    Only texts in a pair are shingled again. Each ``b`` brings its set to its ``a``; hot keys of that
-    join are split by adaptive execution.
+    Each ``b`` brings its set to its ``a``; hot keys of that join are split by adaptive execution.
     """
     pairs = stored(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    chosen = F.broadcast(wanted) if 2 * pairs.count() <= BROADCAST_IDS else wanted
-    found = texts.join(chosen, "id", "left_semi").select("id", "text").mapInArrow(_sets, "set_key binary, shingles binary")
-    # A key that repeats with other texts has other sets too: those of the classes count.
-    sets = stored(found, "sets").dropDuplicates(["set_key"]).join(classes.select("id", "set_key"), "set_key")
+    sets = _sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), classes, texts)
     with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b")), "b")
     both = with_b.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a")), "a")
     percent = round(100 * similarity)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * common >= percent * (len(a) + len(b) - common))
+            of_a, of_b = ((np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(i)) for i in (2, 3))
+            keep = [_linked(a, b, percent) for a, b in zip(of_a, of_b)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "of_a", "of_b").mapInArrow(check, "a long, b long")
@@ -201,66 +213,127 @@ def _differing() -> Column:
     return F.aggregate(words, F.lit(0), lambda n, x: n + x)
 
 
+def _members(classes: DataFrame) -> DataFrame:
+    """(bucket, id, hub) of the buckets with several members."""
+    buckets = classes.select("id", F.explode("bands").alias("bucket")).distinct()
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = stored(buckets.join(sizes, "bucket"), "shared")
+    meetings = shared.groupBy("id").agg(F.sum("size").alias("met"))
+    hubs = shared.join(meetings, "id").groupBy("bucket").agg(F.max_by("id", F.struct("met", -F.col("id"))).alias("hub"))
+    return stored(shared.join(hubs, "bucket").select("bucket", "id", "hub"), "members")
+
+
 def _first_round(members: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """Each class with the most similar first member of its buckets, as sketches see it."""
-    stars = members.filter("id <> first").select("id", "first").distinct()
+    """Each class with the most similar hub of its buckets, as sketches see it."""
+    stars = members.filter("id <> hub").select("id", "hub").distinct()
     profile = F.struct("n", "sketch")
     pairs = stars.join(classes.select("id", profile.alias("own")), "id").join(
-        classes.select(F.col("id").alias("first"), profile.alias("other")), "first"
+        classes.select(F.col("id").alias("hub"), profile.alias("other")), "hub"
     )
     sizes = F.least("own.n", "other.n") >= F.greatest("own.n", "other.n") * (similarity - 1e-9)
     close = pairs.filter(sizes).withColumn("differing", _differing()).filter(F.col("differing") <= _most_differing(similarity))
     # Nearly equal distances count as equal, so that copies of one text choose one hub.
-    best = F.min_by("first", F.struct(F.floor(F.col("differing") / 32).alias("far"), "first"))
+    best = F.min_by("hub", F.struct(F.floor(F.col("differing") / 32).alias("far"), "hub"))
     return close.groupBy("id").agg(best.alias("a")).select("a", F.col("id").alias("b"))
 
 
-_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+class _Block:
+    """Members of one or two blocks of a bucket, and the pairs across components that may be links."""
+
+    def __init__(self, key: tuple, table: pa.Table, similarity: float):
+        self.bucket, self.low, self.high = (k.as_py() for k in key)
+        self.ids, self.components = table.column("id").to_numpy(), table.column("component").to_numpy()
+        self._block, self._sizes = table.column("block").to_numpy(), table.column("n").to_numpy()
+
+        def matrix(name: str) -> np.ndarray:
+            return table.column(name).combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
 
+        self._sketches, self._bands = matrix("sketch").view(np.uint64), matrix("bands")
+        self._most, self._least = _most_differing(similarity), similarity - 1e-9
 
-def _second_round(members: DataFrame, classes: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of different components that share a bucket and that sizes and sketches allow."""
-    known = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    spread = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = spread.filter("low < high").select("bucket")
-    rows = known.join(mixed, "bucket").join(classes.select("id", "n", "sketch"), "id")
+    def pairs(self, component: Callable[[int], int]) -> Iterator[tuple[int, int]]:
+        """Places of the members of each pair; ``component`` gives a member's component by now."""
+        left, right = np.flatnonzero(self._block == self.low), np.flatnonzero(self._block == self.high)
+        for i in left:
+            others = right[self.ids[right] > self.ids[i]] if self.low == self.high else right
+            others = others[self.components[others] != self.components[i]]
+            small, large = np.minimum(self._sizes[others], self._sizes[i]), np.maximum(self._sizes[others], self._sizes[i])
+            others = others[small >= large * self._least]
+            differing = np.bitwise_count(self._sketches[others] ^ self._sketches[i]).sum(axis=1)
+            order = np.argsort(differing, kind="stable")
+            others = others[order[differing[order] <= self._most]]
+            # Bucket hashes contain the number of their band, so the first equal ones are the first shared bucket.
+            first = (self._bands[others] == self._bands[i]).argmax(axis=1)
+            others = others[self._bands[i][first] == self.bucket]
+            for j in others:
+                if component(i) != component(j):
+                    yield int(i), int(j)
+
+
+_LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_NEEDED = pa.schema([("bucket", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("id", pa.int64())])
+
+
+def _second_round(
+    members: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame, similarity: float
+) -> DataFrame:
+    """Links (a, b) between different components that share a bucket, enough of them to join what is linked."""
+    known = members.select("bucket", "id").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    spread = known.groupBy("bucket").agg(F.min("component").alias("first"), F.max("component").alias("last"))
+    rows = known.join(spread.filter("first < last").select("bucket"), "bucket").join(
+        classes.select("id", "n", "sketch", "bands"), "id"
+    )
+    size = rows.groupBy("bucket").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks")
+    )
     # Each member meets every block of its bucket: as the one that is looked up, or as the one compared.
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("id", "bucket"), blocks).cast("int")
-    placed = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    cells = placed.select(
-        "bucket",
-        F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"),
-        "block",
-        "id",
-        "component",
-        "n",
-        "sketch",
+    placed = rows.join(size, "bucket").withColumn("block", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
+    cells = stored(
+        placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+            "bucket",
+            F.least("block", "other").alias("low"),
+            F.greatest("block", "other").alias("high"),
+            "block",
+            "id",
+            "component",
+            "n",
+            "sketch",
+            "bands",
+        ),
+        "cells",
     )
-    most, least = _most_differing(similarity), similarity - 1e-9
-
-    def compare(key: tuple, table: pa.Table) -> pa.Table:
-        low, high = key[1].as_py(), key[2].as_py()
-        block = table.column("block").to_numpy()
-        ids, components = table.column("id").to_numpy(), table.column("component").to_numpy()
-        sizes = table.column("n").to_numpy()
-        words = SKETCH_BITS // 64
-        sketches = table.column("sketch").combine_chunks().flatten().to_numpy().reshape(-1, words).view(np.uint64)
-        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        found = []
-        for i in left:
-            others = right[ids[right] > ids[i]] if low == high else right
-            others = others[components[others] != components[i]]
-            small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
-            others = others[small >= large * least]
-            if len(others):
-                differing = np.bitwise_count(sketches[others] ^ sketches[i]).sum(axis=1)
-                found += [(int(ids[i]), int(ids[j])) for j in others[differing <= most]]
-        pairs = [(min(p), max(p)) for p in found]
-        return pa.table({"a": [a for a, _ in pairs], "b": [b for _, b in pairs]}, schema=_PAIR)
 
-    return cells.groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long").distinct()
+    def need(key: tuple, table: pa.Table) -> pa.Table:
+        block = _Block(key, table, similarity)
+        places = {k for pair in block.pairs(lambda i: int(block.components[i])) for k in pair}
+        found = sorted(int(block.ids[k]) for k in places)
+        columns = [[value] * len(found) for value in (block.bucket, block.low, block.high)] + [found]
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, _NEEDED)], schema=_NEEDED)
+
+    cell = ["bucket", "low", "high"]
+    needed = stored(cells.groupBy(*cell).applyInArrow(need, "bucket long, low int, high int, id long"), "needed")
+    sets = _sets_of(needed.select("id"), classes, texts)
+    percent = round(100 * similarity)
+
+    def link(key: tuple, table: pa.Table) -> pa.Table:
+        block = _Block(key, table, similarity)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
+        joined: dict[int, int] = {}
+
+        def component(i: int) -> int:
+            at = int(block.components[i])
+            while at in joined:
+                at = joined[at]
+            return at
+
+        links = []
+        for i, j in block.pairs(component):
+            if _linked(sets[i], sets[j], percent):
+                links.append(sorted((int(block.ids[i]), int(block.ids[j]))))
+                joined[component(i)] = component(j)
+        return pa.table([pa.array(c, pa.int64()) for c in (zip(*links) if links else ((), ()))], schema=_LINK)
+
+    return cells.join(needed, [*cell, "id"]).join(sets, "id").groupBy(*cell).applyInArrow(link, "a long, b long")
 
 
 def near_duplicates(
@@ -286,13 +359,9 @@ def near_duplicates(
     named = shares.groupBy("set_key").agg(F.min("id").alias("id"))
     classes = stored(profiles.join(named, ["set_key", "id"]).dropDuplicates(["id"]), "classes")
 
-    buckets = classes.select("id", F.explode("bands").alias("bucket")).distinct()
-    firsts = buckets.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("size")).filter("size > 1")
-    members = stored(buckets.join(firsts, "bucket"), "members")
-
+    members = _members(classes)
     first = stored(_confirmed(_first_round(members, classes, similarity), classes, texts, similarity), "links")
-    labels = connected(first)
-    second = _confirmed(_second_round(members, classes, labels, similarity), classes, texts, similarity)
+    second = _second_round(members, classes, connected(first), texts, similarity)
     labels = connected(first.unionByName(second))
 
     # Back to all documents by set and salt, so copies of one set are spread over the salts.
