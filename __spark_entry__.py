@@ -1,9 +1,7 @@
 """Registry of the queries and their SQL twins, all over the whole test tables.
 
-Bars come from ``testbed.bars``: one bar per symbol and calendar day by construction. A symbol
-can therefore hold no more rows than the date range has days at any scale (2,499 here), which
-is why most queries skip the sizing job with ``rows_per_chunk=None``; the ``_chunked`` queries cut
-every history.
+Bars come from ``testbed.bars``: one bar per symbol and calendar day by construction. A symbol can therefore hold no more
+rows than the date range has days at any scale (2,499 here); the ``_chunked`` queries cut every history nevertheless.
 
 Most columns are compared bit for bit; ``testbed.compare`` lists those rounded first, and why.
 """
@@ -16,8 +14,8 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barline.operators import quality
-from barline.operators.cleaning import clean_bars, date_range, sort_bars, stage_bars
-from barline.operators.signals import SIGNAL_COLUMNS, trade_signals
+from barline.operators.cleaning import clean_bars, date_range, rejected_values, sort_bars, stage_bars
+from barline.operators.signals import trade_signals
 from barline.operators.summary import symbol_summary
 from barline.plans import metrics as m, projections
 from barline.plans.pipeline import Layers, run_pipeline
@@ -32,7 +30,6 @@ SMALL = "/root/testdata/sf0.001"
 RANGE_START, RANGE_END = date(1995, 3, 1), date(1996, 8, 31)
 SINCE = date(1999, 6, 1)
 BATCH_END = date(1995, 6, 14)
-ONE_DAY = date(1995, 6, 17)
 HEAD_SYMBOL = "S1"
 # Far below any real setting, so that every history is cut several times.
 SMALL_CHUNK = 150
@@ -71,6 +68,12 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_bars_csv(spark, path)
 
 
+def _damaged_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "damaged")
+    tb.damaged_bars(spark, sf_dir).write.option("header", True).csv(path)
+    return files.read_raw_csv(spark, path)
+
+
 def _new_namespace(spark: SparkSession, name: str) -> tuple[str, str]:
     """A database name not used before, and its folder."""
     folder = scratch_path(spark, name)
@@ -172,7 +175,7 @@ def bar_queries() -> dict[str, Query]:
         "ingest_payloads": lambda s, d: payloads.bars_from_payloads(tb.payloads(s, d)),
         "ingest_quarantine": lambda s, d: payloads.quarantine(tb.payloads(s, d)),
         "symbol_coverage": lambda s, d: payloads.symbols_without_bars(
-            tb.universe(s, d), tb.landed_bars(s, d, ONE_DAY, ONE_DAY)
+            tb.universe(s, d), tb.landed_bars(s, d)
         ),
         "union_batches": _union_batches,
         "date_range": lambda s, d: date_range(tb.landed_bars(s, d), RANGE_START, RANGE_END),
@@ -182,6 +185,8 @@ def bar_queries() -> dict[str, Query]:
         "adhoc_sql": _adhoc,
         # Cleaning
         "clean_bars": lambda s, d: sort_bars(clean_bars(tb.raw_bars(s, d))),
+        "clean_csv": lambda s, d: clean_bars(_damaged_csv(s, d)),
+        "clean_rejected": lambda s, d: rejected_values(_damaged_csv(s, d)),
         "stage_bars": lambda s, d: stage_bars(tb.landed_bars(s, d)),
         # Indicators
         "daily_price_stats": lambda s, d: m.daily_price_stats(tb.staged_bars(s, d)),
@@ -196,7 +201,7 @@ def bar_queries() -> dict[str, Query]:
         "daily_metrics": lambda s, d: comparable(_metrics(s, d)),
         "daily_metrics_chunked": lambda s, d: comparable(_cut_metrics(s, d)),
         "daily_metrics_since": lambda s, d: comparable(
-            m.daily_metrics_since(tb.staged_bars(s, d), SINCE, rows_per_chunk=None)
+            m.daily_metrics_since(tb.staged_bars(s, d), SINCE)
         ),
         "trade_signals": lambda s, d: comparable(trade_signals(_metrics(s, d))),
         "trade_signals_by_brand": _signals_by_brand,
@@ -220,8 +225,8 @@ def bar_queries() -> dict[str, Query]:
 def bar_oracle() -> dict[str, str]:
     key = "symbol, trade_date"
     landed = o.over("landed", "select * from landed")
-    signal_list = o.columns(*SIGNAL_COLUMNS)
-    metrics = o.over("metrics", f"select {o.columns(*m.METRIC_COLUMNS)} from metrics")
+    signal_list = o.columns(*o.SIGNAL_COLUMNS)
+    metrics = o.over("metrics", f"select {o.columns(*o.METRIC_COLUMNS)} from metrics")
     signals = o.over("signals", f"select {signal_list} from signals")
     summary = o.over("metrics", o.SUMMARY)
     nation = "(select 'S' || cast(s_suppkey as varchar) as symbol, s_nationkey as nation from supplier)"
@@ -241,19 +246,20 @@ def bar_oracle() -> dict[str, str]:
         "csv_roundtrip": landed,
         "ingest_payloads": o.over(
             "landed",
-            f"""select landed.* from landed join {nation} using (symbol)
-                where nation > 6 or (nation = 6 and "divCash" = 0)""",
+            f"""select landed.* replace (case when nation <> 8 or "divCash" = 0 then close end as close)
+                from landed join {nation} using (symbol)
+                where nation in (7, 8) or nation > 9 or (nation = 6 and "divCash" = 0)""",
         ),
         "ingest_quarantine": o.over(
             "landed",
             f"""select distinct symbol, case nation when 0 then 'not_json' when 1 then 'not_json'
                   when 2 then 'empty' when 3 then 'not_array' when 4 then 'missing_field'
-                  when 5 then 'not_array' else 'bad_date' end as reason
-                from landed join {nation} using (symbol) where nation < 6 or (nation = 6 and "divCash" = 1)""",
+                  when 5 then 'not_array' when 6 then 'bad_date' when 8 then 'bad_value' else 'not_json' end as reason
+                from landed join {nation} using (symbol)
+                where nation < 6 or nation = 9 or (nation in (6, 8) and "divCash" = 1)""",
         ),
-        "symbol_coverage": f"""select 'S' || cast(s_suppkey as varchar) as symbol from supplier
-            where s_suppkey not in (
-                select l_suppkey from lineitem where cast(l_shipdate as date) = date '{ONE_DAY}')""",
+        "symbol_coverage": """select 'S' || cast(c_custkey as varchar) as symbol from customer
+            where c_custkey not in (select l_suppkey from lineitem)""",
         "union_batches": landed,
         "date_range": o.over(
             "landed",
@@ -276,6 +282,22 @@ def bar_oracle() -> dict[str, str]:
             """select * replace (date + interval 16 hour as date,
                  case when "divCash" = 0 then "adjHigh" end as "adjHigh") from landed""",
         ),
+        "clean_csv": o.over(
+            "landed",
+            """select * replace (case when day(date) <> 11 then date + interval 16 hour end as date,
+                 case when day(date) <> 13 then volume end as volume, case when day(date) <> 5 then close end as close,
+                 case when day(date) <> 7 then high end as high, case when day(date) <> 9 then low end as low,
+                 case when "divCash" = 0 then "adjHigh" end as "adjHigh") from landed""",
+        ),
+        "clean_rejected": o.over(
+            "landed",
+            """select symbol, case day(date) when 11 then 'some day'
+                   else strftime(date, '%Y-%m-%d') || 'T16:00:00.250Z' end as date,
+                 case day(date) when 5 then 'close' when 11 then 'date' else 'volume' end as column_name,
+                 case day(date) when 5 then 'abc' when 11 then 'some day' else cast(volume as varchar) || '.5' end as value,
+                 case day(date) when 11 then 'bad_date' else 'bad_value' end as reason
+               from landed where day(date) in (5, 11, 13)""",
+        ),
         "stage_bars": o.over("staged", "select * from staged"),
         "daily_price_stats": o.over(
             "metrics",

@@ -6,7 +6,7 @@ Spark differs from the warehouse dialect in three of them: a zero divisor raises
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:
@@ -33,3 +33,25 @@ def to_second(ts: Column) -> Column:
     """Drop the fraction of a second from a zone-less timestamp."""
     seconds = F.date_part(F.lit("SECOND"), ts)
     return ts - F.make_dt_interval(secs=seconds - F.floor(seconds))
+
+
+def typed(text: Column, kind: T.DataType) -> Column:
+    """A value read from text, NULL if it is none of the type.
+
+    Whole numbers may be written with a fraction of zero or an exponent (``11.0``, ``1e3``).
+    Dates and times keep what is written, without the zone mark, to the second.
+    """
+    if isinstance(kind, T.LongType):
+        exact = text.try_cast("decimal(38,10)")
+        return F.coalesce(text.try_cast(kind), F.when(exact == F.floor(exact), exact).try_cast(kind))
+    if isinstance(kind, T.TimestampNTZType):
+        return to_second(text.try_cast(kind))
+    if isinstance(kind, T.DoubleType):
+        return nan_to_null(text.try_cast(kind))
+    return text.try_cast(kind)
+
+
+def unreadable(text: Column, kind: T.DataType) -> Column:
+    """Whether a value is there but none of the type. Empty text and NaN count as no value."""
+    missing = text.isNull() | F.lower(F.trim(text)).isin("", "nan")
+    return ~missing & typed(text, kind).isNull()

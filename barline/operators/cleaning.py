@@ -4,27 +4,39 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from barline.functions.scalars import nan_to_null, to_second
+from barline.functions.scalars import typed, unreadable
 from barline.schema import LANDED, STAGED_FROM_LANDED
 
 
 def clean_bars(raw: DataFrame) -> DataFrame:
     """Landed types from raw bars: second-precision date (NULL if unreadable), no NaN.
 
-    Add ``sort_bars`` for the global sort, or leave rows unsorted and let the sink lay them out.
+    A value that cannot be read is NULL here; ``rejected_values`` lists it. Add ``sort_bars`` for the global sort, or
+    leave rows unsorted and let the sink lay them out.
     """
+    return raw.select(*(typed(F.col(f.name), f.dataType).alias(f.name) for f in LANDED))
 
-    def landed(field: T.StructField) -> Column:
-        value = F.col(field.name).try_cast(field.dataType)
-        if isinstance(field.dataType, T.TimestampNTZType):
-            value = to_second(value)
-        elif isinstance(field.dataType, T.DoubleType):
-            value = nan_to_null(value)
-        return value.alias(field.name)
 
-    return raw.select(*(landed(field) for field in LANDED))
+def rejected_values(raw: DataFrame) -> DataFrame:
+    """(symbol, date, column_name, value, reason) of every value that cleaning cannot read.
+
+    The reason is ``bad_date`` or ``bad_value``; empty cells and NaN are missing values, not bad ones.
+    """
+    found = [
+        F.when(
+            unreadable(F.col(f.name), f.dataType),
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.col(f.name).alias("value"),
+                F.lit("bad_date" if f.name == "date" else "bad_value").alias("reason"),
+            ),
+        )
+        for f in LANDED
+        if f.name != "symbol"
+    ]
+    return raw.select("symbol", "date", F.inline(F.array_compact(F.array(*found))))
 
 
 def sort_bars(bars: DataFrame) -> DataFrame:
@@ -43,11 +55,14 @@ def staging_sql(landed_table: str) -> str:
     return f"SELECT {columns} FROM {landed_table}"
 
 
-def date_range(landed: DataFrame, start: date, end: date) -> DataFrame:
-    """Landed bars from ``start`` to ``end``, both days included.
+def date_range(landed: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
+    """Landed bars from ``start`` to ``end``, both days included; an end left out is open.
 
     Compares the stored timestamp itself, so the filter reaches the file scan.
     """
-    midnight = F.lit(start.isoformat()).cast("timestamp_ntz")
-    next_midnight = F.lit((end + timedelta(days=1)).isoformat()).cast("timestamp_ntz")
-    return landed.filter((F.col("date") >= midnight) & (F.col("date") < next_midnight))
+    if start:
+        landed = landed.filter(F.col("date") >= F.lit(start.isoformat()).cast("timestamp_ntz"))
+    if end:
+        after = (end + timedelta(days=1)).isoformat()
+        landed = landed.filter(F.col("date") < F.lit(after).cast("timestamp_ntz"))
+    return landed

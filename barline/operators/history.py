@@ -1,32 +1,26 @@
 """Run window operators over histories of any length.
 
-A window is computed by one task per partition key. One symbol's history is short as long as
-(symbol, trade_date) is unique, but nothing stops a source from sending one symbol with a
-large share of all rows. Such histories are cut at month starts into chunks, each chunk is
-preceded by enough earlier rows to fill every frame (the warm-up), and the warm-up rows are
-dropped after the computation. The result is the same rows as without chunks.
+A window is computed by one task per partition key. Bars that are unique on (symbol, trade_date) bound
+a symbol's history by the calendar, and are computed whole. For sources without that bound, ``rows_per_chunk``
+cuts every history at month starts into chunks, each preceded by enough earlier
+rows to fill every frame (the warm-up), which are dropped after the computation. The result is
+the same rows either way.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import dataclass
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from barline.functions.frames import history
 
-# Rows of one symbol that are left uncut: four centuries of trading days.
-ROWS_PER_CHUNK = 100_000
-# Rows of all symbols that one task should get: a few hundred megabytes of shuffled bars.
-ROWS_PER_PARTITION = 5_000_000
-# More shuffle partitions than this cost more in bookkeeping than they save in size.
-MAX_PARTITIONS = 50_000
-# At most this many symbols can hold more than total / MAX_HOT_SYMBOLS rows each, and
-# their chunks are at most twice as many, which bounds what is broadcast below.
-MAX_HOT_SYMBOLS = 50_000
+# Bytes, as the plan estimates them, that one task should get.
+BYTES_PER_PARTITION = 256 << 20
+
+# What plans say of sources without a size, unless configured otherwise.
+_UNKNOWN = 2**63 - 1
 
 CHUNK, WARM_UP = "__chunk", "__warm_up"
 
@@ -38,62 +32,19 @@ def _day() -> Column:
     return F.coalesce(F.col("trade_date"), F.lit("0001-01-01").cast("date"))
 
 
-@dataclass(frozen=True)
-class Chunks:
-    """Chunk table: symbol, chunk, warm_from <= starts_on < ends_before (NULL for the last)."""
-
-    table: DataFrame
-
-    def assign(self, bars: DataFrame) -> DataFrame:
-        """Tag each row with its chunk, and repeat rows that warm up a later chunk."""
-        chunks = self.table.withColumnRenamed("symbol", "__symbol")
-        on = (
-            F.col("symbol").eqNullSafe(F.col("__symbol"))
-            & (_day() >= F.col("warm_from"))
-            & (F.col("ends_before").isNull() | (_day() < F.col("ends_before")))
-        )
-        return (
-            bars.join(F.broadcast(chunks), on, "left_outer")
-            .withColumns(
-                {
-                    CHUNK: F.coalesce("chunk", F.lit(0)),
-                    WARM_UP: F.coalesce(_day() < F.col("starts_on"), F.lit(False)),
-                }
-            )
-            .drop("__symbol", "chunk", "starts_on", "ends_before", "warm_from")
-        )
-
-
-def partitions_for(rows: int) -> int:
-    return min(math.ceil(rows / ROWS_PER_PARTITION), MAX_PARTITIONS)
-
-
-class HistorySizes(NamedTuple):
-    total: int
-    longest: int
-
-
-def history_sizes(bars: DataFrame) -> HistorySizes:
-    """Rows in all, and rows of the longest history. Reads only the symbol column."""
-    per_symbol = bars.groupBy("symbol").agg(F.count("*").alias("rows"))
-    total, longest = per_symbol.agg(F.sum("rows"), F.max("rows")).first()
-    return HistorySizes(total or 0, longest or 0)
-
-
-def plan_chunks(bars: DataFrame, lookback: int, rows_per_chunk: int, sizes: HistorySizes) -> Chunks:
-    """Cut the histories longer than ``rows_per_chunk``."""
-    limit = max(rows_per_chunk, math.ceil(sizes.total / MAX_HOT_SYMBOLS))
-    hot = (
-        bars.groupBy(F.col("symbol").alias("__symbol"))
-        .agg(F.count("*").alias("rows"))
-        .filter(F.col("rows") > limit)
-        .select("__symbol")
-    )
-    months = (
-        bars.join(F.broadcast(hot), F.col("symbol").eqNullSafe(F.col("__symbol")), "left_semi")
-        .groupBy("symbol", F.trunc(_day(), "month").alias("month"))
-        .agg(F.count("*").alias("rows"))
-    )
+def partitions_for(df: DataFrame) -> int:
+    """Partitions that the size of what ``df`` reads asks for, as its plan knows it without running anything.
+
+    Sources of unknown size, such as rows of the driver, ask for none beyond the first.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(1, math.ceil(sum(size for size in sizes if size < _UNKNOWN) / BYTES_PER_PARTITION))
+
+
+def plan_chunks(bars: DataFrame, lookback: int, rows_per_chunk: int) -> DataFrame:
+    """symbol, chunk, warm_from <= starts_on < ends_before (NULL for the last), from one count by month."""
+    months = bars.groupBy("symbol", F.trunc(_day(), "month").alias("month")).agg(F.count("*").alias("rows"))
     # A symbol has at most 12 months for each year of the calendar, so these windows stay small.
     by_month = Window.partitionBy("symbol").orderBy("month")
     before = F.coalesce(F.sum("rows").over(by_month.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -101,48 +52,65 @@ def plan_chunks(bars: DataFrame, lookback: int, rows_per_chunk: int, sizes: Hist
     by_rows = Window.partitionBy("symbol").orderBy("before")
     reach = F.max("month").over(by_rows.rangeBetween(Window.unboundedPreceding, -lookback))
     first = F.min("month").over(Window.partitionBy("symbol"))
-    table = (
+    return (
         months.withColumn("before", before)
-        .withColumn("chunk", F.floor(F.col("before") / limit).cast("int"))
+        .withColumn("chunk", F.floor(F.col("before") / rows_per_chunk).cast("int"))
         .withColumn("warm_from", F.coalesce(reach, first))
         .groupBy("symbol", "chunk")
         .agg(F.min("month").alias("starts_on"), F.min("warm_from").alias("warm_from"))
         .withColumn("ends_before", F.lead("starts_on").over(Window.partitionBy("symbol").orderBy("chunk")))
     )
-    return Chunks(table)
 
 
-def over_history(
-    bars: DataFrame, compute: Compute, lookback: int, rows_per_chunk: int | None = ROWS_PER_CHUNK
-) -> DataFrame:
+def assign_chunks(bars: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Tag each row with its chunk, and repeat rows that warm up a later chunk.
+
+    Adaptive execution splits the rows of a hot symbol in this join, or broadcasts the chunks if they are few.
+    """
+    on = (
+        F.col("symbol").eqNullSafe(F.col("__symbol"))
+        & (_day() >= F.col("warm_from"))
+        & (F.col("ends_before").isNull() | (_day() < F.col("ends_before")))
+    )
+    return (
+        bars.join(chunks.withColumnRenamed("symbol", "__symbol"), on)
+        .withColumns({CHUNK: F.col("chunk"), WARM_UP: _day() < F.col("starts_on")})
+        .drop("__symbol", "chunk", "starts_on", "ends_before", "warm_from")
+    )
+
+
+def over_history(bars: DataFrame, compute: Compute, lookback: int, rows_per_chunk: int | None = None) -> DataFrame:
     """Apply ``compute(rows, window)`` to each symbol's history.
 
     ``compute`` may add columns but must keep the rows; ``lookback`` is the number of earlier
-    rows its result can depend on. Sizes are measured first; pass ``rows_per_chunk=None`` to save
-    that job where histories are known to be short and shuffle partitions to be enough. Measuring
-    and cutting read ``bars`` up to three times more, so they should come from a stored table.
+    rows its result can depend on. Cutting reads ``bars`` twice, so they should then come from a stored table.
     """
     if rows_per_chunk is None:
-        return compute(bars, history("symbol"))
-    sizes = history_sizes(bars)
-    if sizes.longest <= rows_per_chunk:
-        return compute(_spread(bars, sizes.total, "symbol"), history("symbol"))
-    cut = plan_chunks(bars, lookback, rows_per_chunk, sizes).assign(bars)
-    computed = compute(_spread(cut, sizes.total, "symbol", CHUNK), history("symbol", CHUNK))
+        return compute(spread(bars, "symbol"), history("symbol"))
+    cut = assign_chunks(bars, plan_chunks(bars, lookback, rows_per_chunk))
+    computed = compute(spread(cut, "symbol", CHUNK), history("symbol", CHUNK))
     return computed.filter(~F.col(WARM_UP)).drop(CHUNK, WARM_UP)
 
 
-def _spread(bars: DataFrame, total: int, *keys: str) -> DataFrame:
-    """Use more shuffle partitions than configured when there are too many rows for those.
+def spread(bars: DataFrame, *keys: str) -> DataFrame:
+    """Use more shuffle partitions than configured where the size asks for them.
 
     Adaptive execution merges small partitions but cannot split one that feeds a window.
     """
-    partitions = partitions_for(total)
+    partitions = partitions_for(bars)
     configured = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return bars.repartition(partitions, *keys) if partitions > configured else bars
 
 
-def latest_rows(bars: DataFrame, n: int) -> DataFrame:
-    """The last ``n`` rows of each symbol; Spark trims each input partition before the shuffle."""
-    newest_first = Window.partitionBy("symbol").orderBy(F.desc("trade_date"))
-    return bars.withColumn("__age", F.row_number().over(newest_first)).filter(F.col("__age") <= n).drop("__age")
+def recent_rows(bars: DataFrame, since: Column, lookback: int) -> DataFrame:
+    """Rows from ``since`` on and the last ``lookback`` rows of each symbol before.
+
+    Ranks and counts use the partitioning and order of the indicators, so what follows needs no other shuffle or sort.
+    """
+    in_order = history("symbol")
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    earlier = F.count_if(F.col("trade_date") < since).over(whole)
+    # Rows without a date come first in the order and belong to no day.
+    undated = F.count_if(F.col("trade_date").isNull()).over(whole)
+    placed = bars.withColumns({"__place": F.row_number().over(in_order), "__earlier": earlier + undated})
+    return placed.filter(F.col("__place") > F.col("__earlier") - lookback).drop("__place", "__earlier")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 class QualityError(RuntimeError):
@@ -44,25 +44,52 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def check(df: DataFrame, constraints: Constraints) -> DataFrame:
-    """(check_name, column_name, failures) for every declared constraint."""
+    """(check_name, column_name, failures) for every declared constraint, in one pass where the keys allow.
+
+    The rows of each key serve both kinds if the columns that must not be NULL are among the key's.
+    """
+    keys = constraints.unique[0] if len(constraints.unique) == 1 else ()
+    if keys and set(constraints.not_null) <= set(keys):
+        groups = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
+        repeated = F.col("__rows") > 1
+        if len(keys) == 1:
+            repeated = repeated & F.col(keys[0]).isNotNull()
+        failures = [
+            ("not_null", c, F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("__rows"))), F.lit(0)))
+            for c in constraints.not_null
+        ]
+        failures.append(("unique", ", ".join(keys), F.count_if(repeated)))
+        return groups.agg(
+            F.array(
+                *(
+                    F.struct(F.lit(kind).alias("check_name"), F.lit(name).alias("column_name"), count.alias("failures"))
+                    for kind, name, count in failures
+                )
+            ).alias("found")
+        ).select(F.inline("found"))
     results = []
     if constraints.not_null:
-        results.append(
-            null_violations(df, constraints.not_null).select(
-                F.lit("not_null").alias("check_name"), "column_name", "failures"
-            )
-        )
+        nulls = null_violations(df, constraints.not_null)
+        results.append(nulls.select(F.lit("not_null").alias("check_name"), "column_name", "failures"))
     for keys in constraints.unique:
-        results.append(
-            duplicate_keys(df, keys)
-            .agg(F.count("*").alias("failures"))
-            .select(
-                F.lit("unique").alias("check_name"), F.lit(", ".join(keys)).alias("column_name"), "failures"
-            )
-        )
+        counted = duplicate_keys(df, keys).agg(F.count("*").alias("failures"))
+        name = F.lit(", ".join(keys)).alias("column_name")
+        results.append(counted.select(F.lit("unique").alias("check_name"), name, "failures"))
     return reduce(DataFrame.unionByName, results)
 
 
+def null_counts(constraints: Constraints) -> dict[str, Column]:
+    """Aggregates for ``write_table`` to observe: rows with a NULL, by column."""
+    return {c: F.count_if(F.col(c).isNull()) for c in constraints.not_null}
+
+
+def require_none(nulls: Mapping[str, int], layer: str) -> None:
+    """Raise ``QualityError`` if an observed column had NULLs."""
+    failed = [f"not_null({column}): {n}" for column, n in nulls.items() if n]
+    if failed:
+        raise QualityError(f"{layer}: {'; '.join(failed)}")
+
+
 def require(df: DataFrame, constraints: Constraints, layer: str) -> None:
     """Raise ``QualityError`` if ``layer`` breaks a constraint. Collects one row per constraint."""
     failed = [

@@ -15,10 +15,23 @@ BAND_LABELS = ("ABOVE_UPPER_BAND", "BELOW_LOWER_BAND", "WITHIN_BANDS")
 
 # Columns of the signals fact, in order.
 SIGNAL_COLUMNS = (
-    "symbol trade_date close ma_20 ma_50 ma_200 rsi_14 macd_approx macd_signal_approx "
-    "bollinger_upper bollinger_lower volatility_annualized "
-    "trend_signal rsi_signal macd_trend_signal bollinger_signal"
-).split()
+    "symbol",
+    "trade_date",
+    "close",
+    "ma_20",
+    "ma_50",
+    "ma_200",
+    "rsi_14",
+    "macd_approx",
+    "macd_signal_approx",
+    "bollinger_upper",
+    "bollinger_lower",
+    "volatility_annualized",
+    "trend_signal",
+    "rsi_signal",
+    "macd_trend_signal",
+    "bollinger_signal",
+)
 
 
 def _label(labels: tuple[str, ...], *conditions: Column) -> Column:

@@ -12,15 +12,35 @@ from pyspark.sql import DataFrame, WindowSpec, functions as F
 
 from barline.functions.frames import Passes, run, together
 from barline.operators import indicators as ind
-from barline.operators.history import ROWS_PER_CHUNK, latest_rows, over_history
+from barline.operators.history import over_history, recent_rows, spread
 
 # Columns of the daily metrics, in order.
 METRIC_COLUMNS = (
-    "symbol trade_date open high low close volume adj_close "
-    "daily_change daily_change_pct daily_range daily_volatility_pct daily_value_traded "
-    "daily_pct_change daily_log_return ma_20 ma_50 ma_200 bollinger_upper bollinger_lower "
-    "volatility_annualized rsi_14 macd_approx macd_signal_approx"
-).split()
+    "symbol",
+    "trade_date",
+    "open",
+    "high",
+    "low",
+    "close",
+    "volume",
+    "adj_close",
+    "daily_change",
+    "daily_change_pct",
+    "daily_range",
+    "daily_volatility_pct",
+    "daily_value_traded",
+    "daily_pct_change",
+    "daily_log_return",
+    "ma_20",
+    "ma_50",
+    "ma_200",
+    "bollinger_upper",
+    "bollinger_lower",
+    "volatility_annualized",
+    "rsi_14",
+    "macd_approx",
+    "macd_signal_approx",
+)
 
 _KEY = ("symbol", "trade_date")
 _INPUTS = (*_KEY, "open", "high", "low", "close", "volume", "adj_close")
@@ -48,7 +68,7 @@ def _indicator(
     return computed.select(*_KEY, *outputs)
 
 
-def daily_metrics(staged: DataFrame, rows_per_chunk: int | None = ROWS_PER_CHUNK) -> DataFrame:
+def daily_metrics(staged: DataFrame, rows_per_chunk: int | None = None) -> DataFrame:
     """All per-day metrics: one shuffle by symbol, one sort and three window passes.
 
     The plain price statistics come last, so they do not travel through the shuffle.
@@ -69,19 +89,15 @@ def daily_metrics(staged: DataFrame, rows_per_chunk: int | None = ROWS_PER_CHUNK
     return computed.withColumns(ind.price_stats()).select(*METRIC_COLUMNS)
 
 
-def daily_metrics_since(
-    staged: DataFrame, since: date, rows_per_chunk: int | None = ROWS_PER_CHUNK
-) -> DataFrame:
+def daily_metrics_since(staged: DataFrame, since: date) -> DataFrame:
     """Metrics from ``since`` on, equal to the same rows of the full run.
 
-    Only the last ``LOOKBACK`` rows of each symbol before ``since`` are shuffled and computed; a
-    plain date filter would leave the frames half empty.
+    One scan and one shuffle: bars before the last ``LOOKBACK`` of each symbol are dropped after it,
+    before anything is computed. A plain date filter would leave the frames half empty.
     """
     day = F.lit(since)
-    bars = staged.select(*_INPUTS)
-    earlier = latest_rows(bars.filter(F.col("trade_date") < day), LOOKBACK)
-    recent = bars.filter(F.col("trade_date") >= day)
-    return daily_metrics(earlier.unionByName(recent), rows_per_chunk).filter(F.col("trade_date") >= day)
+    rows = recent_rows(spread(staged.select(*_INPUTS), "symbol"), day, LOOKBACK)
+    return daily_metrics(rows).filter(F.col("trade_date") >= day)
 
 
 def daily_price_stats(staged: DataFrame) -> DataFrame:
@@ -90,7 +106,7 @@ def daily_price_stats(staged: DataFrame) -> DataFrame:
     return staged.select(*_KEY, *(column.alias(name) for name, column in stats.items()))
 
 
-def daily_returns(staged: DataFrame, rows_per_chunk: int | None = ROWS_PER_CHUNK) -> DataFrame:
+def daily_returns(staged: DataFrame, rows_per_chunk: int | None = None) -> DataFrame:
     """Simple and log return of the adjusted close."""
     outputs = ["daily_pct_change", "daily_log_return"]
     return _indicator(staged, ind.returns, ["adj_close"], outputs, 1, rows_per_chunk)
@@ -99,7 +115,7 @@ def daily_returns(staged: DataFrame, rows_per_chunk: int | None = ROWS_PER_CHUNK
 def moving_averages(
     staged: DataFrame,
     periods: Sequence[int] = ind.AVERAGE_PERIODS,
-    rows_per_chunk: int | None = ROWS_PER_CHUNK,
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """``ma_<n>`` of the adjusted close for each period."""
     return _indicator(
@@ -116,7 +132,7 @@ def bollinger_bands(
     staged: DataFrame,
     period: int = ind.BAND_PERIOD,
     width: float = ind.BAND_WIDTH,
-    rows_per_chunk: int | None = ROWS_PER_CHUNK,
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """Rolling deviation and bands of the adjusted close."""
     return _indicator(
@@ -130,7 +146,7 @@ def bollinger_bands(
 
 
 def volatility_annualized(
-    staged: DataFrame, period: int = ind.VOLATILITY_PERIOD, rows_per_chunk: int | None = ROWS_PER_CHUNK
+    staged: DataFrame, period: int = ind.VOLATILITY_PERIOD, rows_per_chunk: int | None = None
 ) -> DataFrame:
     """Annualised deviation of the log returns."""
     return _indicator(
@@ -143,13 +159,13 @@ def volatility_annualized(
     )
 
 
-def gain_loss(staged: DataFrame, rows_per_chunk: int | None = ROWS_PER_CHUNK) -> DataFrame:
+def gain_loss(staged: DataFrame, rows_per_chunk: int | None = None) -> DataFrame:
     """Upward and downward part of the daily change of the close."""
     return _indicator(staged, ind.gain_loss, ["close"], ["gain", "loss"], 1, rows_per_chunk)
 
 
 def rsi(
-    staged: DataFrame, period: int = ind.RSI_PERIOD, rows_per_chunk: int | None = ROWS_PER_CHUNK
+    staged: DataFrame, period: int = ind.RSI_PERIOD, rows_per_chunk: int | None = None
 ) -> DataFrame:
     """Relative strength index of the close."""
     return _indicator(
@@ -162,7 +178,7 @@ def macd(
     fast: int = ind.MACD_FAST,
     slow: int = ind.MACD_SLOW,
     signal: int = ind.MACD_SIGNAL,
-    rows_per_chunk: int | None = ROWS_PER_CHUNK,
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """Difference of two moving averages of the close, and its signal line."""
     return _indicator(

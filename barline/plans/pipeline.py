@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from barline.operators import quality
-from barline.operators.cleaning import clean_bars, staging_sql
-from barline.operators.history import ROWS_PER_CHUNK, history_sizes, partitions_for
+from barline.operators.cleaning import clean_bars, date_range, rejected_values, staging_sql
+from barline.operators.history import partitions_for
 from barline.operators.signals import trade_signals
 from barline.operators.summary import symbol_summary
 from barline.plans.metrics import daily_metrics
-from barline.schema import PAYLOAD, RAW
-from barline.sources.files import read_bars_csv, write_bars_csv
-from barline.sources.payloads import bars_from_payloads, quarantine, require_data
-from barline.sources.tables import ensure_database, write_table
+from barline.schema import PAYLOAD
+from barline.session import scratch_path
+from barline.sources.files import read_raw_csv, write_bars_csv
+from barline.sources.payloads import NoDataError, bars_of, judged_records, rejected_of
+from barline.sources.tables import Buckets, ensure_database, register, table_path, write_table
+
+log = logging.getLogger(__name__)
+
+# Rejected symbols or values named in the log; the count is always complete.
+_NAMED = 20
 
 
 @dataclass(frozen=True)
@@ -30,63 +38,141 @@ class Layers:
     loaded_rows: int
 
 
-def ingest_files(spark: SparkSession, source: str, target: str, rejected: str | None = None) -> bool:
+def _report(rejected: DataFrame, what: str) -> int:
+    """Log how many rejections there are and the first of them."""
+    number = rejected.count()
+    if number:
+        first = "; ".join(" ".join(map(str, row)) for row in rejected.limit(_NAMED).collect())
+        log.warning("%d rejected %s, among them: %s", number, what, first)
+    return number
+
+
+def ingest_files(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    rejected: str | None = None,
+    start: date | None = None,
+    end: date | None = None,
+) -> bool:
     """Write the bars of stored payloads as CSV, and what was not used to ``rejected``.
 
-    False, with ``target`` left alone, if no payload gave a bar.
+    ``start`` and ``end`` restrict the days, both included. The source is read and parsed once; rejections are logged in any case. False, with
+    ``target`` left alone, if no payload gave a bar.
     """
-    sent = spark.read.schema(PAYLOAD).parquet(source)
+    path = scratch_path(spark, "judged")
+    judged_records(spark.read.schema(PAYLOAD).parquet(source)).write.parquet(path)
+    judged = spark.read.parquet(path)
+    refused = rejected_of(judged)
+    _report(refused, "payloads")
     if rejected:
-        quarantine(sent).write.mode("overwrite").option("header", True).csv(rejected)
-    return write_bars_csv(bars_from_payloads(sent), target)
+        refused.write.mode("overwrite").option("header", True).csv(rejected)
+    return write_bars_csv(date_range(bars_of(judged), start, end), target)
 
 
-def clean_files(spark: SparkSession, source: str, target: str, files: int | None = None) -> bool:
-    """Clean raw CSV files into CSV sorted by symbol and date; False if there was nothing to clean."""
-    cleaned = clean_bars(read_bars_csv(spark, source, RAW))
-    return write_bars_csv(cleaned, target, in_order=True, files=files)
+def _reject(raw: DataFrame, rejected: str | None) -> None:
+    refused = rejected_values(raw)
+    _report(refused, "values")
+    if rejected:
+        refused.write.mode("overwrite").option("header", True).csv(rejected)
 
 
-def run_pipeline(
-    raw: DataFrame,
-    namespace: str,
-    location: str | None = None,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-) -> Layers:
-    """Rebuild every layer of ``namespace`` from raw bars; a failing check stops the run.
+def clean_files(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    files: int | None = None,
+    rejected: str | None = None,
+    start: date | None = None,
+    end: date | None = None,
+) -> bool:
+    """Clean raw CSV files into CSV sorted by symbol and date; False if there was nothing to clean.
 
-    Staging is a view, the other layers are tables in one database each, and each run replaces
-    them; without raw bars nothing is touched. Raw bars are landed as they come, without a shuffle. The metrics are
-    shuffled by symbol once and stored in those partitions, so the summary needs no shuffle. If a
-    symbol has more than ``rows_per_chunk`` rows, its history is computed in chunks instead and
-    the metrics table is left unbucketed.
+    Values that cannot be read become empty, are logged, and are listed in ``rejected``.
     """
-    spark = require_data(raw).sparkSession
+    raw = read_raw_csv(spark, source)
+    _reject(raw, rejected)
+    return write_bars_csv(date_range(clean_bars(raw), start, end), target, in_order=True, files=files)
+
+
+def build_files(
+    spark: SparkSession, source: str, namespace: str, location: str | None = None, rejected: str | None = None
+) -> Layers:
+    """``run_pipeline`` over raw CSV files; values that cannot be read are logged and listed in ``rejected``."""
+    raw = read_raw_csv(spark, source)
+    _reject(raw, rejected)
+    return run_pipeline(raw, namespace, location)
+
+
+def _tables(spark: SparkSession, namespace: str, location: str | None) -> Layers:
+    """The names of all layers, in databases at fixed folders."""
+    root = location or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{namespace}"
 
     def database(layer: str) -> str:
         name = f"{namespace}_{layer}"
-        ensure_database(spark, name, f"{location}/{layer}" if location else None)
+        ensure_database(spark, name, f"{root}/{layer}")
         return name
 
     landing, staging, intermediate, marts = map(database, ("landing", "staging", "intermediate", "marts"))
+    return Layers(
+        f"{landing}.bars",
+        f"{staging}.bars",
+        f"{intermediate}.daily_metrics",
+        f"{marts}.trade_signals",
+        f"{marts}.symbol_summary",
+        0,
+    )
+
+
+def _stage(spark: SparkSession, layers: Layers) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {layers.staged} AS {staging_sql(layers.landed)}")
+
+
+def open_layers(spark: SparkSession, namespace: str, location: str | None = None) -> Layers:
+    """Name the layers that an earlier run stored, in a session whose catalog does not know them.
+
+    The names read all rows; the bucketing of a layer is known to the run that writes it.
+    """
+    layers = _tables(spark, namespace, location)
+    for table in (layers.landed, layers.metrics, layers.signals, layers.summary):
+        if not spark.catalog.tableExists(table) and not register(spark, table, table_path(spark, table)):
+            raise NoDataError(f"{table} has not been built")
+    _stage(spark, layers)
+    return Layers(**{**vars(layers), "loaded_rows": spark.table(layers.landed).count()})
+
+
+def run_pipeline(raw: DataFrame, namespace: str, location: str | None = None) -> Layers:
+    """Rebuild every layer of ``namespace`` from raw bars; a failing check stops the run.
 
-    landed = f"{landing}.bars"
-    loaded = write_table(clean_bars(raw), landed)
-    quality.require(spark.table(landed), quality.LANDED_CONSTRAINTS, landed)
-
-    staged = f"{staging}.bars"
-    spark.sql(f"CREATE OR REPLACE VIEW {staged} AS {staging_sql(landed)}")
-    bars = spark.table(staged)
-    quality.require(bars, quality.STAGED_CONSTRAINTS, staged)
-
-    metrics, signals, summary = f"{intermediate}.daily_metrics", f"{marts}.trade_signals", f"{marts}.symbol_summary"
-    if history_sizes(bars).longest <= rows_per_chunk:
-        buckets = max(partitions_for(loaded), spark.sparkContext.defaultParallelism)
-        write_table(daily_metrics(bars.repartition(buckets, "symbol"), None), metrics, partitions=buckets)
-    else:
-        write_table(daily_metrics(bars, rows_per_chunk), metrics)
-
-    write_table(trade_signals(spark.table(metrics)), signals)
-    write_table(symbol_summary(spark.table(metrics)), summary)
-    quality.require(spark.table(summary), quality.SUMMARY_CONSTRAINTS, summary)
-    return Layers(landed, staged, metrics, signals, summary, loaded)
+    Staging is a view, the other layers are tables in one database each, and each run replaces
+    them, also in a session that does not know the last one. Landed bars are shuffled by symbol once and stored in those
+    buckets; uniqueness, metrics and summary then need no shuffle. Rows and missing keys are counted while landing:
+    without raw bars, or with a missing key, the last run stays as it was.
+    """
+    spark = raw.sparkSession
+    layers = _tables(spark, namespace, location)
+    cleaned = clean_bars(raw)
+    number = max(partitions_for(cleaned), spark.sparkContext.defaultParallelism)
+
+    def accept(counts: dict[str, int]) -> None:
+        if not counts["rows"]:
+            raise NoDataError("no bars to work on")
+        quality.require_none({c: counts[c] for c in quality.LANDED_CONSTRAINTS.not_null}, layers.landed)
+
+    loaded = write_table(
+        cleaned.repartition(number, "symbol"),
+        layers.landed,
+        buckets=Buckets(number, order="date"),
+        observed=quality.null_counts(quality.LANDED_CONSTRAINTS),
+        accept=accept,
+    )
+    _stage(spark, layers)
+    bars = spark.table(layers.staged)
+    quality.require(bars, quality.STAGED_CONSTRAINTS, layers.staged)
+
+    write_table(daily_metrics(bars), layers.metrics, buckets=Buckets(number))
+    metrics = spark.table(layers.metrics)
+    write_table(trade_signals(metrics), layers.signals)
+    write_table(symbol_summary(metrics), layers.summary)
+    quality.require(spark.table(layers.summary), quality.SUMMARY_CONSTRAINTS, layers.summary)
+    return Layers(**{**vars(layers), "loaded_rows": loaded})

@@ -24,10 +24,8 @@ LANDED = T.StructType(
     ]
 )
 
-# Raw bars carry the date as the text the source sent.
-RAW = T.StructType(
-    [T.StructField(f.name, T.StringType() if f.name == "date" else f.dataType) for f in LANDED]
-)
+# Raw bars are text throughout: a source may write any value in any way, and cleaning decides.
+RAW = T.StructType([T.StructField(f.name, T.StringType()) for f in LANDED])
 
 # Staged column -> SQL expression over a landed bar, in staged order.
 # The text form serves both the DataFrame step and the persistent staging view.

@@ -7,7 +7,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from barline.operators.cleaning import sort_bars
-from barline.schema import LANDED
+from barline.schema import LANDED, RAW
 
 log = logging.getLogger(__name__)
 
@@ -43,24 +43,36 @@ def read_bars_csv(
 def split_corrupt(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good bars, malformed rows with their text) of a ``PERMISSIVE`` read."""
     data = [name for name in read.columns if name != CORRUPT]
-    # Always true, but needs every column: each row is parsed whole whatever is selected later.
+    # Always true, but needs every column, so that each row is parsed whole whatever is selected
+    # later: the reader's own setting for this leaves out what the query does not name.
     parsed = F.hash(*data) >= -(2**31)
     good = read.filter(parsed & F.col(CORRUPT).isNull()).drop(CORRUPT)
     return good, read.filter(parsed & F.col(CORRUPT).isNotNull())
 
 
+def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Raw bars as text from CSV files with a header, which is checked; no cell stops the read.
+
+    Values in quotes may hold line breaks neither here nor in what ``write_bars_csv`` writes, so
+    large files are split among tasks.
+    """
+    return spark.read.schema(RAW).options(header=True, enforceSchema=False, mode="PERMISSIVE").csv(path)
+
+
 def write_bars_csv(bars: DataFrame, path: str, in_order: bool = False, files: int | None = None) -> bool:
     """Replace ``path`` with the bars as CSV; False, and nothing written, when there are none.
 
-    ``in_order`` sorts all rows by symbol and date. ``files`` sets how many files, and so how many
-    writing tasks, there are; leave it out unless a reader needs it.
+    ``in_order`` sorts all rows by symbol and date, within each file and from file to file. ``files`` sets how many files
+    at most, and so how many writing tasks, there are; leave it out unless a reader needs it.
     """
     if bars.isEmpty():
         log.warning("no bars to write to %s", path)
         return False
-    out = sort_bars(bars) if in_order else bars
-    if files:
-        # Merging sorted partitions keeps the order; otherwise a shuffle keeps the input parallel.
-        out = out.coalesce(files) if in_order else out.repartition(files)
+    if in_order and files:
+        out = bars.repartitionByRange(files, "symbol", "date").sortWithinPartitions("symbol", "date")
+    elif in_order:
+        out = sort_bars(bars)
+    else:
+        out = bars.repartition(files) if files else bars
     out.write.mode("overwrite").options(header=True, **_TIMESTAMP).csv(path)
     return True

@@ -11,42 +11,53 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from barline.functions.scalars import typed, unreadable
 from barline.schema import LANDED
 
 _FIELDS = [f for f in LANDED if f.name != "symbol"]
-_RECORDS = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
 
 
 class NoDataError(RuntimeError):
     """There are no bars."""
 
 
-def _records(payloads: DataFrame) -> DataFrame:
-    """symbol, record, reason: one row per record of a usable payload, else one with the reason.
+def judged_records(payloads: DataFrame) -> DataFrame:
+    """symbol, reason and record: one row per record of a usable payload, else one with the reason.
 
-    Records are parsed as string maps, since a struct schema would turn an object payload or a
-    missing field into NULL columns and hide the failure. A field counts as present when any
-    record has it.
-
-    The outer explode keeps Spark from testing ``reason`` below it, where the parse would be
-    repeated for each of its conditions.
+    The payload is parsed once, as the first of two elements of an array whose second is the payload's own digest: text
+    after the payload breaks the array or leaves the digest out of place. Records become string maps, since a
+    struct schema would turn an object payload or a missing field into NULL columns and hide the failure. A field counts as
+    present when any record has it. A record's own reason is ``bad_date`` or ``bad_value``.
     """
-    read = payloads.select("symbol", "payload", F.from_json("payload", _RECORDS).alias("records"))
+    digest = F.md5("payload")
+    parsed = F.try_parse_json(F.concat(F.lit("["), "payload", F.lit(',"'), digest, F.lit('"]')))
+    pair = F.try_variant_get(F.col("parsed"), "$", "array<variant>")
+    whole = (F.size("pair") == 2) & F.try_variant_get(F.col("pair")[1], "$", "string").eqNullSafe(digest)
+    read = (
+        payloads.select("symbol", "payload", parsed.alias("parsed"))
+        .withColumn("pair", pair)
+        .withColumn("body", F.when(F.coalesce(whole, F.lit(False)), F.try_element_at("pair", F.lit(1))))
+        .withColumn("items", F.try_variant_get("body", "$", "array<variant>"))
+        .withColumn("records", F.transform("items", lambda x: F.try_variant_get(x, "$", "map<string,string>")))
+    )
 
     def absent(name: str) -> Column:
         return ~F.exists("records", lambda record: F.map_contains_key(record, name))
 
-    bracketed = F.ltrim("payload", F.lit(" \t\r\n")).startswith("[")
     reason = (
-        F.when(F.try_parse_json("payload").isNull(), "not_json")
-        .when(~bracketed | F.col("records").isNull(), "not_array")
+        F.when(F.col("body").isNull(), "not_json")
+        .when(F.col("records").isNull(), "not_array")
         .when(F.exists("records", lambda record: record.isNull()), "not_array")
         .when(F.size("records") == 0, "empty")
         .when(reduce(or_, (absent(field.name) for field in _FIELDS)), "missing_field")
     )
     judged = read.select("symbol", "records", reason.alias("reason"))
+    # The outer explode keeps Spark from testing the reason below it, where the parse would be repeated.
     usable = F.when(F.col("reason").isNull(), F.col("records"))
-    return judged.select("symbol", "reason", F.explode_outer(usable).alias("record"))
+    rows = judged.select("symbol", "reason", F.explode_outer(usable).alias("record"))
+    bad = reduce(or_, (unreadable(F.col("record")[f.name], f.dataType) for f in _FIELDS if f.name != "date"))
+    own = F.when(_typed(_FIELDS[0]).isNull(), "bad_date").when(bad, "bad_value")
+    return rows.withColumn("reason", F.coalesce("reason", own))
 
 
 def _typed(field: T.StructField) -> Column:
@@ -54,26 +65,29 @@ def _typed(field: T.StructField) -> Column:
     value = F.col("record")[field.name]
     if field.name == "date":
         # The calendar date as written, without the time of day.
-        value = value.try_cast("timestamp_ntz").cast("date")
-    return value.try_cast(field.dataType).alias(field.name)
+        return value.try_cast("timestamp_ntz").cast("date").cast(field.dataType)
+    return typed(value, field.dataType)
+
+
+def bars_of(judged: DataFrame) -> DataFrame:
+    """Landed bars of judged records: those with a date."""
+    rows = judged.filter(F.col("record").isNotNull() & (F.col("reason").isNull() | (F.col("reason") == "bad_value")))
+    return rows.select("symbol", *(_typed(f).alias(f.name) for f in _FIELDS))
+
+
+def rejected_of(judged: DataFrame) -> DataFrame:
+    """(symbol, reason): payloads not used, rows dropped for ``bad_date``, and values lost for ``bad_value``."""
+    return judged.select("symbol", "reason").filter(F.col("reason").isNotNull()).distinct()
 
 
 def bars_from_payloads(payloads: DataFrame) -> DataFrame:
     """Landed bars of all usable payloads, in one pass over the table."""
-    rows = _records(payloads).select("symbol", *map(_typed, _FIELDS))
-    return rows.filter(F.col("date").isNotNull())
+    return bars_of(judged_records(payloads))
 
 
 def quarantine(payloads: DataFrame) -> DataFrame:
-    """(symbol, reason): payloads not used, and symbols with rows dropped for ``bad_date``."""
-    date = next(_typed(field) for field in _FIELDS if field.name == "date")
-    rows = _records(payloads).select("symbol", "reason", date)
-    bad_date = F.when(F.col("date").isNull(), "bad_date")
-    return (
-        rows.select("symbol", F.coalesce("reason", bad_date).alias("reason"))
-        .filter(F.col("reason").isNotNull())
-        .distinct()
-    )
+    """What ``rejected_of`` says of the payloads; store ``judged_records`` to read the source once for both."""
+    return rejected_of(judged_records(payloads))
 
 
 def require_data(bars: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from barline.schema import LANDED
 from barline.sources.files import read_bars_csv
@@ -19,38 +21,100 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
+def table_path(spark: SparkSession, table: str) -> str:
+    """The folder of a table: its name within the folder of its database."""
+    database, name = table.rsplit(".", 1) if "." in table else (spark.catalog.currentDatabase(), table)
+    return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name}"
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Layout of a table whose later windows and aggregates on ``key`` need no shuffle."""
+
+    number: int
+    key: str = "symbol"
+    order: str = "trade_date"
+
+
+def _folder(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """The file system of a path, and the path, as Hadoop sees them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def register(spark: SparkSession, table: str, path: str, buckets: Buckets | None = None) -> bool:
+    """Let ``table`` name the Parquet files of ``path``; False if there are none.
+
+    A catalog that lives no longer than its session forgets names, not files.
+    """
+    files, folder = _folder(spark, path)
+    if not files.exists(folder):
+        return False
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    layout = f"CLUSTERED BY ({buckets.key}) SORTED BY ({buckets.order}) INTO {buckets.number} BUCKETS" if buckets else ""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING PARQUET {layout} LOCATION '{path}'")
+    return True
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
 def write_table(
     df: DataFrame,
     table: str,
     disposition: str = "truncate",
-    partitions: int | None = None,
-    key: str = "symbol",
-    order: str = "trade_date",
+    buckets: Buckets | None = None,
+    observed: Mapping[str, Column] | None = None,
+    accept: Callable[[Mapping[str, int]], None] = lambda counts: None,
 ) -> int:
     """Write a Parquet table and return the number of rows written.
 
     ``disposition`` is ``truncate`` (replace), ``append``, or ``empty`` (the table must be
-    absent or have no rows). With ``partitions`` the table is bucketed by ``key`` and sorted
-    within buckets, so later windows and aggregates on ``key`` need no shuffle.
+    absent or have no rows). Files lie in ``table_path``, whether or not this session knows the table yet. A table is
+    replaced only when its new rows are complete and ``accept``, called with the
+    ``observed`` aggregates and the number of ``rows``, has not raised.
     """
-    spark = df.sparkSession
-    if disposition == "empty" and spark.catalog.tableExists(table) and not spark.table(table).isEmpty():
+    spark, path = df.sparkSession, table_path(df.sparkSession, table)
+    known = spark.catalog.tableExists(table) or (disposition != "truncate" and register(spark, table, path, buckets))
+    if disposition == "empty" and known and not spark.table(table).isEmpty():
         raise TableNotEmptyError(table)
-    mode = {"truncate": "overwrite", "append": "append", "empty": "append"}[disposition]
 
     counted = Observation()
-    out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    if partitions:
-        writer = out.repartition(partitions, key).write.bucketBy(partitions, key).sortBy(key, order)
+    out = df.observe(counted, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in (observed or {}).items()))
+    if disposition != "truncate" and known:
+        out.write.format("parquet").mode("append").saveAsTable(table)
+        accept(counted.get)
+        return counted.get["rows"]
+
+    following = f"{path}__next"
+    if buckets:
+        # Bucketed files can only be written under a table's name.
+        name = f"{table}__next"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        writer = out.write.bucketBy(buckets.number, buckets.key).sortBy(buckets.key, buckets.order)
+        writer.option("path", following).format("parquet").mode("overwrite").saveAsTable(name)
+        spark.sql(f"DROP TABLE {name}")
     else:
-        writer = out.write
-    writer.format("parquet").mode(mode).saveAsTable(table)
+        out.write.mode("overwrite").parquet(following)
+    try:
+        accept(counted.get)
+    except Exception:
+        remove(spark, following)
+        raise
+    files, new = _folder(spark, following)
+    files.delete(_folder(spark, path)[1], True)
+    files.rename(new, _folder(spark, path)[1])
+    register(spark, table, path, buckets)
     return counted.get["rows"]
 
 
 def load_bars(spark: SparkSession, csv_path: str, table: str, **layout: Any) -> int:
     """Replace ``table`` with the bars of CSV files; the loaded row count."""
-    return write_table(read_bars_csv(spark, csv_path, LANDED), table, order="date", **layout)
+    return write_table(read_bars_csv(spark, csv_path, LANDED), table, **layout)
 
 
 def run_sql(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:

@@ -121,13 +121,27 @@ def landed_bars_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars as a source sends them: date as text with time and zone mark, NaN for a missing value."""
+    """Bars as a source sends them: all text, date with time and zone mark, NaN for a missing value."""
     landed = landed_bars(spark, sf_dir)
     text = F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("T16:00:00.250Z"))
-    missing = F.col("divCash") > 0
-    return landed.withColumns(
-        {"date": text, "adjHigh": F.when(missing, F.lit(float("nan"))).otherwise(F.col("adjHigh"))}
-    ).select(*RAW.names)
+    missing = F.when(F.col("divCash") > 0, "NaN").otherwise(F.col("adjHigh").cast("string"))
+    others = (F.col(name).cast("string").alias(name) for name in RAW.names if name not in ("date", "adjHigh"))
+    return landed.select(*others, text.alias("date"), missing.alias("adjHigh")).select(*RAW.names)
+
+
+def damaged_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw bars with cells spoilt by the day of the month: a whole number written as ``11.0`` (day 3), a word for a
+    price (5), an empty price (7), NaN (9), an unreadable date (11) and a fractional volume (13)."""
+    day = F.dayofmonth(F.substring("date", 1, 10).cast("date"))
+    spoilt = {
+        "volume": F.when(day == 3, F.concat("volume", F.lit(".0"))).when(day == 13, F.concat("volume", F.lit(".5"))),
+        "close": F.when(day == 5, "abc"),
+        "high": F.when(day == 7, ""),
+        "low": F.when(day == 9, "NaN"),
+        "date": F.when(day == 11, "some day"),
+    }
+    raw = raw_bars(spark, sf_dir)
+    return raw.select(*(F.coalesce(spoilt[c], F.col(c)).alias(c) if c in spoilt else F.col(c) for c in raw.columns))
 
 
 def dirty_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,11 +158,12 @@ def dirty_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(supplier_symbol("s_suppkey").alias("symbol"))
+    """Symbols numbered as the customers are, most of which no supplier's bars bear."""
+    return table(spark, sf_dir, "customer").select(supplier_symbol("c_custkey").alias("symbol"))
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON payload per supplier; each of the first seven nations breaks its own in one way.
+    """One JSON payload per supplier; each of the first ten nations has a way of its own.
 
     A payload holds one record per trading day, so its size is bounded by the date range.
     """
@@ -157,15 +172,24 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     day = F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     bars = landed_bars(spark, sf_dir).join(nation, "symbol").withColumn("date", day)
-    # Nation 4 leaves out the volume, nation 6 has an unreadable date on dividend days.
+    # Nation 4 leaves out the volume, nation 6 has an unreadable date on dividend days, nation 7 writes whole
+    # numbers with a fraction, nation 8 has a word for the price on dividend days.
     bars = bars.withColumn(
         "date", F.when((F.col("nation") == 6) & (F.col("divCash") > 0), "soon").otherwise(F.col("date"))
     )
     fields = [name for name in LANDED.names if name != "symbol"]
     options = {"ignoreNullFields": "false"}
-    record = F.when(
-        F.col("nation") == 4, F.to_json(F.struct(*(f for f in fields if f != "volume")), options)
-    ).otherwise(F.to_json(F.struct(*fields), options))
+
+    def record_with(**changed: Column) -> Column:
+        return F.to_json(F.struct(*(changed[f].alias(f) if f in changed else F.col(f) for f in fields)), options)
+
+    word = F.when(F.col("divCash") > 0, "abc").otherwise(F.col("close").cast("string"))
+    record = (
+        F.when(F.col("nation") == 4, F.to_json(F.struct(*(f for f in fields if f != "volume")), options))
+        .when(F.col("nation") == 7, record_with(volume=F.col("volume").cast("double")))
+        .when(F.col("nation") == 8, record_with(close=word))
+        .otherwise(record_with())
+    )
     body = F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]"))
     sent = bars.groupBy("symbol", "nation").agg(body.alias("body"))
     broken = (
@@ -174,6 +198,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("nation") == 2, "[]")
         .when(F.col("nation") == 3, '{"detail":"x"}')
         .when(F.col("nation") == 5, F.concat(F.expr("left(body, length(body) - 1)"), F.lit(",7]")))
+        .when(F.col("nation") == 9, F.concat("body", F.lit(" and so on")))
         .otherwise(F.col("body"))
     )
     return sent.select("symbol", broken.alias("payload"))

@@ -9,18 +9,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Column -> decimals kept; fewer where values are of the size of prices.
-DIGITS = {
-    "daily_log_return": 6,
-    "volatility_annualized": 6,
-    "avg_volatility": 6,
-    "stddev_20": 4,
-    "bollinger_upper": 4,
-    "bollinger_lower": 4,
-    "bolinger_up": 4,
-    "bolinger_down": 4,
-    "macd_signal_approx": 4,
-}
+# Column -> decimals kept.
+DIGITS = dict.fromkeys(
+    (
+        "daily_log_return",
+        "volatility_annualized",
+        "avg_volatility",
+        "stddev_20",
+        "bollinger_upper",
+        "bollinger_lower",
+        "bolinger_up",
+        "bolinger_down",
+        "macd_signal_approx",
+    ),
+    6,
+)
 
 
 def comparable(df: DataFrame) -> DataFrame:

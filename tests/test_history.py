@@ -42,8 +42,7 @@ def test_chunks_do_not_change_the_metrics(skewed, rows_per_chunk):
 
 
 def test_chunks_are_small_and_cover_every_row_once(skewed):
-    sizes = history.history_sizes(skewed)
-    tagged = history.plan_chunks(skewed, m.LOOKBACK, 100, sizes).assign(skewed)
+    tagged = history.assign_chunks(skewed, history.plan_chunks(skewed, m.LOOKBACK, 100))
     own = tagged.filter(~F.col(history.WARM_UP))
     assert own.count() == skewed.count()
     per_chunk = own.groupBy("symbol", history.CHUNK).count()
@@ -55,25 +54,18 @@ def test_chunks_are_small_and_cover_every_row_once(skewed):
     assert most < 100 + m.LOOKBACK + 3 * 31
 
 
-def test_sizes(spark, skewed):
-    hot = skewed.filter("symbol = 'HOT'").count()
-    assert history.history_sizes(skewed) == (hot + 90, hot)
-    assert history.history_sizes(skewed.filter("false")) == (0, 0)
-
-
-def test_short_histories_are_not_cut(skewed):
-    assert history.CHUNK not in plan_of(m.daily_metrics(skewed, 10_000))
-    assert history.CHUNK in plan_of(m.daily_metrics(skewed, 100))
-
-
-def test_partitions_follow_the_number_of_rows(skewed, monkeypatch):
-    monkeypatch.setattr(history, "ROWS_PER_PARTITION", 100)
-    partitions = -(-skewed.count() // 100)
-    for rows_per_chunk, keys in ((10_000, "symbol"), (100, f"symbol.*{history.CHUNK}")):
-        out = m.daily_metrics(skewed, rows_per_chunk)
-        exchanges = re.findall(rf"Exchange hashpartitioning\({keys}#\d+, (\d+)\)", plan_of(out))
-        assert exchanges == [str(partitions)]
-        assert out.count() == skewed.count()
+@pytest.mark.parametrize("rows_per_chunk", [None, 100])
+def test_partitions_follow_the_size_on_every_path(spark, skewed, monkeypatch, tmp_path, rows_per_chunk):
+    skewed.write.parquet(str(tmp_path / "bars"))
+    bars = spark.read.parquet(str(tmp_path / "bars"))
+    monkeypatch.setattr(history, "BYTES_PER_PARTITION", 2_000)
+    keys = "symbol" if rows_per_chunk is None else f"symbol.*{history.CHUNK}"
+    out = m.daily_metrics(bars, rows_per_chunk)
+    exchanges = [int(n) for n in re.findall(rf"Exchange hashpartitioning\({keys}#\d+, (\d+)\)", plan_of(out))]
+    assert exchanges and max(exchanges) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert out.count() == bars.count()
+    monkeypatch.setattr(history, "BYTES_PER_PARTITION", 1)
+    assert history.partitions_for(bars) > 1000
 
 
 def test_rows_without_symbol_or_date_survive_chunking(spark, skewed):
@@ -92,6 +84,20 @@ def test_slice_equals_full_run(skewed):
     assert by_day(m.daily_metrics_since(skewed, since), "*") == by_day(full, "*")
 
 
+def test_slice_with_rows_without_a_date(spark, skewed):
+    bars = skewed.unionByName(spark.createDataFrame([("HOT", None, *[1.0] * 4, 1, 1.0)], BARS))
+    since = date(1993, 1, 1)
+    full = m.daily_metrics(bars).filter(F.col("trade_date") >= F.lit(since))
+    assert by_day(m.daily_metrics_since(bars, since), "*") == by_day(full, "*")
+
+
+def test_slice_is_one_scan_one_shuffle_and_one_sort(spark, skewed, tmp_path):
+    path = str(tmp_path / "bars")
+    skewed.write.parquet(path)
+    plan = plan_of(m.daily_metrics_since(spark.read.parquet(path), date(1993, 1, 1)))
+    assert plan.count("FileScan") == plan.count("Exchange") == plan.count("Sort [") == 1
+
+
 def test_one_shuffle_and_three_window_passes(spark, skewed, tmp_path):
     path = str(tmp_path / "bars")
     skewed.write.parquet(path)

@@ -7,10 +7,11 @@ from types import SimpleNamespace
 import pytest
 
 from barline.operators import quality
-from barline.operators.cleaning import clean_bars, date_range, sort_bars, stage_bars, staging_sql
+from barline.operators.cleaning import clean_bars, date_range, rejected_values, sort_bars, stage_bars, staging_sql
 from barline.schema import LANDED, PAYLOAD, RAW
 from barline.session import scratch_path
 from barline.sources import files, payloads, tables
+from testbed.bars import landed_bars
 
 FIELDS = [name for name in LANDED.names if name != "symbol"]
 
@@ -39,6 +40,13 @@ def sent(spark):
         "SOON": json.dumps([record("soon"), record()]),
         "WORDS": json.dumps([record(close="high")]),
         "SPACED": "  \n" + good,
+        "WHOLE": good.replace("9007199254740993", "1000.0"),
+        "EXPONENT": good.replace("9007199254740993", "1e3"),
+        "HALF": good.replace("9007199254740993", "10.5"),
+        "TRAILING": good + " and more",
+        "TWICE": good + good,
+        "LISTED": good + "," + good,
+        "CLOSED": good + "] and more",
     }
     return spark.createDataFrame(list(rows.items()), PAYLOAD)
 
@@ -47,7 +55,10 @@ def test_payload_rows(sent):
     bars = payloads.bars_from_payloads(sent)
     assert bars.schema.simpleString() == LANDED.simpleString()
     counts = {r.symbol: r["count"] for r in bars.groupBy("symbol").count().collect()}
-    assert counts == {"GOOD": 2, "SPACED": 2, "SPREAD": 2, "SOON": 1, "WORDS": 1}
+    usable = {"GOOD": 2, "SPACED": 2, "SPREAD": 2, "SOON": 1, "WORDS": 1, "WHOLE": 2, "EXPONENT": 2, "HALF": 2}
+    assert counts == usable
+    volumes = {r.symbol: r.volume for r in bars.filter("symbol in ('WHOLE', 'EXPONENT', 'HALF')").collect()}
+    assert volumes == {"WHOLE": 1000, "EXPONENT": 1000, "HALF": None}
     first, second = bars.filter("symbol = 'GOOD'").orderBy("date").collect()
     assert first.date == datetime(2024, 1, 2) and second.date == datetime(2024, 1, 3)
     assert first.volume == 9007199254740993 and first.close == 1.5 and second.close is None
@@ -67,6 +78,9 @@ def test_quarantine_reasons(sent):
         "MIXED": "not_array",
         "HOLE": "not_array",
         "SOON": "bad_date",
+        "WORDS": "bad_value",
+        "HALF": "bad_value",
+        **dict.fromkeys(("TRAILING", "TWICE", "LISTED", "CLOSED"), "not_json"),
     }
 
 
@@ -81,16 +95,18 @@ def test_symbols_without_bars(spark, sent):
     universe = sent.select("symbol")
     missing = payloads.symbols_without_bars(universe, payloads.bars_from_payloads(sent))
     assert {r.symbol for r in missing.collect()} == {
-        "TEXT", "NULL", "CUT", "EMPTY", "OBJECT", "NUMBER", "LACKING", "MIXED", "HOLE"
+        "TEXT", "NULL", "CUT", "EMPTY", "OBJECT", "NUMBER", "LACKING", "MIXED", "HOLE", "TRAILING", "TWICE",
+        "LISTED", "CLOSED",
     }
 
 
 @pytest.fixture
 def raw(spark):
+    rest = "2.0 5 1.0 1.5 0.5 1.0 5 0.0 1.0".split()
     rows = [
-        ("B", "2024-01-02T16:00:00.250Z", 2.0, 3.0, float("nan"), 2.0, 5, 1.0, 1.5, 0.5, 1.0, 5, 0.0, 1.0),
-        ("A", "2024-01-03", 2.0, 3.0, 1.0, 2.0, 5, 1.0, 1.5, 0.5, 1.0, 5, 0.0, 1.0),
-        ("A", "never", 2.0, 3.0, 1.0, 2.0, 5, 1.0, 1.5, 0.5, 1.0, 5, 0.0, 1.0),
+        ("B", "2024-01-02T16:00:00.250Z", "2.0", "3.0", "NaN", *rest),
+        ("A", "2024-01-03", "2.0", "3.0", "1.0", *rest),
+        ("A", "never", "2.0", "3.0", "1.0", *rest),
     ]
     return spark.createDataFrame(rows, RAW)
 
@@ -138,6 +154,43 @@ def test_csv_round_trip(spark, raw, tmp_path):
     assert sorted(map(str, back.collect())) == sorted(map(str, bars.collect()))
 
 
+def test_cells_that_cannot_be_read(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    day = "2024-01-02T00:00:00Z"
+    cells = [
+        f"A,{day},1,1,1,1,11.0,1,1,1,1,5,0,1",
+        f"B,{day},abc,,NaN,1,1e3,1,1,1,1,5.5,0,1",
+        "C,never,1,1,1,1,5,1,1,1,1,5,0,1",
+    ]
+    path.write_text("\n".join([",".join(LANDED.names), *cells]) + "\n")
+    raw = files.read_raw_csv(spark, str(path))
+    found = {r.symbol: r for r in clean_bars(raw).collect()}
+    assert found["A"].volume == 11 and found["B"].volume == 1000 and found["C"].date is None
+    assert found["B"].close is None and found["B"].high is None and found["B"].low is None
+    assert found["B"].adjVolume is None
+    refused = {(r.symbol, r.column_name, r.value, r.reason) for r in rejected_values(raw).collect()}
+    assert refused == {
+        ("B", "close", "abc", "bad_value"),
+        ("B", "adjVolume", "5.5", "bad_value"),
+        ("C", "date", "never", "bad_date"),
+    }
+
+
+@pytest.mark.parametrize("number", [1, 3, 4])
+def test_sorted_files_follow_each_other(spark, tmp_path, number):
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merging)
+    spark.conf.set(merging, "false")
+    try:
+        bars = landed_bars(spark, "/root/testdata/sf0.001").repartition(16)
+        assert files.write_bars_csv(bars, str(tmp_path / "csv"), in_order=True, files=number)
+    finally:
+        spark.conf.set(merging, before)
+    parts = sorted((tmp_path / "csv").glob("part-*.csv"))
+    keys = [tuple(line.split(",")[:2]) for part in parts for line in part.read_text().splitlines()[1:]]
+    assert len(parts) == number and len(keys) == bars.count() and keys == sorted(keys)
+
+
 def test_nothing_to_write(spark, raw, tmp_path):
     path = tmp_path / "csv"
     assert not files.write_bars_csv(clean_bars(raw).filter("false"), str(path))
@@ -150,7 +203,7 @@ def test_csv_with_bad_rows(spark, tmp_path):
     path = tmp_path / "bars.csv"
     path.write_text(f"{header}\n{good}\nA,2024-01-03 00:00:00,high,1,1,1,5,1,1,1,1,5,0,1\n")
     kept, bad = files.split_corrupt(files.read_bars_csv(spark, str(path), mode="PERMISSIVE"))
-    assert kept.columns == LANDED.names and kept.count() == 1 and bad.count() == 1
+    assert kept.columns == LANDED.names and len(kept.collect()) == 1 and len(bad.collect()) == 1
     assert len(kept.select("symbol").collect()) == 1
     assert [r[files.CORRUPT].startswith("A,2024-01-03") for r in bad.collect()] == [True]
     with pytest.raises(Exception, match="(?i)malformed"):
@@ -180,6 +233,19 @@ def test_write_dispositions(spark, raw, tmp_path):
     assert spark.table(table).count() == 3
 
 
+def test_files_of_another_session_are_found(spark, raw, tmp_path):
+    tables.ensure_database(spark, "found", str(tmp_path / "db"))
+    bars = clean_bars(raw)
+    tables.write_table(bars, "found.bars")
+    for disposition, rows in (("append", 6), ("truncate", 3)):
+        spark.sql("DROP TABLE found.bars")  # what a catalog in memory forgets; the files stay
+        assert tables.write_table(bars, "found.bars", disposition) == 3
+        assert spark.table("found.bars").count() == rows
+    spark.sql("DROP TABLE found.bars")
+    with pytest.raises(tables.TableNotEmptyError):
+        tables.write_table(bars, "found.bars", "empty")
+
+
 def test_load_replaces_the_table(spark, raw, tmp_path):
     tables.ensure_database(spark, "loads", str(tmp_path / "db"))
     path = str(tmp_path / "csv")
@@ -191,7 +257,7 @@ def test_load_replaces_the_table(spark, raw, tmp_path):
 
 def test_bucketed_table_needs_no_shuffle(spark, raw, tmp_path):
     tables.ensure_database(spark, "buckets", str(tmp_path / "db"))
-    tables.write_table(clean_bars(raw), "buckets.bars", partitions=2, order="date")
+    tables.write_table(clean_bars(raw), "buckets.bars", buckets=tables.Buckets(2, order="date"))
     plan = quality.duplicate_keys(spark.table("buckets.bars"), ["symbol", "date"])._jdf.queryExecution().executedPlan()
     assert "Exchange" not in plan.toString()
 
