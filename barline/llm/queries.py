@@ -14,8 +14,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 512
 
 
+# Rows of a batch between Spark and Python: texts are long, and both sides hold a batch or two.
+BATCH_ROWS = 1_000
+
+
 def share_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it, and send them texts in small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     known = spark.sparkContext.environment
     paths = [str(Path(__file__).resolve().parents[2]), *known.get("PYTHONPATH", "").split(os.pathsep)]
     known["PYTHONPATH"] = os.pathsep.join(dict.fromkeys(filter(None, paths)))
