@@ -29,10 +29,10 @@ COMMON = 0.001
 # A language is a reference if at least this share of the documents has it, so at most 100 are.
 REFERENCE = 0.01
 # Distances run from 0 (equal) to 1 (nothing in common).
-MAX_CLASS_DISTANCE = 0.35
+MAX_CLASS_DISTANCE = 0.31
 MAX_WORD_DISTANCE = 0.95
 # Shorter texts are not judged by the histogram.
-CLASS_GUARD = 40  # bytes
+CLASS_GUARD = 200  # bytes
 WORD_GUARD = 50  # words
 
 # Classes of UTF-8 bytes.

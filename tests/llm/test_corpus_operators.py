@@ -76,6 +76,7 @@ def test_near_duplicates(make_docs, similarity):
 
 def test_second_round_joins_components_in_blocks(make_docs, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    monkeypatch.setattr(near_dedup, "BROADCAST_IDS", 0)
     rng = random.Random(9)
     base = prose(1, 150, 4000)
     texts = [edited(base, rng, rng.randint(1, 5)) for _ in range(60)]

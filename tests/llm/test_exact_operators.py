@@ -209,8 +209,10 @@ def brute_lines(docs, min_documents, keep_first):
     return out
 
 
+@pytest.mark.parametrize("broadcast_bytes", [line_dedup.BROADCAST_BYTES, 0])
 @pytest.mark.parametrize("keep_first", [False, True])
-def test_lines(make_docs, keep_first):
+def test_lines(make_docs, monkeypatch, keep_first, broadcast_bytes):
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", broadcast_bytes)
     rng = random.Random(6)
     pool = ["Same line", " same LINE\t", "É line", "é line", "", "  ", "x", "\x1cx", "unique"]
     texts = ["\n".join(rng.choice([*pool, f"own {rng.random()}"]) for _ in range(rng.randint(1, 150))) for _ in range(40)]
