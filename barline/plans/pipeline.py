@@ -71,7 +71,10 @@ def ingest_files(
 
 
 def _reject(raw: DataFrame, rejected: str | None) -> None:
-    refused = rejected_values(raw)
+    """Find the values that cannot be read in one pass over the raw bars."""
+    path = scratch_path(raw.sparkSession, "rejected")
+    rejected_values(raw).write.parquet(path)
+    refused = raw.sparkSession.read.parquet(path)
     _report(refused, "values")
     if rejected:
         refused.write.mode("overwrite").option("header", True).csv(rejected)

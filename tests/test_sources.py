@@ -9,7 +9,7 @@ import pytest
 from barline.operators import quality
 from barline.operators.cleaning import clean_bars, date_range, rejected_values, sort_bars, stage_bars, staging_sql
 from barline.schema import LANDED, PAYLOAD, RAW
-from barline.session import scratch_path
+from barline.session import clear_scratch, scratch_path
 from barline.sources import files, payloads, tables
 from testbed.bars import landed_bars
 
@@ -279,9 +279,18 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_scratch_can_be_cleared(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     cluster = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master="spark://host:7077")
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="a"),
     )
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(cluster, "x")
