@@ -31,7 +31,7 @@ EPOCHS = 6
 # Languages with the most training texts that are learned.
 MAX_LANGUAGES = 200
 # Windows computed at once.
-_CHUNK = 8_192
+_CHUNK = 1_024
 _LETTER = re.compile(r"[^\W\d_]")
 
 

@@ -55,7 +55,7 @@ _RNG = np.random.default_rng(20)
 _MULTIPLY = _RNG.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
 # Shingles hashed at once.
-_CHUNK = 400_000
+_CHUNK = 200_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -68,7 +68,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sorted distinct shingle hashes of texts; remembers the hashes of words."""
 
-    def __init__(self, memory: int = 300_000):
+    def __init__(self, memory: int = 100_000):
         self._known: dict[bytes, int] = {}
         self._memory = memory
 

@@ -27,7 +27,7 @@ from barline.llm.components import stored
 WINDOW = 1024
 END = 0
 # Tokens a shard's index holds, and query terms and neighbours of a seed.
-SHARD_TOKENS = 1_500_000
+SHARD_TOKENS = 600_000
 QUERY_TERMS = 12
 NEIGHBOURS = 64
 # BM25 parameters.
@@ -74,9 +74,9 @@ def _cut(path: str, end: int, window: int, keep_ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
+            for at in range(0, batch.num_rows, 128):
                 rows = []
-                part = batch.slice(at, 512)
+                part = batch.slice(at, 128)
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1)):
                     ids = token_ids(text.as_py(), path, end)
                     n = len(ids)

@@ -110,7 +110,7 @@ class ToxicityModel:
 class Scanner:
     """Scores of words as a worker meets them, and the segments of a text."""
 
-    def __init__(self, model: ToxicityModel, memory: int = 300_000):
+    def __init__(self, model: ToxicityModel, memory: int = 100_000):
         self._model, self._memory, self._known = model, memory, {}
 
     def segments(self, words: list[bytes]) -> list[Segment]:
