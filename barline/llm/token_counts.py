@@ -18,7 +18,7 @@ import gc
 import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from operator import sub
 
@@ -303,16 +303,15 @@ class PrefixCounter:
             known = np.diff(counts, prepend=0).astype(_DELTA).tobytes()
         return known
 
-    def learn(self, texts: Iterable[str]) -> None:
-        """Count the units of many texts at once; what is known already costs only a look."""
+    def _learn(self, units: set[str]) -> None:
+        """Count what is new among the units, all at once."""
         if len(self._known) >= MEMORY:
             # Units in use come back from the generation before at little cost.
             self._before, self._known = self._known, {}
             self._pieces.clear()
-        units = set().union(*map(_UNITS.findall, texts)).difference(self._known)
         before = self._before
         new = []
-        for unit in units:
+        for unit in units.difference(self._known):
             if unit in before:
                 self._known[unit] = before[unit]
             else:
@@ -325,11 +324,20 @@ class PrefixCounter:
     def _deltas(self, text: str) -> bytes:
         """Changes of the count from character to character, for text without special tokens."""
         units = _UNITS.findall(text)
-        try:
-            return b"".join(map(self._known.__getitem__, units))
-        except KeyError:
-            self.learn([text])
-            return b"".join(map(self._known.__getitem__, units))
+        self._learn(set(units))
+        return b"".join(map(self._known.__getitem__, units))
+
+    def many(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """``deltas`` of each text; what is new in all of them is counted at once."""
+        plain = [None if self._is_special(t) else _UNITS.findall(t or "") for t in texts]
+        self._learn(set().union(*filter(None, plain)))
+        known = self._known
+        found = [b"".join(map(known.__getitem__, units)) if units is not None else None for units in plain]
+        for text, stored in zip(texts, found):
+            yield self.deltas(text) if stored is None else np.frombuffer(stored, _DELTA)
+
+    def _is_special(self, text: str | None) -> bool:
+        return bool(text) and any(s in text for s in self._special)
 
     def deltas(self, text: str | None) -> np.ndarray:
         """Changes of the token count with each further character.
@@ -337,7 +345,7 @@ class PrefixCounter:
         A special token's string counts as one token, as by the library, once it is complete.
         """
         text = text or ""
-        if not self._split or not any(s in text for s in self._special):
+        if not self._is_special(text):
             return np.frombuffer(self._deltas(text), _DELTA)
         done, at, total = [], 0, 0
         for found in [*self._split.finditer(text), None]:
@@ -408,18 +416,17 @@ def token_counts(
 
     def counts_of(counted: PrefixCounter, batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            rows, size, unlearned = [], 0, []
-            for value in [*texts, None]:
-                unlearned.append(value)
+            rows, part, size = [], [], 0
+            for value in texts:
+                part.append(value)
                 size += len(value or "")
-                if size >= _TEXT_CHUNK or len(rows) + len(unlearned) > len(texts):
-                    counted.learn(filter(None, unlearned))
-                    rows += map(each, [counted] * len(unlearned), unlearned)
-                    unlearned, size = [], 0
-            yield pd.DataFrame(rows[: len(texts)], columns=["n_tokens", "fitting_chars", "prefixes"], dtype=object)
-
-    def each(counted: PrefixCounter, value: str | None) -> tuple:
-        deltas = counted.deltas(value)
+                if size >= _TEXT_CHUNK:
+                    rows += map(answer, counted.many(part))
+                    part, size = [], 0
+            rows += map(answer, counted.many(part))
+            yield pd.DataFrame(rows, columns=["n_tokens", "fitting_chars", "prefixes"], dtype=object)
+
+    def answer(deltas: np.ndarray) -> tuple:
         counts = np.cumsum(deltas, dtype=np.int64)
         n = int(counts[-1]) if len(counts) else 0
         return n, longest_within(counts, budget), zlib.compress(deltas.tobytes(), 1)
