@@ -1,8 +1,8 @@
 """Packing of documents into fixed windows, next to lexically similar ones.
 
 Documents become tokens and are cut into full windows; only the rest of each, shorter than a window, is
-packed. Rests are sorted into ranges by a signature of their tokens, so that similar ones meet in
-one shard. A shard is a bounded run of a range with its own BM25 inverted index, using token
+packed. Rests are sorted into ranges by a signature of their telling tokens, so that similar ones meet in
+one shard wherever they stand in the corpus. A shard is a bounded run of a range with its own BM25 inverted index, using token
 frequencies over all documents. The first unused rest of a shard is the seed of a window; the index returns its
 best unused neighbours, which fill the window greedily: those that fit whole first, then the best is
 cut to fill the rest exactly, and its remainder goes back to the shard. What a shard leaves over opens the next; the
@@ -34,6 +34,8 @@ NEIGHBOURS = 64
 _K1, _B = 1.2, 0.75
 # Fixed value: the pre-tokenizer pattern of the byte-level vocabularies.
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Minima of a signature: the first brings rests together, the others order those that share it.
+SIGNATURE = 3
 # Tokens of one range, about: ranges are tasks, shards their working sets.
 RANGE_TOKENS = 8_000_000
 
@@ -63,7 +65,6 @@ _PIECES = pa.schema(
         ("length", pa.int64()),
         ("crc", pa.int64()),
         ("doc_tokens", pa.int64()),
-        ("signature", pa.int64()),
         ("ids", pa.binary()),
     ]
 )
@@ -83,20 +84,52 @@ def _cut(path: str, end: int, window: int, keep_ids: bool):
                     whole = n - n % window
                     for start in range(0, whole, window):
                         own = ids[start : start + window]
-                        rows.append((doc, start, window, checksum(own), n, None, own.tobytes() if keep_ids else None))
+                        rows.append((doc, start, window, checksum(own), n, own.tobytes() if keep_ids else None))
                     if whole < n:
                         rest = ids[whole:]
-                        rows.append((doc, whole, n - whole, None, n, _signature(rest), rest.tobytes()))
+                        rows.append((doc, whole, n - whole, None, n, rest.tobytes()))
                 columns = list(zip(*rows)) or [()] * len(_PIECES)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PIECES)], schema=_PIECES)
 
     return run
 
 
-def _signature(ids: np.ndarray) -> int:
-    """The smallest of the scrambled distinct ids: similar rests often share it."""
-    scrambled = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return int((scrambled ^ (scrambled >> np.uint64(29))).min() >> np.uint64(1))
+def _race(weight: np.ndarray, held: np.ndarray, end: int) -> np.ndarray:
+    """The place of each token in one weighted random order, telling tokens more often in front.
+
+    The first of a rest's tokens is a weighted MinHash: two rests share it with a chance that grows with the weight of
+    the tokens they share. The closing id, which all rests hold, and tokens of a single rest come last.
+    """
+    scrambled = (np.arange(1, len(weight) + 1, dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    scrambled = (scrambled ^ (scrambled >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    scrambled = (scrambled ^ (scrambled >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    uniform = ((scrambled >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+    arrival = -np.log(uniform) / weight**2
+    arrival[(held < 2) | (np.arange(len(weight)) == end)] = np.inf
+    place = np.empty(len(weight), np.int64)
+    place[np.argsort(arrival, kind="stable")] = np.arange(len(weight))
+    return np.where(np.isinf(arrival), len(weight), place)
+
+
+def signature(ids: np.ndarray, race: np.ndarray) -> list[int]:
+    """The ``SIGNATURE`` first places among a rest's distinct tokens, filled up with the last place."""
+    first = np.unique(race[ids])[:SIGNATURE].tolist()
+    return first + [len(race)] * (SIGNATURE - len(first))
+
+
+_SIGNED = [f"signature{k}" for k in range(SIGNATURE)]
+
+
+def _sign(race: np.ndarray):
+    """Rests with their signature in front."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            signed = [signature(np.frombuffer(value.as_buffer(), "<u4"), race) for value in batch.column(3)]
+            columns = [pa.array(c, pa.int64()) for c in (zip(*signed) if signed else [()] * SIGNATURE)]
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns], names=[*_SIGNED, *batch.schema.names])
+
+    return run
 
 
 _FREQUENCY = pa.schema([("token", pa.int64()), ("documents", pa.int64())])
@@ -304,11 +337,9 @@ def pack(
     if window & (window - 1):
         raise ValueError("window must be a power of two")
     texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    fields = (
-        "doc long, start long, length long, crc long, doc_tokens long, signature long, ids binary"
-    )
+    fields = "doc long, start long, length long, crc long, doc_tokens long, ids binary"
     pieces = stored(texts.mapInArrow(_cut(path, end, window, keep_ids), fields), "pieces")
-    rests = pieces.filter("signature is not null")
+    rests = pieces.filter("crc is null")
     size = vocabulary.load(path).size
     counted = rests.select("ids").mapInArrow(_count(size), "token long, documents long")
     frequency = counted.groupBy("token").agg(F.sum("documents").alias("n")).collect()  # one row a token of the vocabulary
@@ -318,10 +349,13 @@ def pack(
     weight = np.log1p((n - held + 0.5) / (held + 0.5))
 
     ranges = max(1, math.ceil(tokens / RANGE_TOKENS), min(docs.sparkSession.sparkContext.defaultParallelism, n // 500))
-    ordered = rests.repartitionByRange(ranges, "signature", "doc", "start").sortWithinPartitions("signature", "doc", "start")
+    fields = "".join(f"{name} long, " for name in _SIGNED) + "doc long, start long, doc_tokens long, ids binary"
+    signed = rests.select("doc", "start", "doc_tokens", "ids").mapInArrow(_sign(_race(weight, held, end)), fields)
+    by = [*_SIGNED, "doc", "start"]
+    ordered = signed.repartitionByRange(ranges, *by).sortWithinPartitions(*by)
     placed = ordered.select(F.spark_partition_id().alias("part"), "doc", "start", "doc_tokens", "ids")
     packed = placed.mapInArrow(_pack(weight, window), _PACKED_DDL)
-    full = pieces.filter("signature is null").select(
+    full = pieces.filter("crc is not null").select(
         "doc",
         "start",
         "length",

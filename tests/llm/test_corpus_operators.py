@@ -191,6 +191,33 @@ def test_neighbours_share_windows(make_docs):
     assert sum(same) / len(same) > 0.75
 
 
+def test_similar_rests_meet_across_shards_and_ranges(make_docs, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 12_000)
+    monkeypatch.setattr(packing, "RANGE_TOKENS", 40_000)
+    rng = random.Random(5)
+    # Twelve topics with a vocabulary of their own among words that all share, dealt out by turns over all ids.
+    shared = [f"the{k}" for k in range(20)]
+    words = [[f"{a}{b}{a}" for b in "bcdfghjklmnprstvz"] for a in "abcdefghijkl"]
+    texts = [" ".join(rng.choice(words[i % 12] if rng.random() < 0.5 else shared) for _ in range(60)) for i in range(720)]
+    by_sequence = defaultdict(list)
+    for r in packing.pack(make_docs(texts)).collect():
+        by_sequence[r["sequence_id"]].append(r["doc_id"])
+    mates = [ids for ids in by_sequence.values() if len(ids) > 2]
+    same = [max(map([i % 12 for i in ids].count, range(12))) / len(ids) for ids in mates]
+    assert sum(same) / len(same) > 0.75
+    assert sum(max(ids) - min(ids) > 240 for ids in mates) > 0.8 * len(mates)
+
+
+def test_signature_leaves_the_closing_id_out():
+    rng = np.random.default_rng(6)
+    rests = [np.append(rng.integers(1, 5000, 200), packing.END) for _ in range(200)]
+    held = np.bincount(np.concatenate([np.unique(r) for r in rests]), minlength=5000)
+    weight = np.log1p((200 - held + 0.5) / (held + 0.5))
+    race = packing._race(weight, held, packing.END)
+    assert race[packing.END] == len(race)
+    assert len({packing.signature(r, race)[0] for r in rests}) > 10
+
+
 # Language
 
 
