@@ -3,7 +3,7 @@
 Each language of the corpus gives two reference distributions, counted over all its documents:
 classes of characters, and common words (those that make up at least ``COMMON`` of its words; the
 rest counts as one). A document is compared with the language nearest to it by Jensen-Shannon
-distance. Short documents have ragged histograms, so each histogram counts only from a
+distance; that of words counts relative to a text without any common word. Short documents have ragged histograms, so each histogram counts only from a
 minimum length on.
 """
 
@@ -30,7 +30,8 @@ COMMON = 0.001
 REFERENCE = 0.01
 # Distances run from 0 (equal) to 1 (nothing in common).
 MAX_CLASS_DISTANCE = 0.31
-MAX_WORD_DISTANCE = 0.95
+# Share of the distance of a text without any common word, by which a language's words may be missed.
+MAX_WORD_SHARE = 0.95
 # Shorter texts are not judged by the histogram.
 CLASS_GUARD = 200  # bytes
 WORD_GUARD = 50  # words
@@ -182,6 +183,7 @@ def quality(
     """
     known = references(docs, text, lang) if known is None else known
     columns = {name: np.array(c) for name, c in known.classes.items()}
+    bare = {name: _word_distance(Counter(), 1, known.words[name]) for name in columns if known.words[name]}
 
     def setup() -> Callable[[str | None], tuple]:
         def each(value: str | None) -> tuple:
@@ -190,15 +192,16 @@ def quality(
             words = data.split()
             n, repeated = len(words), repeated_words(words)
             failed = n < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * n
-            by_class = by_word = None
+            by_class = by_word = share = None
             if columns and len(data) >= CLASS_GUARD:
                 own = class_counts(data) / len(data)
                 by_class = min(jensen_shannon(own, c) for c in columns.values())
             plain = _plain_words(data) if n >= WORD_GUARD else []
-            if columns and len(plain) >= WORD_GUARD:
+            if bare and len(plain) >= WORD_GUARD:
                 counts = Counter(plain)
-                by_word = min(_word_distance(counts, len(plain), known.words[name]) for name in columns)
-            far = (by_class or 0) > MAX_CLASS_DISTANCE or (by_word or 0) > MAX_WORD_DISTANCE
+                distances = ((_word_distance(counts, len(plain), known.words[name]), d) for name, d in bare.items())
+                share, by_word = min((distance / d, distance) for distance, d in distances)
+            far = (by_class or 0) > MAX_CLASS_DISTANCE or (share or 0) > MAX_WORD_SHARE
             return (
                 n,
                 len(b"".join(words).decode()),

@@ -76,3 +76,19 @@ def test_references_count_everything(spark, make_docs):
     assert set(known.classes) == {"x", "y"}
     assert known.words["x"] == {b"aa": 0.5, b"b": 0.25, b"c": 0.25}
     assert known.classes["x"][q.CLASSES.index("upper")] == pytest.approx(1 / 8)
+
+
+def test_unknown_words_of_ordinary_characters_go(make_docs):
+    rng = random.Random(7)
+
+    def word():
+        return "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8)))
+
+    def clean(n):  # four of ten words are common ones
+        return " ".join(rng.choice(["the", "of", "and", "to", "in", "that"]) if rng.random() < 0.4 else word() for _ in range(n))
+
+    texts = [clean(rng.randint(60, 400)) for _ in range(60)]
+    junk = [" ".join(word() for _ in range(n)) for n in (60, 150, 300)]
+    rows = {r["doc_id"]: r["quality"] for r in q.quality(make_docs(texts + junk)).collect()}
+    assert all(rows[i]["kept"] for i in range(60))
+    assert all(rows[i]["class_distance"] < q.MAX_CLASS_DISTANCE and not rows[i]["kept"] for i in (60, 61, 62))
