@@ -92,3 +92,38 @@ def test_unknown_words_of_ordinary_characters_go(make_docs):
     rows = {r["doc_id"]: r["quality"] for r in q.quality(make_docs(texts + junk)).collect()}
     assert all(rows[i]["kept"] for i in range(60))
     assert all(rows[i]["class_distance"] < q.MAX_CLASS_DISTANCE and not rows[i]["kept"] for i in (60, 61, 62))
+
+
+def test_every_language_of_enough_documents_is_a_reference(make_docs):
+    rng = random.Random(8)
+
+    def text(letters, common):
+        return " ".join(rng.choice(common) if rng.random() < 0.4 else "".join(rng.choices(letters, k=5)) for _ in range(120))
+
+    latin, cyrillic, greek = "etaoinshr", "абвгдежзик", "αβγδεζηθικ"
+    texts = [(text(latin, ["the", "of", "and"]), "en") for _ in range(2100)]
+    texts += [(text(cyrillic, ["и", "не", "на"]), "ru") for _ in range(q.LEAST_DOCUMENTS)]  # less than 1 % of all
+    texts += [(text(greek, ["και", "το"]), "el") for _ in range(3)]
+    rows = [r.asDict(True) for r in q.quality(make_docs(*zip(*texts))).collect()]
+    assert all(r["quality"]["kept"] for r in rows)
+    by = {lang: [r["quality"]["class_distance"] for r in rows if r["lang"] == lang] for lang in ("ru", "el")}
+    assert max(by["ru"]) < q.MAX_CLASS_DISTANCE and by["el"] == [None] * 3
+
+
+def test_many_even_languages_are_references(make_docs):
+    texts = [prose(i, 60, 30) for i in range(120)] * q.LEAST_DOCUMENTS
+    known = q.references(make_docs(texts, [f"l{i % 120}" for i in range(len(texts))]), least=q.LEAST_DOCUMENTS)
+    assert len(known.classes) == len(known.words) == 120
+
+
+def test_indexed_distances_equal_dense_ones():
+    rng = random.Random(9)
+    words = {n: {b"w%d" % rng.randrange(60): rng.random() / 40 for _ in range(30)} for n in "abc"} | {"d": {b"x": 1.0}}
+    index = q.WordIndex(words)
+    for _ in range(20):
+        counts = Counter(b"w%d" % rng.randrange(90) for _ in range(rng.randint(1, 200)))
+        n = sum(counts.values())
+        for got, common in zip(index.distances(counts, n), words.values()):
+            own = np.array([counts[w] for w in common]) / n
+            reference = np.array([*common.values(), max(0.0, 1 - sum(common.values()))])
+            assert got == pytest.approx(q.jensen_shannon(np.append(own, 1 - own.sum()), reference), abs=1e-7)
