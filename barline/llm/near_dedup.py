@@ -6,8 +6,8 @@ values put similar classes into common buckets, and an odd sketch folds all samp
 
     similarity ~ 1 + bits / (4 samples) * ln(1 - 2 popcount(a xor b) / bits)
 
-which discards what a bucket brought together by chance without touching the sets. The rest is
-confirmed on the full sets. Links are found in two rounds, so that a group of n near copies
+which discards what a bucket brought together by chance without touching the sets, and a pair at the
+similarity with no greater chance than that of sharing no bucket. The rest is confirmed on the full sets. Links are found in two rounds, so that a group of n near copies
 needs about n confirmations and not one for each pair:
 
 1. every class against the most similar hub of its buckets; a bucket's hub is the member that meets most others
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,6 @@ ROWS = 6
 BANDS = 42
 SAMPLES = ROWS * BANDS
 SKETCH_BITS = 512
-# Standard errors of the estimate by which it may fall short of the similarity asked for.
-MARGIN = 5.0
 # Members of a bucket compared at once in the second round, and bytes of their sets.
 BLOCK = 1_000
 BLOCK_BYTES = 24 << 20
@@ -118,10 +117,39 @@ def odd_sketches(values: np.ndarray) -> np.ndarray:
     return np.packbits(odd & 1, axis=1).view(np.int64)
 
 
+def _band_loss(similarity: float) -> float:
+    """Chance that a pair of the similarity shares no bucket."""
+    return (1 - similarity**ROWS) ** BANDS
+
+
+@lru_cache(maxsize=8)
+def _differing_chances(similarity: float) -> np.ndarray:
+    """Chance of each number of differing sketch bits for a pair of the similarity.
+
+    Differing samples are binomial; each turns two random bits, and two that hit one bit cancel out.
+    """
+    out, odd = np.zeros(SKETCH_BITS + 1), np.zeros(SKETCH_BITS + 1)
+    odd[0] = 1.0
+    up, down = 1 - np.arange(SKETCH_BITS) / SKETCH_BITS, np.arange(1, SKETCH_BITS + 1) / SKETCH_BITS
+    for differing in range(SAMPLES + 1):
+        out += math.comb(SAMPLES, differing) * (1 - similarity) ** differing * similarity ** (SAMPLES - differing) * odd
+        for _ in range(2):
+            turned = np.zeros(SKETCH_BITS + 1)
+            turned[1:] += odd[:-1] * up
+            turned[:-1] += odd[1:] * down
+            odd = turned
+    return out
+
+
+def _sketch_loss(similarity: float, most: int) -> float:
+    """Chance that a pair of the similarity differs in more than ``most`` sketch bits."""
+    return float(_differing_chances(similarity)[most + 1 :].sum())
+
+
 def _most_differing(similarity: float) -> int:
-    """Differing sketch bits up to which a pair may have the similarity."""
-    least = max(0.0, similarity - MARGIN * math.sqrt(similarity * (1 - similarity) / SAMPLES))
-    return math.ceil(SKETCH_BITS / 2 * (1 - math.exp(-4 * SAMPLES * (1 - least) / SKETCH_BITS)))
+    """The fewest differing sketch bits beyond which a pair of the similarity lies no more often than outside all buckets."""
+    beyond = np.cumsum(_differing_chances(similarity)[::-1])[::-1]
+    return int(np.argmax(np.append(beyond[1:], 0.0) <= _band_loss(similarity)))
 
 
 _PROFILE = pa.schema(

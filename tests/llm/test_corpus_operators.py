@@ -100,6 +100,20 @@ def test_sketches_estimate_similarity():
         assert estimate == pytest.approx(true, abs=0.12)
 
 
+@pytest.mark.parametrize("similarity", [0.8, 0.85])
+def test_sketches_lose_no_more_than_bands(similarity):
+    # By simulation: the loss of a lower limit is that of the exact distribution.
+    rng = np.random.default_rng(4)
+    differing = rng.binomial(near_dedup.SAMPLES, 1 - similarity, 20_000)
+    odd = [np.bincount(rng.integers(0, near_dedup.SKETCH_BITS, 2 * d), minlength=near_dedup.SKETCH_BITS) % 2 for d in differing]
+    bits = np.array([x.sum() for x in odd])
+    for most in (60, 80, 90):
+        assert (bits > most).mean() == pytest.approx(near_dedup._sketch_loss(similarity, most), abs=0.015)
+    most = near_dedup._most_differing(similarity)
+    bands = (1 - similarity**near_dedup.ROWS) ** near_dedup.BANDS
+    assert near_dedup._sketch_loss(similarity, most) <= bands < near_dedup._sketch_loss(similarity, most - 2)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(40)]
