@@ -1,6 +1,7 @@
 """License notices in texts: an exact containment join of text blocks with notice templates.
 
-A block is a line. It matches a template when it holds at least ``threshold`` of the template's
+A block is a line, or with ``run`` also any run of adjacent words, across lines, of up to ``run`` times a
+template's words, as notices are wrapped. It matches a template when it holds at least ``threshold`` of the template's
 distinct words. Tokens are ordered by their frequency over all blocks, rarest first, so that
 
 * prefix: a match must share one of the template's rarest ``n - need + 1`` tokens,
@@ -35,6 +36,8 @@ TEMPLATES = {
 # Phrases looked for word by word, and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 THRESHOLD = 0.9
+# Words of a run across lines, as a multiple of a template's; comment marks and a few stray words fit in.
+RUN = 2.0
 # Distinct tokens in all templates; they are sent to every task.
 MAX_TOKENS = 100_000
 
@@ -42,7 +45,8 @@ MAX_TOKENS = 100_000
 class TemplateJoin:
     """The index of template prefixes, by the frequencies of tokens over all blocks."""
 
-    def __init__(self, templates: Mapping[str, str], threshold: float, frequency: Mapping[bytes, int]):
+    def __init__(self, templates: Mapping[str, str], threshold: float, frequency: Mapping[bytes, int], run: float = 0.0):
+        self._runs = {label: int(run * len(alnum_words(notice))) for label, notice in templates.items()}
         sets = {label: set(alnum_words(notice)) for label, notice in templates.items()}
         self._rank = {t: i for i, t in enumerate(sorted(set().union(*sets.values()), key=lambda t: (frequency.get(t, 0), t)))}
         self._sets: dict[str, list[int]] = {}
@@ -78,6 +82,30 @@ class TemplateJoin:
                     found[label] = overlap / len(template)
         return found
 
+    def run_matches(self, words: list[bytes]) -> dict[str, float]:
+        """Best containment of each template in the runs of adjacent words that meet it."""
+        ranked = [(at, r) for at, r in enumerate(map(self._rank.get, words)) if r is not None]
+        have, found = {r for _, r in ranked}, {}
+        for label in {label for r in have for label, _ in self._prefixes.get(r, ())}:
+            template, need, width = set(self._sets[label]), self._need[label], self._runs[label]
+            if len(template & have) < need:
+                continue
+            held: dict[int, int] = defaultdict(int)
+            inside = [(at, r) for at, r in ranked if r in template]
+            first = most = 0
+            for at, rank in inside:
+                held[rank] += 1
+                while inside[first][0] <= at - width:
+                    gone = inside[first][1]
+                    held[gone] -= 1
+                    if not held[gone]:
+                        del held[gone]
+                    first += 1
+                most = max(most, len(held))
+            if most >= need:
+                found[label] = most / len(template)
+        return found
+
 
 def token_frequency(docs: DataFrame, templates: Mapping[str, str], text: str = "text") -> dict[bytes, int]:
     """Blocks of all texts that hold each template token; tokens are bounded by the templates."""
@@ -122,18 +150,19 @@ def license_scan(
     templates: Mapping[str, str] = TEMPLATES,
     phrases: Mapping[str, str] = PHRASES,
     threshold: float = THRESHOLD,
+    run: float = 0.0,
 ) -> DataFrame:
     """``docs`` with a struct of word count, phrase places, labels and the best containment.
 
     One pass counts token frequencies over all texts, one joins; neither shuffles texts. ``score``
     is 1 where a phrase stands, else the best containment of a met template, else 0. Null and
-    empty texts have no words and no labels. Rows keep their other columns and their number.
+    empty texts have no words and no labels. ``run`` adds runs of words across lines to the blocks. Rows keep their other columns and their number.
     """
     frequency = token_frequency(docs, templates, text)
     vocabulary = set().union(*(alnum_words(notice) for notice in templates.values()), set())
 
     def setup() -> Callable[[str | None], tuple]:
-        join = TemplateJoin(templates, threshold, frequency)
+        join = TemplateJoin(templates, threshold, frequency, run)
 
         def each(value: str | None) -> tuple:
             words = alnum_words(value)
@@ -144,6 +173,8 @@ def license_scan(
                 for line in value.split("\n"):
                     for label, share in join.matches(alnum_words(line)).items():
                         best[label] = max(share, best.get(label, 0.0))
+                for label, share in join.run_matches(words).items() if run else ():
+                    best[label] = max(share, best.get(label, 0.0))
             starts = [start for start, _ in places]
             score = 1.0 if base else max(best.values(), default=0.0)
             return (

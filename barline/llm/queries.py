@@ -76,7 +76,8 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_scan(_documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "license.*")
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return licenses.license_scan(docs, run=licenses.RUN).select("doc_id", "license.*")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,6 +71,27 @@ def test_licenses(make_docs, threshold):
         assert tuple(own[n] for n in names) == pytest.approx(brute_licenses(row["text"], threshold)), row["text"]
 
 
+def test_wrapped_notices(make_docs):
+    texts = [
+        "code\n * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided",
+        "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy",
+        f"Released under {prose(1, 30)}\nthe MIT {prose(2, 30)} License",  # the words, but far apart
+    ]
+    rows = {r["doc_id"]: r["license"] for r in licenses.license_scan(make_docs(texts), run=licenses.RUN).collect()}
+    assert [rows[i]["labels"] for i in range(3)] == ["bsd", "mpl-2.0", ""]
+    assert [rows[i]["score"] for i in range(3)] == [1.0, 1.0, 0.0]
+    rng = random.Random(3)
+    join = licenses.TemplateJoin(licenses.TEMPLATES, 0.6, {}, licenses.RUN)
+    tokens = sorted({t for n in licenses.TEMPLATES.values() for t in alnum_words(n)}) + [b"other"] * 9
+    for _ in range(40):
+        words, want = [rng.choice(tokens) for _ in range(80)], {}
+        for label, notice in licenses.TEMPLATES.items():
+            template, width = set(alnum_words(notice)), int(licenses.RUN * len(alnum_words(notice)))
+            share = max(len(template & set(words[i : i + width])) for i in range(len(words))) / len(template)
+            want |= {label: share} if share >= 0.6 - 1e-9 else {}
+        assert join.run_matches(words) == want
+
+
 def test_token_frequency_counts_blocks(make_docs):
     counted = licenses.token_frequency(make_docs(["mit mit\nthe mit", "license", None]), licenses.TEMPLATES)
     assert counted[b"mit"] == 2 and counted[b"license"] == 1 and counted[b"gnu"] == 0
