@@ -114,6 +114,39 @@ from words left join sizes using (doc_id) left join lowest using (doc_id)
 """
 
 
+OP11 = f"""
+with texts as (
+    select row_number() over () as row, doc_id,
+           regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+    from documents where text is not null and doc_id is not null),
+sized as (select row, doc_id, terms, len(terms) as n from texts where len(terms) > 0),
+corpus as (select count(*) as documents, cast(sum(n) as bigint) as total from sized),
+held as (select row, term, count(*) as tf from (select row, unnest(terms) as term from sized) group by row, term),
+weights as (
+    select term, cast(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) as bigint) as w
+    from held, corpus group by term, documents),
+asked as (
+    select number, item_id, unnest(list_distinct(
+             regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) as term
+    from (select row_number() over () as number, * from (select distinct item_id, text from benchmark where text is not null))),
+scored as (
+    select number, item_id, doc_id, row,
+           cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * documents) // total)))) as bigint) as score
+    from asked join held using (term) join weights using (term) join sized using (row), corpus
+    group by number, item_id, doc_id, row),
+ranked as (
+    select item_id, doc_id, score, row_number() over (partition by number order by score desc, doc_id) as rank
+    from scored where score > 0)
+select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """The toxicity, quality, packing, license, token and language queries train, tokenize or compare floats: no SQL."""
-    return {"op2_line_dedup": OP2, "op8_decontamination": OP8, "op9_secrets": _op9(), "op10_near_dedup": OP10}
+    """The toxicity, quality, packing, license, token, language and page queries train, tokenize, parse or compare floats: no SQL."""
+    return {
+        "op2_line_dedup": OP2,
+        "op8_decontamination": OP8,
+        "op9_secrets": _op9(),
+        "op10_near_dedup": OP10,
+        "op11_lexical_search": OP11,
+    }

@@ -8,7 +8,21 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from barline.llm import decontamination, language, licenses, line_dedup, near_dedup, packing, quality, secrets, token_counts, toxicity
+from barline.llm import (
+    decontamination,
+    html_text,
+    language,
+    lexical_search,
+    licenses,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    secrets,
+    token_alignment,
+    token_counts,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 512
@@ -138,6 +152,20 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return lexical_search.ranked_search(docs, _table(spark, sf_dir, "benchmark")).select("item_id", "rank", "doc_id", "score")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.main_text(pages).select("page_id", "url", "content.text", "content.n_chars")
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_toxicity,
@@ -150,5 +178,8 @@ def queries() -> dict[str, Query]:
         op8_decontamination,
         op9_secrets,
         op10_near_dedup,
+        op11_lexical_search,
+        op12_token_alignment,
+        op13_html_text,
     )
     return {f.__name__: f for f in named}
