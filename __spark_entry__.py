@@ -31,6 +31,7 @@ RANGE_START, RANGE_END = date(1995, 3, 1), date(1996, 8, 31)
 SINCE = date(1999, 6, 1)
 BATCH_END = date(1995, 6, 14)
 HEAD_SYMBOL = "S1"
+EMA_COLUMNS = ("ema_12", "ema_26", "macd_ema", "macd_ema_signal", "macd_ema_histogram")
 # Far below any real setting, so that every history is cut several times.
 SMALL_CHUNK = 150
 
@@ -197,6 +198,7 @@ def bar_queries() -> dict[str, Query]:
         "gain_loss": _slice(m.gain_loss),
         "rsi_14": _slice(m.rsi),
         "macd_sma": _slice(m.macd),
+        "macd_ema": lambda s, d: comparable(m.macd_ema(tb.staged_bars(s, d))),
         # Models
         "daily_metrics": lambda s, d: comparable(_metrics(s, d)),
         "daily_metrics_chunked": lambda s, d: comparable(_cut_metrics(s, d)),
@@ -315,6 +317,7 @@ def bar_oracle() -> dict[str, str]:
         "gain_loss": o.over("derived", f"select {key}, gain, loss from derived"),
         "rsi_14": o.over("metrics", f"select {key}, {o.columns('rsi_14')} from metrics"),
         "macd_sma": o.over("metrics", f"select {key}, {o.columns('macd_approx', 'macd_signal_approx')} from metrics"),
+        "macd_ema": o.over("staged", o.MACD_EMA + f" select {key}, {o.columns(*EMA_COLUMNS)} from averages"),
         "daily_metrics": metrics,
         "daily_metrics_chunked": metrics,
         "daily_metrics_since": f"{metrics} where trade_date >= date '{SINCE}'",

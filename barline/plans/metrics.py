@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, WindowSpec, functions as F
 from barline.functions.frames import Passes, run, together
 from barline.operators import indicators as ind
 from barline.operators.history import over_history, recent_rows, spread
+from barline.operators.smoothing import exponential_averages
 
 # Columns of the daily metrics, in order.
 METRIC_COLUMNS = (
@@ -189,3 +190,25 @@ def macd(
         max(fast, slow) + signal - 2,
         rows_per_chunk,
     )
+
+
+def macd_ema(
+    staged: DataFrame, fast: int = ind.MACD_FAST, slow: int = ind.MACD_SLOW, signal: int = ind.MACD_SIGNAL
+) -> DataFrame:
+    """The textbook MACD: ``ema_<fast>``, ``ema_<slow>``, their difference, its own average, and what lies between.
+
+    Exact for histories of any length; see ``operators.smoothing`` for first rows and missing prices.
+    """
+    quick, calm = f"ema_{fast}", f"ema_{slow}"
+    averages = exponential_averages(
+        staged, {quick: fast, calm: slow}, "close", ("macd_ema_signal", quick, calm, signal)
+    )
+    line = F.col(quick) - F.col(calm)
+    return averages.select(
+        *_KEY,
+        quick,
+        calm,
+        line.alias("macd_ema"),
+        "macd_ema_signal",
+        (line - F.col("macd_ema_signal")).alias("macd_ema_histogram"),
+    )

@@ -23,6 +23,10 @@ DIGITS = dict.fromkeys(
         "macd_signal_approx",
     ),
     6,
+) | dict.fromkeys(
+    # Prices of tens of thousands, folded: their last binary digit is worth 1e-11, so a sixth decimal would meet ties.
+    ("ema_12", "ema_26", "macd_ema", "macd_ema_signal", "macd_ema_histogram"),
+    3,
 )
 
 

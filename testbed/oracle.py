@@ -139,6 +139,26 @@ select symbol, min(trade_date) as first_trading_date, max(trade_date) as last_tr
 from metrics group by symbol
 """
 
+# One row after the other; a missing price leaves all three averages as they are.
+_NEXT = "case when o.close is null then w.{0} when w.{0} is null then o.close else w.{0} + 2.0 / {1} * (o.close - w.{0}) end"
+MACD_EMA = f"""
+, places as (select symbol, trade_date, close, row_number() over ({_H}) as n from staged),
+walk as (
+  select symbol, trade_date, n, close as fast, close as slow, case when close is not null then 0.0::double end as signal
+  from places where n = 1
+  union all
+  select symbol, trade_date, n, fast, slow,
+    case when close is null then before when before is null then 0.0 else before + 2.0 / 10 * (fast - slow - before) end
+  from (
+    select o.symbol, o.trade_date, o.n, o.close, {_NEXT.format('fast', 13)} as fast, {_NEXT.format('slow', 27)} as slow,
+      w.signal as before
+    from walk w join places o on o.symbol = w.symbol and o.n = w.n + 1)),
+averages as (
+  select symbol, trade_date, fast as ema_12, slow as ema_26, fast - slow as macd_ema, signal as macd_ema_signal,
+    fast - slow - signal as macd_ema_histogram
+  from walk)
+"""
+
 _LAYERS = {
     "landed": LANDED,
     "staged": STAGED,
@@ -155,7 +175,7 @@ def over(layer: str, body: str, landed: str = LANDED) -> str:
     parts = [
         f"{name} as ({landed if name == 'landed' else _LAYERS[name]})" for name in names[: names.index(layer) + 1]
     ]
-    return f"with {', '.join(parts)} {body}"
+    return f"with recursive {', '.join(parts)} {body}"
 
 
 def columns(*names: str) -> str:
