@@ -17,7 +17,7 @@ from barline.operators import quality
 from barline.operators.cleaning import clean_bars, date_range, rejected_values, sort_bars, stage_bars
 from barline.operators.signals import trade_signals
 from barline.operators.summary import symbol_summary
-from barline.plans import metrics as m, projections
+from barline.plans import metrics as m, projections, store
 from barline.plans.pipeline import Layers, run_pipeline
 from barline.session import scratch_path
 from barline.sources import files, payloads, tables
@@ -29,6 +29,7 @@ SMALL = "/root/testdata/sf0.001"
 # Arguments of the registered queries.
 RANGE_START, RANGE_END = date(1995, 3, 1), date(1996, 8, 31)
 SINCE = date(1999, 6, 1)
+REFRESH = date(1998, 9, 2)
 BATCH_END = date(1995, 6, 14)
 HEAD_SYMBOL = "S1"
 EMA_COLUMNS = ("ema_12", "ema_26", "macd_ema", "macd_ema_signal", "macd_ema_histogram")
@@ -125,6 +126,20 @@ def _chain(spark: SparkSession, sf_dir: str) -> Layers:
     return run_pipeline(tb.raw_bars(spark, sf_dir), *_new_namespace(spark, "chain"))
 
 
+def _refreshed(spark: SparkSession, sf_dir: str) -> str:
+    """A store of all bars but the last years', refreshed with those from ``REFRESH`` on."""
+    path = scratch_path(spark, "store")
+    store.store_bars(tb.staged_bars(spark, sf_dir, last=REFRESH - timedelta(days=1)), path)
+    store.refresh(tb.staged_bars(spark, sf_dir, first=REFRESH), REFRESH, path)
+    return path
+
+
+def _stored_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "store")
+    store.store_bars(tb.staged_bars(spark, sf_dir), path)
+    return store.metrics_since(spark, path, SINCE)
+
+
 def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     early = tb.landed_bars(spark, sf_dir, last=BATCH_END)
     return early, tb.landed_bars(spark, sf_dir, first=BATCH_END + timedelta(days=1))
@@ -211,6 +226,12 @@ def bar_queries() -> dict[str, Query]:
         "symbol_summary": lambda s, d: comparable(symbol_summary(_metrics(s, d))),
         "chain_signals": lambda s, d: comparable(s.table(_chain(s, d).signals)),
         "chain_summary": lambda s, d: comparable(s.table(_chain(s, d).summary)),
+        # Storage by year
+        "refreshed_metrics": lambda s, d: comparable(
+            store.read(s, _refreshed(s, d), store.METRICS).select(*m.METRIC_COLUMNS)
+        ),
+        "refreshed_summary": lambda s, d: comparable(store.stored_summary(s, _refreshed(s, d))),
+        "stored_metrics_since": lambda s, d: comparable(_stored_since(s, d)),
         # Quality checks, on rows that break them
         "dq_not_null": lambda s, d: quality.null_violations(tb.dirty_bars(s, d), ["symbol", "trade_date"]),
         "dq_unique_symbol": lambda s, d: quality.duplicate_keys(tb.dirty_bars(s, d), ["symbol"]),
@@ -327,6 +348,9 @@ def bar_oracle() -> dict[str, str]:
         "symbol_summary": summary,
         "chain_signals": signals,
         "chain_summary": summary,
+        "refreshed_metrics": metrics,
+        "refreshed_summary": summary,
+        "stored_metrics_since": f"{metrics} where trade_date >= date '{SINCE}'",
         "dq_not_null": dirty + nulls,
         "dq_unique_symbol": dirty
         + """select symbol, count(*) as row_count from dirty

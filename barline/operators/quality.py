@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 class QualityError(RuntimeError):
@@ -90,6 +90,25 @@ def require_none(nulls: Mapping[str, int], layer: str) -> None:
         raise QualityError(f"{layer}: {'; '.join(failed)}")
 
 
+def with_repeats(df: DataFrame, key: str, when: str) -> tuple[DataFrame, str]:
+    """Rows with a column of 1 on the second row of each (key, day), else 0, and that column's name; its sum counts repeated keys.
+
+    ``when`` is a date or time. Rows that lie by ``key`` already are not moved again: neighbours in their order are compared.
+    """
+    name = "__repeated"
+    in_order = Window.partitionBy(key).orderBy(when)
+    day = F.col(when).cast("date")
+    before = [F.lag(day, n).over(in_order) for n in (1, 2)]
+    second = day.eqNullSafe(before[0]) & ~day.eqNullSafe(before[1]) & (F.row_number().over(in_order) > 1)
+    return df.withColumn(name, second.cast("long")), name
+
+
+def require_unique(repeated: int, constraints: Constraints, layer: str) -> None:
+    """Raise ``QualityError`` if keys were counted that more than one row holds."""
+    if repeated:
+        raise QualityError(f"{layer}: unique({', '.join(constraints.unique[0])}): {repeated}")
+
+
 def require(df: DataFrame, constraints: Constraints, layer: str) -> None:
     """Raise ``QualityError`` if ``layer`` breaks a constraint. Collects one row per constraint."""
     failed = [

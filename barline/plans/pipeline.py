@@ -5,11 +5,12 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 from datetime import date
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barline.operators import quality
-from barline.operators.cleaning import clean_bars, date_range, rejected_values, staging_sql
+from barline.operators.cleaning import clean_bars, date_range, rejected_values, stage_bars, staging_sql
 from barline.operators.history import partitions_for
 from barline.operators.signals import trade_signals
 from barline.operators.summary import symbol_summary
@@ -18,7 +19,8 @@ from barline.schema import PAYLOAD
 from barline.session import scratch_path
 from barline.sources.files import read_raw_csv, write_bars_csv
 from barline.sources.payloads import NoDataError, bars_of, judged_records, rejected_of
-from barline.sources.tables import Buckets, ensure_database, register, table_path, write_table
+from barline.sources import versions
+from barline.sources.tables import Buckets, ensure_database, point, publish, table_name, write_version
 
 log = logging.getLogger(__name__)
 
@@ -107,9 +109,17 @@ def build_files(
     return run_pipeline(raw, namespace, location)
 
 
+# Layers that are tables, and the database each lies in. Staging is a view.
+_STORED = {"landed": "landing", "metrics": "intermediate", "signals": "marts", "summary": "marts"}
+
+
+def _root(spark: SparkSession, namespace: str, location: str | None) -> str:
+    return (location or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{namespace}").rstrip("/")
+
+
 def _tables(spark: SparkSession, namespace: str, location: str | None) -> Layers:
     """The names of all layers, in databases at fixed folders."""
-    root = location or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{namespace}"
+    root = _root(spark, namespace, location)
 
     def database(layer: str) -> str:
         name = f"{namespace}_{layer}"
@@ -132,50 +142,74 @@ def _stage(spark: SparkSession, layers: Layers) -> None:
 
 
 def open_layers(spark: SparkSession, namespace: str, location: str | None = None) -> Layers:
-    """Name the layers that an earlier run stored, in a session whose catalog does not know them.
-
-    The names read all rows; the bucketing of a layer is known to the run that writes it.
-    """
-    layers = _tables(spark, namespace, location)
-    for table in (layers.landed, layers.metrics, layers.signals, layers.summary):
-        if not spark.catalog.tableExists(table) and not register(spark, table, table_path(spark, table)):
-            raise NoDataError(f"{table} has not been built")
+    """Name the layers that the last complete run stored, in a session whose catalog does not know them or knows older ones."""
+    layers, root = _tables(spark, namespace, location), _root(spark, namespace, location)
+    last = versions.current(spark, root)
+    if last is None:
+        raise NoDataError(f"{namespace} has not been built")
+    for layer in _STORED:
+        buckets = Buckets(**last.facts["buckets"][layer]) if layer in last.facts["buckets"] else None
+        point(spark, getattr(layers, layer), f"{root}/{last.folders[layer]}", buckets)
     _stage(spark, layers)
-    return Layers(**{**vars(layers), "loaded_rows": spark.table(layers.landed).count()})
+    return Layers(**{**vars(layers), "loaded_rows": last.facts["rows"]})
 
 
 def run_pipeline(raw: DataFrame, namespace: str, location: str | None = None) -> Layers:
-    """Rebuild every layer of ``namespace`` from raw bars; a failing check stops the run.
+    """Rebuild every layer of ``namespace`` from raw bars; a failing check stops the run. See ``build_layers``."""
+    return build_layers(clean_bars(raw), namespace, location)
 
-    Staging is a view, the other layers are tables in one database each, and each run replaces
-    them, also in a session that does not know the last one. Landed bars are shuffled by symbol once and stored in those
-    buckets; uniqueness, metrics and summary then need no shuffle. Rows and missing keys are counted while landing:
-    without raw bars, or with a missing key, the last run stays as it was.
+
+def build_layers(cleaned: DataFrame, namespace: str, location: str | None = None) -> Layers:
+    """Rebuild every layer of ``namespace`` from cleaned bars; a failing check stops the run.
+
+    Staging is a view, the other layers are tables in one database each. A run writes new folders and makes them current by one
+    commit when all are complete and checked, so readers see the layers of one run, and a run that fails anywhere leaves the last
+    one as it was. Landed bars are shuffled by symbol once and stored in those buckets; metrics and summary then need no shuffle.
+    Rows, missing keys and repeated days are counted while landing, before anything is computed from them.
     """
-    spark = raw.sparkSession
-    layers = _tables(spark, namespace, location)
-    cleaned = clean_bars(raw)
+    spark = cleaned.sparkSession
+    layers, root = _tables(spark, namespace, location), _root(spark, namespace, location)
+    last, run = versions.current(spark, root), versions.new_version()
     number = max(partitions_for(cleaned), spark.sparkContext.defaultParallelism)
-
-    def accept(counts: dict[str, int]) -> None:
+    buckets = {"landed": Buckets(number, order="date"), "metrics": Buckets(number)}
+    folders = {layer: f"{root}/{base}/{table_name(getattr(layers, layer))}/{run}" for layer, base in _STORED.items()}
+    # Names of the run's own tables, for as long as it lasts.
+    names = {layer: f"{getattr(layers, layer)}__next" for layer in buckets}
+
+    def write(layer: str, df: DataFrame, **observed: Any) -> dict[str, int]:
+        return write_version(df, folders[layer], buckets.get(layer), names.get(layer), **observed)
+
+    try:
+        landed, repeats = quality.with_repeats(cleaned.repartition(number, "symbol"), "symbol", "date")
+        counts = write(
+            "landed",
+            landed,
+            observed={**quality.null_counts(quality.LANDED_CONSTRAINTS), repeats: F.sum(repeats)},
+            hidden=[repeats],
+        )
         if not counts["rows"]:
             raise NoDataError("no bars to work on")
         quality.require_none({c: counts[c] for c in quality.LANDED_CONSTRAINTS.not_null}, layers.landed)
-
-    loaded = write_table(
-        cleaned.repartition(number, "symbol"),
-        layers.landed,
-        buckets=Buckets(number, order="date"),
-        observed=quality.null_counts(quality.LANDED_CONSTRAINTS),
-        accept=accept,
-    )
-    _stage(spark, layers)
-    bars = spark.table(layers.staged)
-    quality.require(bars, quality.STAGED_CONSTRAINTS, layers.staged)
-
-    write_table(daily_metrics(bars), layers.metrics, buckets=Buckets(number))
-    metrics = spark.table(layers.metrics)
-    write_table(trade_signals(metrics), layers.signals)
-    write_table(symbol_summary(metrics), layers.summary)
-    quality.require(spark.table(layers.summary), quality.SUMMARY_CONSTRAINTS, layers.summary)
-    return Layers(**{**vars(layers), "loaded_rows": loaded})
+        # Staging keeps rows and renames them, so its own columns are as complete as the landed ones.
+        quality.require_unique(counts[repeats], quality.STAGED_CONSTRAINTS, layers.staged)
+
+        write("metrics", daily_metrics(stage_bars(spark.table(names["landed"]))))
+        metrics = spark.table(names["metrics"])
+        write("signals", trade_signals(metrics))
+        write("summary", symbol_summary(metrics))
+        quality.require(spark.read.parquet(folders["summary"]), quality.SUMMARY_CONSTRAINTS, layers.summary)
+
+        facts = {"rows": counts["rows"], "buckets": {layer: vars(b) for layer, b in buckets.items()}}
+        named = {getattr(layers, layer): (folders[layer], buckets.get(layer)) for layer in _STORED}
+        keys = {getattr(layers, layer): layer for layer in _STORED}
+        publish(spark, root, named, last, facts, keys)
+        _stage(spark, layers)
+    except Exception:
+        for folder in folders.values():
+            versions.remove(spark, folder)
+        raise
+    finally:
+        for name in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    versions.prune(spark, root)
+    return Layers(**{**vars(layers), "loaded_rows": counts["rows"]})
