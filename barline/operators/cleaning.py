@@ -6,17 +6,57 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from barline.functions.scalars import typed, unreadable
+from barline.functions.scalars import read_fields, text_of
 from barline.schema import LANDED, STAGED_FROM_LANDED
 
 
+# Column of ``judged_bars`` with what could not be read.
+REJECTED = "rejected"
+_REJECTION = "array<struct<date:string,column_name:string,value:string,reason:string>>"
+
+
+def judged_bars(raw: DataFrame) -> DataFrame:
+    """Landed bars with ``rejected``: (date, column_name, value, reason) of every value that is there but none of its type, as written.
+
+    One pass that reads each value once; store it to use both the bars (``bars_of``) and the rejections (``rejections_of``).
+    """
+    kinds = {f.name: f.dataType for f in LANDED}
+    read = read_fields(raw, kinds, {name: F.col(name) for name in kinds})
+    found = [
+        F.when(
+            F.col("bad").bitwiseAND(F.lit(1 << i)) != 0,
+            F.struct(
+                F.col(text_of("date")).alias("date"),
+                F.lit(name).alias("column_name"),
+                F.col(text_of(name)).alias("value"),
+                F.lit("bad_date" if name == "date" else "bad_value").alias("reason"),
+            ),
+        )
+        for i, name in enumerate(kinds)
+        if name != "symbol"
+    ]
+    none = F.array().cast(_REJECTION)
+    listed = F.when(F.col("bad") != 0, F.array_compact(F.array(*found))).otherwise(none)
+    return read.select(*kinds, listed.alias(REJECTED))
+
+
+def bars_of(judged: DataFrame) -> DataFrame:
+    """The landed bars of judged ones."""
+    return judged.select(*LANDED.names)
+
+
+def rejections_of(judged: DataFrame) -> DataFrame:
+    """(symbol, date, column_name, value, reason) of what judged bars reject."""
+    return judged.select("symbol", F.inline(REJECTED))
+
+
 def clean_bars(raw: DataFrame) -> DataFrame:
     """Landed types from raw bars: second-precision date (NULL if unreadable), no NaN.
 
     A value that cannot be read is NULL here; ``rejected_values`` lists it. Add ``sort_bars`` for the global sort, or
     leave rows unsorted and let the sink lay them out.
     """
-    return raw.select(*(typed(F.col(f.name), f.dataType).alias(f.name) for f in LANDED))
+    return bars_of(judged_bars(raw))
 
 
 def rejected_values(raw: DataFrame) -> DataFrame:
@@ -24,19 +64,7 @@ def rejected_values(raw: DataFrame) -> DataFrame:
 
     The reason is ``bad_date`` or ``bad_value``; empty cells and NaN are missing values, not bad ones.
     """
-    found = [
-        F.when(
-            unreadable(F.col(f.name), f.dataType),
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.col(f.name).alias("value"),
-                F.lit("bad_date" if f.name == "date" else "bad_value").alias("reason"),
-            ),
-        )
-        for f in LANDED
-        if f.name != "symbol"
-    ]
-    return raw.select("symbol", "date", F.inline(F.array_compact(F.array(*found))))
+    return rejections_of(judged_bars(raw))
 
 
 def sort_bars(bars: DataFrame) -> DataFrame:

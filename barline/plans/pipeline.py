@@ -9,8 +9,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barline.operators import quality
-from barline.operators.cleaning import clean_bars, date_range, rejected_values, stage_bars, staging_sql
+from barline.operators import cleaning, quality
+from barline.operators.cleaning import clean_bars, date_range, judged_bars, rejections_of, stage_bars, staging_sql
 from barline.operators.history import partitions_for
 from barline.operators.signals import trade_signals
 from barline.operators.summary import symbol_summary
@@ -72,14 +72,16 @@ def ingest_files(
     return write_bars_csv(date_range(bars_of(judged), start, end), target)
 
 
-def _reject(raw: DataFrame, rejected: str | None) -> None:
-    """Find the values that cannot be read in one pass over the raw bars."""
-    path = scratch_path(raw.sparkSession, "rejected")
-    rejected_values(raw).write.parquet(path)
-    refused = raw.sparkSession.read.parquet(path)
+def _judged(raw: DataFrame, rejected: str | None) -> DataFrame:
+    """Bars of raw ones; what cannot be read is reported. Raw bars are read, and their values judged, once."""
+    path = scratch_path(raw.sparkSession, "judged")
+    judged_bars(raw).write.parquet(path)
+    judged = raw.sparkSession.read.parquet(path)
+    refused = rejections_of(judged)
     _report(refused, "values")
     if rejected:
         refused.write.mode("overwrite").option("header", True).csv(rejected)
+    return cleaning.bars_of(judged)
 
 
 def clean_files(
@@ -95,18 +97,15 @@ def clean_files(
 
     Values that cannot be read become empty, are logged, and are listed in ``rejected``.
     """
-    raw = read_raw_csv(spark, source)
-    _reject(raw, rejected)
-    return write_bars_csv(date_range(clean_bars(raw), start, end), target, in_order=True, files=files)
+    bars = _judged(read_raw_csv(spark, source), rejected)
+    return write_bars_csv(date_range(bars, start, end), target, in_order=True, files=files)
 
 
 def build_files(
     spark: SparkSession, source: str, namespace: str, location: str | None = None, rejected: str | None = None
 ) -> Layers:
     """``run_pipeline`` over raw CSV files; values that cannot be read are logged and listed in ``rejected``."""
-    raw = read_raw_csv(spark, source)
-    _reject(raw, rejected)
-    return run_pipeline(raw, namespace, location)
+    return build_layers(_judged(read_raw_csv(spark, source), rejected), namespace, location)
 
 
 # Layers that are tables, and the database each lies in. Staging is a view.

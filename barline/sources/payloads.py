@@ -11,7 +11,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from barline.functions.scalars import typed, unreadable
+from barline.functions.scalars import read_fields
 from barline.schema import LANDED
 
 _FIELDS = [f for f in LANDED if f.name != "symbol"]
@@ -22,31 +22,32 @@ class NoDataError(RuntimeError):
 
 
 def judged_records(payloads: DataFrame) -> DataFrame:
-    """symbol, reason and record: one row per record of a usable payload, else one with the reason.
+    """One row per record of a usable payload, with its typed fields and ``bad``, the set of those that could not be read; else one
+    row with the payload's ``reason``.
 
     The payload is parsed once, as the first of two elements of an array whose second is the payload's own digest: text
-    after the payload breaks the array or leaves the digest out of place. Records become string maps, since a
-    struct schema would turn an object payload or a missing field into NULL columns and hide the failure. A field counts as
-    present when any record has it. A record's own reason is ``bad_date`` or ``bad_value``.
+    after the payload breaks the array or leaves the digest out of place. Records are first taken as variants by field, which tell a
+    field that is missing from one that is null; a field counts as present when any record has it.
     """
     digest = F.md5("payload")
     parsed = F.try_parse_json(F.concat(F.lit("["), "payload", F.lit(',"'), digest, F.lit('"]')))
     pair = F.try_variant_get(F.col("parsed"), "$", "array<variant>")
     whole = (F.size("pair") == 2) & F.try_variant_get(F.col("pair")[1], "$", "string").eqNullSafe(digest)
+    fields = f"struct<{','.join(f'`{f.name}`:variant' for f in _FIELDS)}>"
     read = (
         payloads.select("symbol", "payload", parsed.alias("parsed"))
         .withColumn("pair", pair)
         .withColumn("body", F.when(F.coalesce(whole, F.lit(False)), F.try_element_at("pair", F.lit(1))))
         .withColumn("items", F.try_variant_get("body", "$", "array<variant>"))
-        .withColumn("records", F.transform("items", lambda x: F.try_variant_get(x, "$", "map<string,string>")))
+        .withColumn("records", F.transform("items", lambda x: F.try_variant_get(x, "$", fields)))
     )
 
     def absent(name: str) -> Column:
-        return ~F.exists("records", lambda record: F.map_contains_key(record, name))
+        return ~F.exists("records", lambda record: record[name].isNotNull())
 
     reason = (
         F.when(F.col("body").isNull(), "not_json")
-        .when(F.col("records").isNull(), "not_array")
+        .when(F.col("items").isNull(), "not_array")
         .when(F.exists("records", lambda record: record.isNull()), "not_array")
         .when(F.size("records") == 0, "empty")
         .when(reduce(or_, (absent(field.name) for field in _FIELDS)), "missing_field")
@@ -55,29 +56,25 @@ def judged_records(payloads: DataFrame) -> DataFrame:
     # The outer explode keeps Spark from testing the reason below it, where the parse would be repeated.
     usable = F.when(F.col("reason").isNull(), F.col("records"))
     rows = judged.select("symbol", "reason", F.explode_outer(usable).alias("record"))
-    bad = reduce(or_, (unreadable(F.col("record")[f.name], f.dataType) for f in _FIELDS if f.name != "date"))
-    own = F.when(_typed(_FIELDS[0]).isNull(), "bad_date").when(bad, "bad_value")
-    return rows.withColumn("reason", F.coalesce("reason", own))
-
-
-def _typed(field: T.StructField) -> Column:
-    """A field of the record; a value of the wrong type becomes NULL."""
-    value = F.col("record")[field.name]
-    if field.name == "date":
-        # The calendar date as written, without the time of day.
-        return value.try_cast("timestamp_ntz").cast("date").cast(field.dataType)
-    return typed(value, field.dataType)
+    kinds = {f.name: T.DateType() if f.name == "date" else f.dataType for f in _FIELDS}
+    texts = {name: F.try_variant_get(F.col("record")[name], "$", "string") for name in kinds}
+    return read_fields(rows, kinds, texts, ["symbol", "reason"]).select("symbol", "reason", *kinds, "bad")
 
 
 def bars_of(judged: DataFrame) -> DataFrame:
-    """Landed bars of judged records: those with a date."""
-    rows = judged.filter(F.col("record").isNotNull() & (F.col("reason").isNull() | (F.col("reason") == "bad_value")))
-    return rows.select("symbol", *(_typed(f).alias(f.name) for f in _FIELDS))
+    """Landed bars of judged records: those with a date.
+
+    The rows of unusable payloads have none. A test of the reason would be moved below the explode, and the parse repeated there.
+    """
+    rows = judged.filter(F.col("date").isNotNull())
+    return rows.select("symbol", *(F.col(f.name).cast(f.dataType).alias(f.name) for f in _FIELDS))
 
 
 def rejected_of(judged: DataFrame) -> DataFrame:
     """(symbol, reason): payloads not used, rows dropped for ``bad_date``, and values lost for ``bad_value``."""
-    return judged.select("symbol", "reason").filter(F.col("reason").isNotNull()).distinct()
+    own = F.when(F.col("date").isNull(), "bad_date").when(F.col("bad") != 0, "bad_value")
+    reasons = judged.select("symbol", F.coalesce("reason", own).alias("reason"))
+    return reasons.filter(F.col("reason").isNotNull()).distinct()
 
 
 def bars_from_payloads(payloads: DataFrame) -> DataFrame:
