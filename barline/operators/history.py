@@ -2,7 +2,7 @@
 
 A window is computed by one task per partition key. Bars that are unique on (symbol, trade_date) bound
 a symbol's history by the calendar, and are computed whole. For sources without that bound, ``rows_per_chunk``
-cuts every history at month starts into chunks, each preceded by enough earlier
+cuts longer histories at month starts into chunks, each preceded by enough earlier
 rows to fill every frame (the warm-up), which are dropped after the computation. The result is
 the same rows either way.
 """
@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from barline.functions.frames import history
+from barline.session import scratch_path
 
 # Bytes, as the plan estimates them, that one task should get.
 BYTES_PER_PARTITION = 256 << 20
@@ -43,51 +44,64 @@ def partitions_for(df: DataFrame) -> int:
 
 
 def plan_chunks(bars: DataFrame, lookback: int, rows_per_chunk: int) -> DataFrame:
-    """symbol, chunk, warm_from <= starts_on < ends_before (NULL for the last), from one count by month."""
+    """(symbol, month, chunks): the chunks that rows of a month go to, the later ones as warm-up, from one count by month.
+
+    Only histories longer than ``rows_per_chunk`` are listed. Chunks begin with a month, so a month's rows stay together, and one
+    row of the plan serves all of them.
+    """
     months = bars.groupBy("symbol", F.trunc(_day(), "month").alias("month")).agg(F.count("*").alias("rows"))
     # A symbol has at most 12 months for each year of the calendar, so these windows stay small.
-    by_month = Window.partitionBy("symbol").orderBy("month")
+    whole = Window.partitionBy("symbol")
+    by_month = whole.orderBy("month")
     before = F.coalesce(F.sum("rows").over(by_month.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # The latest month that has at least ``lookback`` rows between its start and this month.
-    by_rows = Window.partitionBy("symbol").orderBy("before")
-    reach = F.max("month").over(by_rows.rangeBetween(Window.unboundedPreceding, -lookback))
-    first = F.min("month").over(Window.partitionBy("symbol"))
-    return (
-        months.withColumn("before", before)
-        .withColumn("chunk", F.floor(F.col("before") / rows_per_chunk).cast("int"))
-        .withColumn("warm_from", F.coalesce(reach, first))
-        .groupBy("symbol", "chunk")
-        .agg(F.min("month").alias("starts_on"), F.min("warm_from").alias("warm_from"))
-        .withColumn("ends_before", F.lead("starts_on").over(Window.partitionBy("symbol").orderBy("chunk")))
+    reach = F.max("month").over(whole.orderBy("before").rangeBetween(Window.unboundedPreceding, -lookback))
+    placed = (
+        months.withColumn("total", F.sum("rows").over(whole))
+        .filter(F.col("total") > rows_per_chunk)
+        .withColumn("before", before)
+        .withColumns({"chunk": F.floor(F.col("before") / rows_per_chunk).cast("int"), "reach": reach})
+        .withColumn("warm_from", F.coalesce("reach", F.min("month").over(whole)))
     )
+    # The months of a symbol before each of its chunks, back to where the warm-up of the chunk begins.
+    chunks = F.array_sort(F.collect_list(F.struct("month", "chunk", "warm_from")))
+    listed = placed.groupBy("symbol").agg(chunks.alias("months"))
+    starts = F.filter("months", lambda m, i: (i == 0) | (F.get("months", i - 1)["chunk"] != m["chunk"]))
+    each = listed.select("symbol", starts.alias("starts"), F.inline("months"))
+
+    def later(start: Column) -> Column:
+        return (start["month"] > F.col("month")) & (start["warm_from"] <= F.col("month"))
+
+    def entry(chunk: Column, warm_up: bool) -> Column:
+        return F.struct(chunk.alias(CHUNK), F.lit(warm_up).alias(WARM_UP))
 
+    warmed = F.transform(F.filter("starts", later), lambda start: entry(start["chunk"], True))
+    return each.select("symbol", "month", F.concat(F.array(entry(F.col("chunk"), False)), warmed).alias("chunks"))
 
-def assign_chunks(bars: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Tag each row with its chunk, and repeat rows that warm up a later chunk.
 
-    Adaptive execution splits the rows of a hot symbol in this join, or broadcasts the chunks if they are few.
+def assign_chunks(bars: DataFrame, plan: DataFrame) -> DataFrame:
+    """Tag each row with its chunk, and repeat rows that warm up a later chunk; histories not in the plan are one chunk.
+
+    The plan is broadcast if it is stored and small; otherwise adaptive execution splits the rows of a hot symbol in this join.
     """
-    on = (
-        F.col("symbol").eqNullSafe(F.col("__symbol"))
-        & (_day() >= F.col("warm_from"))
-        & (F.col("ends_before").isNull() | (_day() < F.col("ends_before")))
-    )
-    return (
-        bars.join(chunks.withColumnRenamed("symbol", "__symbol"), on)
-        .withColumns({CHUNK: F.col("chunk"), WARM_UP: _day() < F.col("starts_on")})
-        .drop("__symbol", "chunk", "starts_on", "ends_before", "warm_from")
-    )
+    months = plan.select(F.col("symbol").alias("__symbol"), F.col("month").alias("__month"), "chunks")
+    on = F.col("symbol").eqNullSafe(F.col("__symbol")) & (F.trunc(_day(), "month") == F.col("__month"))
+    only = F.array(F.struct(F.lit(0).alias(CHUNK), F.lit(False).alias(WARM_UP)))
+    joined = bars.join(months, on, "left")
+    return joined.select(*bars.columns, F.inline(F.coalesce("chunks", only)))
 
 
 def over_history(bars: DataFrame, compute: Compute, lookback: int, rows_per_chunk: int | None = None) -> DataFrame:
     """Apply ``compute(rows, window)`` to each symbol's history.
 
-    ``compute`` may add columns but must keep the rows; ``lookback`` is the number of earlier
-    rows its result can depend on. Cutting reads ``bars`` twice, so they should then come from a stored table.
+    ``compute`` may add columns but must keep the rows; ``lookback`` is the number of earlier rows its result can
+    depend on. Cutting first counts the rows of ``bars`` by month, from two of their columns, and stores the plan; rows then move once.
     """
     if rows_per_chunk is None:
         return compute(spread(bars, "symbol"), history("symbol"))
-    cut = assign_chunks(bars, plan_chunks(bars, lookback, rows_per_chunk))
+    spark, path = bars.sparkSession, scratch_path(bars.sparkSession, "chunks")
+    plan_chunks(bars, lookback, rows_per_chunk).write.parquet(path)
+    cut = assign_chunks(bars, spark.read.parquet(path))
     computed = compute(spread(cut, "symbol", CHUNK), history("symbol", CHUNK))
     return computed.filter(~F.col(WARM_UP)).drop(CHUNK, WARM_UP)
 

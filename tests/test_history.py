@@ -123,3 +123,20 @@ def test_symbol_filter_reaches_the_scan_and_date_filter_does_not(spark, skewed,
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     assert "EqualTo(symbol,HOT)" in scan
     assert "1993-01-01" not in scan
+
+
+def test_only_long_histories_are_cut_and_rows_move_once(spark, skewed, tmp_path):
+    plan = history.plan_chunks(skewed, m.LOOKBACK, 100)
+    assert {r.symbol for r in plan.select("symbol").distinct().collect()} == {"HOT"}
+    skewed.write.parquet(str(tmp_path / "bars"))
+    out = m.daily_metrics(spark.read.parquet(str(tmp_path / "bars")), 100)
+    text = plan_of(out)
+    assert text.count("Exchange hashpartitioning(") == 1 and "BroadcastHashJoin" in text
+    # The longest history is spread over tasks.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = out.filter("symbol = 'HOT'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    total = sum(r["count"] for r in parts)
+    assert len(parts) == 4 and max(r["count"] for r in parts) < total / 2
