@@ -11,14 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from barline.operators import quality
 from barline.operators.cleaning import clean_bars, date_range, rejected_values, sort_bars, stage_bars
 from barline.operators.signals import trade_signals
 from barline.operators.summary import symbol_summary
 from barline.plans import metrics as m, projections, store
-from barline.plans.pipeline import Layers, run_pipeline
+from barline.plans.pipeline import Layers, clean_files, run_pipeline
 from barline.session import scratch_path
 from barline.sources import files, payloads, tables
 from testbed import bars as tb, oracle as o
@@ -31,6 +31,9 @@ RANGE_START, RANGE_END = date(1995, 3, 1), date(1996, 8, 31)
 SINCE = date(1999, 6, 1)
 REFRESH = date(1998, 9, 2)
 BATCH_END = date(1995, 6, 14)
+# After every bar.
+LATER = date(2030, 1, 1)
+FILES = 3
 HEAD_SYMBOL = "S1"
 EMA_COLUMNS = ("ema_12", "ema_26", "macd_ema", "macd_ema_signal", "macd_ema_histogram")
 # Far below any real setting, so that every history is cut several times.
@@ -140,6 +143,55 @@ def _stored_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.metrics_since(spark, path, SINCE)
 
 
+def _ingest_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the guard does with all payloads, and with those that are of no use."""
+    sent = tb.payloads(spark, sf_dir)
+    useless = sent.join(payloads.bars_from_payloads(sent).select("symbol").distinct(), "symbol", "left_anti")
+    rows = []
+    for case, part in (("all", sent), ("useless", useless)):
+        bars = payloads.bars_from_payloads(part)
+        try:
+            rows.append((case, False, payloads.require_data(bars).count()))
+        except payloads.NoDataError:
+            rows.append((case, True, 0))
+    return spark.createDataFrame(rows, "payloads string, refused boolean, bars long")
+
+
+def _sink_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and rows of sorted bars written to a given number of files, and whether files follow each other in order."""
+    path = scratch_path(spark, "csv")
+    files.write_bars_csv(tb.landed_bars(spark, sf_dir), path, in_order=True, files=FILES)
+    read = files.read_bars_csv(spark, path).select(F.input_file_name().alias("file"), F.struct("symbol", "date").alias("key"))
+    ends = read.groupBy("file").agg(F.count("*").alias("rows"), F.min("key").alias("first"), F.max("key").alias("last"))
+    # One row a file, of which there are few.
+    before = F.lag("last").over(Window.orderBy("file"))
+    placed = ends.withColumn("in_order", F.coalesce(F.col("first") > before, F.lit(True)))
+    return placed.agg(F.count("*").alias("files"), F.sum("rows").alias("rows"), F.min("in_order").alias("in_order"))
+
+
+def _clean_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether cleaning wrote a file, and how many rows, for a range with bars and one without."""
+    source, rows = scratch_path(spark, "raw"), []
+    tb.raw_bars(spark, sf_dir).write.option("header", True).csv(source)
+    for case, first, last in (("some", RANGE_START, RANGE_END), ("none", LATER, None)):
+        target = scratch_path(spark, "clean")
+        written = clean_files(spark, source, target, start=first, end=last)
+        rows.append((case, written, files.read_bars_csv(spark, target).count() if written else 0))
+    return spark.createDataFrame(rows, "bars string, written boolean, rows long")
+
+
+def _quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the gate stopped good and dirty bars, and what it said."""
+    rows = []
+    for layer, bars in (("good", tb.staged_bars(spark, sf_dir)), ("dirty", tb.dirty_bars(spark, sf_dir))):
+        try:
+            quality.require(bars, quality.STAGED_CONSTRAINTS, layer)
+            rows.append((layer, False, ""))
+        except quality.QualityError as error:
+            rows.append((layer, True, str(error)))
+    return spark.createDataFrame(rows, "layer string, stopped boolean, message string")
+
+
 def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     early = tb.landed_bars(spark, sf_dir, last=BATCH_END)
     return early, tb.landed_bars(spark, sf_dir, first=BATCH_END + timedelta(days=1))
@@ -190,6 +242,8 @@ def bar_queries() -> dict[str, Query]:
         "csv_roundtrip": _csv_roundtrip,
         "ingest_payloads": lambda s, d: payloads.bars_from_payloads(tb.payloads(s, d)),
         "ingest_quarantine": lambda s, d: payloads.quarantine(tb.payloads(s, d)),
+        "ingest_guard": _ingest_guard,
+        "sink_files": _sink_files,
         "symbol_coverage": lambda s, d: payloads.symbols_without_bars(
             tb.universe(s, d), tb.landed_bars(s, d)
         ),
@@ -203,6 +257,7 @@ def bar_queries() -> dict[str, Query]:
         "clean_bars": lambda s, d: sort_bars(clean_bars(tb.raw_bars(s, d))),
         "clean_csv": lambda s, d: clean_bars(_damaged_csv(s, d)),
         "clean_rejected": lambda s, d: rejected_values(_damaged_csv(s, d)),
+        "clean_ranges": _clean_ranges,
         "stage_bars": lambda s, d: stage_bars(tb.landed_bars(s, d)),
         # Indicators
         "daily_price_stats": lambda s, d: m.daily_price_stats(tb.staged_bars(s, d)),
@@ -237,6 +292,7 @@ def bar_queries() -> dict[str, Query]:
         "dq_unique_symbol": lambda s, d: quality.duplicate_keys(tb.dirty_bars(s, d), ["symbol"]),
         "dq_unique_bar": lambda s, d: quality.duplicate_keys(tb.dirty_bars(s, d), ["symbol", "trade_date"]),
         "dq_layers": _dq_layers,
+        "dq_gate": _quality_gate,
         "dq_report": lambda s, d: quality.check(tb.dirty_bars(s, d), quality.STAGED_CONSTRAINTS),
         # Projections
         "symbol_head": lambda s, d: projections.symbol_head(_metrics(s, d), HEAD_SYMBOL),
@@ -262,6 +318,12 @@ def bar_oracle() -> dict[str, str]:
         "union all select 'trade_date', count(*) - count(trade_date) from dirty"
     )
     repeated = f"select {key}, count(*) as row_count from dirty group by {key} having count(*) > 1"
+    gate = f"""select 'dirty' as layer, true as stopped, 'dirty: ' || string_agg(failed, '; ' order by place) as message from (
+        select 1 as place, 'not_null(symbol): ' || (count(*) - count(symbol)) as failed from dirty
+        union all select 2, 'not_null(trade_date): ' || (count(*) - count(trade_date)) from dirty
+        union all select 3, 'unique(symbol, trade_date): ' || count(*) from ({repeated}))
+        union all select 'good', false, '' """
+    in_range = f"select * from landed where cast(date as date) between date '{RANGE_START}' and date '{RANGE_END}'"
     averages = "ma_20 as twenty_ma, ma_200 as two_hundred_ma"
     return {
         "daily_bars": landed,
@@ -281,6 +343,13 @@ def bar_oracle() -> dict[str, str]:
                 from landed join {nation} using (symbol)
                 where nation < 6 or nation = 9 or (nation in (6, 8) and "divCash" = 1)""",
         ),
+        "ingest_guard": o.over(
+            "landed",
+            f"""select 'all' as payloads, false as refused, count(*) as bars from landed join {nation} using (symbol)
+                where nation in (7, 8) or nation > 9 or (nation = 6 and "divCash" = 0)
+                union all select 'useless', true, 0""",
+        ),
+        "sink_files": o.over("landed", f"select {FILES} as files, count(*) as rows, true as in_order from landed"),
         "symbol_coverage": """select 'S' || cast(c_custkey as varchar) as symbol from customer
             where c_custkey not in (select l_suppkey from lineitem)""",
         "union_batches": landed,
@@ -321,6 +390,10 @@ def bar_oracle() -> dict[str, str]:
                  case day(date) when 11 then 'bad_date' else 'bad_value' end as reason
                from landed where day(date) in (5, 11, 13)""",
         ),
+        "clean_ranges": o.over(
+            "landed",
+            f"select 'some' as bars, true as written, count(*) as rows from ({in_range}) union all select 'none', false, 0",
+        ),
         "stage_bars": o.over("staged", "select * from staged"),
         "daily_price_stats": o.over(
             "metrics",
@@ -369,6 +442,7 @@ def bar_oracle() -> dict[str, str]:
                 union all select 'marts', 'unique', 'symbol', count(*)
                   from (select symbol from ({o.SUMMARY}) group by symbol having count(*) > 1)""",
         ),
+        "dq_gate": dirty + gate,
         "dq_report": dirty
         + f"""select 'not_null' as check_name, column_name, failures from ({nulls})
               union all select 'unique', 'symbol, trade_date', count(*) from ({repeated})""",

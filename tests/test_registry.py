@@ -35,7 +35,7 @@ def test_entry(spark):
     assert registry.entry(spark).count() == 5698
 
 
-# These write tables while being built, which test_query_matches_sql covers.
+# These run jobs while being built, which test_query_matches_sql covers.
 WRITING = {
     "csv_roundtrip",
     "load_bars",
@@ -43,8 +43,12 @@ WRITING = {
     "append_batches",
     "chain_signals",
     "chain_summary",
+    "clean_ranges",
+    "dq_gate",
+    "ingest_guard",
     "refreshed_metrics",
     "refreshed_summary",
+    "sink_files",
     "stored_metrics_since",
 }
 

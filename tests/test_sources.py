@@ -294,3 +294,14 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
     )
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(cluster, "x")
+
+
+def test_payloads_are_parsed_once(spark, tmp_path):
+    spark.createDataFrame([("A", "[]")], PAYLOAD).write.parquet(str(tmp_path / "sent"))
+    sent = spark.read.parquet(str(tmp_path / "sent"))
+    for df in (payloads.bars_from_payloads(sent), payloads.quarantine(sent)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson") == 1
+    # Each of the ten decimals is read once.
+    plan = payloads.bars_from_payloads(sent)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as double)") == 10
