@@ -24,6 +24,7 @@ from itertools import compress
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from barline.llm.components import stored
 from barline.llm.text import alnum_words, text_udf
 
 # Letters of the openings that serve as priors, longest first.
@@ -40,8 +41,9 @@ SURE = 1.5
 DRIFT = -0.5
 CAP = 8.0
 SIGNIFICANT = 0.01
-# Training documents at most, of each class; documented bound of the fitted classifier.
+# Training documents at most, of each class, and characters of all of them: documented bounds of the fitted classifier.
 MAX_TRAINING = 6_000
+MAX_TRAINING_CHARS = 100_000_000
 # Words and openings kept by the model, those with the strongest evidence.
 MAX_WORDS = 100_000
 
@@ -52,9 +54,10 @@ def maximal_segments(scores: Sequence[float], positions: Sequence[int], drift: f
     """All maximal scoring segments: (start, end, score), in order.
 
     ``positions`` are those with a score of their own; words between them score ``drift``, which is
-    below 0, so segments begin and end at positions and the scan is linear in their number.
+    below 0, so segments begin and end at positions. Each open segment knows the nearest one before it that begins at a smaller
+    sum; the search goes from one to the next, never over the same one twice, so the scan is linear in their number.
     """
-    stack: list[tuple[int, int, float, float]] = []  # start, end, sum before, sum through
+    stack: list[tuple[int, int, float, float, int]] = []  # start, end, sum before, sum through, nearest with a smaller sum before
     total, previous = 0.0, -1
     for position, score in zip(positions, scores):
         total += drift * (position - previous - 1)
@@ -63,16 +66,19 @@ def maximal_segments(scores: Sequence[float], positions: Sequence[int], drift: f
         if score <= 0:
             continue
         start, left, right = position, before, total
-        while stack:
-            k = len(stack) - 1
-            while k >= 0 and stack[k][2] >= left:
-                k -= 1
-            if k < 0 or stack[k][3] >= right:
+        k = len(stack) - 1
+        while k >= 0:
+            if stack[k][2] >= left:
+                k = stack[k][4]
+            elif stack[k][3] >= right:
                 break
-            start, left = stack[k][0], stack[k][2]
-            del stack[k:]
-        stack.append((start, position + 1, left, right))
-    return [(start, end, right - left) for start, end, left, right in stack]
+            else:
+                start, left = stack[k][0], stack[k][2]
+                following = stack[k][4]
+                del stack[k:]
+                k = following
+        stack.append((start, position + 1, left, right, k))
+    return [(start, end, right - left) for start, end, left, right, _ in stack]
 
 
 @dataclass
@@ -228,29 +234,37 @@ def _fit_calibration(model: ToxicityModel, judged: list[tuple[int, list[Segment]
 def training_sample(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", bound: int = MAX_TRAINING
 ) -> list[tuple[str | None, int]]:
-    """At most about ``bound`` labelled texts of each class, chosen by a hash of the key.
+    """At most about ``bound`` labelled texts of each class, and ``MAX_TRAINING_CHARS`` in all, chosen by a hash of the key.
 
     Only the chosen keys, whose number is bounded, are joined with the texts.
     """
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
     known = known.filter("key is not null and label in (0, 1)").distinct()
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    slots = 1 << 30
+
+    def slot(seed: int) -> Column:
+        return F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(slots))
 
     def chosen(value: int) -> Column:
         share = min(1.0, bound / max(1, sizes.get(value, 0)))
-        return (F.col("label") == value) & (F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30)))
+        return (F.col("label") == value) & (F.pmod(F.xxhash64("key"), F.lit(slots)) < int(share * slots))
 
     picked = known.filter(chosen(0) | chosen(1))
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = texts.join(F.broadcast(picked), "key").select("text", "label").toLocalIterator()
-    return [(r["text"], r["label"]) for r in rows]
+    rows = stored(texts.join(F.broadcast(picked), "key"), "training")
+    chars = rows.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    if chars > MAX_TRAINING_CHARS:
+        rows = rows.filter(slot(1) < int(MAX_TRAINING_CHARS / chars * slots))
+    return [(r["text"], r["label"]) for r in rows.select("text", "label").toLocalIterator()]
 
 
 def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", into: str = "toxicity") -> DataFrame:
     """``docs`` with a struct of the score and the significant passages; no shuffle.
 
     ``passages`` gives the first word, the word after the last and the score of each. Null and empty texts have no
-    passage and the score of a text without any. Rows keep their other columns and their number.
+    passage and the score of a text without any. Rows keep their other columns and their number; a column named as ``into``
+    is replaced.
     """
 
     def setup() -> Callable[[str | None], tuple]:
