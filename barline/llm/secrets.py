@@ -17,6 +17,7 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from barline.llm.components import stored
 from barline.llm.text import fresh
 
 _MOST = 64  # strings or clauses that a pattern may expand to before it counts as unrestricted
@@ -168,13 +169,18 @@ def candidates(docs: DataFrame, rules: Sequence[Rule], key: str = "doc_id", text
     return whole.groupBy("id", "text_hash").agg(F.collect_set("kind").alias("kinds"))
 
 
+# Candidate rows, of some hundred bytes each, that are sent to every task.
+MAX_BROADCAST = 500_000
+# Matches whose spans are put together at once.
+_PART = 256
 _SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
 def _spans(text: Column, rule: Rule, rank: int) -> Column:
     """Spans of the rule's leftmost non-overlapping matches, in code points.
 
-    Where matches lie follows from their lengths and those of the gaps between them.
+    Where matches lie follows from their lengths and those of the gaps between them. Matches go in parts of ``_PART``: spans
+    are appended to those of their part and parts to each other, since appending copies what is there.
     """
     pattern = F.lit(rule.pattern)
     parts = F.arrays_zip(
@@ -182,7 +188,6 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
         F.regexp_extract_all(text, pattern, 0).alias("match"),
         F.regexp_extract_all(text, pattern, rule.group).alias("value"),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("found"))
 
     def step(state: Column, part: Column) -> Column:
         begin = state["at"] + F.char_length(part["gap"])
@@ -195,7 +200,19 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
             end.alias("at"), F.when(good, F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found")
         )
 
-    return F.aggregate(parts, start, step, lambda state: state["found"])
+    def several(state: Column, some: Column) -> Column:
+        start = F.struct(state["at"].alias("at"), F.array().cast(_SPANS).alias("found"))
+        # The element of an array of one stands for a value that is used twice but found once.
+        done = F.transform(
+            F.array(F.aggregate(some, start, step)),
+            lambda own: F.struct(own["at"].alias("at"), F.concat(state["found"], F.array(own["found"])).alias("found")),
+        )
+        return F.get(done, F.lit(0))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("found"))
+    number = F.ceil(F.size(parts) / _PART).cast("int")
+    whole = F.transform(F.array(parts), lambda all_: F.transform(F.sequence(F.lit(1), number), lambda i: F.slice(all_, (i - 1) * _PART + 1, F.lit(_PART))))
+    return F.aggregate(F.get(whole, F.lit(0)), start, several, lambda state: F.flatten(state["found"]))
 
 
 def secret_spans(
@@ -204,12 +221,15 @@ def secret_spans(
     """``docs`` with an array of spans (start, rank, end, kind) in that order; ends exclusive.
 
     Texts join their candidate rules by id and text. Null and empty texts have no spans. Rows keep
-    their other columns and their number; repeated rows give repeated results; a null id is an id of its own.
+    their other columns and their number; repeated rows give repeated results; a null id is an id of its own; a
+    column named as ``into`` is replaced.
     """
     doc, text_hash, kinds = fresh("id"), fresh("text_hash"), fresh("kinds")
-    may = candidates(docs, rules, key, text).select(
+    may = stored(candidates(docs, rules, key, text), "candidates").select(
         F.col("id").alias(doc), F.col("text_hash").alias(text_hash), F.col("kinds").alias(kinds)
     )
+    if may.count() <= MAX_BROADCAST:
+        may = F.broadcast(may)
     same = F.col(key).eqNullSafe(F.col(doc)) & (F.xxhash64(F.col(text)) == F.col(text_hash))
     joined = docs.join(may, same, "left")
     value, nothing = F.coalesce(F.col(text), F.lit("")), F.array().cast(_SPANS)
