@@ -1,12 +1,13 @@
 """License notices in texts: an exact containment join of text blocks with notice templates.
 
-A block is a line, or with ``run`` also any run of adjacent words, across lines, of up to ``run`` times a
-template's words, as notices are wrapped. It matches a template when it holds at least ``threshold`` of the template's
+A block is a run of adjacent words of up to ``run`` times a template's words, within a line, or also across lines, as notices are
+wrapped. It matches a template when it holds at least ``threshold`` of the template's
 distinct words. Tokens are ordered by their frequency over all blocks, rarest first, so that
 
 * prefix: a match must share one of the template's rarest ``n - need + 1`` tokens,
 * length: a block of fewer than ``need`` distinct tokens cannot match,
-* position: what is left after a shared token on either side bounds the overlap from above.
+* position: what is left after a shared token on either side bounds the overlap from above; in a run, words count only
+  within reach of a token that the prefix filter asks for.
 
 Tokens outside all templates never count towards an overlap; blocks are reduced to the others first.
 """
@@ -14,6 +15,7 @@ Tokens outside all templates never count towards an overlap; blocks are reduced
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Callable, Iterator, Mapping
 
@@ -45,7 +47,7 @@ MAX_TOKENS = 100_000
 class TemplateJoin:
     """The index of template prefixes, by the frequencies of tokens over all blocks."""
 
-    def __init__(self, templates: Mapping[str, str], threshold: float, frequency: Mapping[bytes, int], run: float = 0.0):
+    def __init__(self, templates: Mapping[str, str], threshold: float, frequency: Mapping[bytes, int], run: float = RUN):
         self._runs = {label: int(run * len(alnum_words(notice))) for label, notice in templates.items()}
         sets = {label: set(alnum_words(notice)) for label, notice in templates.items()}
         self._rank = {t: i for i, t in enumerate(sorted(set().union(*sets.values()), key=lambda t: (frequency.get(t, 0), t)))}
@@ -62,7 +64,7 @@ class TemplateJoin:
         self._least = min(self._need.values(), default=0)
 
     def matches(self, block: list[bytes]) -> dict[str, float]:
-        """Containment of each template that the block meets."""
+        """Containment of each template that the block meets; none of those that it is too long for."""
         get = self._rank.get
         ranks = sorted({r for r in map(get, block) if r is not None})
         if not ranks or len(ranks) < self._least:
@@ -71,7 +73,7 @@ class TemplateJoin:
         for at, rank in enumerate(ranks):
             for label, position in self._prefixes.get(rank, ()):
                 need, template = self._need[label], self._sets[label]
-                if label in tried or len(ranks) < need:
+                if label in tried or len(ranks) < need or len(block) > self._runs[label]:
                     continue
                 tried.add(label)
                 # The first shared token: before it the template's tokens are missing from the block.
@@ -86,12 +88,24 @@ class TemplateJoin:
         """Best containment of each template in the runs of adjacent words that meet it."""
         ranked = [(at, r) for at, r in enumerate(map(self._rank.get, words)) if r is not None]
         have, found = {r for _, r in ranked}, {}
-        for label in {label for r in have for label, _ in self._prefixes.get(r, ())}:
+        # Where the tokens stand one of which a matching run must hold.
+        marks: dict[str, list[int]] = defaultdict(list)
+        for at, rank in ranked:
+            for label, _ in self._prefixes.get(rank, ()):
+                marks[label].append(at)
+        for label, at_marks in marks.items():
             template, need, width = set(self._sets[label]), self._need[label], self._runs[label]
             if len(template & have) < need:
                 continue
+
+            def near(at: int) -> bool:
+                mark = bisect_right(at_marks, at - width)
+                return mark < len(at_marks) and at_marks[mark] < at + width
+
+            inside = [(at, r) for at, r in ranked if r in template and near(at)]
+            if len({r for _, r in inside}) < need:
+                continue
             held: dict[int, int] = defaultdict(int)
-            inside = [(at, r) for at, r in ranked if r in template]
             first = most = 0
             for at, rank in inside:
                 held[rank] += 1
@@ -136,10 +150,12 @@ def phrase_places(words: list[bytes], phrases: Mapping[str, str]) -> list[tuple[
     out = []
     for phrase, label in phrases.items():
         sought = b" " + phrase.encode() + b" "
-        at = joined.find(sought)
+        at, counted, blanks = joined.find(sought), 0, 0
         while at >= 0:
-            out.append((joined.count(b" ", 0, at), label))
-            at = joined.find(sought, at + 1)
+            # Blanks are counted on from the last place.
+            blanks += joined.count(b" ", counted, at)
+            out.append((blanks, label))
+            counted, at = at, joined.find(sought, at + 1)
     return out
 
 
@@ -156,13 +172,15 @@ def license_scan(
 
     One pass counts token frequencies over all texts, one joins; neither shuffles texts. ``score``
     is 1 where a phrase stands, else the best containment of a met template, else 0. Null and
-    empty texts have no words and no labels. ``run`` adds runs of words across lines to the blocks. Rows keep their other columns and their number.
+    empty texts have no words and no labels. ``run`` lets blocks reach across lines, in runs of up to so many times a template's words;
+    without it they stay within lines, and their reach is ``RUN``. Rows keep their other columns and their number; a column named as
+    ``into`` is replaced.
     """
     frequency = token_frequency(docs, templates, text)
     vocabulary = set().union(*(alnum_words(notice) for notice in templates.values()), set())
 
     def setup() -> Callable[[str | None], tuple]:
-        join = TemplateJoin(templates, threshold, frequency, run)
+        join = TemplateJoin(templates, threshold, frequency, run or RUN)
 
         def each(value: str | None) -> tuple:
             words = alnum_words(value)
@@ -170,10 +188,13 @@ def license_scan(
             base = sorted({label for _, label in places})
             best: dict[str, float] = {}
             if not vocabulary.isdisjoint(words):
+                found = [join.run_matches(words)] if run else []
                 for line in value.split("\n"):
-                    for label, share in join.matches(alnum_words(line)).items():
-                        best[label] = max(share, best.get(label, 0.0))
-                for label, share in join.run_matches(words).items() if run else ():
+                    block = alnum_words(line)
+                    found.append(join.matches(block))
+                    if not run:
+                        found.append(join.run_matches(block))
+                for label, share in (match for matches in found for match in matches.items()):
                     best[label] = max(share, best.get(label, 0.0))
             starts = [start for start, _ in places]
             score = 1.0 if base else max(best.values(), default=0.0)
