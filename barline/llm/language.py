@@ -1,38 +1,44 @@
 """Language identification by a convolutional network over bytes, trained and applied in numpy.
 
 A text is cut into windows of ``WINDOW`` bytes that cover it whole. Bytes are embedded, filters of
-several widths slide over the window with a stride of ``STRIDE``, each filter's largest response is
+several widths slide over the window byte by byte, each filter's largest response is
 kept, and a softmax layer gives the languages. The windows' log-probabilities are
 added up, damped by the root of their number since neighbours are no independent evidence. All windows of a batch go through one matrix product.
+
+How certain the windows of a text are on average, whichever language each is for, does not sharpen with its length. Texts in a language
+that was not learned leave single windows undecided; what labelled texts set aside from training reach tells how little is too little.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from barline.llm.components import stored
 from barline.llm.text import utf8
 
 WINDOW = 96
-STRIDE = 2
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
 UNKNOWN = "und"
-# Documented bounds of the fitted classifier: texts of each language, and windows of a text.
+# Documented bounds of the fitted classifier: texts of each language, windows of a text, and texts in all, which are dealt
+# evenly where there are more languages than they suffice for.
 TRAINING_TEXTS = 600
 TRAINING_WINDOWS = 6
+ALL_TRAINING_TEXTS = 60_000
 EPOCHS = 6
-# Languages with the most training texts that are learned.
-MAX_LANGUAGES = 200
+# One text in so many is set aside to measure certainty, if that makes at least so many; share of them that may fall below.
+SET_ASIDE, LEAST_ASIDE = 5, 100
+UNCERTAIN = 0.002
 # Windows computed at once.
 _CHUNK = 1_024
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def windows(data: bytes) -> np.ndarray:
@@ -58,6 +64,8 @@ class ByteNetwork:
     bias: np.ndarray
     output: np.ndarray
     offset: np.ndarray
+    # Mean certainty of windows below which a text is of no learned language; 0 if too little was set aside to say.
+    least_certain: float = 0.0
 
     @classmethod
     def fresh(cls, languages: list[str], rng: np.random.Generator) -> ByteNetwork:
@@ -83,7 +91,7 @@ class ByteNetwork:
 
     def _patches(self, rows: np.ndarray) -> np.ndarray:
         """Embedded bytes under the filters: (windows, places, widest filter x embedding)."""
-        places = np.arange(0, WINDOW - max(WIDTHS) + 1, STRIDE)
+        places = np.arange(0, WINDOW - max(WIDTHS) + 1)
         bytes_at = rows[:, places[:, None] + np.arange(max(WIDTHS))]
         return self.embedding[bytes_at].reshape(len(rows), len(places), -1)
 
@@ -111,7 +119,7 @@ class ByteNetwork:
         filters = np.einsum("bfk,bf->kf", chosen, back, optimize=True) * self.shape_mask()
         into = (back[:, :, None] * self.filters.T[None]).reshape(len(rows), -1, max(WIDTHS), EMBEDDING)
         embedding = np.zeros_like(self.embedding)
-        under = rows[np.arange(len(rows))[:, None, None], best[:, :, None] * STRIDE + np.arange(max(WIDTHS))]
+        under = rows[np.arange(len(rows))[:, None, None], best[:, :, None] + np.arange(max(WIDTHS))]
         np.add.at(embedding, under.ravel(), into.reshape(-1, EMBEDDING))
         return embedding, filters, back.sum(0), pooled.T @ error, error.sum(0)
 
@@ -132,13 +140,16 @@ def train(examples: Iterable[tuple[str, str]], seed: int = 7, epochs: int = EPOC
     network = ByteNetwork.fresh(languages, rng)
     if len(languages) < 2:
         return network
+    aside = pairs[::SET_ASIDE] if len(pairs) >= SET_ASIDE * LEAST_ASIDE else []
+    learned = [p for i, p in enumerate(pairs) if i % SET_ASIDE] if aside else pairs
+    number = {lang: i for i, lang in enumerate(languages)}
     rows, labels = [], []
-    for lang, text in pairs:
+    for lang, text in learned:
         cut = windows(utf8(text))
         if len(cut) > TRAINING_WINDOWS:
             cut = cut[np.linspace(0, len(cut) - 1, TRAINING_WINDOWS).astype(int)]
         rows.append(cut)
-        labels += [languages.index(lang)] * len(cut)
+        labels += [number[lang]] * len(cut)
     x, y = np.concatenate(rows), np.array(labels)
     # Short texts are windows filled up with 0: show some of each language cut to a few words.
     picked = rng.random(len(x)) < 0.25
@@ -159,6 +170,9 @@ def train(examples: Iterable[tuple[str, str]], seed: int = 7, epochs: int = EPOC
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 w -= lr * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    if aside:
+        certain = [found[2] for found in predict(network, (text for _, text in aside))]
+        network.least_certain = float(np.quantile(certain, UNCERTAIN))
     return network
 
 
@@ -167,18 +181,20 @@ def training_sample(
 ) -> list[tuple[str, str]]:
     """About ``bound`` texts of each language, chosen by a hash of the text; equal texts count once.
 
-    ``allowed`` restricts the rows learned from. Languages beyond ``MAX_LANGUAGES``, by number of texts, are not learned.
+    ``allowed`` restricts the rows learned from. Every language is learned; with so many that ``bound`` texts of each are more than
+    ``ALL_TRAINING_TEXTS``, each gets its even part of those.
     """
     rows = docs.filter(allowed) if allowed is not None else docs
     rows = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("lang is not null and text is not null")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not sizes:
+    # Stored, so that its small size is known and texts are not moved to meet it.
+    sizes = stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    languages = sizes.count()
+    if not languages:
         return []
-    slot = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    share = F.lit(False)
-    for r in sizes:
-        share = share | ((F.col("lang") == r["lang"]) & (slot < int(min(1.0, bound / r["count"]) * (1 << 30))))
-    picked = rows.filter(share).select("lang", _spread("text").alias("text")).distinct()
+    each = max(1, min(bound, ALL_TRAINING_TEXTS // languages))
+    slots = 1 << 30
+    chosen = F.pmod(F.xxhash64("text"), F.lit(slots)) < F.least(F.lit(1.0), F.lit(float(each)) / F.col("n")) * slots
+    picked = rows.join(sizes, "lang").filter(chosen).select("lang", _spread("text").alias("text")).distinct()
     return [(r["text"], r["lang"]) for r in picked.toLocalIterator()]
 
 
@@ -194,24 +210,25 @@ def identify(docs: DataFrame, network: ByteNetwork, text: str = "text", into: st
     """``docs`` with a struct of the language and its probability; no shuffle.
 
     Null texts and texts without a letter are ``und`` with score 0, as is everything if nothing was
-    learned. Rows keep their other columns and their number; equal texts get equal results.
+    learned. ``certain`` is the mean of the windows' largest probabilities; compare it with the network's ``least_certain``.
+    Rows keep their other columns and their number; equal texts get equal results; a column named as ``into`` is replaced.
     """
 
-    @F.pandas_udf("struct<lang:string,score:double>")
+    @F.pandas_udf("struct<lang:string,score:double,certain:double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame(predict(network, texts), columns=["lang", "score"])
+            yield pd.DataFrame(predict(network, texts), columns=["lang", "score", "certain"])
 
     return docs.withColumn(into, run.asNondeterministic()(F.col(text)))
 
 
-def predict(network: ByteNetwork, texts: Iterable[str | None]) -> list[tuple[str, float]]:
-    """Language and probability of each text."""
-    out: list[tuple[str, float]] = []
+def predict(network: ByteNetwork, texts: Iterable[str | None]) -> list[tuple[str, float, float]]:
+    """Language, its probability, and the mean certainty of each text."""
+    out: list[tuple[str, float, float]] = []
     held: list[tuple[int, np.ndarray]] = []
     size = 0
     for text in texts:
-        out.append((UNKNOWN, 0.0))
+        out.append((UNKNOWN, 0.0, 0.0))
         if network.languages and text and _LETTER.search(text):
             held.append((len(out) - 1, windows(utf8(text))))
             size += len(held[-1][1])
@@ -222,13 +239,14 @@ def predict(network: ByteNetwork, texts: Iterable[str | None]) -> list[tuple[str
     return out
 
 
-def _settle(network: ByteNetwork, held: list[tuple[int, np.ndarray]], out: list[tuple[str, float]]) -> None:
+def _settle(network: ByteNetwork, held: list[tuple[int, np.ndarray]], out: list[tuple[str, float, float]]) -> None:
     if not held:
         return
     logs = network.log_probabilities(np.concatenate([rows for _, rows in held]))
     starts = np.cumsum([0, *(len(rows) for _, rows in held[:-1])])
     sizes = np.array([len(rows) for _, rows in held])
     means = _log_softmax(np.add.reduceat(logs, starts, axis=0) / np.sqrt(sizes)[:, None])
+    certain = np.add.reduceat(np.exp(logs.max(axis=1)).astype(np.float64), starts) / sizes
     best = means.argmax(axis=1)
-    for (at, _), k, row in zip(held, best, means):
-        out[at] = network.languages[k], float(np.exp(row[k]))
+    for (at, _), k, row, sure in zip(held, best, means, certain):
+        out[at] = network.languages[k], float(np.exp(row[k])), float(sure)
