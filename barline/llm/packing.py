@@ -15,6 +15,7 @@ import math
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,8 @@ from barline.llm.components import stored
 
 WINDOW = 1024
 END = 0
-# Tokens a shard's index holds, and query terms and neighbours of a seed.
+# Tokens a shard's index holds.
 SHARD_TOKENS = 600_000
-QUERY_TERMS = 12
-NEIGHBOURS = 64
 # BM25 parameters.
 _K1, _B = 1.2, 0.75
 # Fixed value: the pre-tokenizer pattern of the byte-level vocabularies.
@@ -177,47 +176,76 @@ class Shard:
         self._tokens, starts = np.unique(token, return_index=True)
         self._starts = np.append(starts, len(token))
 
-    def neighbours(self, seed: Rest) -> np.ndarray:
-        """Unused rests that share the seed's most telling tokens, best first; ties in order."""
-        terms = np.unique(seed.ids)
-        terms = terms[np.argsort(-self._weight[terms], kind="stable")[:QUERY_TERMS]]
-        at = np.searchsorted(self._tokens, terms)
+    def scores(self, seed: Rest) -> np.ndarray:
+        """BM25 score of every rest for the seed's distinct tokens; 0 for used ones and those that share none."""
+        at = np.searchsorted(self._tokens, np.unique(seed.ids))
         ranges = [slice(self._starts[i], self._starts[i + 1]) for i in at if i < len(self._tokens)]
         if not ranges:
-            return np.empty(0, np.int64)
+            return np.zeros(len(self.rests))
         owners = np.concatenate([self._owner[r] for r in ranges])
-        found, inverse = np.unique(owners, return_inverse=True)
-        scores = np.bincount(inverse, np.concatenate([self._score[r] for r in ranges]))
-        free = self.unused[found]
-        found, scores = found[free], scores[free]
-        if len(found) > NEIGHBOURS:
-            best = np.argpartition(-scores, NEIGHBOURS)[:NEIGHBOURS]
-            found, scores = found[best], scores[best]
-        return found[np.lexsort((found, -scores))]
+        scores = np.bincount(owners, np.concatenate([self._score[r] for r in ranges]), len(self.rests))
+        scores[~self.unused] = 0
+        return scores
+
+
+def ranked(scores: np.ndarray, at_once: int = 64) -> Iterator[int]:
+    """Places of all scores above 0, highest first, equal ones in order; sorted in steps, as few are asked for."""
+    scores = scores.copy()
+    while True:
+        found = np.flatnonzero(scores > 0)
+        if len(found) > at_once:
+            least = np.partition(scores[found], len(found) - at_once)[len(found) - at_once]
+            found = found[scores[found] >= least]
+        if not len(found):
+            return
+        yield from found[np.lexsort((found, -scores[found]))].tolist()
+        scores[found] = 0
+        at_once *= 2
+
+
+# Neighbours tried one by one, before the best of those that still fit whole are looked for at once.
+_TRIED = 64
 
 
 def fill(shard: Shard, window: int) -> Iterator[list[Rest]]:
-    """Windows of exactly ``window`` tokens; what is left of ``shard.rests`` stays unused."""
+    """Windows of exactly ``window`` tokens; what is left of ``shard.rests`` stays unused.
+
+    Neighbours that fit whole come first, best first, as long as there are any; then the best other one is cut to what is left of
+    the window. Rests that share nothing with the seed follow in order.
+    """
     rests, unused = shard.rests, shard.unused
-    left = sum(len(r.ids) for r in rests)
+    lengths = np.array([len(r.ids) for r in rests])
+    left = int(lengths[unused].sum())
     seed = 0
     while left >= window:
         while not unused[seed]:
             seed += 1
         unused[seed] = False
         parts, space = [rests[seed]], window - len(rests[seed].ids)
-        order = list(shard.neighbours(rests[seed]))
+        scores = shard.scores(rests[seed])
+        order = ranked(scores)
         skipped = []
-        for i in order:
+
+        def take(i: int) -> int:
+            unused[i] = False
+            scores[i] = 0
+            parts.append(rests[i])
+            return len(rests[i].ids)
+
+        for i in islice(order, _TRIED):
             if not space:
                 break
-            if len(rests[i].ids) <= space:
-                unused[i] = False
-                parts.append(rests[i])
-                space -= len(rests[i].ids)
+            if lengths[i] <= space:
+                space -= take(i)
             else:
                 skipped.append(i)
-        following = iter(skipped)
+        while space:
+            fitting = np.where(lengths <= space, scores, 0)
+            i = int(fitting.argmax())
+            if not fitting[i]:
+                break
+            space -= take(i)
+        following = chain(skipped, order)
         after = seed
         while space:
             i = next(following, None)
@@ -226,14 +254,15 @@ def fill(shard: Shard, window: int) -> Iterator[list[Rest]]:
                 while not unused[after]:
                     after += 1
                 i = after
+            if not unused[i]:
+                continue
             if len(rests[i].ids) <= space:
-                unused[i] = False
-                parts.append(rests[i])
-                space -= len(rests[i].ids)
+                space -= take(i)
                 continue
             rest = rests[i]
             parts.append(Rest(rest.doc, rest.start, rest.doc_tokens, rest.ids[:space]))
             rests[i] = Rest(rest.doc, rest.start + space, rest.doc_tokens, rest.ids[space:])
+            lengths[i] -= space
             space = 0
         left -= window
         yield parts
@@ -351,6 +380,8 @@ def pack(
     ranges = max(1, math.ceil(tokens / RANGE_TOKENS), min(docs.sparkSession.sparkContext.defaultParallelism, n // 500))
     fields = "".join(f"{name} long, " for name in _SIGNED) + "doc long, start long, doc_tokens long, ids binary"
     signed = rests.select("doc", "start", "doc_tokens", "ids").mapInArrow(_sign(_race(weight, held, end)), fields)
+    # Every rest holds the closing id: sharing it says nothing.
+    weight[end] = 0
     by = [*_SIGNED, "doc", "start"]
     ordered = signed.repartitionByRange(ranges, *by).sortWithinPartitions(*by)
     placed = ordered.select(F.spark_partition_id().alias("part"), "doc", "start", "doc_tokens", "ids")
