@@ -4,23 +4,26 @@ Patterns are windows of consecutive benchmark words. A shift table over blocks o
 how far the search may jump: a block that ends no pattern's first ``m`` words lets it skip, one that
 does selects patterns by their last block, and direct comparison confirms them. All patterns of
 one length form one table, so ``m`` is the whole window and ordinary text is passed nine
-words at a time. Large benchmarks are searched in blocks of bounded size, one pass after the other.
+words at a time. Large benchmarks are searched in blocks of bounded size, one pass after the other: what a pass found is stored before the
+next block is read, so a task holds the tables of one block, and a worker builds them once.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections import defaultdict
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from barline.llm.text import alnum_words
+from barline.llm.components import stored
+from barline.llm.text import alnum_words, fresh
 
 WINDOW = 10
-# Benchmark text searched at once; what is sent to the executors stays in proportion to this.
-BLOCK_BYTES = 8 << 20
+# Benchmark text searched at once. Tables take about a hundred times as much in each Python worker.
+BLOCK_BYTES = 1 << 20
 
 Words = tuple[bytes, ...]
 Patterns = dict[Words, list[str]]
@@ -77,17 +80,31 @@ def _searchers(items: list[tuple[str, str]], window: int) -> list[WuManber]:
     return [WuManber(patterns, length) for length, patterns in sorted(by_length.items())]
 
 
+# The tables of the block that this worker searched last.
+_built: tuple[str, list[WuManber]] | None = None
+
+
+def _tables(name: str, items: list[tuple[str, str]], window: int) -> list[WuManber]:
+    """The tables of a block, kept by a worker between tasks."""
+    global _built
+    if _built is None or _built[0] != name:
+        _built = None
+        _built = name, _searchers(items, window)
+    return _built[1]
+
+
 _FIELDS = "struct<n_words:long,starts:array<int>,ends:array<int>,items:array<string>>"
 
 
 def _scan(items: list[tuple[str, str]], window: int) -> Callable[..., Column]:
     """Adds what one block of items hits to what earlier blocks have."""
+    name = uuid.uuid4().hex
 
     @F.pandas_udf(_FIELDS)
     def scan(
         batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]],
     ) -> Iterator[pd.DataFrame]:
-        searchers = _searchers(items, window)
+        searchers = _tables(name, items, window)
         for batch in batches:
             rows = []
             for text, starts, ends, before in zip(*batch):
@@ -136,16 +153,20 @@ def benchmark_hits(
 ) -> DataFrame:
     """``docs`` with a struct of ``n_words``, hit spans of words (``starts``, ``ends``) and ``items``.
 
-    No shuffle and no size limit: each block of the benchmark is one more scan of the texts. Spans are joined, ends
+    No shuffle and no size limit: each block of the benchmark is one more pass over the texts, and the passes but the last are stored.
+    Spans are joined, ends
     exclusive. Null and empty texts have no words and no hits; items without words and null items or
-    ids match nothing; an item repeated counts once. Rows keep their other columns and their number.
+    ids match nothing; an item repeated counts once. Rows keep their other columns and their number; a column named as ``into``
+    is replaced.
     """
     nothing = F.array().cast("array<int>"), F.array().cast("array<int>"), F.array().cast("array<string>")
-    before, out = nothing, docs
-    for items in _blocks(benchmark, item_id, item_text, block_bytes):
-        out = out.withColumn(into, _scan(items, window)(F.col(text), *before))
-        before = tuple(F.col(into)[name] for name in ("starts", "ends", "items"))
-    return out
+    before, out, found = nothing, docs, fresh("hits")
+    for number, items in enumerate(_blocks(benchmark, item_id, item_text, block_bytes)):
+        if number:
+            out = stored(out, "hits")
+            before = tuple(F.col(found)[name] for name in ("starts", "ends", "items"))
+        out = out.withColumn(found, _scan(items, window)(F.col(text), *before))
+    return out.withColumn(into, F.col(found)).drop(found)
 
 
 def hit_words(hits: Column) -> Column:
