@@ -302,10 +302,8 @@ def main_text(pages: DataFrame, html: str = "html", into: str = "content") -> Da
 
     The text is that of the main regions, blocks joined by an empty line. Null and empty pages, and pages
     without any, have an empty text. Rows keep their other columns and their number, so repeated rows get equal texts; a column
-    named as ``into`` is refused.
+    named as ``into`` is replaced.
     """
-    if into in pages.columns:
-        raise ValueError(f"the table has a column {into} already")
 
     def setup() -> Callable[[str | None], tuple]:
         def each(page: str | None) -> tuple:

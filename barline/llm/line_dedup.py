@@ -112,7 +112,8 @@ def apply_bitmaps(
     """``docs`` with a struct of the ``kept`` text, ``n_lines`` before and ``n_dropped``.
 
     One join by id and text. Bitmaps are stored and measured first: up to ``BROADCAST_BYTES`` they go to
-    the texts, beyond that both are shuffled. Rows keep their other columns and their number.
+    the texts, beyond that both are shuffled. Rows keep their other columns and their number; a column named as ``into``
+    is replaced.
     """
     doc, text_hash, words, split = fresh("doc"), fresh("text_hash"), fresh("keep"), fresh("lines")
     found = stored(bitmaps.select(F.col(key).alias(doc), F.col("text_hash").alias(text_hash), F.col("keep").alias(words)), "bitmaps")

@@ -220,7 +220,8 @@ def quality(
     """``docs`` with a struct of counts, distances and the verdict ``kept``.
 
     Null texts are empty, and empty texts fail for having no words. Without a reference, and for documents of a
-    language that is not one, the distances are null and do not count; documents without a language are compared with all. Rows keep their other columns and their number; what is not known is counted first.
+    language that is not one, the distances are null and do not count; documents without a language are compared with all. Rows keep their other columns and their number; a column named as ``into``
+    is replaced; what is not known is counted first.
     """
     known = references(docs, text, lang, LEAST_DOCUMENTS) if known is None else known
     names = sorted(known.classes)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import io
+import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
@@ -23,6 +24,8 @@ from barline.llm import (
     token_counts,
     toxicity,
 )
+from barline.session import scratch_path
+from barline.sources import versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 512
@@ -30,14 +33,33 @@ TOKEN_LIMIT = 512
 
 # Rows of a batch between Spark and Python: texts are long, and both sides hold a batch or two.
 BATCH_ROWS = 1_000
+# Applications whose workers have the package.
+_shared: set[str] = set()
 
 
 def share_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, and send them texts in small batches."""
+    """Send this package to the Python workers of every executor, once an application, and texts to them in small batches.
+
+    The batch size is a setting of the session; it stays, as queries run after this returns.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    known = spark.sparkContext.environment
-    paths = [str(Path(__file__).resolve().parents[2]), *known.get("PYTHONPATH", "").split(os.pathsep)]
-    known["PYTHONPATH"] = os.pathsep.join(dict.fromkeys(filter(None, paths)))
+    context = spark.sparkContext
+    if context.applicationId in _shared:
+        return
+    package = Path(__file__).resolve().parents[1]
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    path = f"{scratch_path(spark, 'package')}.zip"
+    files, target = versions.file_system(spark, path)
+    stream = files.create(target, False)
+    try:
+        stream.write(content.getvalue())
+    finally:
+        stream.close()
+    context.addPyFile(path)
+    _shared.add(context.applicationId)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -401,7 +401,8 @@ def token_counts(
 
     ``prefixes`` stores the count at every prefix (see ``PrefixCounts``), ``fitting_chars`` the
     longest prefix within ``budget`` tokens. Null and empty texts have no tokens. Rows are handled one by
-    one, so repeated rows give repeated results; other columns pass through untouched. ``path`` must exist on every executor.
+    one, so repeated rows give repeated results; other columns pass through untouched; a column named as ``into``
+    is replaced. ``path`` must exist on every executor.
     """
 
     @F.pandas_udf("struct<n_tokens:long,fitting_chars:long,prefixes:binary>")

@@ -17,12 +17,21 @@ def _byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _splits_as_stated(content: dict) -> bool:
+    """Whether text is split by the pattern of byte-level vocabularies, and by nothing else before or after."""
+    split = content.get("pre_tokenizer") or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    return plain and not content.get("normalizer") and content["model"].get("type", "BPE") == "BPE"
+
+
 class Vocabulary:
     """Ids by bytes, merges by pair of bytes, and the strings of special tokens."""
 
     def __init__(self, path: str):
         with open(path) as file:
             content = json.load(file)
+        if not _splits_as_stated(content):
+            raise ValueError(f"{path} does not split text as byte-level vocabularies do")
         alphabet = _byte_of_character()
 
         def spelled(token: str) -> bytes:

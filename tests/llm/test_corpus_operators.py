@@ -179,7 +179,7 @@ def test_neighbours_are_ranked_by_bm25():
     shard = packing.Shard(rests, weight)
     shard.unused[5] = False
     seed = rests[0]
-    terms = sorted(set(seed.ids.tolist()), key=lambda t: (-weight[t], t))[: packing.QUERY_TERMS]
+    terms = sorted(set(seed.ids.tolist()))
     mean = np.mean([len(r.ids) for r in rests])
 
     def score(r):
@@ -190,8 +190,27 @@ def test_neighbours_are_ranked_by_bm25():
         return total
 
     shard.unused[0] = False
-    want = sorted((i for i, r in enumerate(rests) if i not in (0, 5) and score(r) > 0), key=lambda i: (-round(score(r := rests[i]), 9), i))
-    assert [round(score(rests[i]), 6) for i in shard.neighbours(seed)] == [round(score(rests[i]), 6) for i in want[: packing.NEIGHBOURS]]
+    want = sorted((i for i, r in enumerate(rests) if i not in (0, 5) and score(r) > 0), key=lambda i: -score(rests[i]))
+    found = list(packing.ranked(shard.scores(seed), 7))
+    assert sorted(found) == sorted(want)
+    assert [round(score(rests[i]), 6) for i in found] == [round(score(rests[i]), 6) for i in want]
+
+
+def test_ranked_keeps_ties_in_order():
+    scores = np.array([0, 2.0, 5, 2, 0, 5, 2, 1] * 20)
+    assert list(packing.ranked(scores, 3)) == sorted(np.flatnonzero(scores).tolist(), key=lambda i: (-scores[i], i))
+
+
+def test_short_rests_of_one_topic_fill_a_window():
+    """More neighbours than are tried one by one, all needed: a window of the seed's topic holds nothing else."""
+    rng = np.random.default_rng(8)
+    topics = [np.arange(10) + 10 * t + 1 for t in range(4)]
+    rests = [packing.Rest(i, 0, 0, rng.choice(topics[i % 4], 6).astype("<u4")) for i in range(1000)]
+    held = np.array([sum(t in r.ids for r in rests) for t in range(42)])
+    shard = packing.Shard(rests, np.log1p((1000 - held + 0.5) / (held + 0.5)))
+    first = next(packing.fill(shard, 1024))
+    assert sum(len(r.ids) for r in first) == 1024 and len(first) > 150
+    assert {r.doc % 4 for r in first} == {0}
 
 
 def test_neighbours_share_windows(make_docs):
@@ -255,6 +274,59 @@ def test_language_held_out(make_docs):
     assert all(0 <= r["score"] <= 1 for r in rows.values())
 
 
+def test_letters_are_those_of_category_l(make_docs):
+    texts = ["½", "²³", "①", "Ⅷ", "_ _", "5 ½", "ß", "ª", "日"]
+    network = language.train([(sentence(lang, random.Random(i)), lang) for i in range(20) for lang in ("en", "de")], epochs=1)
+    found = [r[0] for r in language.identify(make_docs(texts), network).orderBy("doc_id").select("language.lang").collect()]
+    assert [f == language.UNKNOWN for f in found] == [True] * 6 + [False] * 3
+
+
+def test_every_language_is_learned(make_docs, monkeypatch):
+    langs = [f"l{i}" for i in range(230)]
+    docs = make_docs([f"{lang} text {i}" for lang in langs for i in range(6)], langs=[lang for lang in langs for _ in range(6)])
+    assert {lang for _, lang in language.training_sample(docs)} == set(langs)
+    monkeypatch.setattr(language, "ALL_TRAINING_TEXTS", 460)
+    some = language.training_sample(docs)
+    assert 230 < len(some) < 700
+
+
+def test_texts_of_a_language_not_learned_are_uncertain():
+    rng = random.Random(5)
+    examples = [(sentence(lang, rng), lang) for lang in ("en", "de") for _ in range(400)]
+    network = language.train(examples)
+    known = language.predict(network, [sentence(lang, rng) for lang in ("en", "de") for _ in range(100)])
+    other = ["".join(rng.choice("αβγδεζηθικλμνξοπρστυφχψω ") for _ in range(n)) for n in (80, 400, 4000) for _ in range(20)]
+    assert network.least_certain > 0.5
+    assert sum(c >= network.least_certain for _, _, c in known) >= 195
+    # Long texts are no more certain than short ones.
+    assert sum(c < network.least_certain for _, _, c in language.predict(network, other)) >= 40
+
+
+def plain_forward(network, row):
+    """Log-probabilities of one window, filter by filter and place by place."""
+    widest, pooled = max(language.WIDTHS), []
+    for f in range(network.filters.shape[1]):
+        responses = []
+        for at in range(language.WINDOW - widest + 1):
+            patch = np.concatenate([network.embedding[b] for b in row[at : at + widest]]).astype(np.float64)
+            responses.append(patch @ network.filters[:, f].astype(np.float64) + network.bias[f])
+        pooled.append(max(0.0, max(responses)))
+    logits = np.array(pooled) @ network.output + network.offset
+    return logits - np.log(np.exp(logits - logits.max()).sum()) - logits.max()
+
+
+def test_prediction_equals_a_plain_forward_pass():
+    rng = np.random.default_rng(9)
+    network = language.ByteNetwork.fresh(["a", "b", "c"], rng)
+    text = "".join(chr(97 + int(i)) for i in rng.integers(0, 26, 250))
+    logs = np.array([plain_forward(network, row) for row in language.windows(text.encode())])
+    damped = logs.sum(axis=0) / np.sqrt(len(logs))
+    score = np.exp(damped - damped.max()) / np.exp(damped - damped.max()).sum()
+    ((lang, best, certain),) = language.predict(network, [text])
+    assert lang == "abc"[score.argmax()] and best == pytest.approx(score.max(), abs=1e-4)
+    assert certain == pytest.approx(np.exp(logs.max(axis=1)).mean(), abs=1e-4)
+
+
 def test_windows_cover_the_text():
     for n in (1, 95, 96, 97, 192, 500):
         data = bytes(random.Random(n).randrange(1, 256) for _ in range(n))

@@ -35,10 +35,10 @@ def license_texts():
 def brute_licenses(text, threshold):
     labels, best = set(), 0.0
     for line in (text or "").split("\n"):
-        block = set(words_of(line))
+        block = words_of(line)
         for label, notice in licenses.TEMPLATES.items():
-            template = set(words_of(notice))
-            share = len(template & block) / len(template)
+            template, width = set(words_of(notice)), int(licenses.RUN * len(words_of(notice)))
+            share = max((len(template & set(block[i : i + width])) for i in range(len(block))), default=0) / len(template)
             if share >= threshold - 1e-9:
                 labels.add(label)
                 best = max(best, share)
@@ -92,6 +92,29 @@ def test_wrapped_notices(make_docs):
         assert join.run_matches(words) == want
 
 
+def test_words_scattered_over_a_long_line_are_no_notice(make_docs):
+    rng = random.Random(2)
+    words = [f"other{rng.randrange(900)}" for _ in range(5000)]
+    for at, word in zip(range(100, 5000, 900), "released under the mit license".split()):
+        words[at] = word
+    texts = [" ".join(words), " ".join([*words[:2000], "Released under the MIT License", *words[2000:4000]])]
+    for run in (0.0, licenses.RUN):
+        rows = licenses.license_scan(make_docs(texts), run=run).orderBy("doc_id").collect()
+        assert [r["license"]["labels"] for r in rows] == ["", "mit"]
+
+
+def test_phrase_places_are_counted_in_linear_time():
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        assert licenses.phrase_places([b"cc", b"by"] * n, {"cc by": "cc-by"})[-1] == (2 * n - 2, "cc-by")
+        return time.process_time() - start
+
+    seconds(50_000)
+    assert seconds(200_000) < 2.0
+
+
 def test_token_frequency_counts_blocks(make_docs):
     counted = licenses.token_frequency(make_docs(["mit mit\nthe mit", "license", None]), licenses.TEMPLATES)
     assert counted[b"mit"] == 2 and counted[b"license"] == 1 and counted[b"gnu"] == 0
@@ -113,6 +136,17 @@ def brute_hits(text, items, window):
     return len(words), len(hit), sorted(names)
 
 
+def test_blocks_are_passes_of_their_own(spark, make_docs):
+    """However many blocks there are, the last stage has one Python node: earlier passes are stored."""
+    items = [(i, prose(i, 20)) for i in range(30)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = make_docs([prose(i, 60) for i in range(20)] + [prose(3, 20)])
+    found = decontamination.benchmark_hits(docs, benchmark, block_bytes=900)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "/hits-" in found.inputFiles()[0]
+    assert [r["hits"]["items"] for r in found.orderBy("doc_id").collect()][-1] == ["3"]
+
+
 @pytest.mark.parametrize("block_bytes", [decontamination.BLOCK_BYTES, 400])
 def test_decontamination(spark, make_docs, block_bytes):
     rng = random.Random(3)
@@ -261,3 +295,28 @@ def test_native_plans_have_no_python(make_docs, operator):
         out = secrets.secret_spans(docs)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
+
+
+def test_many_secrets_of_one_text(make_docs):
+    """Spans of more matches than are put together at once, in time that grows with their number."""
+    n = 50_000
+    texts = [" ".join(f"{i:032x}" for i in range(n)), " ".join(f"{i:032x}" for i in range(700))]
+    import time
+
+    start = time.perf_counter()
+    rows = {r["doc_id"]: r["secrets"] for r in secrets.secret_spans(make_docs(texts)).collect()}
+    assert time.perf_counter() - start < 60
+    for doc, number in ((0, n), (1, 700)):
+        hexes = [(s["start"], s["end"]) for s in rows[doc] if s["kind"] == "hex"]
+        assert hexes == [(33 * i, 33 * i + 32) for i in range(number)]
+
+
+def test_texts_are_not_shuffled_to_meet_their_candidates(make_docs, spark, tmp_path, monkeypatch):
+    texts = [f"password: hunter{i}22 AKIA{'ABCD' * 4} {'ab12' * 8}" for i in range(30)] + [prose(i, 30) for i in range(30)]
+    make_docs(texts).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    near = secrets.secret_spans(docs)
+    assert "Exchange hashpartitioning" not in near._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(secrets, "MAX_BROADCAST", 0)
+    far = secrets.secret_spans(docs)
+    assert sorted(map(str, near.collect())) == sorted(map(str, far.collect()))

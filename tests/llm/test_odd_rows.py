@@ -110,3 +110,34 @@ def test_pipeline_stages(spark, odd_docs, tmp_path):
             assert out.columns == docs.columns and out.schema["text"].dataType == docs.schema["text"].dataType
             assert out.count() <= docs.count()
         corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count()
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_a_column_of_the_name_asked_for_is_replaced(name, make_docs, benchmark_items):
+    from pyspark.sql import functions as F
+
+    docs = make_docs(["one", None]).withColumn(ADDED[name], F.lit("own"))
+    out = by_row(name, benchmark_items)(docs)
+    assert sorted(out.columns) == sorted(docs.columns) and dict(out.dtypes)[ADDED[name]] != "string"
+
+
+def test_one_row_of_a_repeated_id_stays(spark, make_docs):
+    pairs = [(1, "same text here"), (1, "same text here"), (2, "first of two"), (2, "second of two"), (3, "alone"), (None, "x"), (None, "x")]
+    docs = make_docs(pairs)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r["doc_id"] or 0) for r in kept) == [0, 0, 1, 2, 3]
+    assert {r["text"] for r in kept if r["doc_id"] == 2} <= {"first of two", "second of two"}
+    assert kept == corpus_pipeline.drop_near_duplicates(spark, docs.repartition(5), "").collect() or len(kept) == 5
+
+
+def test_unlearned_languages_are_rejected(spark, make_docs):
+    import random
+
+    rng = random.Random(4)
+    words = {"en": "the house with thing which and though ring".split(), "de": "der nicht schön über straße und zwischen ich".split()}
+    texts = [(lang, " ".join(rng.choice(words[lang]) for _ in range(60))) for lang in words for _ in range(400)]
+    greek = [(None, " ".join("".join(rng.choice("αβγδεζηθικλμνξοπρστυφχψω") for _ in range(6)) for _ in range(80))) for _ in range(40)]
+    docs = make_docs([t for _, t in texts + greek], langs=[lang for lang, _ in texts + greek])
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, "").select("doc_id").collect()}
+    assert len([i for i in kept if i < 800]) >= 790
+    assert len([i for i in kept if i >= 800]) <= 10

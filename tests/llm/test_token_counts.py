@@ -65,3 +65,12 @@ def test_operator_stores_counts(make_docs):
 def test_counts_may_fall():
     assert longest_within(np.array([1, 2, 3, 2, 4]), 2) == 4
     assert longest_within(np.array([3]), 2) == 0
+
+
+def test_vocabularies_that_split_otherwise_are_refused():
+    import public_tokenizers
+
+    from barline.llm import vocabulary
+
+    with pytest.raises(ValueError):
+        vocabulary.load(public_tokenizers.path("word_bpe_49k.json"))

@@ -33,6 +33,27 @@ def test_segments_equal_brute_force(seed):
     assert all(abs(s - sum(scores[a:b])) < 1e-9 for a, b, s in found)
 
 
+def test_segments_of_a_long_text_take_linear_time():
+    import time
+
+    # Single toxic words between ordinary ones: sums before them fall, and every one stays a segment of its own.
+    for gap in (1, 3, 10):
+        start = time.process_time()
+        found = maximal_segments([1.0] * 200_000, [gap * i for i in range(200_000)], DRIFT)
+        assert time.process_time() - start < 4
+        assert len(found) == (1 if gap < 3 else 200_000)
+
+
+def test_long_training_texts_are_bounded(make_docs, spark, monkeypatch):
+    from barline.llm import toxicity as module
+
+    docs = make_docs(["word " * 200] * 400)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    assert len(training_sample(docs, labels)) == 400
+    monkeypatch.setattr(module, "MAX_TRAINING_CHARS", 100_000)
+    assert 60 <= len(training_sample(docs, labels)) <= 140
+
+
 def examples(n, seed=1):
     rng = random.Random(seed)
     out = []
