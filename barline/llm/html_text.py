@@ -156,7 +156,8 @@ class LineReader(HTMLParser):
         attributes = dict(attrs)
         if tag in INLINE:
             above = self.treated[self._open[-1]]
-            treatment = max(above, self._treatment(tag, attributes) if attributes else KEPT)
+            # Within a line a name says little: links to comments or related pages are part of their sentence.
+            treatment = GONE if attributes and self._treatment(tag, attributes) == GONE else above
             if treatment == above:
                 return
         else:
@@ -195,9 +196,7 @@ class LineReader(HTMLParser):
             self._close_last({tag})
 
     def handle_data(self, data: str) -> None:
-        if self.treated[self._open[-1]] == GONE or (
-            self.treated[self._open[-1]] == NAMED and self.name[self._open[-1]] in INLINE
-        ):
+        if self.treated[self._open[-1]] == GONE:
             return
         self._pieces.append(data)
         if self._links:

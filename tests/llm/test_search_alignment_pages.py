@@ -267,6 +267,7 @@ def test_a_body_of_paragraphs_outweighs_the_name_of_its_element():
 def test_blocks_are_decoded_and_spaced():
     page = "<article><p>Fish &amp; chips&nbsp;&#8212;\n caf&eacute; &ltx&gt; <b>bo</b>ld<br>line <span style='display:none'>no</span></p><ul><li>one<li>two</ul></article>"
     assert html_text.blocks(page) == ["Fish & chips — café <x> bold line", "one", "two"]
+    assert html_text.blocks("<article><p>See <a class='related' href=/x>this</a> too</p></article>") == ["See this too"]
     assert html_text.blocks("<nav>a</nav><div class='ad'>buy</div><footer>x</footer>") == []
     assert html_text.blocks("just text") == ["just text"]
 
