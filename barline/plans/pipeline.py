@@ -14,6 +14,7 @@ from barline.operators.cleaning import clean_bars, date_range, judged_bars, reje
 from barline.operators.history import partitions_for
 from barline.operators.signals import trade_signals
 from barline.operators.summary import symbol_summary
+from barline.plans import store
 from barline.plans.metrics import daily_metrics
 from barline.schema import PAYLOAD
 from barline.session import scratch_path
@@ -108,6 +109,14 @@ def build_files(
     return build_layers(_judged(read_raw_csv(spark, source), rejected), namespace, location)
 
 
+def store_files(
+    spark: SparkSession, source: str, root: str, rejected: str | None = None, since: date | None = None
+) -> versions.Commit:
+    """Store the bars of raw CSV files and their metrics by year, or with ``since`` refresh a store from that day on. See ``plans.store``."""
+    staged = stage_bars(_judged(read_raw_csv(spark, source), rejected))
+    return store.refresh(staged, since, root) if since else store.store_bars(staged, root)
+
+
 # Layers that are tables, and the database each lies in. Staging is a view.
 _STORED = {"landed": "landing", "metrics": "intermediate", "signals": "marts", "summary": "marts"}
 

@@ -6,10 +6,15 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
+# Folders given out, in order.
+_given: list[str] = []
+
 SETTINGS = {
     # Bars carry calendar dates; a fixed zone keeps date casts independent of the machine.
     "spark.sql.session.timeZone": "UTC",
@@ -53,10 +58,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     It lies under ``spark.checkpoint.dir``, the folder every executor of the cluster can
     reach. Only a local session without that setting falls back to a temporary folder.
     """
-    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _given.append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables written to ``scratch_path`` folders asked for inside, at the end; what reads them must be stored by then."""
+    before = len(_given)
+    try:
+        yield
+    finally:
+        for path in _given[before:]:
+            _delete(spark, path)
+        del _given[before:]
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this application has written there; results that read it must be stored before."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _scratch_root(spark))
+    _given.clear()

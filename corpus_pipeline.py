@@ -10,7 +10,7 @@ from barline.llm import decontamination, language, line_dedup, near_dedup, packi
 from barline.llm.components import stored
 from barline.llm.queries import share_package
 from barline.llm.text import fresh
-from barline.session import scratch_path
+from barline.session import intermediates, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -101,10 +101,11 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; each result is written and read again."""
+    """All stages over the documents of ``sf_dir``; each result is written and read again, and what the stage stored on the way removed."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with intermediates(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

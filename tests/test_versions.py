@@ -9,11 +9,11 @@ import pytest
 from conftest import BARS
 from pyspark.sql import functions as F
 
+from barline.__main__ import main
 from barline.operators import quality
 from barline.operators.summary import merged_summary, summary_parts, symbol_summary
 from barline.plans import metrics as m, pipeline, store
-from barline.schema import STAGED_FROM_LANDED
-from barline.session import scratch_path
+from barline.session import intermediates, scratch_path
 from barline.sources import tables, versions
 from testbed.bars import raw_bars, staged_bars
 
@@ -277,6 +277,27 @@ def test_a_failed_refresh_leaves_the_store_as_it_was(spark, tmp_path, monkeypatc
         store.read(spark, str(tmp_path / "nothing"))
 
 
+def test_store_from_the_command_line(spark, tmp_path, capsys):
+    raw, root = raw_bars(spark, SMALL), str(tmp_path / "store")
+    for name, rows in (("early", raw.filter("date < '1998-03-01'")), ("late", raw.filter("date >= '1998-03-01'"))):
+        rows.write.option("header", True).csv(str(tmp_path / name))
+    assert main(["store", str(tmp_path / "early"), root]) == 0
+    assert main(["store", str(tmp_path / "late"), root, "--since", "1998-03-01", "--rejected", str(tmp_path / "refused")]) == 0
+    assert "commit 2" in capsys.readouterr().out
+    assert stored_rows(store.read(spark, root)) == stored_rows(m.daily_metrics(staged_bars(spark, SMALL)))
+
+
+def test_intermediates_go_when_their_reader_is_stored(spark, tmp_path):
+    kept = scratch_path(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    with intermediates(spark):
+        inner = scratch_path(spark, "inner")
+        spark.range(3).write.parquet(inner)
+    assert spark.read.parquet(kept).count() == 3
+    with pytest.raises(Exception, match="(?i)path"):
+        spark.read.parquet(inner).count()
+
+
 def test_summary_parts_merge_over_nulls(make_bars):
     metrics = m.daily_metrics(make_bars([1.0, None, 0.0, 4.0] * 20).unionByName(make_bars([None] * 3, symbol="N")))
     assert stored_rows(merged_summary(summary_parts(metrics)), ["*"]) == stored_rows(symbol_summary(metrics), ["*"])
