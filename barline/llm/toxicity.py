@@ -16,6 +16,7 @@ chance segments as good as the best one and the number of significant words give
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
@@ -25,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barline.llm.components import stored
-from barline.llm.text import alnum_words, text_udf
+from barline.llm.text import alnum_words, text_udf, utf8
 
 # Letters of the openings that serve as priors, longest first.
 OPENINGS = (6, 5, 4)
@@ -144,9 +145,8 @@ def _log_odds(toxic: float, other: float, prior: float, all_toxic: float, all_ot
     return math.log(a / b)
 
 
-def fit(examples: Iterable[tuple[str | None, int]]) -> ToxicityModel:
-    """Fit the model to (text, label) pairs; labels are 0 or 1."""
-    texts = [(text, int(label)) for text, label in examples]
+def _learned(texts: Sequence[tuple[str | None, int]]) -> ToxicityModel:
+    """Log-odds of words and openings; the law and the weights are those of a model without training."""
     counts: tuple[Counter, Counter] = (Counter(), Counter())
     openings: tuple[Counter, Counter] = (Counter(), Counter())
     for value, label in texts:
@@ -188,29 +188,59 @@ def fit(examples: Iterable[tuple[str | None, int]]) -> ToxicityModel:
     for word, n in counts[0].items():
         if n >= WORD_DOCUMENTS and word not in model.words and model.score(word) != DRIFT:
             model.words[word] = 0.0
+    return model
+
+
+def fit(examples: Iterable[tuple[str | None, int]]) -> ToxicityModel:
+    """Fit the model to (text, label) pairs; labels are 0 or 1.
 
+    The law of chance segments comes from texts that the log-odds behind them have not seen: each half of the texts is scanned with
+    what the other half teaches.
+    """
+    texts = [(text, int(label)) for text, label in examples]
+    model = _learned(texts)
+    if len({label for _, label in texts}) < 2:
+        return model
+    halves = [[pair for pair in texts if zlib.crc32(utf8(pair[0])) % 2 == half] for half in (0, 1)]
+    chance = []
+    for own, other in (halves, halves[::-1]):
+        scanner = Scanner(_learned(other))
+        for words in (alnum_words(text) for text, label in own if not label):
+            chance.append((len(words), max((s for _, _, s in scanner.segments(words)), default=0.0)))
+    _fit_extremes(model, chance)
     scanner = Scanner(model)
     judged = [(len(words), scanner.segments(words), label) for words, label in ((alnum_words(t), y) for t, y in texts)]
-    _fit_extremes(model, [(n, max((s for _, _, s in found), default=0.0)) for n, found, label in judged if not label])
     _fit_calibration(model, judged)
     return model
 
 
 def _fit_extremes(model: ToxicityModel, best: list[tuple[int, float]]) -> None:
-    """Parameters of the extreme-value law by moments, over chance segments of texts with any."""
+    """Parameters of the extreme-value law by maximum likelihood, from the words and the best segment of chance texts.
+
+    A text without a segment says that none reached the smallest score seen. For a decay the best scale is known,
+    ``found / sum of n exp(-decay s)``; what is left falls with the decay and is 0 at the best one.
+    """
     found = [(n, s) for n, s in best if s > 0 and n > 0]
     if len(found) < 20:
         # Ordinary texts hold next to no positive segment: the law of a score unit a natural log.
         model.decay = 1.0
         model.scale = (len(found) + 1) / (sum(n for n, _ in best) + 1)
         return
-    scores = np.array([s for _, s in found])
-    model.decay = float(np.clip(np.pi / (math.sqrt(6) * max(scores.std(), 0.05)), 0.5, 5.0))
-    # Each text has K n exp(-lambda s) expected segments: match the texts that have one.
-    share = len(found) / len(best)
-    mean_words = float(np.mean([n for n, _ in best]))
-    middle = float(np.median(scores))
-    model.scale = -math.log(max(1e-9, 1 - share / 2)) / max(1.0, mean_words) * math.exp(model.decay * middle)
+    least = min(s for _, s in found)
+    n = np.array([n for n, _ in best if n > 0], float)
+    s = np.array([max(s, least) for n, s in best if n > 0])
+    total = sum(s for _, s in found)
+
+    def slope(decay: float) -> float:
+        weights = n * np.exp(-decay * (s - least))
+        return len(found) / decay - total + len(found) * float(weights @ s / weights.sum())
+
+    low, high = 0.05, 20.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if slope(middle) > 0 else (low, middle)
+    model.decay = low
+    model.scale = len(found) / float(n @ np.exp(-low * s))
 
 
 def _fit_calibration(model: ToxicityModel, judged: list[tuple[int, list[Segment], int]]) -> None:

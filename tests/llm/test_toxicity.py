@@ -86,3 +86,33 @@ def test_sample_is_bounded_and_of_labelled_rows(spark, make_docs):
     assert len(training_sample(docs, labels)) == 300
     some = training_sample(docs, labels, bound=30)
     assert 20 <= len(some) <= 110 and {y for _, y in some} == {0, 1}
+
+
+def test_the_law_is_recovered_from_its_own_extremes():
+    import math
+
+    from barline.llm.toxicity import ToxicityModel, _fit_extremes
+
+    rng = random.Random(3)
+    decay, scale, least = 0.8, 0.004, 1.2
+    best = []
+    for _ in range(20_000):
+        n = rng.randint(50, 800)
+        s = -math.log(-math.log(rng.random()) / (scale * n)) / decay
+        best.append((n, s if s >= least else 0.0))
+    model = ToxicityModel()
+    _fit_extremes(model, best)
+    assert model.decay == pytest.approx(decay, rel=0.05) and model.scale == pytest.approx(scale, rel=0.1)
+    # As many texts as the law says reach a score that one text in a hundred should.
+    rare = sum(model.expected(s, n) < 0.01 for n, s in best if s)
+    assert 0.006 < rare / len(best) < 0.015
+
+
+def test_chance_segments_of_unseen_texts_are_as_rare_as_stated():
+    model = fit(examples(1200))
+    from barline.llm.toxicity import SIGNIFICANT, Scanner
+
+    scanner = Scanner(model)
+    fresh = [text for text, label in examples(3000, seed=77) if not label]
+    found = sum(bool(scanner.judged(text)[1]) for text in fresh)
+    assert found <= 3 * SIGNIFICANT * len(fresh)
