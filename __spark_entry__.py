@@ -38,6 +38,8 @@ HEAD_SYMBOL = "S1"
 EMA_COLUMNS = ("ema_12", "ema_26", "macd_ema", "macd_ema_signal", "macd_ema_histogram")
 # Far below any real setting, so that every history is cut several times.
 SMALL_CHUNK = 150
+# Rows from which a history is cut where one symbol has most of them.
+CHUNK = 4_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -272,6 +274,7 @@ def bar_queries() -> dict[str, Query]:
         # Models
         "daily_metrics": lambda s, d: comparable(_metrics(s, d)),
         "daily_metrics_chunked": lambda s, d: comparable(_cut_metrics(s, d)),
+        "daily_metrics_hot": lambda s, d: comparable(m.daily_metrics(tb.hot_bars(s, d), CHUNK)),
         "daily_metrics_since": lambda s, d: comparable(
             m.daily_metrics_since(tb.staged_bars(s, d), SINCE)
         ),
@@ -414,6 +417,7 @@ def bar_oracle() -> dict[str, str]:
         "macd_ema": o.over("staged", o.MACD_EMA + f" select {key}, {o.columns(*EMA_COLUMNS)} from averages"),
         "daily_metrics": metrics,
         "daily_metrics_chunked": metrics,
+        "daily_metrics_hot": o.over("metrics", f"select {o.columns(*o.METRIC_COLUMNS)} from metrics", o.LANDED_HOT),
         "daily_metrics_since": f"{metrics} where trade_date >= date '{SINCE}'",
         "trade_signals": signals,
         "trade_signals_by_brand": o.over("signals", f"select {signal_list} from signals", o.LANDED_BY_BRAND),

@@ -102,6 +102,24 @@ def staged_bars(
     return _adjusted(_daily(_trades(lineitem, supplier_symbol("l_suppkey"))))
 
 
+# Suppliers that share a hot symbol, one in how many of them does, and the days set aside for each.
+HOT_SPAN, HOT_SHARE, HOT_DAYS = 900, 3, 2600
+
+
+def hot_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of which a third belong to a few symbols with long histories: those of many suppliers, one after the other."""
+    number = F.substring("symbol", 2, 9).cast("int")
+    offset = F.floor((number % HOT_SPAN) / HOT_SHARE).cast("int") * HOT_DAYS
+    hot = number % HOT_SHARE == 0
+    name = F.concat(F.lit("HOT"), F.floor(number / HOT_SPAN).cast("string"))
+    return staged_bars(spark, sf_dir).withColumns(
+        {
+            "symbol": F.when(hot, name).otherwise(F.col("symbol")),
+            "trade_date": F.when(hot, F.date_add("trade_date", offset)).otherwise(F.col("trade_date")),
+        }
+    )
+
+
 def staged_bars_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars of the 25 brands. Spark broadcasts the part table only while it is small."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")

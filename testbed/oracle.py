@@ -27,6 +27,14 @@ from (
 LANDED = _LANDED.format(symbol="'S' || cast(l_suppkey as varchar)", source="lineitem")
 LANDED_BY_BRAND = _LANDED.format(symbol="p_brand", source="lineitem join part on l_partkey = p_partkey")
 
+# A third of the suppliers share symbols, each with days of its own.
+LANDED_HOT = f"""
+select * exclude (n) replace (
+  case when n % 3 = 0 then 'HOT' || cast(n // 900 as varchar) else symbol end as symbol,
+  case when n % 3 = 0 then cast(cast(date as date) + cast((n % 900) // 3 * 2600 as int) as timestamp) else date end as date)
+from (select *, cast(substr(symbol, 2) as int) as n from ({LANDED}))
+"""
+
 STAGED = """
 select symbol, cast(date as date) as trade_date, open, high, low, close, volume,
   "adjOpen" as adj_open, "adjHigh" as adj_high, "adjLow" as adj_low, "adjClose" as adj_close,
