@@ -2,7 +2,23 @@
 
 from __future__ import annotations
 
-from barline.llm import decontamination, line_dedup, secrets
+# Fixed values, stated anew so that a wrong one in an operator does not agree with itself: lines' least code points and documents, words of
+# a benchmark window, documents of a ranking, and the kinds of secrets with their patterns, the group that is the secret and
+# its least length. The first three kinds are the base.
+LINE_CODE_POINTS, LINE_DOCUMENTS = 1, 10
+BENCHMARK_WORDS = 10
+RANKED = 50
+SECRETS = (
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+    ("github", r"gh[pousr]_[A-Za-z0-9]{20,}", 0, 0),
+    ("google", r"AIza[A-Za-z0-9_-]{30,}", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+", 0, 0),
+    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+    ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+)
+BASE_KINDS = 3
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -15,8 +31,8 @@ placed as (
 keyed as (
     select doc_id, pos, line, {_LOWER.format(f"trim(line, {_BLANKS})")} as key from placed),
 repeated as (
-    select key from keyed where length(key) >= {line_dedup.MIN_CODE_POINTS}
-    group by key having count(distinct doc_id) >= {line_dedup.MIN_DOCUMENTS})
+    select key from keyed where length(key) >= {LINE_CODE_POINTS}
+    group by key having count(distinct doc_id) >= {LINE_DOCUMENTS})
 select doc_id, count(*) as n_lines, count(repeated.key) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where repeated.key is null), '')) as kept_sha256
 from keyed left join repeated using (key) group by doc_id
@@ -29,8 +45,8 @@ with items as (
     select distinct cast(item_id as varchar) as item, {_WORDS} as words from benchmark
     where text is not null and item_id is not null),
 windows as (
-    select item, least(len(words), {decontamination.WINDOW}) as size,
-           unnest(range(1, greatest(len(words) - {decontamination.WINDOW} + 1, 1) + 1)) as pos, words
+    select item, least(len(words), {BENCHMARK_WORDS}) as size,
+           unnest(range(1, greatest(len(words) - {BENCHMARK_WORDS} + 1, 1) + 1)) as pos, words
     from items where len(words) > 0),
 patterns as (
     select distinct item, size, array_to_string(list_slice(words, pos, pos + size - 1), ' ') as pattern from windows),
@@ -56,14 +72,14 @@ from texts left join covered using (doc_id) left join matched using (doc_id)
 
 def _op9() -> str:
     parts = []
-    for rank, rule in enumerate(secrets.RULES):
-        pattern = rule.pattern.replace("'", "''")
+    for rank, (kind, pattern, group, least) in enumerate(SECRETS):
+        pattern = pattern.replace("'", "''")
         parts.append(
-            f"""select doc_id, {rank} as rank, '{rule.kind}' as kind,
+            f"""select doc_id, {rank} as rank, '{kind}' as kind,
                   unnest(regexp_extract_all(body, '{pattern}', 0)) as match,
-                  unnest(regexp_extract_all(body, '{pattern}', {rule.group})) as value,
+                  unnest(regexp_extract_all(body, '{pattern}', {group})) as value,
                   unnest(list_slice(string_split_regex(body, '{pattern}'), 1, -2)) as gap,
-                  unnest(range(len(regexp_extract_all(body, '{pattern}', 0)))) as number, {rule.least} as least
+                  unnest(range(len(regexp_extract_all(body, '{pattern}', 0)))) as number, {least} as least
                 from texts where regexp_matches(body, '{pattern}')"""
         )
     return f"""
@@ -78,7 +94,7 @@ named as (
 grouped as (
     select doc_id, count(*) filter (where kind = 'assign') as n_assign, count(*) filter (where kind = 'access') as n_access,
            count(*) filter (where kind = 'hex') as n_hex,
-           string_agg(span, ',' order by start, rank) filter (where rank < {len(secrets.BASE)}) as base,
+           string_agg(span, ',' order by start, rank) filter (where rank < {BASE_KINDS}) as base,
            string_agg(span, ',' order by start, rank) as spans
     from named group by doc_id)
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
@@ -137,7 +153,7 @@ scored as (
 ranked as (
     select item_id, doc_id, score, row_number() over (partition by number order by score desc, doc_id) as rank
     from scored where score > 0)
-select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank <= 50
+select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank <= {RANKED}
 """
 
 
