@@ -19,6 +19,19 @@ SECRETS = (
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
 )
 BASE_KINDS = 3
+# License phrases and notices by label; the share of a notice's words a block must hold, and its reach in notices.
+PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+NOTICES = {
+    "apache-2.0": "Licensed under the Apache License, Version 2.0",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted",
+    "cc-by-4.0": "Licensed under a Creative Commons Attribution 4.0 International License",
+    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
+    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3",
+    "mit": "Released under the MIT License",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "public-domain": "This work is dedicated to the public domain",
+}
+SHARE, REACH = 0.9, 2
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -40,6 +53,48 @@ from keyed left join repeated using (key) group by doc_id
 
 _WORDS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+def _values(rows: dict[str, str]) -> str:
+    return ", ".join(f"('{a}', '{b}')" for a, b in rows.items())
+
+
+OP5 = f"""
+with notices as (
+    select label, {_WORDS.replace("text", "notice")} as words from (values {_values(NOTICES)}) as given(label, notice)),
+tokens as (select distinct label, unnest(words) as word from notices),
+needs as (
+    select label, {REACH} * any_value(len(words)) as reach, count(*) as size, ceil({SHARE} * count(*) - 1e-9) as need
+    from tokens join notices using (label) group by label),
+phrases as (
+    select phrase, base, string_split(phrase, ' ')[1] as word, len(string_split(phrase, ' ')) as size
+    from (values {_values(PHRASES)}) as given(phrase, base)),
+texts as (select row_number() over () as row, doc_id, case when text is null then [] else {_WORDS} end as words from documents),
+placed as (select row, unnest(words) as word, unnest(range(len(words))) as pos from texts),
+based as (
+    select row, pos, base from placed join phrases using (word) join texts using (row)
+    where array_to_string(list_slice(words, pos + 1, pos + size), ' ') = phrase),
+found as (
+    select row, count(*) as n_base, min(pos) as first_word, max(pos) as last_word,
+           string_agg(distinct base, ',' order by base) as base_labels
+    from based group by row),
+marks as (select row, label, word, pos from placed join tokens using (word)),
+held as (select row, label from marks join needs using (label) group by row, label, need having count(distinct word) >= need),
+runs as (
+    select a.row, a.label, a.pos, count(distinct b.word) as words
+    from held join marks a using (row, label) join marks b using (row, label) join needs using (label)
+    where b.pos <= a.pos and b.pos > a.pos - reach group by a.row, a.label, a.pos),
+met as (
+    select row, label, cast(max(words) as double) / size as share
+    from runs join needs using (label) group by row, label, size, need having max(words) >= need),
+named as (
+    select row, string_agg(distinct label, ',' order by label) as labels
+    from (select row, label from met union select row, base from based) group by row),
+scored as (select row, max(share) as share from met group by row)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+       coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+       case when n_base > 0 then 1.0 else coalesce(share, 0) end as score
+from texts left join found using (row) left join named using (row) left join scored using (row)
+"""
+
 OP8 = f"""
 with items as (
     select distinct cast(item_id as varchar) as item, {_WORDS} as words from benchmark
@@ -158,9 +213,10 @@ select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank
 
 
 def oracle_sql() -> dict[str, str]:
-    """The toxicity, quality, packing, license, token, language and page queries train, tokenize, parse or compare floats: no SQL."""
+    """The toxicity, quality, packing, token, language and page queries train, tokenize, parse or compare floats: no SQL."""
     return {
         "op2_line_dedup": OP2,
+        "op5_license_scan": OP5,
         "op8_decontamination": OP8,
         "op9_secrets": _op9(),
         "op10_near_dedup": OP10,
