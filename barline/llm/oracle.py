@@ -212,8 +212,36 @@ select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank
 """
 
 
+# For pages whose main text is an article element, as in the tables. Character references: those of XML, with or without the semicolon.
+_BLOCK = "</?(?:p|h[1-6]|div|ul|ol|li|blockquote|pre|section|table|tr|td|th)(?:\\s[^>]*)?>"
+_BLANK = "[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
+
+
+def _decoded(text: str) -> str:
+    for name, character in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("#x27", "''"), ("#39", "''"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{name};?', '{character}', 'g')"
+    return text
+
+
+OP13 = f"""
+with articles as (
+    select row_number() over () as row, page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*?)</article>', 1) as body
+    from pages),
+parts as (
+    select row, unnest(string_split_regex(body, '{_BLOCK}')) as part, unnest(range(len(string_split_regex(body, '{_BLOCK}')))) as pos
+    from articles),
+blocks as (
+    select row, pos, trim(regexp_replace({_decoded("regexp_replace(regexp_replace(part, '<br */?>', ' ', 'g'), '<[^>]*>', '', 'g')")},
+           '{_BLANK}', ' ', 'g')) as block
+    from parts),
+texts as (select row, string_agg(block, chr(10) || chr(10) order by pos) as text from blocks where block <> '' group by row)
+select page_id, url, coalesce(text, '') as text, length(coalesce(text, '')) as n_chars
+from articles left join texts using (row)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """The toxicity, quality, packing, token, language and page queries train, tokenize, parse or compare floats: no SQL."""
+    """The toxicity, quality, packing, token and language queries train, tokenize or compare floats: no SQL."""
     return {
         "op2_line_dedup": OP2,
         "op5_license_scan": OP5,
@@ -221,4 +249,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_secrets": _op9(),
         "op10_near_dedup": OP10,
         "op11_lexical_search": OP11,
+        "op13_html_text": OP13,
     }
