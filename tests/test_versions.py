@@ -134,10 +134,14 @@ def test_two_writers_from_one_commit_collide(spark, tmp_path):
 LAYERS = ("landed", "staged", "metrics", "signals", "summary")
 
 
-@pytest.mark.parametrize("step", ["metrics", "signals", "summary", "gate", "commit", "register"])
-def test_layers_switch_together_or_not_at_all(spark, monkeypatch, step):
+@pytest.fixture(scope="module")
+def raw(spark):
+    return raw_bars(spark, SMALL).filter("symbol IN ('S1', 'S2', 'S3')").coalesce(1).cache()
+
+
+@pytest.mark.parametrize("step", ["metrics", "summary", "gate", "commit", "register"])
+def test_layers_switch_together_or_not_at_all(spark, raw, monkeypatch, step):
     folder, name = scratch_path(spark, "layers"), f"together_{step}"
-    raw = raw_bars(spark, SMALL)
     early = raw.filter("date < '1996'")
     layers = pipeline.run_pipeline(early, name, folder)
 
@@ -160,7 +164,7 @@ def test_layers_switch_together_or_not_at_all(spark, monkeypatch, step):
 
         monkeypatch.setattr(tables, "point", third_fails)
     else:
-        function = {"metrics": "daily_metrics", "signals": "trade_signals", "summary": "symbol_summary"}[step]
+        function = {"metrics": "daily_metrics", "summary": "symbol_summary"}[step]
         monkeypatch.setattr(pipeline, function, fail)
     with pytest.raises(Broken):
         pipeline.run_pipeline(raw, name, folder)
@@ -172,7 +176,7 @@ def test_layers_switch_together_or_not_at_all(spark, monkeypatch, step):
     assert pipeline.open_layers(spark, name, folder) == layers and seen() == before
 
 
-def test_landed_rows_are_scanned_once_after_landing(spark, monkeypatch):
+def test_landed_rows_are_scanned_once_after_landing(spark, raw, monkeypatch):
     plans = []
     real = pipeline.write_version
 
@@ -184,7 +188,7 @@ def test_landed_rows_are_scanned_once_after_landing(spark, monkeypatch):
     checks = []
     real_require = quality.require
     monkeypatch.setattr(quality, "require", lambda df, *a: (checks.append(df.inputFiles()[0]), real_require(df, *a)))
-    pipeline.run_pipeline(raw_bars(spark, SMALL), "scanned", scratch_path(spark, "run"))
+    pipeline.run_pipeline(raw, "scanned", scratch_path(spark, "run"))
     assert sum("_landing.bars__next" in plan for plan in plans) == 1
     assert all("landing" not in path for path in checks)
 
