@@ -32,7 +32,7 @@ from barline.llm.text import alnum_words, text_udf, utf8
 OPENINGS = (6, 5, 4)
 # Words' worth of prior that an opening gives a word, and that all words give an opening.
 PRIOR = 2.0
-# Openings must be seen in this many toxic documents before they speak for unseen words.
+# Openings must be seen in this many toxic documents, counted once for each of their words, before they speak for unseen words.
 OPENING_DOCUMENTS = 8
 # Words must be seen in this many for a score of their own.
 WORD_DOCUMENTS = 3

@@ -116,3 +116,51 @@ def test_chance_segments_of_unseen_texts_are_as_rare_as_stated():
     fresh = [text for text, label in examples(3000, seed=77) if not label]
     found = sum(bool(scanner.judged(text)[1]) for text in fresh)
     assert found <= 3 * SIGNIFICANT * len(fresh)
+
+
+def test_scores_equal_a_plain_computation(make_docs):
+    """Log-odds word by word, segments by brute force, the law and the logistic as formulas."""
+    import math
+
+    from barline.llm import toxicity as t
+
+    data = examples(500)
+    model = fit(data)
+    sets = [(set(text.split()), label) for text, label in data]
+    toxic, other = sum(label for _, label in sets), sum(not label for _, label in sets)
+
+    def held(test, label):
+        return sum(any(test(w) for w in words) for words, own in sets if own == label)
+
+    def opening_counts(word):
+        """Counts of the longest opening seen often enough, if any: of documents, once for each of its words there."""
+        for n in t.OPENINGS:
+            if len(word) >= n:
+                counts = [sum(w.startswith(word[:n]) for words, own in sets if own == label for w in words) for label in (1, 0)]
+                if counts[0] >= t.OPENING_DOCUMENTS:
+                    return counts
+        return None
+
+    scored = [w.decode() for w, odds in model.words.items() if odds]
+    assert "scum" in scored
+    for word in scored:
+        a, b = held(lambda w: w == word, 1), held(lambda w: w == word, 0)
+        even = toxic / (toxic + other)
+        counts = opening_counts(word)
+        prior = even if counts is None else (counts[0] + t.PRIOR * even) / (sum(counts) + t.PRIOR)
+        odds = math.log((a + t.PRIOR * prior) / toxic) - math.log((b + t.PRIOR * (1 - prior)) / other)
+        assert a >= t.WORD_DOCUMENTS and model.words[word.encode()] == pytest.approx(odds)
+
+    texts = [text for text, _ in examples(12, seed=9)] + ["", "scum", "a b scum c slimy1x scum"]
+    for row in toxicity(make_docs(texts), model).collect():
+        words = (row["text"] or "").split()
+        scores = [model.score(w.encode()) for w in words]
+        spans = brute(scores)
+        sums = [sum(scores[a:b]) for a, b in spans]
+        chance = [model.scale * max(1, len(words)) * math.exp(-model.decay * s) for s in sums]
+        rarity = -math.log10(max(1e-12, min(1.0, min(chance)))) if chance else 0.0
+        significant = sum(c < t.SIGNIFICANT for c in chance)
+        z = model.weights[0] + model.weights[1] * rarity + model.weights[2] * math.log1p(significant)
+        assert row["toxicity"]["score"] == pytest.approx(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), abs=1e-9)
+        found = [(p["start"], p["end"]) for p in row["toxicity"]["passages"]]
+        assert found == [span for span, c in zip(spans, chance) if c < t.SIGNIFICANT]
