@@ -63,20 +63,15 @@ def plan_chunks(bars: DataFrame, lookback: int, rows_per_chunk: int) -> DataFram
         .withColumns({"chunk": F.floor(F.col("before") / rows_per_chunk).cast("int"), "reach": reach})
         .withColumn("warm_from", F.coalesce("reach", F.min("month").over(whole)))
     )
-    # The months of a symbol before each of its chunks, back to where the warm-up of the chunk begins.
-    chunks = F.array_sort(F.collect_list(F.struct("month", "chunk", "warm_from")))
-    listed = placed.groupBy("symbol").agg(chunks.alias("months"))
-    starts = F.filter("months", lambda m, i: (i == 0) | (F.get("months", i - 1)["chunk"] != m["chunk"]))
-    each = listed.select("symbol", starts.alias("starts"), F.inline("months"))
-
-    def later(start: Column) -> Column:
-        return (start["month"] > F.col("month")) & (start["warm_from"] <= F.col("month"))
-
-    def entry(chunk: Column, warm_up: bool) -> Column:
-        return F.struct(chunk.alias(CHUNK), F.lit(warm_up).alias(WARM_UP))
-
-    warmed = F.transform(F.filter("starts", later), lambda start: entry(start["chunk"], True))
-    return each.select("symbol", "month", F.concat(F.array(entry(F.col("chunk"), False)), warmed).alias("chunks"))
+    entry = F.struct(F.col("chunk").alias(CHUNK), F.col("warm_up").alias(WARM_UP))
+    own = placed.select("symbol", "month", "chunk", F.lit(False).alias("warm_up"))
+    # The months before each chunk, back to where its warm-up begins; those without rows meet nothing.
+    chunks = placed.groupBy("symbol", "chunk").agg(F.min("month").alias("start"), F.min("warm_from").alias("warm_from"))
+    before = F.sequence("warm_from", F.add_months("start", -1), F.expr("interval 1 month"))
+    warmed = chunks.filter("warm_from < start").select(
+        "symbol", F.explode(before).alias("month"), "chunk", F.lit(True).alias("warm_up")
+    )
+    return own.unionByName(warmed).groupBy("symbol", "month").agg(F.collect_list(entry).alias("chunks"))
 
 
 def assign_chunks(bars: DataFrame, plan: DataFrame) -> DataFrame:

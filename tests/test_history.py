@@ -140,3 +140,14 @@ def test_only_long_histories_are_cut_and_rows_move_once(spark, skewed, tmp_path)
         spark.conf.unset("spark.sql.adaptive.enabled")
     total = sum(r["count"] for r in parts)
     assert len(parts) == 4 and max(r["count"] for r in parts) < total / 2
+
+
+def test_the_plan_of_a_very_long_history_stays_small(spark):
+    """Thousands of months: each row of the plan holds the chunks of its own month only."""
+    days = [date(1000, 1, 1) + timedelta(days=15 * i) for i in range(48_000)]
+    bars = spark.createDataFrame(series("LONG", days), BARS)
+    plan = history.plan_chunks(bars, m.LOOKBACK, 2_000)
+    sizes = plan.agg(F.count("*").alias("rows"), F.max(F.size("chunks")).alias("most")).first()
+    assert sizes.rows > 20_000 and sizes.most <= 3
+    out = m.daily_metrics(bars, 2_000)
+    assert out.count() == len(days)
