@@ -305,3 +305,14 @@ def test_payloads_are_parsed_once(spark, tmp_path):
     # Each of the ten decimals is read once.
     plan = payloads.bars_from_payloads(sent)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("as double)") == 10
+
+
+def test_values_of_rejections_are_read_once(spark, tmp_path):
+    spark.createDataFrame([("A", "[]")], PAYLOAD).write.parquet(str(tmp_path / "sent"))
+    refused = payloads.quarantine(spark.read.parquet(str(tmp_path / "sent")))
+    files.write_bars_csv(landed_bars(spark, "/root/testdata/sf0.001"), str(tmp_path / "csv"))
+    rejected = rejected_values(files.read_raw_csv(spark, str(tmp_path / "csv")))
+    for df in (refused, rejected):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        filters = [line for line in plan.splitlines() if "Filter " in line]
+        assert filters and not any("cast(" in line for line in filters)
