@@ -211,3 +211,18 @@ def test_ingest_without_usable_payload(spark, tmp_path):
     sent.write.parquet(str(tmp_path / "sent"))
     assert main(["ingest", str(tmp_path / "sent"), str(tmp_path / "raw")]) == 1
     assert not (tmp_path / "raw").exists()
+
+
+def test_the_guard_is_given_bars_that_were_parsed_before(spark, monkeypatch):
+    import __spark_entry__ as registry
+
+    plans, real = [], registry.payloads.require_data
+
+    def spy(bars):
+        plans.append(bars._jdf.queryExecution().optimizedPlan().toString())
+        return real(bars)
+
+    monkeypatch.setattr(registry.payloads, "require_data", spy)
+    found = {row["payloads"]: row["refused"] for row in registry.queries()["ingest_guard"](spark, SMALL).collect()}
+    assert found == {"all": False, "useless": True}
+    assert len(plans) == 2 and not any("parseJson" in plan for plan in plans)
