@@ -316,3 +316,27 @@ def test_values_of_rejections_are_read_once(spark, tmp_path):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         filters = [line for line in plan.splitlines() if "Filter " in line]
         assert filters and not any("cast(" in line for line in filters)
+
+
+def test_files_in_order_are_not_sorted_by_the_tasks_that_write_them(spark, tmp_path, monkeypatch):
+    bars = landed_bars(spark, "/root/testdata/sf0.001").localCheckpoint()
+    monkeypatch.setattr(files, "partitions_for", lambda df: 11)
+    plans, real = [], files._in_files
+
+    def spy(*args):
+        out = real(*args)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(files, "_in_files", spy)
+    path = str(tmp_path / "sorted")
+    assert files.write_bars_csv(bars, path, in_order=True, files=3)
+    above, below = plans[0].split("REPARTITION_BY_NUM", 1)
+    assert "Coalesce 3" in above and "Sort [" not in above and "Sort [symbol" in below
+    parts = sorted((tmp_path / "sorted").glob("part-*.csv"))
+    assert len(parts) == 3
+    lines = [line for part in parts for line in part.read_text().splitlines()[1:]]
+    assert min(len(part.read_text().splitlines()) for part in parts) > bars.count() / 6
+    assert lines == sorted(lines, key=lambda line: (line.split(",")[LANDED.names.index("symbol")], line.split(",")[LANDED.names.index("date")]))
+    key = lambda row: (row["symbol"], row["date"])
+    assert sorted(files.read_bars_csv(spark, path).collect(), key=key) == sorted(bars.collect(), key=key)
