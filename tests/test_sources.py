@@ -340,3 +340,11 @@ def test_files_in_order_are_not_sorted_by_the_tasks_that_write_them(spark, tmp_p
     assert lines == sorted(lines, key=lambda line: (line.split(",")[LANDED.names.index("symbol")], line.split(",")[LANDED.names.index("date")]))
     key = lambda row: (row["symbol"], row["date"])
     assert sorted(files.read_bars_csv(spark, path).collect(), key=key) == sorted(bars.collect(), key=key)
+
+
+def test_a_gate_checks_small_partitions_and_leaves_the_setting(spark, monkeypatch):
+    name, seen, real = "spark.sql.adaptive.advisoryPartitionSizeInBytes", [], quality.check
+    monkeypatch.setattr(quality, "check", lambda *a: (seen.append(spark.conf.get(name)), real(*a))[1])
+    before = spark.conf.get(name)
+    quality.require(spark.createDataFrame([("A", date(2024, 1, 2))], "symbol string, trade_date date"), quality.STAGED_CONSTRAINTS, "x")
+    assert seen == ["4m"] and spark.conf.get(name) == before
