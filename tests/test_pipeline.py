@@ -226,3 +226,13 @@ def test_the_guard_is_given_bars_that_were_parsed_before(spark, monkeypatch):
     found = {row["payloads"]: row["refused"] for row in registry.queries()["ingest_guard"](spark, SMALL).collect()}
     assert found == {"all": False, "useless": True}
     assert len(plans) == 2 and not any("parseJson" in plan for plan in plans)
+
+
+def test_layers_are_small_and_their_tasks_too(spark, raw):
+    from barline.operators.history import partitions_for
+
+    layers = run_pipeline(raw, "compressed", scratch_path(spark, "run"))
+    for table in (layers.landed, layers.metrics, layers.signals, layers.summary):
+        assert all(".zstd." in file for file in spark.table(table).inputFiles())
+    # 32 MB of long numbers.
+    assert partitions_for(spark.range(4_000_000)) == 4
