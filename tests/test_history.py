@@ -151,3 +151,18 @@ def test_the_plan_of_a_very_long_history_stays_small(spark):
     assert sizes.rows > 20_000 and sizes.most <= 3
     out = m.daily_metrics(bars, 2_000)
     assert out.count() == len(days)
+
+
+def test_frames_are_put_together_from_blocks_and_compiled(spark, skewed, tmp_path):
+    """No frame of more than the signal line's 9 rows is read row by row, and no generated method is too long for Java to compile."""
+    path = str(tmp_path / "bars")
+    skewed.write.parquet(path)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        executed = m.daily_metrics(spark.read.parquet(path), None)._jdf.queryExecution().executedPlan()
+        code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(executed)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sliding = re.findall(r"RowFrame, -(\d+), currentrow\$", executed.toString())
+    assert sliding and set(sliding) == {"8"}
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)) < 8000
