@@ -10,6 +10,7 @@ The counts say which years hold the rows before a day that its metrics depend on
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from datetime import date
 
@@ -23,6 +24,8 @@ from barline.sources import versions
 
 BARS, METRICS, COUNTS, PARTS = "bars", "metrics", "counts", "parts"
 _YEAR = "year"
+# Fixed value: bars or metrics behind a row of the counts and parts, at least about.
+_ROWS_A_PART = 8
 
 
 def _year() -> Column:
@@ -33,20 +36,29 @@ def _key(part: str, year: int) -> str:
     return f"{part}/{year}"
 
 
-def _written(df: DataFrame, root: str, part: str, run: str) -> dict[str, str]:
-    """Write a part's years; their folders by key."""
+def _write(df: DataFrame, root: str, part: str, run: str) -> DataFrame:
+    """Write a part's years, and read them."""
+    path = f"{root}/{part}/version={run}"
+    df.write.partitionBy(_YEAR).parquet(path)
+    return df.sparkSession.read.option("basePath", f"{root}/{part}").parquet(path).drop("version")
+
+
+def _written(spark: SparkSession, root: str, part: str, run: str) -> dict[str, str]:
+    """The folders of a written part's years by key."""
     base = f"{part}/version={run}"
-    df.write.partitionBy(_YEAR).parquet(f"{root}/{base}")
-    files, folder = versions.file_system(df.sparkSession, f"{root}/{base}")
+    files, folder = versions.file_system(spark, f"{root}/{base}")
     found = (status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory())
     years = sorted(int(name.removeprefix(f"{_YEAR}=")) for name in found if name.startswith(f"{_YEAR}="))
     return {_key(part, year): f"{base}/{_YEAR}={year}" for year in years}
 
 
-def _by_year(df: DataFrame) -> DataFrame:
-    """Rows of a year lie together, in as many files as the size of all asks for, symbols in order."""
-    share = F.pmod(F.hash("symbol"), F.lit(partitions_for(df)))
-    return df.repartition(_YEAR, share).sortWithinPartitions(_YEAR, "symbol", "trade_date")
+def _by_year(df: DataFrame, order: str = "trade_date", rows_behind: int = 1) -> DataFrame:
+    """Rows of a year lie together, in as many files as the size of all asks for, symbols in order.
+
+    ``rows_behind`` says how many of the rows that are read became one.
+    """
+    share = F.pmod(F.hash("symbol"), F.lit(math.ceil(partitions_for(df) / rows_behind)))
+    return df.repartition(_YEAR, share).sortWithinPartitions(_YEAR, "symbol", order)
 
 
 def _last(spark: SparkSession, root: str) -> versions.Commit:
@@ -75,21 +87,22 @@ def _store(spark: SparkSession, root: str, bars: DataFrame, since: int | None, l
     run = versions.new_version()
     folders: dict[str, str] = {}
     try:
-        quality.require(bars, quality.STAGED_CONSTRAINTS, "bars")
-        folders |= _written(_by_year(bars.withColumn(_YEAR, _year())), root, BARS, run)
-        new = spark.read.option("basePath", f"{root}/{BARS}").parquet(f"{root}/{BARS}/version={run}").drop("version")
+        # Checked as stored: that reads two columns, and whatever makes the bars runs once.
+        new = _write(_by_year(bars.withColumn(_YEAR, _year())), root, BARS, run)
+        quality.require(new, quality.STAGED_CONSTRAINTS, "bars")
         counted = new.groupBy(_YEAR, "symbol").agg(F.count("*").alias("rows"))
-        folders |= _written(counted.repartition(_YEAR), root, COUNTS, run)
+        _write(_by_year(counted, "rows", _ROWS_A_PART), root, COUNTS, run)
         rows = new.drop(_YEAR)
         if since is not None and last is not None:
             rows = warm_up(spark, root, new, since, last).drop(_YEAR).unionByName(rows)
         metrics = daily_metrics(rows).withColumn(_YEAR, _year())
         if since is not None:
             metrics = metrics.filter(F.col("trade_date") >= F.lit(date(since, 1, 1)))
-        folders |= _written(_by_year(metrics), root, METRICS, run)
-        fresh = spark.read.option("basePath", f"{root}/{METRICS}").parquet(f"{root}/{METRICS}/version={run}")
-        parts = summary_parts(fresh).withColumn(_YEAR, F.year("month"))
-        folders |= _written(parts.repartition(_YEAR), root, PARTS, run)
+        fresh = _write(_by_year(metrics), root, METRICS, run)
+        parts = summary_parts(fresh, unique=True).withColumn(_YEAR, F.year("month"))
+        _write(_by_year(parts, "month", _ROWS_A_PART), root, PARTS, run)
+        for part in (BARS, COUNTS, METRICS, PARTS):
+            folders |= _written(spark, root, part, run)
         kept = {}
         if since is not None and last is not None:
             kept = {key: folder for key, folder in last.folders.items() if int(key.split("/")[1]) < since}

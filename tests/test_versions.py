@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, timedelta
 from pathlib import Path
 
@@ -281,6 +282,27 @@ def test_a_failed_refresh_leaves_the_store_as_it_was(spark, tmp_path, monkeypatc
         store.read(spark, str(tmp_path / "nothing"))
 
 
+def test_bars_are_made_once_and_checked_as_stored(spark, tmp_path, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+    bars = staged_bars(spark, SMALL).cache()
+    total = bars.count()
+
+    def counted(rows):
+        for batch in rows:
+            made.add(batch.num_rows)
+            yield batch
+
+    plans, real = [], store.summary_parts
+    monkeypatch.setattr(store, "summary_parts", lambda *a, **k: (plans.append(real(*a, **k)), plans[-1])[1])
+    root = str(tmp_path / "store")
+    store.store_bars(bars.mapInArrow(counted, bars.schema), root)
+    assert made.value == total
+    # Rows are combined by month before they move.
+    assert "trade_date" not in re.search(r"Exchange hashpartitioning\((.*)\)", plans[0]._jdf.queryExecution().executedPlan().toString())[1]
+    with pytest.raises(quality.QualityError):
+        store.store_bars(bars.withColumn("trade_date", F.when(F.col("symbol") != "S1", F.col("trade_date"))), str(tmp_path / "undated"))
+
+
 def test_store_from_the_command_line(spark, tmp_path, capsys):
     raw, root = raw_bars(spark, SMALL), str(tmp_path / "store")
     for name, rows in (("early", raw.filter("date < '1998-03-01'")), ("late", raw.filter("date >= '1998-03-01'"))):
