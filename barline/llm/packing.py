@@ -31,6 +31,8 @@ END = 0
 SHARD_TOKENS = 600_000
 # BM25 parameters.
 _K1, _B = 1.2, 0.75
+# An index is trimmed when this share of the rests it holds is left; each time costs about as much as a few queries.
+_TRIM = 0.85
 # Fixed value: the pre-tokenizer pattern of the byte-level vocabularies.
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Minima of a signature: the first brings rests together, the others order those that share it.
@@ -175,9 +177,24 @@ class Shard:
         self._score = weight[token] * times * (_K1 + 1) / (times + norm[self._owner])
         self._tokens, starts = np.unique(token, return_index=True)
         self._starts = np.append(starts, len(token))
+        self._indexed = len(rests)
+        self._keep(self._score > 0)
+
+    def _keep(self, kept: np.ndarray) -> None:
+        """Drop the other postings."""
+        self._starts = np.append(0, np.cumsum(kept))[self._starts]
+        self._owner, self._score = self._owner[kept], self._score[kept]
+
+    def _trim(self) -> None:
+        """Drop the postings of used rests when enough of them have come together; scores stay the same."""
+        free = int(self.unused.sum())
+        if free < _TRIM * self._indexed:
+            self._keep(self.unused[self._owner])
+            self._indexed = free
 
     def scores(self, seed: Rest) -> np.ndarray:
         """BM25 score of every rest for the seed's distinct tokens; 0 for used ones and those that share none."""
+        self._trim()
         at = np.searchsorted(self._tokens, np.unique(seed.ids))
         ranges = [slice(self._starts[i], self._starts[i + 1]) for i in at if i < len(self._tokens)]
         if not ranges:

@@ -400,3 +400,18 @@ def test_registry_has_every_operator():
 
     names = registry.queries()
     assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in names} and "pipeline" in names
+
+
+def test_trimmed_index_gives_the_same_scores():
+    rng = np.random.default_rng(5)
+    weight = rng.random(50) + 0.1
+    weight[0] = 0
+    rests = [packing.Rest(i, 0, 31, np.append(rng.integers(1, 50, 30), 0).astype("<u4")) for i in range(200)]
+    shard, fresh = packing.Shard(rests, weight), packing.Shard(rests, weight)
+    postings = len(shard._owner)
+    shard.unused[:100] = fresh.unused[:100] = False
+    fresh._trim = lambda: None
+    assert (shard.scores(rests[3]) == fresh.scores(rests[3])).all()
+    # No postings of used rests, and none of the closing id, which tells nothing.
+    assert len(shard._owner) < 0.6 * postings and shard.unused[shard._owner].all()
+    assert len(shard._owner) == sum(len(np.unique(r.ids)) - 1 for r in rests[100:])
