@@ -406,12 +406,15 @@ def test_trimmed_index_gives_the_same_scores():
     rng = np.random.default_rng(5)
     weight = rng.random(50) + 0.1
     weight[0] = 0
-    rests = [packing.Rest(i, 0, 31, np.append(rng.integers(1, 50, 30), 0).astype("<u4")) for i in range(200)]
-    shard, fresh = packing.Shard(rests, weight), packing.Shard(rests, weight)
-    postings = len(shard._owner)
-    shard.unused[:100] = fresh.unused[:100] = False
-    fresh._trim = lambda: None
-    assert (shard.scores(rests[3]) == fresh.scores(rests[3])).all()
-    # No postings of used rests, and none of the closing id, which tells nothing.
-    assert len(shard._owner) < 0.6 * postings and shard.unused[shard._owner].all()
-    assert len(shard._owner) == sum(len(np.unique(r.ids)) - 1 for r in rests[100:])
+    # Tokens below 5 are in most rests, the others in few.
+    drawn = [np.concatenate([rng.integers(1, 5, 12), rng.integers(5, 50, 4), [0]]).astype("<u4") for _ in range(200)]
+    rests = [packing.Rest(i, 0, 17, ids) for i, ids in enumerate(drawn)]
+    shard, whole = packing.Shard(rests, weight), packing.Shard(rests, weight)
+    whole._trim = lambda: None
+    for used in range(0, 200, 10):
+        assert (shard.scores(rests[used]) == whole.scores(rests[used])).all()
+        shard.unused[used : used + 10] = whole.unused[used : used + 10] = False
+    assert len(shard._rests) < 30 and shard._rows.shape[1] == len(shard._rests) and len(shard._owner) < len(whole._owner) / 5
+    # No postings of the closing id, which tells nothing, nor of those that have rows.
+    assert whole._rows.shape == (5, 200)
+    assert len(whole._owner) == sum((np.unique(ids) >= 5).sum() for ids in drawn)
