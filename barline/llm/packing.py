@@ -35,8 +35,9 @@ _K1, _B = 1.2, 0.75
 _TRIM = 0.85
 # Tokens that this share of a shard's rests hold are scored by a row over all of them, at most five times the room of their postings.
 _DENSE = 0.2
-# Fixed value: the pre-tokenizer pattern of the byte-level vocabularies.
-_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Fixed value: the pre-tokenizer pattern of the byte-level vocabularies. The alternatives before the look-ahead stand in a group, which the
+# expression engine runs as one automaton; ungrouped it tries them one by one at every token.
+_PATTERN = r"""(?:'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+)|\s+(?!\S)|\s+"""
 # Minima of a signature: the first brings rests together, the others order those that share it.
 SIGNATURE = 3
 # Tokens of one range, about: ranges are tasks, shards their working sets.
@@ -114,10 +115,20 @@ def _race(weight: np.ndarray, held: np.ndarray, end: int) -> np.ndarray:
     return np.where(np.isinf(arrival), len(weight), place)
 
 
+def signatures(rests: list[np.ndarray], race: np.ndarray) -> list[np.ndarray]:
+    """By rank, the ``SIGNATURE`` first places among each rest's distinct tokens, filled up with the last place."""
+    lengths = np.array([len(ids) for ids in rests])
+    places = race[np.concatenate(rests)]
+    ranks = []
+    for _ in range(SIGNATURE):
+        ranks.append(np.minimum.reduceat(places, np.cumsum(lengths) - lengths))
+        places[places == np.repeat(ranks[-1], lengths)] = len(race)
+    return ranks
+
+
 def signature(ids: np.ndarray, race: np.ndarray) -> list[int]:
-    """The ``SIGNATURE`` first places among a rest's distinct tokens, filled up with the last place."""
-    first = np.unique(race[ids])[:SIGNATURE].tolist()
-    return first + [len(race)] * (SIGNATURE - len(first))
+    """The signature of one rest."""
+    return [int(rank[0]) for rank in signatures([ids], race)]
 
 
 _SIGNED = [f"signature{k}" for k in range(SIGNATURE)]
@@ -128,8 +139,9 @@ def _sign(race: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            signed = [signature(np.frombuffer(value.as_buffer(), "<u4"), race) for value in batch.column(3)]
-            columns = [pa.array(c, pa.int64()) for c in (zip(*signed) if signed else [()] * SIGNATURE)]
+            rests = [np.frombuffer(value.as_buffer(), "<u4") for value in batch.column(3)]
+            ranks = signatures(rests, race) if rests else [()] * SIGNATURE
+            columns = [pa.array(rank, pa.int64()) for rank in ranks]
             yield pa.RecordBatch.from_arrays([*columns, *batch.columns], names=[*_SIGNED, *batch.schema.names])
 
     return run
@@ -145,7 +157,7 @@ def _count(size: int):
         total = np.zeros(size, np.int64)
         for batch in batches:
             for value in batch.column(0):
-                total[np.unique(np.frombuffer(value.as_buffer(), "<u4"))] += 1
+                total[np.frombuffer(value.as_buffer(), "<u4")] += 1  # once a distinct token: repeated places are not added up
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], schema=_FREQUENCY)
 
@@ -213,17 +225,18 @@ class Shard:
         """BM25 score of every rest for the seed's distinct tokens; 0 for used ones and those that share none."""
         self._trim()
         scores = np.zeros(len(self.rests))
-        at = np.searchsorted(self._tokens, np.unique(seed.ids))
+        asked = np.zeros(len(self._weight), bool)
+        asked[seed.ids] = True
+        at = np.searchsorted(self._tokens, np.flatnonzero(asked))
         at = at[at < len(self._tokens)]
         rows = self._row[at]
-        found = np.zeros(len(self._rests))
-        for row in rows[rows >= 0].tolist():
-            found += self._rows[row]
+        found = self._rows[rows[rows >= 0]].sum(axis=0)
         at = at[rows < 0]
-        ranges = [slice(a, b) for a, b in zip(self._starts[at].tolist(), self._starts[at + 1].tolist()) if a < b]
-        if ranges:
-            owners = np.concatenate([self._owner[r] for r in ranges])
-            found += np.bincount(owners, np.concatenate([self._score[r] for r in ranges]), len(found))
+        starts = self._starts[at]
+        held = self._starts[at + 1] - starts
+        # Places of the postings of all tokens, token after token.
+        places = np.repeat(starts - np.cumsum(held) + held, held) + np.arange(held.sum())
+        found += np.bincount(self._owner[places], self._score[places], len(found))
         scores[self._rests] = found
         scores[~self.unused] = 0
         return scores
