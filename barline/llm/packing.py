@@ -218,7 +218,7 @@ class Shard:
         if free.sum() < _TRIM * len(free):
             self._keep(free[self._owner])
             self._owner = (np.cumsum(free) - 1)[self._owner]
-            self._rows = self._rows[:, free]
+            self._rows = self._rows.compress(free, axis=1)  # unlike an index, keeps each row in one piece
             self._rests = self._rests[free]
 
     def scores(self, seed: Rest) -> np.ndarray:

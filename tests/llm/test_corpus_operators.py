@@ -274,6 +274,15 @@ def test_rests_are_counted_once_a_distinct_token():
     assert counted.to_pydict() == {"token": [0, 1, 2], "documents": [4, 2, 3]}
 
 
+def test_rows_of_a_trimmed_index_stay_in_one_piece():
+    rests = [packing.Rest(i, 0, 6, np.array([1, 2, 3, 4 + i % 9, 13, 0], "<u4")) for i in range(100)]
+    shard = packing.Shard(rests, np.append(0, np.ones(13)))
+    shard.unused[::3] = False
+    scores = shard.scores(rests[0])
+    assert shard._rows.shape[1] == shard.unused.sum() and shard._rows.flags.c_contiguous
+    assert ((scores > 0) == shard.unused).all()
+
+
 def test_encoder_does_not_try_alternatives_one_by_one():
     """The pattern as the vocabulary states it cuts texts alike, but takes longer."""
     words = vocabulary.load(vocabulary.DEFAULT)
